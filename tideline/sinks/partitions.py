@@ -1,0 +1,128 @@
+"""Sinks that replace whole partitions, so that a rerun never doubles rows."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator, Sequence
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tideline.functions.keys import window_key
+
+RAW_PARTITIONS = ("control_id", "window_key")
+# The error classes of a path that holds no table yet.
+NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """The parquet table at ``path``, or None when nothing was written there yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in NO_TABLE:
+            return None
+        raise
+
+
+def replace_partitions(
+    df: DataFrame, path: str, by: Sequence[str], scope: DataFrame, job_col: str
+) -> None:
+    """Write ``df`` over the partitions it has rows for, and empty the rest of ``scope``.
+
+    ``scope`` lists what this write answers for: some of the ``by`` columns and the
+    job id. Dynamic overwrite leaves a partition alone when the new data has no row
+    for it, so partitions in scope that still carry another job's id are emptied
+    afterwards. The job id must therefore differ from one run to the next.
+
+    REBALANCE brings the rows of a partition together and lets AQE cut a large one
+    into several files, so no task holds a whole hot partition.
+    """
+    spark = df.sparkSession
+    df.hint("rebalance", *by).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(*by).parquet(path)
+    for directory in _stale_partitions(spark, path, by, scope, job_col):
+        rest = df.drop(*by).schema
+        spark.createDataFrame([], rest).write.mode("overwrite").parquet(directory)
+
+
+def _stale_partitions(
+    spark: SparkSession, path: str, by: Sequence[str], scope: DataFrame, job_col: str
+) -> Iterator[str]:
+    table = read_if_there(spark, path)
+    if table is None:
+        return
+    keys = [name for name in by if name in scope.columns]
+    kept = scope.select(*keys, F.col(job_col).alias("_job")).distinct()
+    old = (
+        table.select(*by, job_col)
+        .join(kept, keys)
+        .where(F.col(job_col) != F.col("_job"))
+        .select(*[F.col(name).cast("string").alias(name) for name in by])
+        .distinct()
+    )
+    for row in old.toLocalIterator():
+        yield "/".join([path, *[f"{name}={row[name]}" for name in by]])
+
+
+def land_raw(df: DataFrame, path: str, windows: DataFrame) -> None:
+    """Land the rows of the given windows as batches, one partition each.
+
+    ``df`` and ``windows`` both have ``control_id``, ``window_start`` and
+    ``job_id``. Landing a window again replaces its batch, also by nothing.
+    """
+    key = window_key(F.col("window_start"))
+    replace_partitions(
+        df.withColumn("window_key", key),
+        path,
+        RAW_PARTITIONS,
+        windows.withColumn("window_key", key),
+        "job_id",
+    )
+
+
+def land_window(
+    df: DataFrame, path: str, job_id: int, control_id: int, start: object, end: object
+) -> None:
+    """Land one window of one package; ``df`` holds just its rows."""
+    batch = df.sparkSession.range(1).select(*_audit(job_id, control_id, start, end))
+    land_raw(df.select("*", *_audit(job_id, control_id, start, end)), path, batch)
+
+
+def _audit(job_id: int, control_id: int, start: object, end: object) -> list:
+    return [
+        F.lit(control_id).cast("long").alias("control_id"),
+        F.lit(str(start)).cast("timestamp_ntz").alias("window_start"),
+        F.lit(str(end)).cast("timestamp_ntz").alias("window_end"),
+        F.lit(job_id).cast("long").alias("job_id"),
+    ]
+
+
+def write_enriched(
+    df: DataFrame,
+    path: str,
+    job_id: int,
+    from_key: str,
+    to_key: str,
+    by: Sequence[str] = ("partition_key",),
+) -> None:
+    """Replace the months ``from_key`` to ``to_key`` of a summary table.
+
+    Rows are tagged with the job that wrote them. A month in the range that has no
+    rows any more is emptied; months outside it are not touched.
+    """
+    scope = df.sparkSession.range(1).select(
+        F.explode(month_keys(from_key, to_key)).alias("partition_key"),
+        F.lit(job_id).cast("long").alias("summary_job_id"),
+    )
+    tagged = df.withColumn("summary_job_id", F.lit(job_id).cast("long"))
+    replace_partitions(tagged, path, by, scope, "summary_job_id")
+
+
+def month_keys(from_key: str, to_key: str):
+    """All ``yyyyMM`` keys of a closed range, as an array column."""
+    first = F.to_date(F.lit(from_key), "yyyyMM")
+    last = F.to_date(F.lit(to_key), "yyyyMM")
+    months = F.sequence(first, last, F.expr("interval 1 month"))
+    return F.transform(months, lambda day: F.date_format(day, "yyyyMM"))
