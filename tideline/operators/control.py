@@ -163,25 +163,26 @@ def landed_counts(raw: DataFrame, ts_col: str) -> DataFrame:
 
 
 def staged_batches(log: DataFrame) -> DataFrame:
-    """The batches that are complete in raw, with the time they last became so."""
+    """The batches that are complete in raw, with the job that last staged them."""
     return (
         log.where(_done() & (F.col("layer") == "raw"))
         .groupBy("control_id", "window_start", "window_end")
-        .agg(F.max("log_time").alias("staged_at"))
+        .agg(F.max_by("job_id", F.struct("log_time", "log_id")).alias("job_id"))
         .withColumn("window_key", window_key(F.col("window_start")))
     )
 
 
 def pending_batches(log: DataFrame, package_name: str) -> DataFrame:
-    """Staged batches that the named ext package has not merged since they were staged."""
-    merged = (
-        log.where(_done() & (F.col("layer") == "ext") & (F.col("package_name") == package_name))
-        .groupBy("control_id", "window_start")
-        .agg(F.max("log_time").alias("merged_at"))
+    """Staged batches that the named ext package has not merged yet.
+
+    The rows that log a merged batch carry the job that staged it, so a batch that
+    was staged again is pending again, whatever the clocks say.
+    """
+    merged = log.where(
+        _done() & (F.col("layer") == "ext") & (F.col("package_name") == package_name)
     )
-    return (
-        staged_batches(log)
-        .join(merged, ["control_id", "window_start"], "left")
-        .where("merged_at is null or merged_at < staged_at")
-        .drop("merged_at")
+    return staged_batches(log).join(
+        merged.select("control_id", "window_start", "job_id"),
+        ["control_id", "window_start", "job_id"],
+        "left_anti",
     )

@@ -43,30 +43,31 @@ def readiness_gate(control: DataFrame, log: DataFrame, daily: bool = False) -> D
     """
     required = of_suite(control, None).select("control_id", "suite_code").distinct()
     reached = _daily_successes(log)
+    days = _log_days(required, log)
     if daily:
-        frontiers = _frontier_by_day(required, log, reached)
-    else:
-        as_of = F.to_date(F.max("log_time")).alias("as_of")
-        last_day = log.join(required.select("control_id"), "control_id", "left_semi").agg(as_of)
-        now = reached.groupBy("control_id").agg(F.max("reached").alias("frontier"))
-        frontiers = required.join(now, "control_id", "left").withColumn(
-            "as_of", F.lit(last_day.first()["as_of"])
-        )
-    return _decide(frontiers)
+        return _decide(_frontier_by_day(days, reached))
+    now = reached.groupBy("control_id").agg(F.max("reached").alias("frontier"))
+    as_of = days.withColumnRenamed("last", "as_of")
+    return _decide(as_of.join(now, "control_id", "left"))
 
 
-def _frontier_by_day(required: DataFrame, log: DataFrame, reached: DataFrame) -> DataFrame:
-    days = (
-        log.groupBy("control_id")
-        .agg(F.min("log_time").alias("first"), F.max("log_time").alias("last"))
-        .join(required, "control_id")
+def _log_days(required: DataFrame, log: DataFrame) -> DataFrame:
+    """The required packages with the first and last log date of their suite."""
+    per_package = log.groupBy("control_id").agg(
+        F.to_date(F.min("log_time")).alias("first"), F.to_date(F.max("log_time")).alias("last")
+    )
+    per_suite = (
+        required.join(per_package, "control_id")
         .groupBy("suite_code")
-        .agg(F.to_date(F.min("first")).alias("first"), F.to_date(F.max("last")).alias("last"))
+        .agg(F.min("first").alias("first"), F.max("last").alias("last"))
     )
+    return required.join(per_suite, "suite_code")
+
+
+def _frontier_by_day(days: DataFrame, reached: DataFrame) -> DataFrame:
     so_far = W.partitionBy("control_id").orderBy("as_of")
     return (
-        required.join(days, "suite_code")
-        .select("control_id", "suite_code", F.explode(F.sequence("first", "last")).alias("as_of"))
+        days.withColumn("as_of", F.explode(F.sequence("first", "last")))
         .join(reached.withColumnRenamed("log_date", "as_of"), ["control_id", "as_of"], "left")
         .select("control_id", "suite_code", "as_of", F.max("reached").over(so_far).alias("frontier"))
     )

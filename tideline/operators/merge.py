@@ -59,11 +59,18 @@ def merge(
     if matched == "ignore":
         return target.unionByName(unmatched(target, source, keys, small_source))
     if small_source:
-        updated = _take(target, F.broadcast(_marked(source)), keys, when, "left")
-        return updated.unionByName(unmatched(target, source, keys, small_source))
+        new = unmatched(target, source, keys, small_source)
+        return matched_rows(target, source, keys, when).unionByName(new)
     return _take(target, _marked(source), keys, when, "full")
 
 
+def matched_rows(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], when: str | None = None
+) -> DataFrame:
+    """The target's rows, updated from a source small enough to broadcast."""
+    return _take(target, F.broadcast(_marked(source)), keys, when, "left")
+
+
 def unmatched(
     target: DataFrame, source: DataFrame, keys: Sequence[str], small_source: bool = False
 ) -> DataFrame:
