@@ -198,11 +198,11 @@ WHERE success_flag = 0 OR message_source LIKE '%ERROR%'""",
     "readiness_gate": f"WITH {GATE} SELECT * FROM gate",
     "enrich_orders": f"""SELECT o.o_orderkey, o.o_orderdate,
        strftime(o.o_orderdate, '%Y%m') AS partition_key, {CENTS} AS price_cents,
-       c.c_name, c.c_mktsegment, n.n_name, r.r_name, CAST(7 AS INTEGER) AS summary_job_id
+       c.c_name, c.c_mktsegment, n.n_name, r.r_name, CAST(7 AS BIGINT) AS summary_job_id
 {ORDERS_JOINED}""",
     "enrich_monthly": f"""SELECT strftime(o.o_orderdate, '%Y%m') AS partition_key,
        n.n_name, r.r_name, c.c_mktsegment, count(*) AS orders,
-       CAST(sum({CENTS}) AS BIGINT) AS price_cents, CAST(7 AS INTEGER) AS summary_job_id
+       CAST(sum({CENTS}) AS BIGINT) AS price_cents, CAST(7 AS BIGINT) AS summary_job_id
 {ORDERS_JOINED}
 GROUP BY strftime(o.o_orderdate, '%Y%m'), n.n_name, r.r_name, c.c_mktsegment""",
     "flow_staging": f"""WITH {FEEDS}

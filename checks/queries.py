@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import derive, templates
-from tideline.functions import partition_key, result_class
+from tideline.functions import materialize, partition_key, result_class
 from tideline.operators import (
     dedupe_latest,
     due_packages,
@@ -27,6 +27,7 @@ from tideline.plans import enrich, run_extract, run_staging, run_summary
 from tideline.session import scratch_path
 from tideline.sinks import KeyedTable, land_raw, write_enriched
 from tideline.sources import (
+    NoData,
     Warehouse,
     due_window_read,
     partition_range_read,
@@ -273,6 +274,11 @@ def q_enrich_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _enrich(spark, sf_dir, templates.MONTHLY)
 
 
+def _stored(control: DataFrame) -> DataFrame:
+    """The control table as an installation has it: stored, not derived at each use."""
+    return materialize(control, "control")
+
+
 def stage_month(
     warehouse: Warehouse, control: DataFrame, events: DataFrame, runs: int, each=lambda: None
 ) -> None:
@@ -286,14 +292,14 @@ def stage_month(
 def q_flow_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three runs cover the month; the fourth finds nothing due."""
     warehouse, events = _warehouse(spark), _events(spark, sf_dir)
-    stage_month(warehouse, derive.feed_control(events), events, runs=4)
+    stage_month(warehouse, _stored(derive.feed_control(events)), events, runs=4)
     return landed_counts(warehouse.raw("events"), "ts")
 
 
 def q_flow_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A merge run after each of the three staging runs, by two packages."""
     warehouse, events = _warehouse(spark), _events(spark, sf_dir)
-    control = derive.feed_control(events).unionByName(derive.ext_control(spark))
+    control = _stored(derive.feed_control(events).unionByName(derive.ext_control(spark)))
     stage_month(warehouse, control, events, 3, each=lambda: run_extract(warehouse, control))
     latest = warehouse.ext("user_latest", ["user_id"]).read()
     record = warehouse.ext("user_record", ["user_id", "event_type"]).read()
@@ -308,14 +314,20 @@ def q_flow_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     control = derive.feed_control(events).unionByName(
         derive.summary_control(spark, templates.DAILY)
     )
+    control = _stored(control)
     tables = {"events": derive.with_feed(events)}
     run_summary(warehouse, control, tables, log=derive.feed_log(events), daily=True)
     return summaries(warehouse)
 
 
 def summaries(warehouse: Warehouse) -> DataFrame:
-    names = [f"summary_T{i}" for i in range(derive.SUITES)]
-    parts = [warehouse.enriched(name) for name in names if warehouse.has("enrich", name)]
+    """The summaries of all suites; a suite that was never ready has none."""
+    parts = []
+    for i in range(derive.SUITES):
+        try:
+            parts.append(warehouse.enriched(f"summary_T{i}"))
+        except NoData:
+            continue
     return reduce(DataFrame.unionByName, parts).drop("summary_job_id")
 
 
@@ -343,6 +355,7 @@ def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         .unionByName(derive.ext_control(spark))
         .unionByName(derive.summary_control(spark, templates.DAILY))
     )
+    control = _stored(control)
     stage_month(warehouse, control, events, 3, each=lambda: run_extract(warehouse, control))
     records = warehouse.ext("user_record", ["user_id", "event_type"]).read()
     run_summary(warehouse, control, {"events": derive.with_feed(records)})

@@ -4,7 +4,7 @@
 ORDERS = """
 SELECT o.o_orderkey, o.o_orderdate, o.partition_key,
        CAST(round(o.o_totalprice * 100) AS BIGINT) AS price_cents,
-       c.c_name, c.c_mktsegment, n.n_name, r.r_name, :job_id AS summary_job_id
+       c.c_name, c.c_mktsegment, n.n_name, r.r_name, CAST(:job_id AS BIGINT) AS summary_job_id
 FROM {orders} o
 JOIN {customer} c ON c.c_custkey = o.o_custkey
 JOIN {nation} n ON n.n_nationkey = c.c_nationkey
@@ -26,7 +26,7 @@ WITH per_customer AS (
 )
 SELECT p.partition_key, n.n_name, r.r_name, c.c_mktsegment,
        CAST(sum(p.orders) AS BIGINT) AS orders, CAST(sum(p.cents) AS BIGINT) AS price_cents,
-       :job_id AS summary_job_id
+       CAST(:job_id AS BIGINT) AS summary_job_id
 FROM per_customer p
 JOIN {customer} c ON c.c_custkey = p.o_custkey
 JOIN {nation} n ON n.n_nationkey = c.c_nationkey

@@ -1,13 +1,17 @@
 from tideline.functions.keys import partition_key, window_key
 from tideline.functions.results import is_error_row, result_class
-from tideline.functions.sizing import BROADCAST_BYTES, Size, materialize, measure, row_bytes
+from tideline.functions.sizing import (
+    BROADCAST_BYTES,
+    materialize,
+    materialize_measured,
+    row_bytes,
+)
 
 __all__ = [
     "BROADCAST_BYTES",
-    "Size",
     "is_error_row",
     "materialize",
-    "measure",
+    "materialize_measured",
     "partition_key",
     "result_class",
     "row_bytes",

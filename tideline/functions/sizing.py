@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,14 +15,6 @@ from tideline.session import scratch_path
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-class Size(NamedTuple):
-    rows: int
-    bytes: int
-
-    def fits(self, limit: int) -> bool:
-        return self.bytes <= limit
-
-
 def row_bytes(schema: T.StructType) -> Column:
     """Estimated bytes of a row: eight per field plus the text and nested parts."""
     width = F.lit(16 + 8 * len(schema.fields)).cast("long")
@@ -38,14 +30,6 @@ def row_bytes(schema: T.StructType) -> Column:
     return width
 
 
-def measure(df: DataFrame) -> Size:
-    """Rows and estimated bytes, by one aggregate job."""
-    rows, nbytes = df.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(df.schema)), F.lit(0))
-    ).first()
-    return Size(rows, nbytes)
-
-
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once below the shared folder and read it back.
 
@@ -57,3 +41,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize_measured(
+    df: DataFrame, label: str, **metrics: Column
+) -> tuple[DataFrame, dict[str, Any]]:
+    """``materialize`` with aggregates over the rows, taken while they are written.
+
+    ``bytes`` is always among them; it is null when there are no rows.
+    """
+    seen = Observation()
+    measures = {"bytes": F.sum(row_bytes(df.schema)), **metrics}
+    named = [measure.alias(name) for name, measure in measures.items()]
+    written = materialize(df.observe(seen, *named), label)
+    return written, seen.get

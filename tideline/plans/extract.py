@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from tideline.functions.sizing import materialize
+from tideline.functions.local import small_frame
+from tideline.functions.sizing import materialize_measured
 from tideline.operators.control import of_suite, pending_batches
 from tideline.plans.runs import RunLog, side_by_side
-from tideline.sources.layers import Warehouse
+from tideline.sinks.log import LOG_SCHEMA
+from tideline.sources.layers import NoData, Warehouse
 from tideline.sources.windows import (
     partition_range_read,
     project_columns,
@@ -32,54 +35,61 @@ def run_extract(
     changes nothing.
     """
     run = RunLog(warehouse, "ext", suite)
-    run.manager("Log Extract Manage Start")
+    begin = run.manager("Log Extract Manage Start")
     packages = of_suite(control.where(F.col("layer") == "ext"), suite).collect()
-    run.manager(
-        f"Log Extract Manage Package Count: {len(packages)}",
-        f"List Extract Package: [{';'.join(row['package_name'] for row in packages)}]",
-    )
-
+    names = ";".join(package["package_name"] for package in packages)
+    count = f"Log Extract Manage Package Count: {len(packages)}"
+    jobs = {package["package_name"]: uuid.uuid4().int >> 65 for package in packages}
+    starting = [
+        run.packages(_job(warehouse, package, jobs), "Log Extract Execution Starting")
+        for package in packages
+    ]
+    run.write(begin, run.manager(count, f"List Extract Package: [{names}]"), *starting)
     staging = control.where(F.col("layer") == "raw").select("control_id", "source_table")
 
     def extract(package: Row) -> None:
-        job_id = uuid.uuid4().int >> 65
+        job = _job(warehouse, package, jobs)
         try:
-            _extract(warehouse, run, package, staging, job_id)
+            _extract(warehouse, run, package, staging, job)
+        except NoData as error:
+            run.write(run.packages(job, "Log Extract Execution Has Closed", F.lit(str(error))))
         except Exception as error:
-            job = _package_row(warehouse, package, job_id)
-            run.packages(job, "Log Extract Execution Has ERROR", F.lit(f"ERR: {error}"), 0, 1)
+            message = F.lit(f"ERR: {error}")
+            run.write(run.packages(job, "Log Extract Execution Has ERROR", message, 0, 1))
 
     side_by_side(extract, packages, parallel)
-    run.manager("Log Extract Manage Has Been Completed")
+    run.write(run.manager("Log Extract Manage Has Been Completed"))
     return run.rows()
 
 
-def _package_row(warehouse: Warehouse, package: Row, job_id: int) -> DataFrame:
+def _job(warehouse: Warehouse, package: Row, jobs: Mapping[str, int]) -> DataFrame:
     """The ids of a package's job as a row; a package of this layer has no control id."""
-    return warehouse.spark.range(1).select(
-        F.lit(-1).alias("control_id"),
-        F.lit(package["package_name"]).alias("package_name"),
-        F.lit(package["suite_code"]).alias("suite_code"),
-        F.lit(job_id).alias("job_id"),
-    )
+    name = package["package_name"]
+    row = {
+        "control_id": -1,
+        "package_name": name,
+        "suite_code": package["suite_code"],
+        "job_id": jobs[name],
+    }
+    return small_frame(warehouse.spark, [row], LOG_SCHEMA)
 
 
 def _extract(
-    warehouse: Warehouse, run: RunLog, package: Row, staging: DataFrame, job_id: int
+    warehouse: Warehouse, run: RunLog, package: Row, staging: DataFrame, job: DataFrame
 ) -> None:
     name, table = package["package_name"], package["source_table"]
-    job = _package_row(warehouse, package, job_id)
-    run.packages(job, "Log Extract Execution Starting")
     feeding = staging.where(F.col("source_table") == table)
     pending = pending_batches(warehouse.log(), name).join(feeding, "control_id", "left_semi")
     # Written, because the log it was computed from is about to change.
-    pending = materialize(pending, "pending")
-    first, last = pending.agg(F.min("window_key"), F.max("window_key")).first()
-    if first is None or not warehouse.has("raw", table):
-        run.packages(job, "Log Extract Execution Has Closed", F.lit("no batch is pending"))
+    pending, seen = materialize_measured(
+        pending, "pending", first=F.min("window_key"), last=F.max("window_key")
+    )
+    if seen["first"] is None:
+        message = F.lit("no batch is pending")
+        run.write(run.packages(job, "Log Extract Execution Has Closed", message))
         return
     # The key range goes to the scan as literals and prunes the batch folders.
-    raw = partition_range_read(warehouse.raw(table), first, last, "window_key")
+    raw = partition_range_read(warehouse.raw(table), seen["first"], seen["last"], "window_key")
     batch = staged_batch_read(raw, pending, on=("control_id", "window_key"))
     merged = warehouse.ext(name, package["merge_keys"]).merge(
         project_columns(batch, package["source_columns"]),
@@ -89,7 +99,9 @@ def _extract(
     batches = pending.withColumns(
         {"package_name": F.lit(name), "suite_code": F.lit(package["suite_code"])}
     )
-    run.packages(batches, "Log Extract Execution Batch Has Been Completed", F.lit("OK:"), 1, 1)
     message = F.lit(f"OK: version {merged.version}")
     done = job.withColumn("row_inserted", F.lit(merged.source_rows))
-    run.packages(done, "Log Extract Execution Has Been Completed", message, 1, 1)
+    run.write(
+        run.packages(batches, "Log Extract Execution Batch Has Been Completed", message, 1, 1),
+        run.packages(done, "Log Extract Execution Has Been Completed", message, 1, 1),
+    )

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from functools import reduce
 from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideline.sinks.log import conform_log, log_rows
 from tideline.sources.layers import Warehouse
 
 # Rows of one run that share a log time are ordered by these.
@@ -31,7 +33,7 @@ def new_job_id(started: datetime, *parts: Column) -> Column:
 
 
 class RunLog:
-    """Writes the log rows of one run of one layer."""
+    """The log rows of one run of one layer."""
 
     def __init__(self, warehouse: Warehouse, layer: str, suite: str | None):
         self.warehouse = warehouse
@@ -46,9 +48,9 @@ class RunLog:
         message: Column | None = None,
         success: int = 1,
         complete: int = 0,
-    ) -> None:
-        """One row per row of ``rows``, which brings the ids and window columns."""
-        self.warehouse.append_log(
+    ) -> DataFrame:
+        """One log row per row of ``rows``, which brings the ids and window columns."""
+        return conform_log(
             rows.withColumns(
                 {
                     "log_id": F.lit(ENDED if complete else STARTED),
@@ -63,26 +65,28 @@ class RunLog:
             )
         )
 
-    def manager(self, source: str, message: str = "", success: int = 1, complete: int = 0) -> None:
-        """One row about the run itself; it has no package and no job."""
-        self.warehouse.append_log(
-            [
-                {
-                    "log_id": ENDED if complete else STARTED,
-                    "log_time": now(),
-                    "layer": self.layer,
-                    "package_name": "",
-                    "control_id": -1,
-                    "job_id": -1,
-                    "start_time": self.started,
-                    "success_flag": success,
-                    "complete_flag": complete,
-                    "message_source": source,
-                    "message": message,
-                    "suite_code": self.suite,
-                }
-            ]
-        )
+    def manager(self, source: str, message: str = "") -> DataFrame:
+        """A log row about the run itself; it has no package and no job."""
+        row = {
+            "log_id": STARTED,
+            "log_time": now(),
+            "layer": self.layer,
+            "package_name": "",
+            "control_id": -1,
+            "job_id": -1,
+            "start_time": self.started,
+            "success_flag": 1,
+            "complete_flag": 0,
+            "message_source": source,
+            "message": message,
+            "suite_code": self.suite,
+        }
+        return log_rows(self.warehouse.spark, [row])
+
+    def write(self, *parts: DataFrame) -> None:
+        """Append the rows of all parts by one job, in as few files as they need."""
+        rows = reduce(DataFrame.unionByName, parts)
+        self.warehouse.append_log(rows.hint("rebalance") if len(parts) > 1 else rows)
 
     def rows(self) -> DataFrame:
         """The log rows that this run wrote."""

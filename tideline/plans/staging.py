@@ -16,8 +16,8 @@ from tideline.sinks.partitions import land_raw
 from tideline.sources.jdbc import DRIVERS
 from tideline.sources.layers import Warehouse
 from tideline.sources.windows import (
+    Span,
     due_window_read,
-    partition_range_read,
     project_columns,
     staged_batch_read,
     window_read,
@@ -51,7 +51,7 @@ def run_staging(
     log. A run that dies between the two lands the same window again, in place.
     """
     run = RunLog(warehouse, "raw", suite)
-    run.manager("Log Staging Manage Starting", f"Suite {suite}")
+    begin = run.manager("Log Staging Manage Starting", f"Suite {suite}")
     packages = control.where(F.col("layer") == "raw")
     due = due_packages(packages, warehouse.log(), step, default_start, suite).withColumn(
         "job_id", new_job_id(run.started, F.col("control_id"), F.col("window_start"))
@@ -60,19 +60,27 @@ def run_staging(
     due = materialize(due, "due")
     ready = F.col("window_end") <= F.lit(str(as_of)).cast("timestamp_ntz")
     waiting = due.where(~ready).withColumn("job_id", F.lit(-1))
-    run.packages(waiting.select(*WINDOW), "Log Staging Execution Has Closed")
     due = due.where(ready)
-    groups = due.groupBy(*SHARED).agg(F.count(F.lit(1)).alias("packages")).collect()
+    groups = (
+        due.groupBy(*SHARED)
+        .agg(
+            F.count(F.lit(1)).alias("packages"),
+            *[m.alias(n) for n, m in Span.measures(due.select(*WINDOW).schema).items()],
+        )
+        .collect()
+    )
     total = sum(group["packages"] for group in groups)
-    run.manager(f"Log Staging Manage Package Count: {total}")
-    if groups:
-        run.packages(due.select(*WINDOW), "Log Staging Execution Starting")
+    run.write(
+        begin,
+        run.manager(f"Log Staging Manage Package Count: {total}"),
+        run.packages(waiting.select(*WINDOW), "Log Staging Execution Has Closed"),
+        run.packages(due.select(*WINDOW), "Log Staging Execution Starting"),
+    )
 
     def stage(group: Row) -> None:
         members = due
         for name in SHARED:
-            # None of the shared columns has a literal form that suits all: lists
-            # and nulls are compared as they are.
+            # Lists and nulls are compared as they are.
             members = members.where(F.col(name).eqNullSafe(_literal(group[name])))
         try:
             _stage_shared(run, sources, group, members)
@@ -83,7 +91,7 @@ def run_staging(
                 _stage_one_by_one(run, sources, group, members)
 
     side_by_side(stage, groups, parallel)
-    run.manager("Log Staging Manage Has Been Completed")
+    run.write(run.manager("Log Staging Manage Has Been Completed"))
     return run.rows()
 
 
@@ -111,20 +119,22 @@ def _stage_shared(
     source = project_columns(sources[name], group["source_columns"])
     windows = members.select("control_id", "window_start", "window_end", "job_id")
     if group["source_key"] is not None:
-        batch = due_window_read(source, windows, group["source_key"], group["source_time"])
+        span = Span(group["first"], group["last"], group["bytes"])
+        batch = due_window_read(source, windows, group["source_key"], group["source_time"], span)
     else:
         batch = _own_window_read(source, windows, group)
-    path = run.warehouse.path("raw", name)
-    land_raw(batch, path, windows)
-    counts = _counts(run.warehouse, name, windows, group["source_time"])
+    landed = land_raw(batch, run.warehouse.path("raw", name), windows)
+    keyed = windows.withColumn("window_key", window_key(F.col("window_start")))
+    mine = staged_batch_read(landed, keyed, on=("control_id", "window_key"))
+    counts = landed_counts(mine, group["source_time"])
     done = (
         members.select(*WINDOW)
-        .join(counts, ["control_id", "window_start"], "left")
+        .join(counts.drop("window_end"), ["control_id", "window_start"], "left")
         .withColumn("row_inserted", F.coalesce("row_inserted", F.lit(0)))
         .withColumn("next_start", F.col("window_end"))
     )
     message = F.concat(F.lit(f"OK: {name}: "), F.col("window_end").cast("string"))
-    run.packages(done, "Log Staging Execution Has Been Completed", message, 1, 1)
+    run.write(run.packages(done, "Log Staging Execution Has Been Completed", message, 1, 1))
 
 
 def _own_window_read(source: DataFrame, windows: DataFrame, group: Row) -> DataFrame:
@@ -143,18 +153,8 @@ def _own_window_read(source: DataFrame, windows: DataFrame, group: Row) -> DataF
     )
 
 
-def _counts(warehouse: Warehouse, name: str, windows: DataFrame, ts_col: str) -> DataFrame:
-    """Row counts of the batches just landed, read back from their own folders."""
-    keyed = windows.withColumn("window_key", window_key(F.col("window_start")))
-    first, last = keyed.agg(F.min("window_key"), F.max("window_key")).first()
-    if not warehouse.has("raw", name):
-        return windows.select("control_id", "window_start", F.lit(0).alias("row_inserted"))
-    raw = partition_range_read(warehouse.raw(name), first, last, "window_key")
-    landed = staged_batch_read(raw, keyed, on=("control_id", "window_key"))
-    return landed_counts(landed, ts_col).select("control_id", "window_start", "row_inserted")
-
-
 def _failed(run: RunLog, members: DataFrame, error: Exception) -> None:
-    run.packages(
-        members.select(*WINDOW), "Log Staging Execution Has ERROR: ", F.lit(f"ERR: {error}"), 0, 1
+    message = F.lit(f"ERR: {error}")
+    run.write(
+        run.packages(members.select(*WINDOW), "Log Staging Execution Has ERROR: ", message, 0, 1)
     )

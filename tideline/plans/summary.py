@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime, time
 from functools import reduce
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from tideline.functions.keys import partition_key
+from tideline.functions.local import small_frame
 from tideline.functions.sizing import materialize
 from tideline.operators.control import of_suite
 from tideline.operators.gate import readiness_gate
 from tideline.plans.enrich import enrich
 from tideline.plans.runs import RunLog, new_job_id, side_by_side
 from tideline.sinks.partitions import replace_partitions
+from tideline.sinks.log import LOG_SCHEMA
 from tideline.sources.layers import Warehouse
 
 # Every run replaces the month and end date it was made for.
@@ -42,7 +45,7 @@ def run_summary(
     and ``summary_date``. All its due dates are written by one job.
     """
     run = RunLog(warehouse, "enrich", suite)
-    run.manager("Log Summary Manage Start", f"SuiteCode: {suite}")
+    begin = run.manager("Log Summary Manage Start", f"SuiteCode: {suite}")
     required = control.where(F.col("layer") == "raw")
     staging = warehouse.log() if log is None else log
     gate = of_suite(readiness_gate(required, staging, daily), suite)
@@ -58,26 +61,33 @@ def run_summary(
         new_job_id(run.started, F.col("control_id"), F.col("as_of")).alias("job_id"),
     )
     runs = materialize(runs, "summary-runs")
-    closed = runs.where("status = 'C'").select("control_id", "package_name", "suite_code", "job_id", "reason")
-    run.packages(closed, "Log Summary Execution Has Been Completed", F.col("reason"))
     due = _not_yet_summarised(runs.where("status = 'S'"), warehouse.log())
     by_package: dict[str, list[Row]] = {}
     for row in due.collect():
         by_package.setdefault(row["package_name"], []).append(row)
-    run.manager(f"Log Summary Manage Package Count: {len(by_package)}")
+    closed = runs.where("status = 'C'")
+    due_rows = [row for rows in by_package.values() for row in rows]
+    run.write(
+        begin,
+        run.manager(f"Log Summary Manage Package Count: {len(by_package)}"),
+        run.packages(closed, "Log Summary Execution Has Been Completed", F.col("reason")),
+        run.packages(_jobs(warehouse, due_rows), "Log Summary Execution Starting"),
+    )
 
     def summarise(rows: Sequence[Row]) -> None:
         try:
             _summarise(warehouse, run, rows, tables)
         except Exception as error:
             if len(rows) == 1:
-                _log(warehouse, run, rows, "Has ERROR: ", f"ERR: {error}", 0, 1)
+                message = F.lit(f"ERR: {error}")
+                jobs = _jobs(warehouse, rows)
+                run.write(run.packages(jobs, "Log Summary Execution Has ERROR: ", message, 0, 1))
             else:
                 for row in rows:
                     summarise([row])
 
     side_by_side(summarise, by_package.values(), parallel)
-    run.manager("Log Summary Manage Has Been Completed")
+    run.write(run.manager("Log Summary Manage Has Been Completed"))
     return run.rows()
 
 
@@ -96,7 +106,6 @@ def _summarise(
     warehouse: Warehouse, run: RunLog, rows: Sequence[Row], tables: Mapping[str, DataFrame]
 ) -> None:
     name = rows[0]["package_name"]
-    _log(warehouse, run, rows, "Starting", "", 1, 0)
     frames = [
         enrich(
             warehouse.spark,
@@ -116,32 +125,40 @@ def _summarise(
         )
         for row in rows
     ]
-    scope = warehouse.spark.createDataFrame(
-        [(row["to_key"], row["summary_end_date"], row["job_id"]) for row in rows],
-        "partition_key string, summary_date date, summary_job_id long",
+    result = reduce(DataFrame.unionByName, frames)
+    scope = small_frame(
+        warehouse.spark,
+        [
+            {
+                "partition_key": row["to_key"],
+                "summary_date": row["summary_end_date"],
+                "summary_job_id": row["job_id"],
+            }
+            for row in rows
+        ],
+        result.select(*SUMMARY_PARTITIONS, "summary_job_id").schema,
     )
     path = warehouse.path("enrich", name)
-    result = reduce(DataFrame.unionByName, frames)
     replace_partitions(result, path, SUMMARY_PARTITIONS, scope, "summary_job_id")
-    _log(warehouse, run, rows, f"Enrich {name} Completed", "OK:", 1, 1)
+    jobs = _jobs(warehouse, rows)
+    run.write(run.packages(jobs, f"Log Summary Execution Enrich {name} Completed", F.lit("OK:"), 1, 1))
 
 
-def _log(
-    warehouse: Warehouse,
-    run: RunLog,
-    rows: Sequence[Row],
-    source: str,
-    message: str,
-    success: int,
-    complete: int,
-) -> None:
-    jobs = warehouse.spark.createDataFrame(
+def _jobs(warehouse: Warehouse, rows: Sequence[Row]) -> DataFrame:
+    """The ids and dates of some runs as rows."""
+    midnight = time()
+    return small_frame(
+        warehouse.spark,
         [
-            (r["control_id"], r["package_name"], r["suite_code"], r["job_id"],
-             r["summary_start_date"], r["summary_end_date"])
-            for r in rows
+            {
+                "control_id": row["control_id"],
+                "package_name": row["package_name"],
+                "suite_code": row["suite_code"],
+                "job_id": row["job_id"],
+                "window_start": datetime.combine(row["summary_start_date"], midnight),
+                "window_end": datetime.combine(row["summary_end_date"], midnight),
+            }
+            for row in rows
         ],
-        "control_id long, package_name string, suite_code string, job_id long,"
-        " window_start date, window_end date",
-    ).coalesce(1)
-    run.packages(jobs, f"Log Summary Execution {source}", F.lit(message), success, complete)
+        LOG_SCHEMA,
+    )

@@ -13,16 +13,18 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.functions.sizing import BROADCAST_BYTES, materialize, row_bytes
+from tideline.functions.local import small_frame
+from tideline.functions.sizing import BROADCAST_BYTES, materialize_measured
 from tideline.operators.merge import conform, dedupe_latest, matched_rows, merge, unmatched
-from tideline.sinks.partitions import read_if_there
+from tideline.sinks.partitions import ensure_table
 
 PUBLISHED = T.StructType(
     [
@@ -58,8 +60,8 @@ class KeyedTable:
         self.path = path
         self.keys = list(keys)
         self.buckets = buckets
-        head = self._published().select("keys", "buckets", "table_schema").head()
         self.schema = None
+        head = self._published().select("keys", "buckets", "table_schema").head()
         if head is not None:
             if list(head["keys"]) != self.keys:
                 raise ValueError(f"the table is keyed by {list(head['keys'])}, not {self.keys}")
@@ -73,24 +75,31 @@ class KeyedTable:
 
     def version(self) -> int:
         """The last published version; 0 before the first merge."""
-        return self._published().agg(F.max("version")).first()[0] or 0
+        return max((row["version"] for row in self._live()), default=0)
 
     def read(self) -> DataFrame:
         """The current rows."""
         if self.schema is None:
             raise ValueError(f"nothing was merged into {self.path} yet")
-        return self._scan([directory for _, directory in self._live()])
+        return self._scan([row["directory"] for row in self._live()])
 
     def _published(self) -> DataFrame:
-        there = read_if_there(self.spark, f"{self.path}/published")
-        return self.spark.createDataFrame([], PUBLISHED) if there is None else there
+        return ensure_table(self.spark, f"{self.path}/published", PUBLISHED)
+
+    def _live(self) -> list[Row]:
+        """The directories that make up the current version.
 
-    def _live(self) -> list[tuple[int, str]]:
-        """Bucket and directory of all data that is current: at most a row per merge and bucket."""
-        published = self._published()
-        last = published.groupBy("bucket").agg(F.max("since").alias("live_since"))
-        live = published.join(last, "bucket").where("version >= live_since")
-        return [(r["bucket"], r["directory"]) for r in live.select("bucket", "directory").collect()]
+        At most a row for each bucket and merge since the bucket was last replaced.
+        """
+        if self.schema is None:
+            return []
+        newest = F.max("since").over(W.partitionBy("bucket"))
+        return (
+            self._published()
+            .select("version", "bucket", "since", "directory", newest.alias("newest"))
+            .where("version >= newest")
+            .collect()
+        )
 
     def _scan(self, directories: Sequence[str]) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(*directories)
@@ -111,30 +120,34 @@ class KeyedTable:
         A ``batch`` name that was published before is skipped, so a replay of the
         same batch does nothing.
         """
-        version = self.version()
+        live = self._live()
+        version = max((row["version"] for row in live), default=0)
         if batch is not None and self._has(batch):
             return Merged(version, 0, 0, False)
-        schema = source.schema if self.schema is None else self.schema
         if self.schema is not None:
-            source = conform(source, self.spark.createDataFrame([], schema))
+            source = conform(source, small_frame(self.spark, [], self.schema))
         # Written once: its size decides the strategy and several scans follow.
-        latest = materialize(dedupe_latest(source, self.keys, order), "merge-source")
-        rows, nbytes, touched = latest.agg(
-            F.count(F.lit(1)), F.sum(row_bytes(latest.schema)), F.collect_set(self._bucket())
-        ).first()
-        if not rows:
+        latest, seen = materialize_measured(
+            dedupe_latest(source, self.keys, order),
+            "merge-source",
+            rows=F.count(F.lit(1)),
+            touched=F.collect_set(self._bucket()),
+        )
+        if not seen["rows"]:
             return Merged(version, 0, 0, False)
-        small = nbytes <= limit
-        wanted = set(touched)
-        directories = [path for bucket, path in (self._live() if self.schema else []) if bucket in wanted]
+        small = seen["bytes"] <= limit
+        touched = set(seen["touched"])
+        old = [row for row in live if row["bucket"] in touched]
         append = matched == "ignore"
-        if not directories:
-            out = latest.repartition(self.buckets, *self.keys)
+        if old:
+            target = self._scan([row["directory"] for row in old])
+            out = self._merged(target, latest, when, append, small)
         else:
-            out = self._merged(self._scan(directories), latest, when, append, small)
-        self.schema = schema
-        written = self._write(out, version + 1, append, batch)
-        return Merged(version + 1 if written else version, rows, written, small)
+            out = latest.repartition(self.buckets, *self.keys)
+        since = {row["bucket"]: row["since"] for row in old} if append else {}
+        self.schema = self.schema or source.schema
+        written = self._write(out, version + 1, touched, since, batch)
+        return Merged(version + (written > 0), seen["rows"], written, small)
 
     def _merged(
         self, target: DataFrame, latest: DataFrame, when: str | None, append: bool, small: bool
@@ -153,27 +166,40 @@ class KeyedTable:
             return kept.unionByName(new.hint("rebalance", *self.keys))
         return merge(target, latest, self.keys, when)
 
-    def _write(self, out: DataFrame, version: int, append: bool, batch: str | None) -> int:
+    def _write(
+        self,
+        out: DataFrame,
+        version: int,
+        touched: set[int],
+        since: Mapping[int, int],
+        batch: str | None,
+    ) -> int:
         root = f"{self.path}/data/v{version}-{uuid.uuid4().hex}"
         out.withColumn("_bucket", self._bucket()).write.partitionBy("_bucket").parquet(root)
-        there = read_if_there(self.spark, root)
-        if there is None:
-            return 0
-        buckets = sorted(r[0] for r in there.select("_bucket").distinct().collect())
-        before = {} if not append else self._since()
+        if since:
+            # Rows were added to buckets that exist: some may have got none.
+            parts = T.StructType([*self.schema.fields, T.StructField("_bucket", T.IntegerType())])
+            there = ensure_table(self.spark, root, parts, ["_bucket"])
+            touched = {r[0] for r in there.select("_bucket").distinct().collect()}
         text = self.schema.json()
         rows = [
-            (version, b, before.get(b, version), f"{root}/_bucket={b}", self.keys, self.buckets, text, batch)
-            for b in buckets
+            {
+                "version": version,
+                "bucket": bucket,
+                "since": since.get(bucket, version),
+                "directory": f"{root}/_bucket={bucket}",
+                "keys": self.keys,
+                "buckets": self.buckets,
+                "table_schema": text,
+                "batch": batch,
+            }
+            for bucket in sorted(touched)
         ]
-        self.spark.createDataFrame(rows, PUBLISHED).coalesce(1).write.mode("append").parquet(
-            f"{self.path}/published"
-        )
-        return len(buckets)
-
-    def _since(self) -> dict[int, int]:
-        last = self._published().groupBy("bucket").agg(F.max("since"))
-        return {r[0]: r[1] for r in last.collect()}
+        if rows:
+            # One file, so that readers see all of a merge or none of it.
+            published = small_frame(self.spark, rows, PUBLISHED).coalesce(1)
+            published.write.mode("append").parquet(f"{self.path}/published")
+        return len(rows)
 
     def _has(self, batch: str) -> bool:
         return not self._published().where(F.col("batch") == batch).isEmpty()

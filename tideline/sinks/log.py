@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.functions.local import small_frame
+
 LOG_SCHEMA = T.StructType(
     [
         T.StructField("log_id", T.LongType()),
@@ -49,10 +51,13 @@ def append_log(
 ) -> None:
     """Append typed rows; messages are stored as given.
 
-    A DataFrame is written as it comes, so rows computed for many packages never
-    pass through the driver. Mappings are for the few rows a flow writes itself.
+    A DataFrame's rows never pass through the driver, however many packages they
+    are for. Mappings are for the few rows a flow writes about itself.
     """
     if not isinstance(rows, DataFrame):
-        values = [tuple(row.get(name) for name in LOG_SCHEMA.names) for row in rows]
-        rows = spark.createDataFrame(values, LOG_SCHEMA).coalesce(1)
+        rows = log_rows(spark, rows)
     conform_log(rows).write.mode("append").parquet(path)
+
+
+def log_rows(spark: SparkSession, rows: Iterable[Mapping[str, object]]) -> DataFrame:
+    return small_frame(spark, list(rows), LOG_SCHEMA)

@@ -4,30 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.functions.keys import window_key
+from tideline.functions.local import small_frame
 
 RAW_PARTITIONS = ("control_id", "window_key")
-# The error classes of a path that holds no table yet.
-NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
-def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
-    """The parquet table at ``path``, or None when nothing was written there yet."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in NO_TABLE:
-            return None
-        raise
+def ensure_table(
+    spark: SparkSession, path: str, schema: T.StructType, by: Sequence[str] = ()
+) -> DataFrame:
+    """The parquet table at ``path``; one that is not there yet is made, without rows.
+
+    No file is opened to find out the schema, and partition columns have the type
+    that ``schema`` gives them.
+    """
+    small_frame(spark, [], schema).write.mode("ignore").partitionBy(*by).parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def replace_partitions(
     df: DataFrame, path: str, by: Sequence[str], scope: DataFrame, job_col: str
-) -> None:
+) -> DataFrame:
     """Write ``df`` over the partitions it has rows for, and empty the rest of ``scope``.
 
     ``scope`` lists what this write answers for: some of the ``by`` columns and the
@@ -37,43 +38,55 @@ def replace_partitions(
 
     REBALANCE brings the rows of a partition together and lets AQE cut a large one
     into several files, so no task holds a whole hot partition.
+
+    Returns the table as written, cut to the range of partitions that ``scope`` spans.
     """
     spark = df.sparkSession
     df.hint("rebalance", *by).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(*by).parquet(path)
-    for directory in _stale_partitions(spark, path, by, scope, job_col):
-        rest = df.drop(*by).schema
-        spark.createDataFrame([], rest).write.mode("overwrite").parquet(directory)
+    # A file of no rows in place of the partition's files.
+    nothing = small_frame(spark, [], df.drop(*by).schema)
+    keys = [name for name in by if name in scope.columns]
+    table = _spanned(ensure_table(spark, path, df.schema, by), keys, scope)
+    for row in _stale_partitions(table, by, keys, scope, job_col):
+        directory = "/".join([path, *[f"{name}={row[name]}" for name in by]])
+        nothing.write.mode("overwrite").parquet(directory)
+    return table
+
+
+def _spanned(table: DataFrame, keys: Sequence[str], scope: DataFrame) -> DataFrame:
+    """``table`` between the least and greatest keys of ``scope``, as literals.
+
+    A join with ``scope`` alone would list every partition ever written.
+    """
+    least = [F.min(name).alias(f"least_{name}") for name in keys]
+    greatest = [F.max(name).alias(f"greatest_{name}") for name in keys]
+    bounds = scope.agg(*least, *greatest).first()
+    for name in keys:
+        low, high = bounds[f"least_{name}"], bounds[f"greatest_{name}"]
+        table = table.where(F.lit(False) if low is None else F.col(name).between(low, high))
+    return table
 
 
 def _stale_partitions(
-    spark: SparkSession, path: str, by: Sequence[str], scope: DataFrame, job_col: str
-) -> Iterator[str]:
-    table = read_if_there(spark, path)
-    if table is None:
-        return
-    keys = [name for name in by if name in scope.columns]
+    table: DataFrame, by: Sequence[str], keys: Sequence[str], scope: DataFrame, job_col: str
+) -> Iterator[Row]:
     kept = scope.select(*keys, F.col(job_col).alias("_job")).distinct()
-    old = (
-        table.select(*by, job_col)
-        .join(kept, keys)
-        .where(F.col(job_col) != F.col("_job"))
-        .select(*[F.col(name).cast("string").alias(name) for name in by])
-        .distinct()
-    )
-    for row in old.toLocalIterator():
-        yield "/".join([path, *[f"{name}={row[name]}" for name in by]])
+    old = table.select(*by, job_col).join(kept, list(keys)).where(F.col(job_col) != F.col("_job"))
+    names = [F.col(name).cast("string").alias(name) for name in by]
+    return old.select(*names).distinct().toLocalIterator()
 
 
-def land_raw(df: DataFrame, path: str, windows: DataFrame) -> None:
+def land_raw(df: DataFrame, path: str, windows: DataFrame) -> DataFrame:
     """Land the rows of the given windows as batches, one partition each.
 
     ``df`` and ``windows`` both have ``control_id``, ``window_start`` and
-    ``job_id``. Landing a window again replaces its batch, also by nothing.
+    ``job_id``. Landing a window again replaces its batch, also by nothing. Returns
+    the raw table between the least and greatest of the windows.
     """
     key = window_key(F.col("window_start"))
-    replace_partitions(
+    return replace_partitions(
         df.withColumn("window_key", key),
         path,
         RAW_PARTITIONS,
@@ -84,10 +97,10 @@ def land_raw(df: DataFrame, path: str, windows: DataFrame) -> None:
 
 def land_window(
     df: DataFrame, path: str, job_id: int, control_id: int, start: object, end: object
-) -> None:
+) -> DataFrame:
     """Land one window of one package; ``df`` holds just its rows."""
     batch = df.sparkSession.range(1).select(*_audit(job_id, control_id, start, end))
-    land_raw(df.select("*", *_audit(job_id, control_id, start, end)), path, batch)
+    return land_raw(df.select("*", *_audit(job_id, control_id, start, end)), path, batch)
 
 
 def _audit(job_id: int, control_id: int, start: object, end: object) -> list:

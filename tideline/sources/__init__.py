@@ -1,6 +1,7 @@
 from tideline.sources.jdbc import jdbc_options, jdbc_window_read
-from tideline.sources.layers import Warehouse, open_table
+from tideline.sources.layers import NoData, Warehouse, open_table
 from tideline.sources.windows import (
+    Span,
     due_window_read,
     partition_range_read,
     project_columns,
@@ -9,6 +10,8 @@ from tideline.sources.windows import (
 )
 
 __all__ = [
+    "NoData",
+    "Span",
     "Warehouse",
     "due_window_read",
     "jdbc_options",

@@ -5,17 +5,26 @@ from __future__ import annotations
 import threading
 from collections.abc import Iterable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.sinks.keyed import KeyedTable
-from tideline.sinks.log import LOG_SCHEMA, append_log, conform_log
-from tideline.sinks.partitions import read_if_there
+from tideline.sinks.log import LOG_SCHEMA, append_log
+from tideline.sinks.partitions import ensure_table
 
 # The layer names.
 LAYERS = ("raw", "ext", "enrich")
 
 
+# The error classes of a path that holds no table yet.
+NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+class NoData(ValueError):
+    """A table that nothing was written to yet."""
+
+
 class Warehouse:
     """The tables of one installation, below one root path.
 
@@ -35,10 +44,6 @@ class Warehouse:
             raise ValueError(f"layer must be one of {LAYERS}, not {layer!r}")
         return f"{self.root}/{layer}/{name}"
 
-    def has(self, layer: str, name: str) -> bool:
-        """Whether a raw or enrich table holds any file yet."""
-        return read_if_there(self.spark, self.path(layer, name)) is not None
-
     def raw(self, name: str) -> DataFrame:
         """All landed batches of a source table."""
         table = self._folder("raw", name)
@@ -53,16 +58,15 @@ class Warehouse:
         return table.withColumn("partition_key", F.col("partition_key").cast("string"))
 
     def _folder(self, layer: str, name: str) -> DataFrame:
-        table = read_if_there(self.spark, self.path(layer, name))
-        if table is None:
-            raise ValueError(f"the {layer} table {name!r} has no data yet")
-        return table
+        try:
+            return self.spark.read.parquet(self.path(layer, name))
+        except AnalysisException as error:
+            if error.getCondition() in NO_TABLE:
+                raise NoData(f"the {layer} table {name!r} has no data yet") from error
+            raise
 
     def log(self) -> DataFrame:
-        there = read_if_there(self.spark, f"{self.root}/log")
-        if there is None:
-            return self.spark.createDataFrame([], LOG_SCHEMA)
-        return conform_log(there)
+        return ensure_table(self.spark, f"{self.root}/log", LOG_SCHEMA)
 
     def append_log(self, rows: DataFrame | Iterable[Mapping[str, object]]) -> None:
         with self._appending:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tideline.functions.sizing import BROADCAST_BYTES, materialize, row_bytes
+from tideline.functions.sizing import BROADCAST_BYTES, materialize_measured, row_bytes
 
 
 def _bound(df: DataFrame, ts_col: str, value: object) -> Column:
@@ -29,33 +31,47 @@ def window_read(df: DataFrame, ts_col: str, start: object, end: object) -> DataF
     return df.where((ts >= _bound(df, ts_col, start)) & (ts < _bound(df, ts_col, end)))
 
 
+class Span(NamedTuple):
+    """What is known of a set of windows: its time range and the bytes of its rows."""
+
+    first: object
+    last: object
+    bytes: int
+
+    @staticmethod
+    def measures(schema: T.StructType) -> dict[str, Column]:
+        return {
+            "first": F.min("window_start").cast("string"),
+            "last": F.max("window_end").cast("string"),
+            "bytes": F.sum(row_bytes(schema)),
+        }
+
+
 def due_window_read(
     df: DataFrame,
     windows: DataFrame,
     key: str,
     ts_col: str,
+    span: Span | None = None,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Every package's due window of a shared source, in one pass over it.
 
     ``windows`` has ``control_id``, ``window_start``, ``window_end`` and any other
     columns to carry along; ``key`` is the source column that holds the control
-    id. The windows are written once and measured. Their earliest start and latest
-    end go to the scan as literals, which prunes files and row groups. Within
-    ``limit`` they are broadcast, so the source is not shuffled; above it both
-    sides meet by key and AQE splits the partition of a hot package.
+    id. Without a ``span`` the windows are written once and measured on the way.
+    Their earliest start and latest end go to the scan as literals, which prunes
+    files and row groups. Within ``limit`` the windows are broadcast, so the source
+    is not shuffled; above it both sides meet by key and AQE splits the partitions
+    of a hot package.
     """
-    windows = materialize(windows, "windows")
-    first, last, nbytes = windows.agg(
-        F.min("window_start").cast("string"),
-        F.max("window_end").cast("string"),
-        F.coalesce(F.sum(row_bytes(windows.schema)), F.lit(0)),
-    ).first()
-    if first is None:
+    if span is None:
+        windows, seen = materialize_measured(windows, "windows", **Span.measures(windows.schema))
+        span = Span(seen["first"], seen["last"], seen["bytes"] or 0)
+    if span.first is None:
         bounded = df.where(F.lit(False))
     else:
-        bounded = window_read(df, ts_col, first, last)
-    small = nbytes <= limit
+        bounded = window_read(df, ts_col, span.first, span.last)
     source, due = bounded.alias("source"), windows.alias("due")
     ts = F.col(f"source.{ts_col}")
     matches = (
@@ -64,7 +80,9 @@ def due_window_read(
         & (ts < F.col("due.window_end"))
     )
     carried = [F.col(f"due.{name}") for name in windows.columns if name not in df.columns]
-    return source.join(F.broadcast(due) if small else due, matches, "inner").select(
+    if span.bytes <= limit:
+        due = F.broadcast(due)
+    return source.join(due, matches, "inner").select(
         *[F.col(f"source.{name}") for name in df.columns], *carried
     )
 
