@@ -1,0 +1,171 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.errors import UnsupportedOperationException
+from pyspark.sql import functions as F
+
+from tests.conftest import plan, rows
+from tideline.operators import dedupe_latest, merge, merge_into_table
+from tideline.session import scratch_path
+from tideline.sinks import KeyedTable
+
+
+def frame(spark, values: str, columns: str = "k, v"):
+    return spark.sql(f"select * from values {values} as t({columns})")
+
+
+@pytest.mark.parametrize("small", [False, True])
+class TestMerge:
+    def test_a_null_source_value_wins(self, spark, small):
+        target = frame(spark, "(1, 'old'), (2, 'keep')")
+        source = frame(spark, "(1, null), (3, 'new')").select("k", F.col("v").cast("string"))
+        got = merge(target, source, ["k"], small_source=small)
+        assert rows(got) == [(1, None), (2, "keep"), (3, "new")]
+
+    def test_a_null_condition_keeps_the_target(self, spark, small):
+        target = frame(spark, "(1, cast(null as int)), (2, 1), (3, 9)")
+        source = frame(spark, "(1, 5), (2, 5), (3, 5), (4, 5)")
+        got = merge(target, source, ["k"], when="source.v > target.v", small_source=small)
+        assert rows(got) == [(1, None), (2, 5), (3, 9), (4, 5)]
+
+    def test_insert_only_never_changes_a_row(self, spark, small):
+        target = frame(spark, "(1, 'a'), (2, 'b')")
+        source = frame(spark, "(2, 'x'), (3, 'c')")
+        got = merge(target, source, ["k"], matched="ignore", small_source=small)
+        assert rows(got) == [(1, "a"), (2, "b"), (3, "c")]
+
+    def test_merging_twice_is_merging_once(self, spark, small):
+        target, source = frame(spark, "(1, 'a'), (2, 'b')"), frame(spark, "(2, 'x'), (3, 'c')")
+        once = merge(target, source, ["k"], small_source=small)
+        assert rows(merge(once, source, ["k"], small_source=small)) == rows(once)
+
+    def test_empty_sides(self, spark, small):
+        full, empty = frame(spark, "(1, 'a')"), frame(spark, "(1, 'a')").where("false")
+        assert rows(merge(full, empty, ["k"], small_source=small)) == [(1, "a")]
+        assert rows(merge(empty, full, ["k"], small_source=small)) == [(1, "a")]
+
+    def test_keys_are_the_union_of_keys(self, events, small):
+        halves = [
+            dedupe_latest(events.where(f"event_id % 2 = {i}"), ["user_id", "event_type"], ["event_id"])
+            for i in (0, 1)
+        ]
+        got = merge(*halves, ["user_id", "event_type"], small_source=small)
+        keys = [h.select("user_id", "event_type") for h in (*halves, got)]
+        assert rows(keys[2]) == rows(keys[0].union(keys[1]).distinct())
+
+    def test_a_small_source_does_not_shuffle_the_target(self, events, small):
+        target = dedupe_latest(events, ["event_id"], ["ts"])
+        text = plan(merge(events, target, ["event_id"], small_source=small))
+        assert ("FullOuter" in text) != small
+
+
+def test_sides_must_have_the_same_columns(spark):
+    with pytest.raises(ValueError, match=r"columns differ: \['v', 'w'\]"):
+        merge(frame(spark, "(1, 2)"), frame(spark, "(1, 2)", "k, w"), ["k"])
+    with pytest.raises(ValueError, match="matched must be"):
+        merge(frame(spark, "(1, 2)"), frame(spark, "(1, 2)"), ["k"], matched="delete")
+
+
+def test_the_latest_row_survives_and_nulls_come_last(spark):
+    df = frame(spark, "(1, 5, 'a'), (1, 7, 'b'), (1, null, 'c'), (2, null, 'd')", "k, o, v")
+    assert rows(dedupe_latest(df, ["k"], ["o"]).select("k", "v")) == [(1, "b"), (2, "d")]
+    ascending = dedupe_latest(df, ["k"], [F.col("o").asc_nulls_last()])
+    assert rows(ascending.select("k", "v")) == [(1, "a"), (2, "d")]
+
+
+def test_a_hot_key_is_cut_down_before_the_shuffle(spark):
+    hot = spark.range(0, 60000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), "id"
+    )
+    got = dedupe_latest(hot, ["k"], ["id"])
+    text = plan(got)
+    assert text.count("WindowGroupLimit") >= 2
+    assert got.where("k = -1").collect()[0]["id"] == 59997
+    assert got.count() == 40001
+
+
+def test_plain_tables_have_no_row_level_merge(spark, tmp_path):
+    spark.sql(f"create table plain_t (k int, v int) using parquet location '{tmp_path}/t'")
+    with pytest.raises(UnsupportedOperationException, match="MERGE INTO"):
+        merge_into_table("plain_t", frame(spark, "(1, 2)"), ["k"], when="source.v > target.v")
+    spark.sql("drop table plain_t")
+
+
+class TestKeyedTable:
+    KEYS = ["user_id", "event_type"]
+    ORDER = ["ts", "event_id"]
+
+    def table(self, spark, buckets=4):
+        return KeyedTable(spark, scratch_path(spark, "keyed"), self.KEYS, buckets)
+
+    def test_small_and_shuffled_merges_agree_with_the_batch_answer(self, spark, events):
+        tables = [self.table(spark), self.table(spark)]
+        for lower in (0, 300, 700):
+            part = events.where(f"event_id >= {lower} and event_id < {lower} + 400")
+            used = [t.merge(part, self.ORDER, limit=n) for t, n in zip(tables, (10**9, 0))]
+            assert [u.broadcast_source for u in used] == [True, False]
+        want = rows(dedupe_latest(events.where("event_id < 1100"), self.KEYS, self.ORDER))
+        assert [rows(t.read()) == want for t in tables] == [True, True]
+
+    def test_a_shuffled_merge_writes_one_file_per_bucket(self, spark, events):
+        table = self.table(spark)
+        table.merge(events.where("event_id < 500"), self.ORDER)
+        table.merge(events.where("event_id >= 500"), self.ORDER, limit=0)
+        files = table.read().inputFiles()
+        assert len(files) == len({f.rsplit("/", 1)[0] for f in files}) == 4
+
+    def test_only_touched_buckets_are_rewritten(self, spark, events):
+        table = self.table(spark, buckets=16)
+        table.merge(events, self.ORDER)
+        before = set(table.read().inputFiles())
+        one = events.where("event_id = 500")
+        merged = table.merge(one.withColumn("ts", F.expr("timestamp_ntz'2030-01-01 00:00:00'")), self.ORDER)
+        assert merged.rewritten_buckets == 1
+        after = set(table.read().inputFiles())
+        folders = [{f.rsplit("/", 1)[0] for f in files} for files in (before, before & after)]
+        assert len(folders[1]) == len(folders[0]) - 1
+
+    def test_insert_only_adds_files_and_rewrites_none(self, spark, events):
+        table = self.table(spark)
+        table.merge(events.where("user_id < 8"), self.ORDER)
+        before = set(table.read().inputFiles())
+        kept = rows(table.read())
+        table.merge(events, self.ORDER, matched="ignore")
+        assert before < set(table.read().inputFiles())
+        got = table.read()
+        assert rows(got.where("user_id < 8")) == kept
+        assert got.count() == events.select(*self.KEYS).distinct().count()
+        # A merge after it replaces the buckets with all that was added.
+        table.merge(events, self.ORDER)
+        assert rows(table.read()) == rows(dedupe_latest(events, self.KEYS, self.ORDER))
+
+    def test_nothing_new_is_no_version(self, spark, events):
+        table = self.table(spark)
+        table.merge(events, self.ORDER)
+        assert table.merge(events, self.ORDER, matched="ignore").version == 1
+        assert table.merge(events.where("false"), self.ORDER).version == 1
+        assert table.version() == 1
+
+    def test_a_replayed_batch_is_skipped(self, spark, events):
+        table = self.table(spark)
+        table.merge(events.where("event_id < 500"), self.ORDER, batch="s:0")
+        replay = table.merge(events, self.ORDER, batch="s:0")
+        assert (replay.version, replay.source_rows) == (1, 0)
+        assert table.read().where("event_id >= 500").isEmpty()
+
+    def test_a_failed_merge_leaves_the_table_as_it_was(self, spark, events):
+        table = self.table(spark)
+        table.merge(events, self.ORDER)
+        want = rows(table.read())
+        with pytest.raises(Exception):
+            table.merge(events, self.ORDER, when="cast(source.event_type as int) > 0")
+        assert rows(table.read()) == want and table.version() == 1
+
+    def test_it_is_found_again_with_its_layout(self, spark, events):
+        table = self.table(spark, buckets=4)
+        table.merge(events, self.ORDER)
+        again = KeyedTable(spark, table.path, self.KEYS, buckets=99)
+        assert again.exists() and again.buckets == 4
+        assert rows(again.read()) == rows(table.read())
+        with pytest.raises(ValueError, match="keyed by"):
+            KeyedTable(spark, table.path, ["user_id"])

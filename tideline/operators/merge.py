@@ -122,12 +122,11 @@ def merge_into_table(
     """
     if matched not in MATCHED:
         raise ValueError(f"matched must be one of {MATCHED}, not {matched!r}")
-    on = F.lit(True)
-    for key in keys:
-        on = on & (F.col(f"{table}.{key}") == F.col(f"source.{key}"))
-    writer = source.alias("source").mergeInto(table, on)
-    if matched == "update":
-        rule = F.expr(when.replace("target.", f"{table}.")) if when else None
-        clause = writer.whenMatched(rule) if rule is not None else writer.whenMatched()
-        writer = clause.updateAll()
-    writer.whenNotMatched().insertAll().merge()
+    on = " AND ".join(f"target.`{key}` = source.`{key}`" for key in keys)
+    update = f"WHEN MATCHED{f' AND ({when})' if when else ''} THEN UPDATE SET *"
+    source.sparkSession.sql(
+        f"MERGE INTO IDENTIFIER(:table) AS target USING {{source}} AS source ON {on}"
+        f" {update if matched == 'update' else ''} WHEN NOT MATCHED THEN INSERT *",
+        args={"table": table},
+        source=source,
+    )
