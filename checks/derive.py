@@ -113,7 +113,7 @@ def feed_control(events: DataFrame) -> DataFrame:
 
 
 def ext_control(spark: SparkSession) -> DataFrame:
-    """Two ext packages over the same raw table, one of them with a merge condition."""
+    """Ext packages over one raw table: plain, with a condition, and partitioned by month."""
     latest = control_rows(
         spark.range(1),
         suite_code="X",
@@ -135,7 +135,27 @@ def ext_control(spark: SparkSession) -> DataFrame:
         merge_order=["ts", "event_id"],
         merge_condition="source.value > target.value",
     )
-    return latest.unionByName(record)
+    # An event never changes its month, so the key may hold it and partition the table.
+    by_month = control_rows(
+        spark.range(1),
+        suite_code="X",
+        layer="ext",
+        package_name="events_by_month",
+        source_table="events",
+        source_columns=[
+            "event_id",
+            "date_format(ts, 'yyyyMM') AS partition_key",
+            "ts",
+            "user_id",
+            "event_type",
+            "value",
+            "feed_suite",
+        ],
+        merge_keys=["partition_key", "event_id"],
+        merge_order=["ts"],
+        merge_partition="partition_key",
+    )
+    return latest.unionByName(record).unionByName(by_month)
 
 
 def summary_control(spark: SparkSession, sql: str) -> DataFrame:

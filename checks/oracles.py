@@ -177,6 +177,12 @@ WHERE rn = 1""",
                     {LATEST_LINE}) AS rn
   FROM lineitem) p
 WHERE rn = 1""",
+    "merge_month_table": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       CASE WHEN o_orderdate >= TIMESTAMP '1996-01-01 00:00:00' THEN upper(o_orderpriority)
+            ELSE o_orderpriority END AS o_orderpriority,
+       strftime(o_orderdate, '%Y%m') AS partition_key
+FROM orders
+WHERE o_orderdate >= TIMESTAMP '1995-07-01 00:00:00' AND o_orderdate < TIMESTAMP '2001-01-01 00:00:00'""",
     "watermarks": """SELECT user_id AS control_id, max(date_trunc('day', ts)) + INTERVAL 1 DAY AS watermark
 FROM events WHERE event_type = 'purchase' GROUP BY user_id""",
     "due_packages": f"WITH {USER_LOG}, {DUE} SELECT control_id, suite_code, window_start, window_end FROM due",

@@ -210,6 +210,18 @@ def q_merge_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge(*_merge_sides(spark, sf_dir), LINE_KEYS, matched="ignore")
 
 
+def q_merge_month_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders merged into a table partitioned by month, half of them twice."""
+    orders = _keyed_orders(spark, sf_dir)
+    path = scratch_path(spark, "orders-by-month")
+    table = KeyedTable(spark, path, ["partition_key", "o_orderkey"], 2, "partition_key")
+    order = ["o_orderdate", "o_totalprice"]
+    table.merge(window_read(orders, "o_orderdate", "1900-01-01", CUT), order)
+    late = window_read(orders, "o_orderdate", "1996-01-01", "2100-01-01")
+    table.merge(late.withColumn("o_orderpriority", F.upper("o_orderpriority")), order)
+    return table.read("199507", "200012")
+
+
 def q_merge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three merges into a stored table: create, upsert, insert only."""
     lines = derive.table(spark, sf_dir, "lineitem")
@@ -357,8 +369,8 @@ def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     control = _stored(control)
     stage_month(warehouse, control, events, 3, each=lambda: run_extract(warehouse, control))
-    records = warehouse.ext("user_record", ["user_id", "event_type"]).read()
-    run_summary(warehouse, control, {"events": derive.with_feed(records)})
+    by_month = warehouse.ext("events_by_month", ["partition_key", "event_id"], "partition_key")
+    run_summary(warehouse, control, {"events": by_month})
     return summaries(warehouse)
 
 

@@ -16,6 +16,9 @@ def spark(tmp_path_factory) -> SparkSession:
         conf={
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
+            # The data is tiny: compiling the stages would take most of the time.
+            "spark.sql.codegen.wholeStage": "false",
+            "spark.sql.codegen.factoryMode": "NO_CODEGEN",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )

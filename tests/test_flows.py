@@ -135,7 +135,7 @@ class TestExtract:
             state = warehouse.ext("user_latest", ["user_id"]).read()
             assert rows(state.select("user_id", "event_id")) == rows(want)
         idle = run_extract(warehouse, control)
-        assert idle.where("message_source like '%Has Closed%'").count() == 2
+        assert idle.where("message_source like '%Has Closed%'").count() == 3
         assert warehouse.ext("user_latest", ["user_id"]).version() == 3
 
     def test_a_failing_package_is_alone(self, spark, events, control):
@@ -154,7 +154,7 @@ class TestExtract:
 
     def test_nothing_staged_is_closed(self, spark, control):
         log = run_extract(new(spark), control)
-        assert log.where("message_source like '%Has Closed%'").count() == 2
+        assert log.where("message_source like '%Has Closed%'").count() == 3
 
 
 SQL = "select '$suite' as suite_code, count(*) as n from {events} where feed_suite = '$suite'"

@@ -120,7 +120,7 @@ class TestKeyedTable:
         before = set(table.read().inputFiles())
         one = events.where("event_id = 500")
         merged = table.merge(one.withColumn("ts", F.expr("timestamp_ntz'2030-01-01 00:00:00'")), self.ORDER)
-        assert merged.rewritten_buckets == 1
+        assert merged.rewritten_cells == 1
         after = set(table.read().inputFiles())
         folders = [{f.rsplit("/", 1)[0] for f in files} for files in (before, before & after)]
         assert len(folders[1]) == len(folders[0]) - 1
@@ -169,3 +169,52 @@ class TestKeyedTable:
         assert rows(again.read()) == rows(table.read())
         with pytest.raises(ValueError, match="keyed by"):
             KeyedTable(spark, table.path, ["user_id"])
+
+
+class TestMonthTable:
+    KEYS = ["partition_key", "o_orderkey"]
+    ORDER = ["o_orderdate"]
+
+    @pytest.fixture
+    def orders(self, spark, sf):
+        orders = spark.read.parquet(f"{sf}/orders.parquet")
+        return orders.withColumn("partition_key", F.date_format("o_orderdate", "yyyyMM"))
+
+    def table(self, spark):
+        return KeyedTable(spark, scratch_path(spark, "months"), self.KEYS, 2, "partition_key")
+
+    @pytest.mark.parametrize("limit", [0, 10**9])
+    def test_a_merge_touches_the_months_of_its_source(self, spark, orders, limit):
+        table = self.table(spark)
+        table.merge(orders, self.ORDER)
+        before = set(table.read().inputFiles())
+        march = orders.where("partition_key = '199603'").withColumn("o_totalprice", F.lit(1.0))
+        table.merge(march, self.ORDER, limit=limit)
+        gone = before - set(table.read().inputFiles())
+        assert gone and all("_part=199603/" in f for f in gone)
+        got = table.read().select(march.columns)
+        assert rows(got.where("partition_key = '199603'")) == rows(march)
+        others = "partition_key <> '199603'"
+        assert rows(got.where(others)) == rows(orders.where(others))
+
+    def test_a_range_of_months_is_read_from_their_folders_only(self, spark, orders):
+        table = self.table(spark)
+        table.merge(orders, self.ORDER)
+        got = table.read("199601", "199603")
+        assert got.count() == orders.where("partition_key between '199601' and '199603'").count()
+        parts = {f.split("_part=")[1][:6] for f in got.inputFiles()}
+        assert parts == {"199601", "199602", "199603"}
+        assert table.read("202001", "202012").isEmpty()
+
+    def test_inserts_only_reach_months_old_and_new(self, spark, orders):
+        table = self.table(spark)
+        table.merge(orders.where("partition_key < '199601'"), self.ORDER)
+        table.merge(orders, self.ORDER, matched="ignore")
+        assert table.read().count() == orders.count()
+
+    def test_the_partition_must_be_a_key_and_plain(self, spark, orders):
+        with pytest.raises(ValueError, match="no key column"):
+            KeyedTable(spark, scratch_path(spark, "months"), ["o_orderkey"], 2, "partition_key")
+        odd = orders.withColumn("partition_key", F.lit("a/b"))
+        with pytest.raises(ValueError, match="cannot name a partition"):
+            self.table(spark).merge(odd, self.ORDER)

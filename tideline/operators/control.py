@@ -26,6 +26,7 @@ CONTROL_SCHEMA = T.StructType(
         T.StructField("merge_keys", T.ArrayType(T.StringType())),
         T.StructField("merge_order", T.ArrayType(T.StringType())),
         T.StructField("merge_condition", T.StringType()),
+        T.StructField("merge_partition", T.StringType()),
         T.StructField("enrich_query", T.StringType()),
     ]
 )

@@ -91,7 +91,8 @@ def _extract(
     # The key range goes to the scan as literals and prunes the batch folders.
     raw = partition_range_read(warehouse.raw(table), seen["first"], seen["last"], "window_key")
     batch = staged_batch_read(raw, pending, on=("control_id", "window_key"))
-    merged = warehouse.ext(name, package["merge_keys"]).merge(
+    target = warehouse.ext(name, package["merge_keys"], package["merge_partition"])
+    merged = target.merge(
         project_columns(batch, package["source_columns"]),
         order=package["merge_order"],
         when=package["merge_condition"],

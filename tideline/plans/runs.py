@@ -16,6 +16,17 @@ from tideline.sources.layers import Warehouse
 
 # Rows of one run that share a log time are ordered by these.
 STARTED, ENDED = 1, 2
+# What the rows of a package bring to its log row.
+PACKAGE_COLUMNS = (
+    "package_name",
+    "control_id",
+    "job_id",
+    "suite_code",
+    "row_inserted",
+    "window_start",
+    "window_end",
+    "next_start",
+)
 Item = TypeVar("Item")
 
 
@@ -50,24 +61,21 @@ class RunLog:
         complete: int = 0,
     ) -> DataFrame:
         """One log row per row of ``rows``, which brings the ids and window columns."""
-        return conform_log(
-            rows.withColumns(
-                {
-                    "log_id": F.lit(ENDED if complete else STARTED),
-                    "log_time": _literal(now()),
-                    "layer": F.lit(self.layer),
-                    "start_time": _literal(self.started),
-                    "success_flag": F.lit(success),
-                    "complete_flag": F.lit(complete),
-                    "message_source": F.lit(source),
-                    "message": F.lit("") if message is None else message,
-                }
-            )
-        )
-
-    def manager(self, source: str, message: str = "") -> DataFrame:
+        ids = [name for name in PACKAGE_COLUMNS if name in rows.columns]
+        own = [
+            f"{ENDED if complete else STARTED} as log_id",
+            f"{_literal(now())} as log_time",
+            f"'{self.layer}' as layer",
+            f"{_literal(self.started)} as start_time",
+            f"{success} as success_flag",
+            f"{complete} as complete_flag",
+        ]
+        text = {"message_source": F.lit(source), "message": F.lit("") if message is None else message}
+        return conform_log(rows.withColumns(text).selectExpr(*ids, *own, *text))
+
+    def manager(self, source: str, message: str = "") -> dict[str, object]:
         """A log row about the run itself; it has no package and no job."""
-        row = {
+        return {
             "log_id": STARTED,
             "log_time": now(),
             "layer": self.layer,
@@ -81,21 +89,24 @@ class RunLog:
             "message": message,
             "suite_code": self.suite,
         }
-        return log_rows(self.warehouse.spark, [row])
 
-    def write(self, *parts: DataFrame) -> None:
+    def write(self, *parts: DataFrame | dict[str, object]) -> None:
         """Append the rows of all parts by one job, in as few files as they need."""
-        rows = reduce(DataFrame.unionByName, parts)
-        self.warehouse.append_log(rows.hint("rebalance") if len(parts) > 1 else rows)
+        own = [part for part in parts if isinstance(part, dict)]
+        frames = [part for part in parts if not isinstance(part, dict)]
+        if own:
+            frames.append(log_rows(self.warehouse.spark, own))
+        rows = reduce(DataFrame.unionByName, frames)
+        self.warehouse.append_log(rows.hint("rebalance") if len(frames) > 1 else rows)
 
     def rows(self) -> DataFrame:
         """The log rows that this run wrote."""
-        mine = (F.col("start_time") == _literal(self.started)) & (F.col("layer") == self.layer)
+        mine = f"layer = '{self.layer}' and start_time = {_literal(self.started)}"
         return self.warehouse.log().where(mine)
 
 
-def _literal(moment: datetime) -> Column:
-    return F.lit(moment.isoformat(sep=" ", timespec="microseconds")).cast("timestamp_ntz")
+def _literal(moment: datetime) -> str:
+    return f"timestamp_ntz'{moment.isoformat(sep=' ', timespec='microseconds')}'"
 
 
 def side_by_side(work: Callable[[Item], None], items: Iterable[Item], parallel: int) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, Row
@@ -44,8 +44,8 @@ def run_staging(
     ``sources`` maps the control rows' source tables to lazy DataFrames, from files
     or from JDBC. A window that ends after ``as_of`` is not complete yet: its
     package is closed for this run. Packages that share a source table are read in
-    one pass; when that pass fails they are run one by one, so that the failure is
-    logged for the packages it belongs to and the others go on.
+    one pass; when that pass fails they are run in halves, so that the failure is logged
+    for the packages it belongs to and the others go on.
 
     The batch is landed first and logged second, and the next window comes from the
     log. A run that dies between the two lands the same window again, in place.
@@ -88,7 +88,8 @@ def run_staging(
             if group["packages"] == 1:
                 _failed(run, members, error)
             else:
-                _stage_one_by_one(run, sources, group, members)
+                ids = [row[0] for row in members.select("control_id").collect()]
+                _stage_apart(run, sources, group, members, ids)
 
     side_by_side(stage, groups, parallel)
     run.write(run.manager("Log Staging Manage Has Been Completed"))
@@ -99,15 +100,22 @@ def _literal(value: object):
     return F.array(*[F.lit(part) for part in value]) if isinstance(value, list) else F.lit(value)
 
 
-def _stage_one_by_one(
-    run: RunLog, sources: Mapping[str, DataFrame], group: Row, members: DataFrame
+def _stage_apart(
+    run: RunLog, sources: Mapping[str, DataFrame], group: Row, members: DataFrame, ids: Sequence[int]
 ) -> None:
-    for row in members.select("control_id").toLocalIterator():
-        member = members.where(F.col("control_id") == row["control_id"])
+    """Stage the packages of a failed pass in halves, down to the ones that fail alone.
+
+    One bad package among many costs a few more passes and not one per package.
+    """
+    for half in (ids[: len(ids) // 2], ids[len(ids) // 2 :]):
+        part = members.where(F.col("control_id").isin(half))
         try:
-            _stage_shared(run, sources, group, member)
+            _stage_shared(run, sources, group, part)
         except Exception as error:
-            _failed(run, member, error)
+            if len(half) == 1:
+                _failed(run, part, error)
+            else:
+                _stage_apart(run, sources, group, part, half)
 
 
 def _stage_shared(

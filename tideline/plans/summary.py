@@ -17,6 +17,7 @@ from tideline.operators.gate import readiness_gate
 from tideline.plans.enrich import enrich
 from tideline.plans.runs import RunLog, new_job_id, side_by_side
 from tideline.sinks.partitions import replace_partitions
+from tideline.sinks.keyed import KeyedTable
 from tideline.sinks.log import LOG_SCHEMA
 from tideline.sources.layers import Warehouse
 
@@ -27,7 +28,7 @@ SUMMARY_PARTITIONS = ("partition_key", "summary_date")
 def run_summary(
     warehouse: Warehouse,
     control: DataFrame,
-    tables: Mapping[str, DataFrame],
+    tables: Mapping[str, DataFrame | KeyedTable],
     suite: str | None = None,
     log: DataFrame | None = None,
     daily: bool = False,
@@ -42,7 +43,8 @@ def run_summary(
     staging log that the gate reads, by default the warehouse's own.
 
     The SQL of a package makes the rows of one date; the flow adds ``partition_key``
-    and ``summary_date``. All its due dates are written by one job.
+    and ``summary_date``. All its due dates are written by one job. An ext table among
+    ``tables`` that is partitioned by month is read for the months of the run only.
     """
     run = RunLog(warehouse, "enrich", suite)
     begin = run.manager("Log Summary Manage Start", f"SuiteCode: {suite}")
@@ -103,7 +105,10 @@ def _not_yet_summarised(runs: DataFrame, log: DataFrame) -> DataFrame:
 
 
 def _summarise(
-    warehouse: Warehouse, run: RunLog, rows: Sequence[Row], tables: Mapping[str, DataFrame]
+    warehouse: Warehouse,
+    run: RunLog,
+    rows: Sequence[Row],
+    tables: Mapping[str, DataFrame | KeyedTable],
 ) -> None:
     name = rows[0]["package_name"]
     frames = [
@@ -115,7 +120,7 @@ def _summarise(
             row["job_id"],
             row["from_key"],
             row["to_key"],
-            tables,
+            {name: _months(table, row) for name, table in tables.items()},
         ).withColumns(
             {
                 "partition_key": F.lit(row["to_key"]),
@@ -144,6 +149,14 @@ def _summarise(
     run.write(run.packages(jobs, f"Log Summary Execution Enrich {name} Completed", F.lit("OK:"), 1, 1))
 
 
+def _months(table: DataFrame | KeyedTable, row: Row) -> DataFrame:
+    if isinstance(table, DataFrame):
+        return table
+    if table.part_by is None:
+        return table.read()
+    return table.read(row["from_key"], row["to_key"])
+
+
 def _jobs(warehouse: Warehouse, rows: Sequence[Row]) -> DataFrame:
     """The ids and dates of some runs as rows."""
     midnight = time()

@@ -17,6 +17,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Recording the Python line of every column expression costs more than building it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

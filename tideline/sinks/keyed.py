@@ -1,10 +1,11 @@
 """Current-state tables kept by keyed merge over plain parquet.
 
 Parquet has no row-level merge and a job may not overwrite what it reads, so each
-merge writes new directories and then publishes them. Rows are spread over hash
-buckets of the merge key; a merge reads and rewrites only the buckets that its
-source has keys for. The list of published directories is itself an append-only
-parquet table, one file per merge, so readers see all of a merge or none of it.
+merge writes new directories and then publishes them. Rows are spread over cells:
+hash buckets of the merge key, below the value of one key column where the table
+has such a partition. A merge reads and rewrites only the cells that its source has
+keys for. The list of published directories is itself an append-only parquet table,
+one file per merge, so readers see all of a merge or none of it.
 
 One writer per table at a time, as one flow feeds each table.
 """
@@ -12,6 +13,7 @@ One writer per table at a time, as one flow feeds each table.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
@@ -29,11 +31,13 @@ from tideline.sinks.partitions import ensure_table
 PUBLISHED = T.StructType(
     [
         T.StructField("version", T.LongType()),
+        T.StructField("part", T.StringType()),
         T.StructField("bucket", T.IntegerType()),
-        # The version that last replaced the bucket; later ones added to it.
+        # The version that last replaced the cell; later ones added to it.
         T.StructField("since", T.LongType()),
         T.StructField("directory", T.StringType()),
         T.StructField("keys", T.ArrayType(T.StringType())),
+        T.StructField("part_by", T.StringType()),
         T.StructField("buckets", T.IntegerType()),
         T.StructField("table_schema", T.StringType()),
         T.StructField("batch", T.StringType()),
@@ -41,30 +45,59 @@ PUBLISHED = T.StructType(
 )
 
 
+# Partition values become folder names as they are.
+PLAIN_PART = re.compile(r"[A-Za-z0-9_-]+")
+
+
+class Cell(NamedTuple):
+    part: str | None
+    bucket: int
+
+    def folder(self) -> str:
+        bucket = f"_bucket={self.bucket}"
+        return bucket if self.part is None else f"_part={self.part}/{bucket}"
+
+
 class Merged(NamedTuple):
     version: int
     source_rows: int
-    rewritten_buckets: int
+    rewritten_cells: int
     broadcast_source: bool
 
 
 class KeyedTable:
     """A table of one row per key.
 
-    ``buckets`` is fixed when the table is created; choose it so that a bucket is
-    about one output file (0.5 to 1 GB) at the size the table is meant to reach.
+    ``buckets`` is fixed when the table is created; choose it so that a bucket (of
+    one partition, if there are any) is about one output file of 0.5 to 1 GB at the
+    size the table is meant to reach.
+
+    ``part_by`` names a key column whose values partition the table, such as the
+    month of a row that keeps its month. Merges then touch only the partitions their
+    source has rows for, and ``read`` can be limited to a range of them.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 8):
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        keys: Sequence[str],
+        buckets: int = 8,
+        part_by: str | None = None,
+    ):
+        if part_by is not None and part_by not in keys:
+            raise ValueError(f"{part_by!r} is no key column: a row could change its partition")
         self.spark = spark
         self.path = path
         self.keys = list(keys)
         self.buckets = buckets
+        self.part_by = part_by
         self.schema = None
-        head = self._published().select("keys", "buckets", "table_schema").head()
+        head = self._published().select("keys", "part_by", "buckets", "table_schema").head()
         if head is not None:
-            if list(head["keys"]) != self.keys:
-                raise ValueError(f"the table is keyed by {list(head['keys'])}, not {self.keys}")
+            stored, part = list(head["keys"]), head["part_by"]
+            if (stored, part) != (self.keys, part_by):
+                raise ValueError(f"the table is keyed by {stored} and partitioned by {part}")
             self.buckets = head["buckets"]
             self.schema = T.StructType.fromJson(json.loads(head["table_schema"]))
 
@@ -77,26 +110,36 @@ class KeyedTable:
         """The last published version; 0 before the first merge."""
         return max((row["version"] for row in self._live()), default=0)
 
-    def read(self) -> DataFrame:
-        """The current rows."""
+    def read(self, from_part: str | None = None, to_part: str | None = None) -> DataFrame:
+        """The current rows, or those of a range of partitions, both ends included.
+
+        Only the folders of the range are listed and scanned.
+        """
         if self.schema is None:
             raise ValueError(f"nothing was merged into {self.path} yet")
-        return self._scan([row["directory"] for row in self._live()])
+        live = self._live(from_part, to_part)
+        if not live:
+            return small_frame(self.spark, [], self.schema)
+        return self._scan([row["directory"] for row in live])
 
     def _published(self) -> DataFrame:
         return ensure_table(self.spark, f"{self.path}/published", PUBLISHED)
 
-    def _live(self) -> list[Row]:
+    def _live(self, from_part: str | None = None, to_part: str | None = None) -> list[Row]:
         """The directories that make up the current version.
 
-        At most a row for each bucket and merge since the bucket was last replaced.
+        At most a row for each cell and merge since the cell was last replaced.
         """
         if self.schema is None:
             return []
-        newest = F.max("since").over(W.partitionBy("bucket"))
+        published = self._published()
+        if from_part is not None:
+            published = published.where(F.col("part") >= from_part)
+        if to_part is not None:
+            published = published.where(F.col("part") <= to_part)
+        newest = F.max("since").over(W.partitionBy("part", "bucket"))
         return (
-            self._published()
-            .select("version", "bucket", "since", "directory", newest.alias("newest"))
+            published.select("version", "part", "bucket", "since", "directory", newest.alias("newest"))
             .where("version >= newest")
             .collect()
         )
@@ -128,23 +171,23 @@ class KeyedTable:
             source = conform(source, small_frame(self.spark, [], self.schema))
         # Written once: its size decides the strategy and several scans follow.
         latest, seen = materialize_measured(
-            dedupe_latest(source, self.keys, order),
-            "merge-source",
-            rows=F.count(F.lit(1)),
-            touched=F.collect_set(self._bucket()),
+            dedupe_latest(source, self.keys, order), "merge-source", rows=F.count(F.lit(1))
         )
         if not seen["rows"]:
             return Merged(version, 0, 0, False)
         small = seen["bytes"] <= limit
-        touched = set(seen["touched"])
-        old = [row for row in live if row["bucket"] in touched]
+        touched = {Cell(*row) for row in latest.select(*self._cell()).distinct().collect()}
+        for cell in touched:
+            if self.part_by and not PLAIN_PART.fullmatch(cell.part or ""):
+                raise ValueError(f"{cell.part!r} cannot name a partition")
+        old = {Cell(row["part"], row["bucket"]): row for row in live}
+        directories = [r["directory"] for r in live if Cell(r["part"], r["bucket"]) in touched]
         append = matched == "ignore"
-        if old:
-            target = self._scan([row["directory"] for row in old])
-            out = self._merged(target, latest, when, append, small)
+        if directories:
+            out = self._merged(self._scan(directories), latest, when, append, small)
         else:
-            out = latest.repartition(self.buckets, *self.keys)
-        since = {row["bucket"]: row["since"] for row in old} if append else {}
+            out = self._rebalanced(latest)
+        since = {cell: old[cell]["since"] for cell in touched & set(old)} if append else {}
         self.schema = self.schema or source.schema
         written = self._write(out, version + 1, touched, since, batch)
         return Merged(version + (written > 0), seen["rows"], written, small)
@@ -152,48 +195,57 @@ class KeyedTable:
     def _merged(
         self, target: DataFrame, latest: DataFrame, when: str | None, append: bool, small: bool
     ) -> DataFrame:
-        if not small:
-            # Repartitioning by the key into as many parts as there are buckets puts
-            # each bucket into one task. The join needs no other shuffle, and the
-            # write makes one set of files per bucket.
-            target = target.repartition(self.buckets, *self.keys)
-            latest = latest.repartition(self.buckets, *self.keys)
-        new = unmatched(target, latest, self.keys, small)
-        if append:
-            return new.hint("rebalance", *self.keys) if small else new
         if small:
+            # Target rows stay in the tasks that read them, which hold few cells each.
+            new = self._rebalanced(unmatched(target, latest, self.keys, small))
+            if append:
+                return new
             kept = matched_rows(target, latest, self.keys, when)
-            return kept.unionByName(new.hint("rebalance", *self.keys))
-        return merge(target, latest, self.keys, when)
+            return kept.select("*", *self._cell()).unionByName(new)
+        if append:
+            return self._rebalanced(unmatched(target, latest, self.keys))
+        if self.part_by is not None:
+            return self._rebalanced(merge(target, latest, self.keys, when))
+        # Both sides in as many parts as there are buckets: the join needs no other
+        # shuffle, and each task ends up with the rows of one bucket.
+        sides = [side.repartition(self.buckets, *self.keys) for side in (target, latest)]
+        return merge(*sides, self.keys, when).select("*", *self._cell())
+
+    def _rebalanced(self, df: DataFrame) -> DataFrame:
+        """Rows of a cell brought together; AQE joins small cells and cuts large ones."""
+        return df.select("*", *self._cell()).hint("rebalance", "_part", "_bucket")
 
     def _write(
         self,
         out: DataFrame,
         version: int,
-        touched: set[int],
-        since: Mapping[int, int],
+        touched: set[Cell],
+        since: Mapping[Cell, int],
         batch: str | None,
     ) -> int:
         root = f"{self.path}/data/v{version}-{uuid.uuid4().hex}"
-        out.withColumn("_bucket", self._bucket()).write.partitionBy("_bucket").parquet(root)
+        by = ["_bucket"] if self.part_by is None else ["_part", "_bucket"]
+        if self.part_by is None:
+            out = out.drop("_part")
+        out.write.partitionBy(*by).parquet(root)
         if since:
-            # Rows were added to buckets that exist: some may have got none.
-            parts = T.StructType([*self.schema.fields, T.StructField("_bucket", T.IntegerType())])
-            there = ensure_table(self.spark, root, parts, ["_bucket"])
-            touched = {r[0] for r in there.select("_bucket").distinct().collect()}
-        text = self.schema.json()
+            # Rows were added to cells that exist: some may have got none.
+            there = self.spark.read.schema(out.schema).parquet(root).select(*self._cell())
+            touched = {Cell(*row) for row in there.distinct().collect()}
         rows = [
             {
                 "version": version,
-                "bucket": bucket,
-                "since": since.get(bucket, version),
-                "directory": f"{root}/_bucket={bucket}",
+                "part": cell.part,
+                "bucket": cell.bucket,
+                "since": since.get(cell, version),
+                "directory": f"{root}/{cell.folder()}",
                 "keys": self.keys,
+                "part_by": self.part_by,
                 "buckets": self.buckets,
-                "table_schema": text,
+                "table_schema": self.schema.json(),
                 "batch": batch,
             }
-            for bucket in sorted(touched)
+            for cell in touched
         ]
         if rows:
             # One file, so that readers see all of a merge or none of it.
@@ -204,6 +256,11 @@ class KeyedTable:
     def _has(self, batch: str) -> bool:
         return not self._published().where(F.col("batch") == batch).isEmpty()
 
-    def _bucket(self) -> Column:
-        # Spark's own partitioner for repartition(n, keys), spelled out as a column.
-        return F.pmod(F.hash(*self.keys), F.lit(self.buckets)).cast("int")
+    def _cell(self) -> list[Column]:
+        """Partition value and bucket of a row.
+
+        The bucket is the partition that ``repartition(buckets, *keys)`` puts it in.
+        """
+        part = F.lit(None) if self.part_by is None else F.col(self.part_by)
+        bucket = F.pmod(F.hash(*self.keys), F.lit(self.buckets))
+        return [part.cast("string").alias("_part"), bucket.cast("int").alias("_bucket")]

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.local import small_frame
@@ -36,12 +35,10 @@ LOG_SCHEMA = T.StructType(
 def conform_log(rows: DataFrame) -> DataFrame:
     """``rows`` with exactly the log's columns; ones it lacks are null."""
     there = set(rows.columns)
-    return rows.select(
+    return rows.selectExpr(
         *[
-            (F.col(field.name) if field.name in there else F.lit(None))
-            .cast(field.dataType)
-            .alias(field.name)
-            for field in LOG_SCHEMA.fields
+            f"cast({f.name if f.name in there else 'null'} as {f.dataType.simpleString()}) {f.name}"
+            for f in LOG_SCHEMA.fields
         ]
     )
 

@@ -49,8 +49,8 @@ class Warehouse:
         table = self._folder("raw", name)
         return table.withColumn("control_id", F.col("control_id").cast("long"))
 
-    def ext(self, name: str, keys: Sequence[str]) -> KeyedTable:
-        return KeyedTable(self.spark, self.path("ext", name), keys, self.buckets)
+    def ext(self, name: str, keys: Sequence[str], part_by: str | None = None) -> KeyedTable:
+        return KeyedTable(self.spark, self.path("ext", name), keys, self.buckets, part_by)
 
     def enriched(self, name: str) -> DataFrame:
         table = self._folder("enrich", name)
@@ -80,6 +80,7 @@ def open_table(
     root: str,
     catalog: str | None = None,
     keys: Sequence[str] = (),
+    part_by: str | None = None,
 ) -> DataFrame:
     """A layer's table: from ``catalog`` when that is configured, else below ``root``.
 
@@ -94,5 +95,5 @@ def open_table(
     if layer == "raw":
         return warehouse.raw(name)
     if layer == "ext":
-        return warehouse.ext(name, keys).read()
+        return warehouse.ext(name, keys, part_by).read()
     return warehouse.enriched(name)
