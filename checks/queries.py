@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, timedelta
 from functools import reduce
 
@@ -37,6 +38,9 @@ from tideline.sources import (
 )
 from tideline.streaming import stream_merge
 
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
 START = "2024-01-01"
 WEEK = timedelta(days=7)
 STEP = timedelta(days=10)
@@ -46,6 +50,12 @@ LINE_KEYS = ["l_orderkey", "l_linenumber"]
 LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"]
 
 
+def query(function: Query) -> Query:
+    """Register a query by its name without the ``q_``, which keeps it apart from the operator."""
+    QUERIES[function.__name__.removeprefix("q_")] = function
+    return function
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive.table(spark, sf_dir, "events")
 
@@ -57,6 +67,7 @@ def _warehouse(spark: SparkSession) -> Warehouse:
 # -- reads
 
 
+@query
 def q_window_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole table, read as the weekly windows that tile it."""
     events = _events(spark, sf_dir)
@@ -70,6 +81,7 @@ def q_window_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, reads)
 
 
+@query
 def q_due_window_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
     windows = q_due_packages(spark, sf_dir).select("control_id", "window_start", "window_end")
@@ -81,6 +93,7 @@ def _daily_batches(events: DataFrame) -> DataFrame:
     return events.withColumns({"control_id": F.col("user_id"), "window_start": day})
 
 
+@query
 def q_staged_batch_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
     return staged_batch_read(_daily_batches(events), staged_batches(derive.user_log(events))).select(
@@ -93,6 +106,7 @@ def _keyed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.withColumn("partition_key", partition_key(F.col("o_orderdate")))
 
 
+@query
 def q_partition_range_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "orders-by-month")
     write_enriched(_keyed_orders(spark, sf_dir), path, 1, "199501", "200108")
@@ -101,6 +115,7 @@ def q_partition_range_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partition_range_read(table, "199601", "199912")
 
 
+@query
 def q_project_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project_columns(
         derive.table(spark, sf_dir, "lineitem"),
@@ -142,16 +157,19 @@ def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.raw("events")
 
 
+@query
 def q_land_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landed(spark, sf_dir).select(
         "control_id", "window_start", "window_end", "job_id", "event_id", "ts", "user_id", "value"
     )
 
 
+@query
 def q_landed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed_counts(_landed(spark, sf_dir), "ts")
 
 
+@query
 def q_write_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All months written by job 1, then three of them again by job 2."""
     path = scratch_path(spark, "orders-summary")
@@ -173,10 +191,12 @@ def q_write_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- scalar expressions
 
 
+@query
 def q_partition_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _keyed_orders(spark, sf_dir).select("o_orderkey", "partition_key")
 
 
+@query
 def q_result_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = derive.user_log(_events(spark, sf_dir))
     return log.select("log_id", result_class(F.col("message")).alias("result"))
@@ -185,6 +205,7 @@ def q_result_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- merge
 
 
+@query
 def q_dedupe_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe_latest(derive.table(spark, sf_dir, "lineitem"), LINE_KEYS, LINE_ORDER)
 
@@ -197,19 +218,23 @@ def _merge_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return tuple(dedupe_latest(side, LINE_KEYS, LINE_ORDER) for side in (target, source))
 
 
+@query
 def q_merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge(*_merge_sides(spark, sf_dir), LINE_KEYS)
 
 
+@query
 def q_merge_when(spark: SparkSession, sf_dir: str) -> DataFrame:
     when = "source.l_extendedprice > target.l_extendedprice"
     return merge(*_merge_sides(spark, sf_dir), LINE_KEYS, when=when)
 
 
+@query
 def q_merge_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge(*_merge_sides(spark, sf_dir), LINE_KEYS, matched="ignore")
 
 
+@query
 def q_merge_month_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders merged into a table partitioned by month, half of them twice."""
     orders = _keyed_orders(spark, sf_dir)
@@ -222,6 +247,7 @@ def q_merge_month_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read("199507", "200012")
 
 
+@query
 def q_merge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three merges into a stored table: create, upsert, insert only."""
     lines = derive.table(spark, sf_dir, "lineitem")
@@ -236,32 +262,39 @@ def q_merge_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- control and log
 
 
+@query
 def q_watermarks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return watermarks(derive.user_log(_events(spark, sf_dir)))
 
 
+@query
 def q_due_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = derive.user_log(_events(spark, sf_dir))
     return due_packages(derive.user_control(log), log, WEEK, START)
 
 
+@query
 def q_latest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_status(derive.user_log(_events(spark, sf_dir)))
 
 
+@query
 def q_suite_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suite_rollup(derive.user_log(_events(spark, sf_dir)))
 
 
+@query
 def q_package_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return package_list(derive.feed_control(_events(spark, sf_dir)))
 
 
+@query
 def q_log_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = derive.user_log(_events(spark, sf_dir))
     return log_errors(log).select("log_id", "control_id", "success_flag", "message_source", "message")
 
 
+@query
 def q_readiness_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
     gate = readiness_gate(derive.feed_control(events), derive.feed_log(events), daily=True)
@@ -278,10 +311,12 @@ def _enrich(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return enrich(spark, sql, "1995-01-01", "2001-09-01", 7, "199501", "200108", tables)
 
 
+@query
 def q_enrich_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _enrich(spark, sf_dir, templates.ORDERS)
 
 
+@query
 def q_enrich_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _enrich(spark, sf_dir, templates.MONTHLY)
 
@@ -301,6 +336,7 @@ def stage_month(
         each()
 
 
+@query
 def q_flow_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three runs cover the month; the fourth finds nothing due."""
     warehouse, events = _warehouse(spark), _events(spark, sf_dir)
@@ -308,6 +344,7 @@ def q_flow_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed_counts(warehouse.raw("events"), "ts")
 
 
+@query
 def q_flow_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A merge run after each of the three staging runs, by two packages."""
     warehouse, events = _warehouse(spark), _events(spark, sf_dir)
@@ -320,6 +357,7 @@ def q_flow_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
 def q_flow_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All dates on which a suite was ever ready, by the log of the feeds."""
     warehouse, events = _warehouse(spark), _events(spark, sf_dir)
@@ -343,6 +381,7 @@ def summaries(warehouse: Warehouse) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).drop("summary_job_id")
 
 
+@query
 def q_stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The landed batches as a stream of several micro-batches, run to its end twice."""
     warehouse, events = _warehouse(spark), _events(spark, sf_dir)
@@ -372,6 +411,3 @@ def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_month = warehouse.ext("events_by_month", ["partition_key", "event_id"], "partition_key")
     run_summary(warehouse, control, {"events": by_month})
     return summaries(warehouse)
-
-
-QUERIES = {name[2:]: query for name, query in list(globals().items()) if name.startswith("q_")}

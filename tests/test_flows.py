@@ -44,7 +44,12 @@ class TestStaging:
             log = stage(warehouse, control, events)
             assert {s for _, s in status(log)} == {"completed"}
         assert warehouse.raw("events").count() == events.count()
+        lists = log.where("message_source = 'Log Staging Manage Package Count: 3'")
+        assert {r["message"] for r in lists.collect()} == {
+            f"List Of Staging Control ID: [{i},{i + 4},{i + 8}]" for i in range(4)
+        }
         idle = stage(warehouse, control, events)
+        assert idle.where("message = 'Package List Empty'").count() == 1
         assert idle.where("message_source like '%Has Closed%'").count() == derive.FEEDS
         assert status(idle) == set()
         assert warehouse.raw("events").count() == events.count()
@@ -108,7 +113,14 @@ class TestStaging:
         own = derive.feed_control(events).where("control_id = 4").withColumn(
             "source_key", F.lit(None).cast("string")
         )
-        stage(warehouse, own, events)
+        opened = []
+
+        def source(first, last):
+            opened.append((first, last))
+            return window_read(derive.with_feed(events), "ts", first, last)
+
+        run_staging(warehouse, own, {"events": source}, STEP, START, AS_OF)
+        assert opened == [("2024-01-01 00:00:00", "2024-01-11 00:00:00")]
         want = window_read(events, "ts", START, "2024-01-11").count()
         assert warehouse.raw("events").count() == want
         assert warehouse.log().where("complete_flag = 1").first()["row_inserted"] == want

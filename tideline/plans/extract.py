@@ -44,7 +44,8 @@ def run_extract(
         run.packages(_job(warehouse, package, jobs), "Log Extract Execution Starting")
         for package in packages
     ]
-    run.write(begin, run.manager(count, f"List Extract Package: [{names}]"), *starting)
+    listed = f"List Extract Package: [{names}]" if packages else "Package List Empty"
+    run.write(begin, run.manager(count, listed), *starting)
     staging = control.where(F.col("layer") == "raw").select("control_id", "source_table")
 
     def extract(package: Row) -> None:

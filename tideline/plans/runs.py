@@ -55,7 +55,7 @@ class RunLog:
     def packages(
         self,
         rows: DataFrame,
-        source: str,
+        source: str | Column,
         message: Column | None = None,
         success: int = 1,
         complete: int = 0,
@@ -70,7 +70,10 @@ class RunLog:
             f"{success} as success_flag",
             f"{complete} as complete_flag",
         ]
-        text = {"message_source": F.lit(source), "message": F.lit("") if message is None else message}
+        text = {
+            "message_source": F.lit(source) if isinstance(source, str) else source,
+            "message": F.lit("") if message is None else message,
+        }
         return conform_log(rows.withColumns(text).selectExpr(*ids, *own, *text))
 
     def manager(self, source: str, message: str = "") -> dict[str, object]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, Row
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions.keys import window_key
 from tideline.functions.sizing import materialize
-from tideline.operators.control import due_packages, landed_counts
+from tideline.operators.control import due_packages, landed_counts, package_list
 from tideline.plans.runs import RunLog, new_job_id, side_by_side
 from tideline.sinks.partitions import land_raw
 from tideline.sources.jdbc import DRIVERS
@@ -23,6 +23,7 @@ from tideline.sources.windows import (
     window_read,
 )
 
+Sources = Mapping[str, DataFrame | Callable[[object, object], DataFrame]]
 SOURCE_TYPES = (*DRIVERS, "PARQUET")
 # What packages must have in common to be read in one pass.
 SHARED = ("source_type", "source_table", "source_columns", "source_key", "source_time")
@@ -32,7 +33,7 @@ WINDOW = ("control_id", "package_name", "suite_code", "job_id", "window_start",
 def run_staging(
     warehouse: Warehouse,
     control: DataFrame,
-    sources: Mapping[str, DataFrame],
+    sources: Sources,
     step: timedelta,
     default_start: object,
     as_of: object,
@@ -41,8 +42,8 @@ def run_staging(
 ) -> DataFrame:
     """Land the next window of every package of a suite; returns this run's log rows.
 
-    ``sources`` maps the control rows' source tables to lazy DataFrames, from files
-    or from JDBC. A window that ends after ``as_of`` is not complete yet: its
+    ``sources`` maps the control rows' source tables to DataFrames, or to functions
+    that open one for a time range, as ``jdbc_window_read`` does. A window that ends after ``as_of`` is not complete yet: its
     package is closed for this run. Packages that share a source table are read in
     one pass; when that pass fails they are run in halves, so that the failure is logged
     for the packages it belongs to and the others go on.
@@ -69,10 +70,13 @@ def run_staging(
         )
         .collect()
     )
-    total = sum(group["packages"] for group in groups)
+    if groups:
+        listed = _package_lists(run, due)
+    else:
+        listed = run.manager("Log Staging Manage Package Count: 0", "Package List Empty")
     run.write(
         begin,
-        run.manager(f"Log Staging Manage Package Count: {total}"),
+        listed,
         run.packages(waiting.select(*WINDOW), "Log Staging Execution Has Closed"),
         run.packages(due.select(*WINDOW), "Log Staging Execution Starting"),
     )
@@ -96,12 +100,22 @@ def run_staging(
     return run.rows()
 
 
+def _package_lists(run: RunLog, due: DataFrame) -> DataFrame:
+    """A manager row per suite with the number and the ids of its due packages."""
+    lists = package_list(due, ",").withColumns({"control_id": F.lit(-1), "job_id": F.lit(-1)})
+    count = F.concat(
+        F.lit("Log Staging Manage Package Count: "), F.col("package_count").cast("string")
+    )
+    ids = F.concat(F.lit("List Of Staging Control ID: ["), F.col("package_list"), F.lit("]"))
+    return run.packages(lists, count, ids)
+
+
 def _literal(value: object):
     return F.array(*[F.lit(part) for part in value]) if isinstance(value, list) else F.lit(value)
 
 
 def _stage_apart(
-    run: RunLog, sources: Mapping[str, DataFrame], group: Row, members: DataFrame, ids: Sequence[int]
+    run: RunLog, sources: Sources, group: Row, members: DataFrame, ids: Sequence[int]
 ) -> None:
     """Stage the packages of a failed pass in halves, down to the ones that fail alone.
 
@@ -119,12 +133,15 @@ def _stage_apart(
 
 
 def _stage_shared(
-    run: RunLog, sources: Mapping[str, DataFrame], group: Row, members: DataFrame
+    run: RunLog, sources: Sources, group: Row, members: DataFrame
 ) -> None:
     if group["source_type"] not in SOURCE_TYPES:
         raise ValueError(f"unknown source type {group['source_type']!r}; known: {SOURCE_TYPES}")
     name = group["source_table"]
-    source = project_columns(sources[name], group["source_columns"])
+    source = sources[name]
+    if not isinstance(source, DataFrame):
+        source = source(group["first"], group["last"])
+    source = project_columns(source, group["source_columns"])
     windows = members.select("control_id", "window_start", "window_end", "job_id")
     if group["source_key"] is not None:
         span = Span(group["first"], group["last"], group["bytes"])

@@ -69,9 +69,11 @@ def run_summary(
         by_package.setdefault(row["package_name"], []).append(row)
     closed = runs.where("status = 'C'")
     due_rows = [row for rows in by_package.values() for row in rows]
+    ids = ";".join(str(rows[0]["control_id"]) for rows in by_package.values())
+    listed = f"List SummaryControlID = [{ids}]" if ids else "Package List Empty"
     run.write(
         begin,
-        run.manager(f"Log Summary Manage Package Count: {len(by_package)}"),
+        run.manager(f"Log Summary Manage Package Count: {len(by_package)}", listed),
         run.packages(closed, "Log Summary Execution Has Been Completed", F.col("reason")),
         run.packages(_jobs(warehouse, due_rows), "Log Summary Execution Starting"),
     )
