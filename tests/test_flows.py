@@ -179,20 +179,28 @@ class TestSummary:
         stage(warehouse, both, events, suite="T1")
         tables = {"events": derive.with_feed(events)}
         log = run_summary(warehouse, both, tables)
-        assert {(c, s) for c, s in status(log)} == {(1001, "completed")}
+        # Nothing of the other suites was ever staged.
+        others = {(1000 + i, "closed") for i in (0, 2, 3)}
+        assert status(log) == {(1001, "completed")} | others
         assert warehouse.enriched("summary_T1").select("n").first()["n"] > 0
         with pytest.raises(ValueError, match="no data"):
             warehouse.enriched("summary_T2")
         again = run_summary(warehouse, both, tables)
-        assert status(again) == set()
+        assert status(again) == others
 
     def test_closed_suites_are_logged_with_the_reason(self, spark, events, control):
         warehouse = new(spark)
         both = control.unionByName(derive.summary_control(spark, SQL))
         stage(warehouse, both, events, suite="T1")
         stage(warehouse, both.where("control_id <> 5"), events, suite="T1")
-        log = run_summary(warehouse, both, {"events": derive.with_feed(events)})
-        assert status(log) == {(1001, "closed")}
+        orphan = both.where("control_id = 1001").withColumns(
+            {"control_id": F.lit(2000).cast("long"), "suite_code": F.lit("T9")}
+        )
+        tables = {"events": derive.with_feed(events)}
+        log = run_summary(warehouse, both.unionByName(orphan), tables)
+        assert status(log) == {(c, "closed") for c in (1000, 1001, 1002, 1003, 2000)}
+        assert "no package" in log.where("control_id = 2000").first()["message"]
+        assert "staged 0" in log.where("control_id = 1002").first()["message"]
         assert "staged 3" in log.where("control_id = 1001").first()["message"]
 
     def test_a_failing_query_is_logged(self, spark, events, control):

@@ -60,6 +60,11 @@ def test_due_window_bounds_reach_the_scan(events):
     assert "GreaterThanOrEqual(ts," in plan(due_window_read(events, _windows(events), "user_id", "ts"))
 
 
+def test_source_columns_may_not_take_a_batch_column_s_name(events):
+    with pytest.raises(ValueError, match=r"rename the source columns \['window_start'\]"):
+        due_window_read(events.withColumn("window_start", F.col("ts")), _windows(events), "user_id", "ts")
+
+
 def test_no_window_is_due(events):
     none = _windows(events).where(F.lit(False))
     assert due_window_read(events, none, "user_id", "ts").count() == 0

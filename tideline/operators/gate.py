@@ -52,7 +52,7 @@ def readiness_gate(control: DataFrame, log: DataFrame, daily: bool = False) -> D
 
 
 def _log_days(required: DataFrame, log: DataFrame) -> DataFrame:
-    """The required packages with the first and last log date of their suite."""
+    """The required packages with the first and last log date of their suite, if it has any."""
     per_package = log.groupBy("control_id").agg(
         F.to_date(F.min("log_time")).alias("first"), F.to_date(F.max("log_time")).alias("last")
     )
@@ -61,7 +61,7 @@ def _log_days(required: DataFrame, log: DataFrame) -> DataFrame:
         .groupBy("suite_code")
         .agg(F.min("first").alias("first"), F.max("last").alias("last"))
     )
-    return required.join(per_suite, "suite_code")
+    return required.join(per_suite, "suite_code", "left")
 
 
 def _frontier_by_day(days: DataFrame, reached: DataFrame) -> DataFrame:

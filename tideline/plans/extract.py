@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tideline.functions.local import small_frame
 from tideline.functions.sizing import materialize_measured
 from tideline.operators.control import of_suite, pending_batches
+from tideline.plans import messages as text
 from tideline.plans.runs import RunLog, side_by_side
 from tideline.sinks.log import LOG_SCHEMA
 from tideline.sources.layers import NoData, Warehouse
@@ -35,16 +36,16 @@ def run_extract(
     changes nothing.
     """
     run = RunLog(warehouse, "ext", suite)
-    begin = run.manager("Log Extract Manage Start")
+    begin = run.manager(text.EXTRACT_START)
     packages = of_suite(control.where(F.col("layer") == "ext"), suite).collect()
     names = ";".join(package["package_name"] for package in packages)
-    count = f"Log Extract Manage Package Count: {len(packages)}"
+    count = f"{text.EXTRACT_COUNT}{len(packages)}"
     jobs = {package["package_name"]: uuid.uuid4().int >> 65 for package in packages}
     starting = [
-        run.packages(_job(warehouse, package, jobs), "Log Extract Execution Starting")
+        run.packages(_job(warehouse, package, jobs), text.EXTRACT_PACKAGE_START)
         for package in packages
     ]
-    listed = f"List Extract Package: [{names}]" if packages else "Package List Empty"
+    listed = f"List Extract Package: [{names}]" if packages else text.EMPTY_LIST
     run.write(begin, run.manager(count, listed), *starting)
     staging = control.where(F.col("layer") == "raw").select("control_id", "source_table")
 
@@ -53,13 +54,13 @@ def run_extract(
         try:
             _extract(warehouse, run, package, staging, job)
         except NoData as error:
-            run.write(run.packages(job, "Log Extract Execution Has Closed", F.lit(str(error))))
+            run.write(run.packages(job, text.EXTRACT_PACKAGE_CLOSED, F.lit(str(error))))
         except Exception as error:
             message = F.lit(f"ERR: {error}")
-            run.write(run.packages(job, "Log Extract Execution Has ERROR", message, 0, 1))
+            run.write(run.packages(job, text.EXTRACT_PACKAGE_ERROR, message, 0, 1))
 
-    side_by_side(extract, packages, parallel)
-    run.write(run.manager("Log Extract Manage Has Been Completed"))
+    side_by_side(warehouse.spark, extract, packages, parallel)
+    run.write(run.manager(text.EXTRACT_END))
     return run.rows()
 
 
@@ -87,7 +88,7 @@ def _extract(
     )
     if seen["first"] is None:
         message = F.lit("no batch is pending")
-        run.write(run.packages(job, "Log Extract Execution Has Closed", message))
+        run.write(run.packages(job, text.EXTRACT_PACKAGE_CLOSED, message))
         return
     # The key range goes to the scan as literals and prunes the batch folders.
     raw = partition_range_read(warehouse.raw(table), seen["first"], seen["last"], "window_key")
@@ -104,6 +105,6 @@ def _extract(
     message = F.lit(f"OK: version {merged.version}")
     done = job.withColumn("row_inserted", F.lit(merged.source_rows))
     run.write(
-        run.packages(batches, "Log Extract Execution Batch Has Been Completed", message, 1, 1),
-        run.packages(done, "Log Extract Execution Has Been Completed", message, 1, 1),
+        run.packages(batches, text.EXTRACT_BATCH_DONE, message, 1, 1),
+        run.packages(done, text.EXTRACT_PACKAGE_DONE, message, 1, 1),
     )

@@ -8,7 +8,8 @@ from datetime import datetime, timezone
 from functools import reduce
 from typing import TypeVar
 
-from pyspark.sql import Column, DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.sinks.log import conform_log, log_rows
@@ -70,11 +71,11 @@ class RunLog:
             f"{success} as success_flag",
             f"{complete} as complete_flag",
         ]
-        text = {
+        words = {
             "message_source": F.lit(source) if isinstance(source, str) else source,
             "message": F.lit("") if message is None else message,
         }
-        return conform_log(rows.withColumns(text).selectExpr(*ids, *own, *text))
+        return conform_log(rows.withColumns(words).selectExpr(*ids, *own, *words))
 
     def manager(self, source: str, message: str = "") -> dict[str, object]:
         """A log row about the run itself; it has no package and no job."""
@@ -112,8 +113,12 @@ def _literal(moment: datetime) -> str:
     return f"timestamp_ntz'{moment.isoformat(sep=' ', timespec='microseconds')}'"
 
 
-def side_by_side(work: Callable[[Item], None], items: Iterable[Item], parallel: int) -> None:
+def side_by_side(
+    spark: SparkSession, work: Callable[[Item], None], items: Iterable[Item], parallel: int
+) -> None:
     """Run ``work`` for each item from a few threads, so that small packages share the cluster."""
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        for done in [pool.submit(work, item) for item in items]:
+        # Job groups, pools and tags that the caller set hold in the threads as well.
+        target = inheritable_thread_target(spark)(work)
+        for done in [pool.submit(target, item) for item in items]:
             done.result()

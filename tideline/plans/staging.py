@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tideline.functions.keys import window_key
 from tideline.functions.sizing import materialize
 from tideline.operators.control import due_packages, landed_counts, package_list
+from tideline.plans import messages as text
 from tideline.plans.runs import RunLog, new_job_id, side_by_side
 from tideline.sinks.partitions import land_raw
 from tideline.sources.jdbc import DRIVERS
@@ -52,7 +53,7 @@ def run_staging(
     log. A run that dies between the two lands the same window again, in place.
     """
     run = RunLog(warehouse, "raw", suite)
-    begin = run.manager("Log Staging Manage Starting", f"Suite {suite}")
+    begin = run.manager(text.STAGING_START, f"Suite {suite}")
     packages = control.where(F.col("layer") == "raw")
     due = due_packages(packages, warehouse.log(), step, default_start, suite).withColumn(
         "job_id", new_job_id(run.started, F.col("control_id"), F.col("window_start"))
@@ -73,12 +74,12 @@ def run_staging(
     if groups:
         listed = _package_lists(run, due)
     else:
-        listed = run.manager("Log Staging Manage Package Count: 0", "Package List Empty")
+        listed = run.manager(text.STAGING_COUNT + "0", text.EMPTY_LIST)
     run.write(
         begin,
         listed,
-        run.packages(waiting.select(*WINDOW), "Log Staging Execution Has Closed"),
-        run.packages(due.select(*WINDOW), "Log Staging Execution Starting"),
+        run.packages(waiting.select(*WINDOW), text.STAGING_PACKAGE_CLOSED),
+        run.packages(due.select(*WINDOW), text.STAGING_PACKAGE_START),
     )
 
     def stage(group: Row) -> None:
@@ -95,8 +96,8 @@ def run_staging(
                 ids = [row[0] for row in members.select("control_id").collect()]
                 _stage_apart(run, sources, group, members, ids)
 
-    side_by_side(stage, groups, parallel)
-    run.write(run.manager("Log Staging Manage Has Been Completed"))
+    side_by_side(warehouse.spark, stage, groups, parallel)
+    run.write(run.manager(text.STAGING_END))
     return run.rows()
 
 
@@ -104,7 +105,7 @@ def _package_lists(run: RunLog, due: DataFrame) -> DataFrame:
     """A manager row per suite with the number and the ids of its due packages."""
     lists = package_list(due, ",").withColumns({"control_id": F.lit(-1), "job_id": F.lit(-1)})
     count = F.concat(
-        F.lit("Log Staging Manage Package Count: "), F.col("package_count").cast("string")
+        F.lit(text.STAGING_COUNT), F.col("package_count").cast("string")
     )
     ids = F.concat(F.lit("List Of Staging Control ID: ["), F.col("package_list"), F.lit("]"))
     return run.packages(lists, count, ids)
@@ -159,7 +160,7 @@ def _stage_shared(
         .withColumn("next_start", F.col("window_end"))
     )
     message = F.concat(F.lit(f"OK: {name}: "), F.col("window_end").cast("string"))
-    run.write(run.packages(done, "Log Staging Execution Has Been Completed", message, 1, 1))
+    run.write(run.packages(done, text.STAGING_PACKAGE_DONE, message, 1, 1))
 
 
 def _own_window_read(source: DataFrame, windows: DataFrame, group: Row) -> DataFrame:
@@ -181,5 +182,5 @@ def _own_window_read(source: DataFrame, windows: DataFrame, group: Row) -> DataF
 def _failed(run: RunLog, members: DataFrame, error: Exception) -> None:
     message = F.lit(f"ERR: {error}")
     run.write(
-        run.packages(members.select(*WINDOW), "Log Staging Execution Has ERROR: ", message, 0, 1)
+        run.packages(members.select(*WINDOW), text.STAGING_PACKAGE_ERROR, message, 0, 1)
     )

@@ -14,6 +14,7 @@ from tideline.functions.local import small_frame
 from tideline.functions.sizing import materialize
 from tideline.operators.control import of_suite
 from tideline.operators.gate import readiness_gate
+from tideline.plans import messages as text
 from tideline.plans.enrich import enrich
 from tideline.plans.runs import RunLog, new_job_id, side_by_side
 from tideline.sinks.partitions import replace_partitions
@@ -47,13 +48,16 @@ def run_summary(
     ``tables`` that is partitioned by month is read for the months of the run only.
     """
     run = RunLog(warehouse, "enrich", suite)
-    begin = run.manager("Log Summary Manage Start", f"SuiteCode: {suite}")
+    begin = run.manager(text.SUMMARY_START, f"SuiteCode: {suite}")
     required = control.where(F.col("layer") == "raw")
     staging = warehouse.log() if log is None else log
     gate = of_suite(readiness_gate(required, staging, daily), suite)
     packages = of_suite(control.where(F.col("layer") == "enrich"), suite)
     runs = packages.select("control_id", "package_name", "suite_code", "enrich_query").join(
-        gate, "suite_code"
+        gate, "suite_code", "left"
+    )
+    runs = runs.withColumn("status", F.coalesce("status", F.lit("C"))).withColumn(
+        "reason", F.when(F.col("status") == "C", F.coalesce("reason", F.lit(text.NO_PACKAGE)))
     )
     start, end = F.col("summary_start_date"), F.col("summary_end_date")
     runs = runs.select(
@@ -70,12 +74,12 @@ def run_summary(
     closed = runs.where("status = 'C'")
     due_rows = [row for rows in by_package.values() for row in rows]
     ids = ";".join(str(rows[0]["control_id"]) for rows in by_package.values())
-    listed = f"List SummaryControlID = [{ids}]" if ids else "Package List Empty"
+    listed = f"List SummaryControlID = [{ids}]" if ids else text.EMPTY_LIST
     run.write(
         begin,
-        run.manager(f"Log Summary Manage Package Count: {len(by_package)}", listed),
-        run.packages(closed, "Log Summary Execution Has Been Completed", F.col("reason")),
-        run.packages(_jobs(warehouse, due_rows), "Log Summary Execution Starting"),
+        run.manager(f"{text.SUMMARY_COUNT}{len(by_package)}", listed),
+        run.packages(closed, text.SUMMARY_PACKAGE_CLOSED, F.col("reason")),
+        run.packages(_jobs(warehouse, due_rows), text.SUMMARY_PACKAGE_START),
     )
 
     def summarise(rows: Sequence[Row]) -> None:
@@ -85,13 +89,13 @@ def run_summary(
             if len(rows) == 1:
                 message = F.lit(f"ERR: {error}")
                 jobs = _jobs(warehouse, rows)
-                run.write(run.packages(jobs, "Log Summary Execution Has ERROR: ", message, 0, 1))
+                run.write(run.packages(jobs, text.SUMMARY_PACKAGE_ERROR, message, 0, 1))
             else:
                 for row in rows:
                     summarise([row])
 
-    side_by_side(summarise, by_package.values(), parallel)
-    run.write(run.manager("Log Summary Manage Has Been Completed"))
+    side_by_side(warehouse.spark, summarise, by_package.values(), parallel)
+    run.write(run.manager(text.SUMMARY_END))
     return run.rows()
 
 
@@ -148,7 +152,7 @@ def _summarise(
     path = warehouse.path("enrich", name)
     replace_partitions(result, path, SUMMARY_PARTITIONS, scope, "summary_job_id")
     jobs = _jobs(warehouse, rows)
-    run.write(run.packages(jobs, f"Log Summary Execution Enrich {name} Completed", F.lit("OK:"), 1, 1))
+    run.write(run.packages(jobs, text.SUMMARY_PACKAGE_DONE, F.lit("OK:"), 1, 1))
 
 
 def _months(table: DataFrame | KeyedTable, row: Row) -> DataFrame:

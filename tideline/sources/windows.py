@@ -65,6 +65,9 @@ def due_window_read(
     is not shuffled; above it both sides meet by key and AQE splits the partitions
     of a hot package.
     """
+    taken = (set(df.columns) & set(windows.columns)) - ({"control_id"} if key == "control_id" else set())
+    if taken:
+        raise ValueError(f"rename the source columns {sorted(taken)}: batches carry these names")
     if span is None:
         windows, seen = materialize_measured(windows, "windows", **Span.measures(windows.schema))
         span = Span(seen["first"], seen["last"], seen["bytes"] or 0)
@@ -79,7 +82,7 @@ def due_window_read(
         & (ts >= F.col("due.window_start"))
         & (ts < F.col("due.window_end"))
     )
-    carried = [F.col(f"due.{name}") for name in windows.columns if name not in df.columns]
+    carried = [F.col(f"due.{name}") for name in windows.columns if name != key]
     if span.bytes <= limit:
         due = F.broadcast(due)
     return source.join(due, matches, "inner").select(
