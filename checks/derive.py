@@ -104,7 +104,7 @@ def feed_control(events: DataFrame) -> DataFrame:
     return control_rows(
         feeds.distinct(),
         layer="raw",
-        package_name="events_feed",
+        package_name="events",
         source_type="PARQUET",
         source_table="events",
         source_key="feed_id",

@@ -159,6 +159,12 @@ FROM feeds GROUP BY 1, 2, 3""",
        CAST(CASE WHEN strftime(o_orderdate, '%Y%m') BETWEEN '199601' AND '199603'
             THEN 2 ELSE 1 END AS BIGINT) AS summary_job_id
 FROM orders GROUP BY strftime(o_orderdate, '%Y%m'), o_orderstatus""",
+    "append_log": f"""WITH {USER_LOG}
+SELECT log_id, log_time, control_id, job_id, success_flag, complete_flag, message_source, message,
+       suite_code, window_start, window_end FROM log""",
+    "open_table": """SELECT o.o_orderkey, strftime(o.o_orderdate, '%Y%m') AS partition_key,
+       c.c_name, c.c_mktsegment
+FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey""",
     "partition_key": "SELECT o_orderkey, strftime(o_orderdate, '%Y%m') AS partition_key FROM orders",
     "result_class": """SELECT event_id AS log_id,
        CASE WHEN event_type = 'error' THEN 'error' ELSE 'complete' END AS result FROM events""",

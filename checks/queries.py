@@ -31,6 +31,7 @@ from tideline.sources import (
     NoData,
     Warehouse,
     due_window_read,
+    open_table,
     partition_range_read,
     project_columns,
     staged_batch_read,
@@ -188,6 +189,33 @@ def q_write_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.withColumn("partition_key", F.col("partition_key").cast("string"))
 
 
+@query
+def q_append_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log written by two appends, as a run writes its begin and its end."""
+    warehouse = _warehouse(spark)
+    log = derive.user_log(_events(spark, sf_dir))
+    for complete in (0, 1):
+        warehouse.append_log(log.where(F.col("complete_flag") == complete))
+    return warehouse.log().drop(
+        "layer", "package_name", "start_time", "message_type", "row_inserted", "next_start"
+    )
+
+
+@query
+def q_open_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as an ext table, orders as an enrich table, opened by layer and name."""
+    warehouse = _warehouse(spark)
+    customers = derive.table(spark, sf_dir, "customer")
+    warehouse.ext("customer", ["c_custkey"]).merge(customers, ["c_name"])
+    orders = _keyed_orders(spark, sf_dir)
+    write_enriched(orders, warehouse.path("enrich", "orders"), 1, "199501", "200108")
+    stored = open_table(spark, "ext", "customer", warehouse.root, keys=["c_custkey"])
+    by_month = open_table(spark, "enrich", "orders", warehouse.root)
+    return by_month.join(stored, by_month.o_custkey == stored.c_custkey).select(
+        "o_orderkey", "partition_key", "c_name", "c_mktsegment"
+    )
+
+
 # -- scalar expressions
 
 

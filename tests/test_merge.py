@@ -178,6 +178,7 @@ class TestMonthTable:
     @pytest.fixture
     def orders(self, spark, sf):
         orders = spark.read.parquet(f"{sf}/orders.parquet")
+        orders = orders.where("o_orderdate < '1996-07-01'")
         return orders.withColumn("partition_key", F.date_format("o_orderdate", "yyyyMM"))
 
     def table(self, spark):

@@ -47,7 +47,7 @@ def run_extract(
     ]
     listed = f"List Extract Package: [{names}]" if packages else text.EMPTY_LIST
     run.write(begin, run.manager(count, listed), *starting)
-    staging = control.where(F.col("layer") == "raw").select("control_id", "source_table")
+    staging = control.where(F.col("layer") == "raw").select("control_id", "package_name")
 
     def extract(package: Row) -> None:
         job = _job(warehouse, package, jobs)
@@ -80,7 +80,7 @@ def _extract(
     warehouse: Warehouse, run: RunLog, package: Row, staging: DataFrame, job: DataFrame
 ) -> None:
     name, table = package["package_name"], package["source_table"]
-    feeding = staging.where(F.col("source_table") == table)
+    feeding = staging.where(F.col("package_name") == table)
     pending = pending_batches(warehouse.log(), name).join(feeding, "control_id", "left_semi")
     # Written, because the log it was computed from is about to change.
     pending, seen = materialize_measured(

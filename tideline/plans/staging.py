@@ -26,8 +26,15 @@ from tideline.sources.windows import (
 
 Sources = Mapping[str, DataFrame | Callable[[object, object], DataFrame]]
 SOURCE_TYPES = (*DRIVERS, "PARQUET")
-# What packages must have in common to be read in one pass.
-SHARED = ("source_type", "source_table", "source_columns", "source_key", "source_time")
+# What packages must have in common to be read in one pass; the name is the raw table's.
+SHARED = (
+    "package_name",
+    "source_type",
+    "source_table",
+    "source_columns",
+    "source_key",
+    "source_time",
+)
 WINDOW = ("control_id", "package_name", "suite_code", "job_id", "window_start", "window_end")
 
 
@@ -88,13 +95,19 @@ def run_staging(
             # Lists and nulls are compared as they are.
             members = members.where(F.col(name).eqNullSafe(_literal(group[name])))
         try:
-            _stage_shared(run, sources, group, members)
+            source = _open(sources, group)
+        except Exception as error:
+            # No package can do better with a source that does not open.
+            _failed(run, members, error)
+            return
+        try:
+            _stage_shared(run, source, group, members)
         except Exception as error:
             if group["packages"] == 1:
                 _failed(run, members, error)
             else:
                 ids = [row[0] for row in members.select("control_id").collect()]
-                _stage_apart(run, sources, group, members, ids)
+                _stage_apart(run, source, group, members, ids)
 
     side_by_side(warehouse.spark, stage, groups, parallel)
     run.write(run.manager(text.STAGING_END))
@@ -104,9 +117,7 @@ def run_staging(
 def _package_lists(run: RunLog, due: DataFrame) -> DataFrame:
     """A manager row per suite with the number and the ids of its due packages."""
     lists = package_list(due, ",").withColumns({"control_id": F.lit(-1), "job_id": F.lit(-1)})
-    count = F.concat(
-        F.lit(text.STAGING_COUNT), F.col("package_count").cast("string")
-    )
+    count = F.concat(F.lit(text.STAGING_COUNT), F.col("package_count").cast("string"))
     ids = F.concat(F.lit("List Of Staging Control ID: ["), F.col("package_list"), F.lit("]"))
     return run.packages(lists, count, ids)
 
@@ -115,8 +126,17 @@ def _literal(value: object):
     return F.array(*[F.lit(part) for part in value]) if isinstance(value, list) else F.lit(value)
 
 
+def _open(sources: Sources, group: Row) -> DataFrame:
+    if group["source_type"] not in SOURCE_TYPES:
+        raise ValueError(f"unknown source type {group['source_type']!r}; known: {SOURCE_TYPES}")
+    source = sources[group["source_table"]]
+    if not isinstance(source, DataFrame):
+        source = source(group["first"], group["last"])
+    return project_columns(source, group["source_columns"])
+
+
 def _stage_apart(
-    run: RunLog, sources: Sources, group: Row, members: DataFrame, ids: Sequence[int]
+    run: RunLog, source: DataFrame, group: Row, members: DataFrame, ids: Sequence[int]
 ) -> None:
     """Stage the packages of a failed pass in halves, down to the ones that fail alone.
 
@@ -125,24 +145,16 @@ def _stage_apart(
     for half in (ids[: len(ids) // 2], ids[len(ids) // 2 :]):
         part = members.where(F.col("control_id").isin(half))
         try:
-            _stage_shared(run, sources, group, part)
+            _stage_shared(run, source, group, part)
         except Exception as error:
             if len(half) == 1:
                 _failed(run, part, error)
             else:
-                _stage_apart(run, sources, group, part, half)
+                _stage_apart(run, source, group, part, half)
 
 
-def _stage_shared(
-    run: RunLog, sources: Sources, group: Row, members: DataFrame
-) -> None:
-    if group["source_type"] not in SOURCE_TYPES:
-        raise ValueError(f"unknown source type {group['source_type']!r}; known: {SOURCE_TYPES}")
-    name = group["source_table"]
-    source = sources[name]
-    if not isinstance(source, DataFrame):
-        source = source(group["first"], group["last"])
-    source = project_columns(source, group["source_columns"])
+def _stage_shared(run: RunLog, source: DataFrame, group: Row, members: DataFrame) -> None:
+    name = group["package_name"]
     windows = members.select("control_id", "window_start", "window_end", "job_id")
     if group["source_key"] is not None:
         span = Span(group["first"], group["last"], group["bytes"])
