@@ -68,6 +68,14 @@ def test_months_outside_the_range_keep_their_rows(spark, tmp_path):
     assert rows(got) == [("202312", 1, 1), ("202401", 2, 2)]
 
 
+def test_stale_partitions_are_found_under_any_name(spark, tmp_path):
+    path, by = str(tmp_path / "enrich"), ("partition_key", "suite")
+    table = spark.sql("select '202401' as partition_key, s as suite from values (' a/b: {1}'), ('c') as t(s)")
+    write_enriched(table.withColumn("n", F.lit(1)), path, 1, "202401", "202401", by)
+    write_enriched(table.where("suite = 'c'").withColumn("n", F.lit(2)), path, 2, "202401", "202401", by)
+    assert rows(spark.read.parquet(path).select("suite", "n")) == [("c", 2)]
+
+
 def test_log_rows_are_typed_and_stored_as_given(spark, tmp_path):
     path = str(tmp_path / "log")
     text = "it's 'quoted'; -- and \"so\" on"

@@ -1,4 +1,4 @@
-from tideline.functions.keys import partition_key, window_key
+from tideline.functions.keys import folder_name, partition_key, window_key
 from tideline.functions.results import is_error_row, result_class
 from tideline.functions.sizing import (
     BROADCAST_BYTES,
@@ -9,6 +9,7 @@ from tideline.functions.sizing import (
 
 __all__ = [
     "BROADCAST_BYTES",
+    "folder_name",
     "is_error_row",
     "materialize",
     "materialize_measured",

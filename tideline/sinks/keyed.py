@@ -13,7 +13,6 @@ One writer per table at a time, as one flow feeds each table.
 from __future__ import annotations
 
 import json
-import re
 import uuid
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
@@ -23,6 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.functions.keys import folder_name
 from tideline.functions.local import small_frame
 from tideline.functions.sizing import BROADCAST_BYTES, materialize_measured
 from tideline.operators.merge import conform, dedupe_latest, matched_rows, merge, unmatched
@@ -45,17 +45,13 @@ PUBLISHED = T.StructType(
 )
 
 
-# Partition values become folder names as they are.
-PLAIN_PART = re.compile(r"[A-Za-z0-9_-]+")
-
-
 class Cell(NamedTuple):
     part: str | None
     bucket: int
 
     def folder(self) -> str:
         bucket = f"_bucket={self.bucket}"
-        return bucket if self.part is None else f"_part={self.part}/{bucket}"
+        return bucket if self.part is None else f"_part={folder_name(self.part)}/{bucket}"
 
 
 class Merged(NamedTuple):
@@ -177,9 +173,8 @@ class KeyedTable:
             return Merged(version, 0, 0, False)
         small = seen["bytes"] <= limit
         touched = {Cell(*row) for row in latest.select(*self._cell()).distinct().collect()}
-        for cell in touched:
-            if self.part_by and not PLAIN_PART.fullmatch(cell.part or ""):
-                raise ValueError(f"{cell.part!r} cannot name a partition")
+        if self.part_by is not None and not all(cell.part for cell in touched):
+            raise ValueError(f"{self.part_by!r} is empty in some rows and partitions the table")
         old = {Cell(row["part"], row["bucket"]): row for row in live}
         directories = [r["directory"] for r in live if Cell(r["part"], r["bucket"]) in touched]
         append = matched == "ignore"

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.functions.keys import window_key
+from tideline.functions.keys import folder_name, window_key
 from tideline.functions.local import small_frame
 
 RAW_PARTITIONS = ("control_id", "window_key")
@@ -50,7 +50,7 @@ def replace_partitions(
     keys = [name for name in by if name in scope.columns]
     table = _spanned(ensure_table(spark, path, df.schema, by), keys, scope)
     for row in _stale_partitions(table, by, keys, scope, job_col):
-        directory = "/".join([path, *[f"{name}={row[name]}" for name in by]])
+        directory = "/".join([path, *[f"{name}={folder_name(row[name])}" for name in by]])
         nothing.write.mode("overwrite").parquet(directory)
     return table
 
