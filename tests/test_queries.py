@@ -7,9 +7,8 @@ import pytest
 
 import __spark_entry__
 from checks.compare import TABLES, rows_of
-
-QUERIES = __spark_entry__.queries()
-ORACLES = __spark_entry__.oracle_sql()
+from checks.oracles import ORACLES
+from checks.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +21,8 @@ def database(sf):
 
 def test_every_query_has_its_sql():
     assert sorted(QUERIES) == sorted(ORACLES)
+    assert set(QUERIES) <= set(__spark_entry__.queries())
+    assert set(ORACLES) <= set(__spark_entry__.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
