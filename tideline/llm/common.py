@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import zipfile
 from functools import lru_cache
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.session import scratch_path
@@ -15,6 +18,23 @@ from tideline.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, for workers that lack it."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    _shipped.add(application)
+    package = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="tideline-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(target))
+
+
 def save(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once below the shared folder and read it back.
 
