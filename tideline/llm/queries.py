@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tideline.llm.common import ship
 from tideline.llm.exact import DigestIndex
 from tideline.llm.packing import pack
+from tideline.llm.quality import classify
 from tideline.llm.rules import quality_rules
 from tideline.llm.tokens import count_tokens
 from tideline.llm.urls import url_verdicts
@@ -67,6 +68,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).drop("lang")
 
 
+@query
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored, _ = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.withColumnRenamed("id", "doc_id")
+
+
 @query
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as one batch into a new index."""
