@@ -15,6 +15,7 @@ from tideline.llm.quality import classify
 from tideline.llm.rules import quality_rules
 from tideline.llm.tokens import count_tokens
 from tideline.llm.urls import url_verdicts
+from tideline.llm.warc import read_packages, write_packages
 from tideline.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +44,34 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as packages and read back from them."""
+    packages = write_packages(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return read_packages(packages).select(
+        F.col("id").cast("bigint").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
+LLM_ORACLES["op1_warc"] = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload FROM pages
+), firsts AS (
+  SELECT page_id, strlen(payload) AS payload_bytes, sha256(payload) AS payload_digest,
+         min(page_id) OVER (PARTITION BY payload) AS first
+  FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM firsts
+"""
+
+
 @query
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
