@@ -13,6 +13,7 @@ from tideline.llm.exact import DigestIndex
 from tideline.llm.packing import pack
 from tideline.llm.quality import classify
 from tideline.llm.rules import quality_rules
+from tideline.llm.secret_scan import BASE, by_position, of_kind, scan_secrets, span_text
 from tideline.llm.tokens import count_tokens
 from tideline.llm.urls import url_verdicts
 from tideline.llm.warc import read_packages, write_packages
@@ -164,3 +165,17 @@ WITH rules(rule_host, rule_path, rule_verdict) AS (
 )
 SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') AS verdict FROM best
 """
+
+
+@query
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [
+        F.size(of_kind(F.col("base"), kind)).cast("bigint").alias(f"n_{kind}") for kind, _ in BASE
+    ]
+    return spans.select(
+        "doc_id",
+        *counts,
+        F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),
+        span_text(by_position(F.col("base"), F.col("random"))).alias("spans"),
+    )
