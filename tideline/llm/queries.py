@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tideline.llm.common import ship
 from tideline.llm.exact import DigestIndex
+from tideline.llm.mixing import mix_sources
 from tideline.llm.packing import pack
 from tideline.llm.quality import classify
 from tideline.llm.rules import quality_rules
@@ -93,6 +94,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, mixed to nine tenths of the largest entropy; none is left out."""
+    return mix_sources(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).drop("lang")
