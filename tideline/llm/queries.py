@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tideline.llm.common import ship
 from tideline.llm.exact import DigestIndex
 from tideline.llm.mixing import mix_sources
+from tideline.llm.neardup import Join, near_duplicates
 from tideline.llm.packing import pack
 from tideline.llm.quality import classify
 from tideline.llm.rules import quality_rules
@@ -111,6 +112,13 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumnRenamed("id", "doc_id")
 
 
+@query
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents linked by four-word shingles at a similarity of 0.8."""
+    found = near_duplicates(table(spark, sf_dir, "documents"), join=Join(words=4))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
 @query
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as one batch into a new index."""
