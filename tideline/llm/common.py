@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
 
@@ -59,6 +60,13 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in small slices: what Python makes of one at a time stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def raw_bytes(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of a string column."""
     return column.cast(pa.binary()).to_pylist()
@@ -89,20 +97,43 @@ WORD_BPE_PIECES = re.compile(
 )
 
 
+@lru_cache(maxsize=1)
+def _byte_characters() -> dict[int, int]:
+    """The character that byte-level vocabularies write for each byte: itself where it prints, else
+    the next unused one from 256 on."""
+    prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in prints]
+    return {b: 256 + i for i, b in enumerate(others)}
+
+
+def piece_tokens(piece: str, path: str) -> list:
+    """The tokens of one pre-token, from the tokenizer's model alone: what comes before the model
+    leaves a pre-token as it is, and costs several times as much."""
+    if not (piece.isascii() and piece.isalnum()):
+        piece = piece.encode().decode("latin-1").translate(_byte_characters())
+    return tokenizer(path).model.tokenize(piece)
+
+
 class PieceCache(dict):
     """What a tokenizer makes of a pre-token; misses are encoded and kept.
 
-    It starts over when it holds ``limit`` pre-tokens, so that a worker's memory is bounded
-    whatever the corpus holds. That costs time and never changes a result.
+    When it holds ``limit`` pre-tokens besides the ``first`` ones, they become the older
+    generation, from which those still in use are taken over, and the one before is dropped. So a
+    worker's memory is bounded whatever the corpus holds. That costs time and never changes a result.
     """
 
     def __init__(self, encode, limit: int, first: dict | None = None):
         super().__init__(first or {})
-        self._encode, self._limit, self._first = encode, limit, first or {}
+        self._encode, self._first, self._older = encode, first or {}, {}
+        self._limit = limit + len(self._first)
 
     def __missing__(self, piece: str):
-        if len(self) >= self._limit + len(self._first):
+        if len(self) >= self._limit:
+            self._older = dict(self)
             self.clear()
             self.update(self._first)
-        made = self[piece] = self._encode(piece)
+        made = self._older.get(piece)
+        if made is None:
+            made = self._encode(piece)
+        self[piece] = made
         return made

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -11,21 +12,26 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import UNSURE, WORD_BPE_PIECES, PieceCache, fresh, save, text_of, tokenizer
+from tideline.llm.common import UNSURE, WORD_BPE_PIECES, PieceCache, piece_tokens, save, slices, text_of, tokenizer
 
 SEQUENCE = 2048
 # Pre-tokens that a worker keeps the ids of.
-CACHED = 400_000
+CACHED = 300_000
 # Hash buckets of a document's vector, curve dimensions and bits for each.
 BUCKETS, DIMENSIONS, BITS = 256, 4, 12
 PART_BITS = 40
 
 
+def id_kind(path: str) -> str:
+    """How ids are written between the steps: little-endian, as few bytes as the vocabulary needs."""
+    return "<u2" if tokenizer(path).get_vocab_size() <= 1 << 16 else "<u4"
+
+
 @lru_cache(maxsize=2)
 def _piece_ids(path: str, limit: int) -> PieceCache:
-    encode = tokenizer(path).encode
+    code = "H" if id_kind(path) == "<u2" else "I"
     return PieceCache(
-        lambda piece: np.array(encode(piece, add_special_tokens=False).ids, "<u4").tobytes(), limit
+        lambda piece: array(code, [t.id for t in piece_tokens(piece, path)]).tobytes(), limit
     )
 
 
@@ -35,14 +41,14 @@ def _specials(path: str) -> tuple[str, ...]:
 
 
 def text_ids(text: str, path: str, limit: int = CACHED) -> bytes:
-    """The text's ids as the library gives them, little-endian 32-bit.
+    """The text's ids as the library gives them, written as ``id_kind`` says.
 
     Lower-cased pre-tokens are looked up in the worker's cache; a text with a special token's
     string, or with a character on which the classes might differ, goes to the library whole.
     """
     lower = text.lower()
     if UNSURE.search(text) or any(s in lower for s in _specials(path)):
-        return np.array(tokenizer(path).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(tokenizer(path).encode(text, add_special_tokens=False).ids, id_kind(path)).tobytes()
     return b"".join(map(_piece_ids(path, limit).__getitem__, WORD_BPE_PIECES.findall(lower)))
 
 
@@ -86,47 +92,28 @@ def hilbert_key(points: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-def _tokenize(docs: DataFrame, path: str, text: str, end_id: int, seed: int, names: list[str]) -> DataFrame:
-    """Each row with its ids (binary) and its point before scaling."""
+def curve_key(points: np.ndarray) -> np.ndarray:
+    """Hilbert keys of projected vectors. These have length 1 before the projection, so a
+    coordinate is hardly ever outside [-4, 4]; what is, belongs to the outermost cell."""
+    cells = ((np.clip(points, -4, 4) + 4) / 8 * (1 << BITS)).astype(np.int64)
+    return hilbert_key(np.minimum(cells, (1 << BITS) - 1))
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            ids = [text_ids(value, path) + end for value in batch.column(batch.num_columns - 1).to_pylist()]
-            points = [projected(np.frombuffer(i, "<u4"), seed) for i in ids]
-            made = [pa.array(ids, pa.binary()), *[pa.array([p[k] for p in points], pa.float64()) for k in range(DIMENSIONS)]]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], *made], names=[*names, "ids", *[f"p{k}" for k in range(DIMENSIONS)]]
-            )
 
-    carried = fresh(docs, "text_to_pack")
-    rows = docs.select(*[F.col(f"`{c}`") for c in names], text_of(text).alias(carried))
-    kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(work, kept + "ids binary, " + ", ".join(f"p{k} double" for k in range(DIMENSIONS)))
-
-
-def _curve(rows: DataFrame) -> DataFrame:
-    """Replace the points by keys; each dimension is scaled by its own mean and deviation."""
-    stats = rows.agg(
-        *[F.avg(f"p{k}").alias(f"m{k}") for k in range(DIMENSIONS)],
-        *[F.stddev_pop(f"p{k}").alias(f"s{k}") for k in range(DIMENSIONS)],
-    ).first()
-    mean = [stats[f"m{k}"] or 0.0 for k in range(DIMENSIONS)]
-    spread = [stats[f"s{k}"] or 1.0 for k in range(DIMENSIONS)]
-    names = [c for c in rows.columns if c not in {f"p{k}" for k in range(DIMENSIONS)}]
+def _tokenize(docs: DataFrame, path: str, end_id: int, seed: int) -> DataFrame:
+    """(id, ids, curve): each document's ids as binary, in two bytes each where the vocabulary fits."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            points = np.stack([batch.column(f"p{k}").to_numpy(zero_copy_only=False) for k in range(DIMENSIONS)], 1)
-            # The logistic curve makes the cells of a bell-shaped dimension about equally full.
-            unit = 1 / (1 + np.exp(np.clip(-1.7 * (points - mean) / spread, -50, 50)))
-            cells = np.clip((unit * (1 << BITS)).astype(np.int64), 0, (1 << BITS) - 1)
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in names], pa.array(hilbert_key(cells))], names=[*names, "curve"]
-            )
+        kind = id_kind(path)
+        end = np.array([end_id], kind).tobytes()
+        for batch in slices(batches):
+            ids = [text_ids(value, path) + end for value in batch.column(1).to_pylist()]
+            points = np.stack([projected(np.frombuffer(i, kind), seed) for i in ids])
+            made = [batch.column(0), pa.array(ids, pa.binary()), pa.array(curve_key(points))]
+            yield pa.RecordBatch.from_arrays(made, names=["id", "ids", "curve"])
 
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in names)
-    return rows.mapInArrow(work, kept + ", curve bigint")
+    id_type = docs.schema["id"].dataType.simpleString()
+    rows = docs.select("id", text_of("text").alias("text"))
+    return rows.mapInArrow(work, f"id {id_type}, ids binary, curve bigint")
 
 
 def fill(lengths: Iterator[tuple[int, int]], size: int) -> Iterator[tuple[int, int, int, int, int]]:
@@ -174,8 +161,8 @@ def pack(
     One row per piece: id, start (ids of the document before it), length, ids (little-endian
     32-bit), doc_tokens (with the closing ``end_id``), sequence_id, offset.
 
-    Texts are tokenized once and written as ids; each document's hashed vector becomes a key of
-    ``DIMENSIONS * BITS`` bits. Rows are range-partitioned and sorted by (key, a hash of the row),
+    Texts are tokenized once and written as ids with a key of ``DIMENSIONS * BITS`` bits, made of
+    the document's hashed vector. Rows are range-partitioned and sorted by (key, a hash of the row),
     which also cuts a key that a third of the rows share. Each partition is filled front to back
     and ends in sequences of power-of-two lengths, so partitions need nothing of each other.
     ``sequence_id`` is the partition number times 2**40 plus a count; ``parts`` (default: the
@@ -190,22 +177,22 @@ def pack(
         raise ValueError("size must be a power of two")
     source = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").alias("text"))
     id_type = source.schema["id"].dataType.simpleString()
-    rows = save(_tokenize(source, path, "text", end_id, seed, ["id"]), "pack-ids")
+    rows = save(_tokenize(source, path, end_id, seed), "pack-ids")
     parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = _curve(rows).withColumn("tie", F.xxhash64("id", "ids"))
+    keyed = rows.withColumn("tie", F.xxhash64("id", "ids"))
     ordered = keyed.repartitionByRange(parts, "curve", "tie").sortWithinPartitions("curve", "tie", "id")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = TaskContext.get().partitionId() << PART_BITS
+        kind, base = id_kind(path), TaskContext.get().partitionId() << PART_BITS
         held: dict[int, tuple] = {}
         out: list[tuple] = []
 
         def documents() -> Iterator[tuple[int, int]]:
             number = 0
-            for batch in batches:
+            for batch in slices(batches):
                 for key, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    held[number] = (key, ids)
-                    yield number, len(ids) // 4
+                    held[number] = (key, np.frombuffer(ids, kind).astype("<u4"))
+                    yield number, len(held[number][1])
                     number += 1
 
         def batch_of() -> pa.RecordBatch:
@@ -230,8 +217,9 @@ def pack(
                 held.pop(done)
                 done += 1
             key, ids = held[doc]
-            out.append((key, start, length, ids[4 * start : 4 * (start + length)], len(ids) // 4, base + sequence, offset))
-            if len(out) >= 2000:
+            piece = ids[start : start + length].tobytes()
+            out.append((key, start, length, piece, len(ids), base + sequence, offset))
+            if len(out) >= 500:
                 yield batch_of()
                 out.clear()
         if out:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import fresh, raw_bytes, save, text_of
+from tideline.llm.common import fresh, raw_bytes, save, slices, text_of
 from tideline.llm.rules import CLASSES, WHITE, class_counts
 
 STATISTICS = (
@@ -65,7 +65,7 @@ def text_statistics(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     """(id, statistics array<float>) of each whole text."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             values = pa.array([statistics(t) for t in raw_bytes(batch.column(1))], pa.list_(pa.float32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), values], names=["id", "statistics"])
 
@@ -251,7 +251,7 @@ def accepted(docs: DataFrame, model: Model, text: str = "text", threshold: float
     carried = fresh(docs, "text_to_score")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             values = [statistics(t) for t in raw_bytes(batch.column(carried))]
             scores = model.scores(np.array(values, np.float32).astype(np.float64).reshape(-1, len(STATISTICS)))
             kept = batch.filter(pa.array(scores >= threshold))

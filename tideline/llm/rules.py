@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import fresh, raw_bytes, save, text_of
+from tideline.llm.common import fresh, raw_bytes, save, slices, text_of
 
 WHITE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -160,7 +160,7 @@ def language_references(
                 [pa.array(c, t) for c, t in zip(columns, types)], names=["lang", "word", "n"]
             )
 
-        for batch in batches:
+        for batch in slices(batches):
             for lang, value in zip(batch.column(0).to_pylist(), raw_bytes(batch.column(1))):
                 words.setdefault(lang, Counter()).update(value.lower().split())
                 classes[lang] = classes.get(lang, 0) + class_counts(value)
@@ -228,7 +228,7 @@ def quality_rules(
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         references = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for lang, value in zip(batch.column(batch.num_columns - 2).to_pylist(), raw_bytes(batch.column(batch.num_columns - 1))):
                 words = value.split()

@@ -13,12 +13,12 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import BYTE_BPE_PIECES, UNSURE, PieceCache, fresh, text_of, tokenizer
+from tideline.llm.common import BYTE_BPE_PIECES, UNSURE, PieceCache, fresh, piece_tokens, slices, text_of, tokenizer
 
 # Pre-tokens in the broadcast table: at some 12 bytes each, about half a MB packed.
 FREQUENT = 32_768
 # Pre-tokens that a worker keeps beside it.
-CACHED = 400_000
+CACHED = 300_000
 # Counters that one merging task takes.
 FAN_IN = 16
 
@@ -53,7 +53,7 @@ def frequent_pre_tokens(docs: DataFrame, text: str, path: str, size: int = FREQU
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         specials, counts = _specials(path), Counter()
-        for batch in batches:
+        for batch in slices(batches):
             for value in batch.column(0).to_pylist():
                 counts.update(pre_tokens(value, specials) or ())
                 if len(counts) > 8 * size:
@@ -88,9 +88,8 @@ def _lengths(pieces: list[str], path: str) -> bytes:
 def _table(packed: bytes, path: str, limit: int) -> PieceCache:
     """A worker's lookup: the broadcast table, and behind it what the worker has encoded itself."""
     joined, counts = pickle.loads(zlib.decompress(packed))
-    encode = tokenizer(path).encode
     return PieceCache(
-        lambda piece: len(encode(piece, add_special_tokens=False).ids),
+        lambda piece: len(piece_tokens(piece, path)),
         limit,
         dict(zip(joined.split("\x1f"), counts)) if counts else {},
     )
@@ -124,7 +123,7 @@ def count_tokens(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup, specials, whole = _table(table.value, path, cached), _specials(path), tokenizer(path)
-        for batch in batches:
+        for batch in slices(batches):
             counts = []
             for value in batch.column(batch.num_columns - 1).to_pylist():
                 found = pre_tokens(value, specials)

@@ -17,7 +17,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm.common import save, text_of
+from tideline.llm.common import save, slices, text_of
 
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 # Texts below this many bytes are never written as revisits.
@@ -206,7 +206,7 @@ def write_packages(
         index, at = [], 0
         with store.open_output_stream(f"{root}/{name}") as out, zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as package:
             with package.open(ARCHIVE, "w", force_zip64=True) as archive:
-                for batch in batches:
+                for batch in slices(batches):
                     columns = [batch.column(c).to_pylist() for c in ("id", "url", "digest", "first")]
                     for key, uri, digest, first, value in zip(*columns, batch.column("payload")):
                         revisit = first is not None and key != first
