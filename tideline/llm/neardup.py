@@ -24,7 +24,8 @@ class Join:
     """Parameters of the join.
 
     ``trees`` independent trees of at most ``depth`` levels. A node of up to ``leaf`` members is
-    compared exhaustively; a larger one branches. Pairs whose sketches agree in fewer than
+    compared exhaustively; a larger one branches. Large nodes of the last level are dealt into
+    blocks of about ``block`` for members at the rim of their group. Pairs whose sketches agree in fewer than
     ``likely`` of their places are not compared on their sets: at a similarity of 0.8 that many
     agree in all but one in a million pairs.
     """
@@ -34,6 +35,7 @@ class Join:
     trees: int = 16
     depth: int = 5
     leaf: int = 48
+    block: int = 1024
     likely: float = 0.58
 
     @property
@@ -170,8 +172,9 @@ def _below(node: Column, path: Column, level: int) -> Column:
     return F.xxhash64(node, F.substring(path, 4 * level + 1, 4))
 
 
-def _candidates(classes: DataFrame, join: Join) -> DataFrame:
-    """Pairs of classes that met in a small node, or with the centre of a large one, and look alike.
+def _candidates(classes: DataFrame, join: Join) -> tuple[DataFrame, DataFrame]:
+    """Pairs of classes that met in a small node, or with the centre of a large one, and look
+    alike; and the members of large nodes of the last level.
 
     Level by level: nodes of one member end; small ones are leaves; members of large ones go to the
     children their next tokens choose. Where thousands of documents resemble each other, nodes do
@@ -218,7 +221,8 @@ def _candidates(classes: DataFrame, join: Join) -> DataFrame:
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
-    return save(pairs.groupBy("a", "b").agg(F.max("about").alias("about")), "near-candidates")
+    deepest = large.where(F.col("level") == join.depth - 1).select("node", "key", "sketch", "size")
+    return save(pairs.groupBy("a", "b").agg(F.max("about").alias("about")), "near-candidates"), deepest
 
 
 def _low_bytes(tokens: Column, hashes: int) -> Column:
@@ -270,21 +274,75 @@ def _best_pairs(pairs: DataFrame) -> DataFrame:
     return best.select("best.a", "best.b").distinct()
 
 
-def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
+def _apart(pairs: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The pairs between different components of the links, with these and their sizes."""
+    parts = save(connected_components(links, label="near-part"), "near-parts")
+    sizes = save(parts.groupBy("component").agg(F.count(F.lit(1)).alias("n")), "near-part-sizes")
+    sized = save(parts.join(sizes, "component"), "near-parts")
+    for end in ("a", "b"):
+        named = sized.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"), F.col("n").alias(f"n_{end}"))
+        pairs = pairs.join(named, end, "left")
+    apart = pairs.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
+    return save(apart.na.fill(1, ["n_a", "n_b"]), "near-apart"), sized
+
+
+def _rim_pairs(deepest: DataFrame, rim: DataFrame, join: Join) -> DataFrame:
+    """Likely pairs of rim members with all others of their blocks in large nodes of the last level."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, kinds = ["a", "b", "about"], [pa.binary(), pa.binary(), pa.float32()]
+        for batch in slices(batches, 16):
+            a, b, about = [], [], []
+            for keys, tokens, marks in zip(*(c.to_pylist() for c in batch.columns)):
+                sketches = np.frombuffer(b"".join(tokens), np.uint8).reshape(len(keys), -1)
+                for i in np.flatnonzero(marks):
+                    agree = ((sketches == sketches[i]).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
+                    for j in np.flatnonzero(agree >= join.likely):
+                        if keys[i] != keys[j]:
+                            low, high = sorted((keys[i], keys[j]))
+                            a.append(low)
+                            b.append(high)
+                            about.append(agree[j])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((a, b, about), kinds)], names=names)
+
+    parts = F.ceil(F.col("size") / join.block).cast("bigint")
+    block = F.xxhash64("node", F.pmod(F.xxhash64("node", "key"), parts))
+    marked = deepest.withColumn("node", block).join(rim.withColumn("rim", F.lit(True)), "key", "left")
+    blocks = marked.groupBy("node").agg(
+        F.collect_list("key").alias("keys"),
+        F.collect_list("sketch").alias("sketches"),
+        F.collect_list(F.coalesce("rim", F.lit(False))).alias("marks"),
+    )
+    wanted = blocks.where(F.exists("marks", lambda m: m)).select("keys", "sketches", "marks")
+    return wanted.mapInArrow(work, "a binary, b binary, about float")
+
+
+def _links(candidates: tuple[DataFrame, DataFrame], classes: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
     """Confirmed links that connect what the candidate pairs connect.
 
     First every class's best pair is confirmed on whole sets. Of the other pairs only those between
     different components of what was found can change a component, and these are all confirmed.
+
+    What then still looks like a member of a larger component without being linked to it is at the
+    rim of a group: it may have few links there. It is compared with all members of its blocks in
+    the last level's large nodes, in every tree.
     """
+    pairs, deepest = candidates
     keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
     sets = _sets(keys, classes, docs, join)
-    first = save(_confirmed(_best_pairs(pairs), sets, join), "near-links")
-    parts = save(connected_components(first, label="near-first"), "near-first-parts")
-    apart = pairs.join(parts.select(F.col("node").alias("a"), F.col("component").alias("of_a")), "a", "left")
-    apart = apart.join(parts.select(F.col("node").alias("b"), F.col("component").alias("of_b")), "b", "left")
-    apart = apart.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
-    second = save(_confirmed(save(apart.select("a", "b"), "near-apart"), sets, join), "near-links")
-    return first.unionByName(second)
+    links = save(_confirmed(_best_pairs(pairs), sets, join), "near-links")
+    apart, _ = _apart(pairs, links)
+    links = save(links.unionByName(_confirmed(apart, sets, join)), "near-links")
+    if deepest.isEmpty():
+        return links
+    apart, _ = _apart(pairs, links)
+    rim = apart.where("n_a <= n_b").select(F.col("a").alias("key")).unionByName(
+        apart.where("n_b <= n_a").select(F.col("b").alias("key"))
+    )
+    more = _rim_pairs(deepest, save(rim.distinct(), "near-rim"), join)
+    more = more.groupBy("a", "b").agg(F.max("about").alias("about")).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+    more, _ = _apart(save(more, "near-rim-pairs"), links)
+    return save(links.unionByName(_confirmed(more, sets, join)), "near-links")
 
 
 def near_duplicates(
