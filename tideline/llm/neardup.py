@@ -12,8 +12,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideline.functions.sizing import BROADCAST_BYTES
 from tideline.llm.common import PieceCache, fresh, raw_bytes, save, slices, text_of
 from tideline.llm.components import connected_components
+from tideline.llm.urls import BlockedBloomFilter
 
 # Words that a worker keeps the hashes of.
 CACHED = 300_000
@@ -25,9 +27,13 @@ class Join:
 
     ``trees`` independent trees of at most ``depth`` levels. A node of up to ``leaf`` members is
     compared exhaustively; a larger one branches. Large nodes of the last level are dealt into
-    blocks of about ``block`` for members at the rim of their group. Pairs whose sketches agree in fewer than
-    ``likely`` of their places are not compared on their sets: at a similarity of 0.8 that many
-    agree in all but one in a million pairs.
+    blocks of about ``block`` for members at the rim of their group.
+
+    Comparisons in nodes are of sketches of ``places`` bytes. Pairs that agree in fewer than
+    ``likely`` of the places are not compared on their sets: at a similarity of 0.8 the share that agrees is
+    below that four standard deviations under its mean, in 3 of 100,000 pairs. A class is at the rim if it agrees
+    with a component it is not linked to in ``rim`` of the places; its further pairs have to agree in
+    ``rim_likely``, two standard deviations under the mean. ``rounds``: see ``_joined``.
     """
 
     words: int = 5
@@ -36,11 +42,11 @@ class Join:
     depth: int = 5
     leaf: int = 48
     block: int = 1024
-    likely: float = 0.58
-
-    @property
-    def hashes(self) -> int:
-        return self.trees * self.depth
+    places: int = 256
+    likely: float = 0.70
+    rim: float = 0.76
+    rim_likely: float = 0.74
+    rounds: int = 3
 
 
 @lru_cache(maxsize=1)
@@ -71,7 +77,7 @@ def _multipliers(hashes: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def minwise(shingled: np.ndarray, hashes: int) -> np.ndarray:
-    """For each hash function the token it selects, as the 32 bits that follow its least value's sign."""
+    """For each hash function the token it selects, as 32 bits."""
     times, plus = _multipliers(hashes)
     least = np.full(hashes, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(shingled), 4096):  # long texts a piece at a time
@@ -80,7 +86,7 @@ def minwise(shingled: np.ndarray, hashes: int) -> np.ndarray:
         np.minimum(least, mixed.min(axis=1), out=least)
     # The least value of a multiplicative hash has its high bits near zero: the low ones tell tokens apart.
     least = (least ^ (least >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
-    return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return (least >> np.uint64(32)).astype(np.uint32)
 
 
 def _set_key(shingled: np.ndarray) -> bytes:
@@ -88,20 +94,27 @@ def _set_key(shingled: np.ndarray) -> bytes:
 
 
 def _profiles(docs: DataFrame, join: Join) -> DataFrame:
-    """(id, n_shingles, key, tokens): the set's key (null if empty) and its selected tokens."""
+    """(id, n_shingles, key, tokens, sketch): the set's key (null if empty), the tokens that choose
+    its paths (32 bits for the roots' children, 16 for each level below) and its sketch."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = [shingles(t, join.words) for t in raw_bytes(batch.column(1))]
-            keys = [_set_key(s) if len(s) else None for s in sets]
-            tokens = [minwise(s, join.hashes).tobytes() if len(s) else None for s in sets]
+            keys, tokens, sketches = [], [], []
+            for s in sets:
+                chosen = minwise(s, max(join.places, join.trees * join.depth)) if len(s) else None
+                keys.append(_set_key(s) if len(s) else None)
+                paths = chosen[: join.trees * join.depth].reshape(join.trees, join.depth) if len(s) else None
+                tokens.append(paths[:, 0].tobytes() + paths[:, 1:].astype(np.uint16).tobytes() if len(s) else None)
+                # Places use other bits than paths do.
+                sketches.append((chosen[: join.places] >> np.uint32(24)).astype(np.uint8).tobytes() if len(s) else None)
+            made = [pa.array(map(len, sets), pa.int64()), *(pa.array(c, pa.binary()) for c in (keys, tokens, sketches))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(map(len, sets), pa.int64()), pa.array(keys, pa.binary()), pa.array(tokens, pa.binary())],
-                names=["id", "n_shingles", "key", "tokens"],
+                [batch.column(0), *made], names=["id", "n_shingles", "key", "tokens", "sketch"]
             )
 
     id_type = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(work, f"id {id_type}, n_shingles bigint, key binary, tokens binary")
+    return docs.mapInArrow(work, f"id {id_type}, n_shingles bigint, key binary, tokens binary, sketch binary")
 
 
 def _members(classes: DataFrame, join: Join) -> DataFrame:
@@ -110,12 +123,13 @@ def _members(classes: DataFrame, join: Join) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = np.arange(join.trees, dtype=np.uint64)[None, :] << np.uint64(32)
+        wide, narrow = 4 * join.trees, 2 * (join.depth - 1)
         for batch in slices(batches, 2048):
-            tokens = np.frombuffer(b"".join(batch.column("tokens").to_pylist()), np.uint32)
-            tokens = tokens.reshape(batch.num_rows, join.trees, join.depth)
-            node = (tree | tokens[:, :, 0].astype(np.uint64)).view(np.int64)
+            tokens = np.frombuffer(b"".join(batch.column("tokens").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+            first = np.ascontiguousarray(tokens[:, :wide]).view(np.uint32)
+            node = (tree | first.astype(np.uint64)).view(np.int64)
             key = batch.column("key").take(pa.array(np.repeat(np.arange(batch.num_rows), join.trees)))
-            paths = [row.tobytes() for row in tokens[:, :, 1:].reshape(-1, join.depth - 1)]
+            paths = [row.tobytes() for row in tokens[:, wide:].reshape(-1, narrow)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(node.reshape(-1)), key, pa.array(paths, pa.binary())], names=["node", "key", "path"]
             )
@@ -169,7 +183,7 @@ def _star_pairs(met: DataFrame, join: Join) -> DataFrame:
 
 def _below(node: Column, path: Column, level: int) -> Column:
     """The child that the token of this level chooses."""
-    return F.xxhash64(node, F.substring(path, 4 * level + 1, 4))
+    return F.xxhash64(node, F.substring(path, 2 * level + 1, 2))
 
 
 def _candidates(classes: DataFrame, join: Join) -> tuple[DataFrame, DataFrame]:
@@ -182,9 +196,6 @@ def _candidates(classes: DataFrame, join: Join) -> tuple[DataFrame, DataFrame]:
     member that is in large nodes most often (the text the others vary, if it is there), and on the last
     level large nodes are dealt out by hash into leaves, differently in every tree.
     """
-    # A sketch is the low byte of each token.
-    sketches = classes.select("key", _low_bytes(F.col("tokens"), join.hashes).alias("sketch"))
-    sketches = save(sketches, "near-sketches")
     members, found = _members(classes, join), []
     large_nodes = []
     members = save(members, "near-members-0")
@@ -193,7 +204,7 @@ def _candidates(classes: DataFrame, join: Join) -> tuple[DataFrame, DataFrame]:
         sizes = save(sizes, f"near-sizes-{level}")
         sized = members.join(sizes, "node")
         if level == 0:  # few rows are left: they take their sketches along
-            sized = sized.join(sketches, "key")
+            sized = sized.join(classes.select("key", "sketch"), "key")
         sized = save(sized.select("node", "key", "path", "size", "sketch"), f"near-sized-{level}")
         small = sized.where(F.col("size") <= join.leaf)
         large = sized.where(F.col("size") > join.leaf)
@@ -225,12 +236,12 @@ def _candidates(classes: DataFrame, join: Join) -> tuple[DataFrame, DataFrame]:
     return save(pairs.groupBy("a", "b").agg(F.max("about").alias("about")), "near-candidates"), deepest
 
 
-def _low_bytes(tokens: Column, hashes: int) -> Column:
-    return F.concat(*[F.substring(tokens, 4 * i + 1, 1) for i in range(hashes)])
-
-
 def _sets(keys: DataFrame, classes: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
-    """(key, shingles) of the given classes, from the text of one row of each."""
+    """(key, shingles) of the given classes, from the text of one row of each.
+
+    A Bloom filter of the wanted ids keeps other texts out of the shuffle while it is small enough
+    to broadcast; an exact join by id follows.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -243,47 +254,55 @@ def _sets(keys: DataFrame, classes: DataFrame, docs: DataFrame, join: Join) -> D
             yield made.filter(pa.array(right))
 
     wanted = save(keys.join(classes.select("key", "first"), "key"), "near-wanted")
-    texts = docs.join(wanted, docs["id"] == wanted["first"]).select("key", "text")
+    bloom = BlockedBloomFilter(wanted, "first")
+    some = bloom.possible(docs, "id") if bloom.bytes <= BROADCAST_BYTES else docs
+    # Shuffled at every size: texts are too large to be sent to all.
+    texts = some.hint("merge").join(wanted, some["id"] == wanted["first"]).select("key", "text")
     return save(texts.mapInArrow(work, "key binary, shingles binary").dropDuplicates(["key"]), "near-sets")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
-    """The pairs whose whole sets are similar enough."""
+    """Those of the (a, b, of_a, of_b) rows whose whole sets are similar enough."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
-            columns = [c.to_pylist() for c in batch.columns]
             kept = []
-            for left, right in zip(*columns[2:]):
+            for left, right in zip(*(c.to_pylist() for c in batch.columns[4:])):
                 left, right = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
                 both = len(np.intersect1d(left, right, assume_unique=True))
                 kept.append(100 * both >= join.similar * (len(left) + len(right) - both))
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(kept, pa.bool_()))
+            made = pa.RecordBatch.from_arrays(batch.columns[:4], names=["a", "b", "of_a", "of_b"])
+            yield made.filter(pa.array(kept, pa.bool_()))
 
-    met = pairs.select("a", "b").join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("left")), "a")
+    met = pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("left")), "a")
     met = met.join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("right")), "b")
-    return met.select("a", "b", "left", "right").mapInArrow(work, "a binary, b binary")
+    names = ["a", "b", "of_a", "of_b"]
+    return save(
+        met.select(*names, "left", "right").mapInArrow(work, "a binary, b binary, of_a binary, of_b binary"),
+        "near-links",
+    )
 
 
 def _best_pairs(pairs: DataFrame) -> DataFrame:
-    """For every class the pair that looks most alike: enough to join most of what belongs together."""
-    ends = pairs.select(F.col("a").alias("key"), "a", "b", "about").unionByName(
-        pairs.select(F.col("b").alias("key"), "a", "b", "about")
-    )
-    best = ends.groupBy("key").agg(F.max(F.struct("about", "a", "b")).alias("best"))
-    return best.select("best.a", "best.b").distinct()
+    """For every class the pair that looks most alike."""
+    ends = pairs.select(F.col("a").alias("end"), "*").unionByName(pairs.select(F.col("b").alias("end"), "*"))
+    best = ends.groupBy("end").agg(F.max(F.struct("about", "a", "b", "of_a", "of_b")).alias("best"))
+    return best.select("best.*").distinct()
 
 
-def _apart(pairs: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The pairs between different components of the links, with these and their sizes."""
-    parts = save(connected_components(links, label="near-part"), "near-parts")
-    sizes = save(parts.groupBy("component").agg(F.count(F.lit(1)).alias("n")), "near-part-sizes")
-    sized = save(parts.join(sizes, "component"), "near-parts")
-    for end in ("a", "b"):
-        named = sized.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"), F.col("n").alias(f"n_{end}"))
-        pairs = pairs.join(named, end, "left")
-    apart = pairs.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
-    return save(apart.na.fill(1, ["n_a", "n_b"]), "near-apart"), sized
+def _between(pairs: DataFrame, moved: DataFrame) -> DataFrame:
+    """The pairs with their components moved on, without those that are in one component now."""
+    for end in ("of_a", "of_b"):
+        onward = moved.select(F.col("node").alias(end), F.col("component").alias("onward"))
+        pairs = pairs.join(onward, end, "left").withColumn(end, F.coalesce("onward", end)).drop("onward")
+    return pairs.where("of_a <> of_b")
+
+
+def _onward(parts: DataFrame, moved: DataFrame) -> DataFrame:
+    """The components (node, component) after theirs have moved."""
+    steps = moved.select(F.col("node").alias("component"), F.col("component").alias("onward"))
+    met = parts.join(steps, "component", "left")
+    return save(met.select("node", F.coalesce("onward", "component").alias("component")), "near-parts")
 
 
 def _rim_pairs(deepest: DataFrame, rim: DataFrame, join: Join) -> DataFrame:
@@ -297,7 +316,7 @@ def _rim_pairs(deepest: DataFrame, rim: DataFrame, join: Join) -> DataFrame:
                 sketches = np.frombuffer(b"".join(tokens), np.uint8).reshape(len(keys), -1)
                 for i in np.flatnonzero(marks):
                     agree = ((sketches == sketches[i]).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
-                    for j in np.flatnonzero(agree >= join.likely):
+                    for j in np.flatnonzero(agree >= join.rim_likely):
                         if keys[i] != keys[j]:
                             low, high = sorted((keys[i], keys[j]))
                             a.append(low)
@@ -317,32 +336,45 @@ def _rim_pairs(deepest: DataFrame, rim: DataFrame, join: Join) -> DataFrame:
     return wanted.mapInArrow(work, "a binary, b binary, about float")
 
 
-def _links(candidates: tuple[DataFrame, DataFrame], classes: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
-    """Confirmed links that connect what the candidate pairs connect.
+def _joined(candidates: tuple[DataFrame, DataFrame], classes: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
+    """(node, component) of the classes in candidate pairs, by links that whole sets confirm.
 
-    First every class's best pair is confirmed on whole sets. Of the other pairs only those between
-    different components of what was found can change a component, and these are all confirmed.
+    In ``join.rounds`` rounds every class's best open pair is compared on the sets; a pair is
+    closed by that, or when its ends come to be in one component, as its link could not change
+    anything any more. What is open then is compared as well.
 
-    What then still looks like a member of a larger component without being linked to it is at the
-    rim of a group: it may have few links there. It is compared with all members of its blocks in
-    the last level's large nodes, in every tree.
+    A class that still looks like a member of a larger component is at the rim of a group: it may
+    have few links there. It is compared with all members of its blocks in the last level's large
+    nodes, in every tree.
     """
     pairs, deepest = candidates
     keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
     sets = _sets(keys, classes, docs, join)
-    links = save(_confirmed(_best_pairs(pairs), sets, join), "near-links")
-    apart, _ = _apart(pairs, links)
-    links = save(links.unionByName(_confirmed(apart, sets, join)), "near-links")
+    parts = sets.select(F.col("key").alias("node"), F.col("key").alias("component"))
+    unlinked = opened = pairs.withColumns({"of_a": F.col("a"), "of_b": F.col("b")})
+    for step in range(join.rounds + 1):
+        tried = opened if step == join.rounds else save(_best_pairs(opened), "near-tried")
+        links = _confirmed(tried.drop("about"), sets, join)
+        moved = connected_components(links.select("of_a", "of_b"), "of_a", "of_b", "near")
+        parts = _onward(parts, moved)
+        unlinked = save(_between(unlinked, moved), "near-unlinked")
+        if step < join.rounds:
+            left = opened.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+            opened = save(_between(left, moved), "near-open")
     if deepest.isEmpty():
-        return links
-    apart, _ = _apart(pairs, links)
-    rim = apart.where("n_a <= n_b").select(F.col("a").alias("key")).unionByName(
-        apart.where("n_b <= n_a").select(F.col("b").alias("key"))
-    )
-    more = _rim_pairs(deepest, save(rim.distinct(), "near-rim"), join)
-    more = more.groupBy("a", "b").agg(F.max("about").alias("about")).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
-    more, _ = _apart(save(more, "near-rim-pairs"), links)
-    return save(links.unionByName(_confirmed(more, sets, join)), "near-links")
+        return parts
+    sizes = save(parts.groupBy("component").agg(F.count(F.lit(1)).alias("n")), "near-part-sizes")
+    close = unlinked.where(F.col("about") >= join.rim)
+    for end in ("a", "b"):
+        close = close.join(sizes.select(F.col("component").alias(f"of_{end}"), F.col("n").alias(f"n_{end}")), f"of_{end}")
+    rim = close.select(F.when(F.col("n_a") < F.col("n_b"), F.col("a")).when(F.col("n_b") < F.col("n_a"), F.col("b")).alias("key"))
+    rim = save(rim.where("key is not null").distinct(), "near-rim")
+    more = _rim_pairs(deepest, rim, join).groupBy("a", "b").agg(F.max("about").alias("about"))
+    more = more.join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+    more = more.withColumns({"of_a": F.col("a"), "of_b": F.col("b")})
+    more = save(_between(save(more, "near-rim-pairs"), parts), "near-rim-open")
+    links = _confirmed(more.drop("about"), sets, join)
+    return _onward(parts, connected_components(links.select("of_a", "of_b"), "of_a", "of_b", "near"))
 
 
 def near_duplicates(
@@ -367,11 +399,13 @@ def near_duplicates(
     profiles = save(_profiles(rows, join), "near-profiles")
     named = profiles.where(F.col("key").isNotNull() & F.col("id").isNotNull())
     classes = named.groupBy("key").agg(
-        F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"), F.first("tokens").alias("tokens")
+        F.min("id").alias("first"),
+        F.count(F.lit(1)).alias("copies"),
+        F.first("tokens").alias("tokens"),
+        F.first("sketch").alias("sketch"),
     )
     classes = save(classes, "near-classes")
-    links = _links(_candidates(classes, join), classes, rows, join)
-    parts = save(connected_components(links, label="near"), "near-parts")
+    parts = _joined(_candidates(classes, join), classes, rows, join)
     joined = classes.select("key", "first", "copies").join(parts, classes["key"] == parts["node"], "left")
     # Only classes with links or copies need a row here.
     joined = joined.where("node is not null or copies > 1")
