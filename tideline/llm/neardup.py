@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,7 @@ class Join:
     ``likely`` of the places are not compared on their sets: at a similarity of 0.8 the share that agrees is
     below that four standard deviations under its mean, in 3 of 100,000 pairs. A class is at the rim if it agrees
     with a component it is not linked to in ``rim`` of the places; its further pairs have to agree in
-    ``rim_likely``, two standard deviations under the mean. ``rounds``: see ``_joined``.
+    ``rim_likely``, two standard deviations under the mean.
     """
 
     words: int = 5
@@ -46,7 +46,6 @@ class Join:
     likely: float = 0.70
     rim: float = 0.76
     rim_likely: float = 0.74
-    rounds: int = 3
 
 
 @lru_cache(maxsize=1)
@@ -143,25 +142,32 @@ def _agreement(sketches: np.ndarray) -> np.ndarray:
     return (equal - 1 / 256) / (1 - 1 / 256)
 
 
+_PAIR = ["a", "b", "about", "of_a", "of_b"]
+_PAIR_SCHEMA = "a binary, b binary, about float, of_a binary, of_b binary"
+
+
+def _pairs_batch(found: list[tuple]) -> pa.RecordBatch:
+    """Pairs (key, component, key, component, agreement), the smaller key first."""
+    rows = [(a, b, s, of_a, of_b) if a < b else (b, a, s, of_b, of_a) for a, of_a, b, of_b, s in found]
+    kinds = (pa.binary(), pa.binary(), pa.float32(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 5, kinds)], names=_PAIR)
+
+
 def _leaf_pairs(members: DataFrame, join: Join) -> DataFrame:
-    """Likely pairs (a, b, about) within each leaf, compared exhaustively on their sketches."""
+    """Likely pairs of different components within each leaf, compared exhaustively on their sketches."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, kinds = ["a", "b", "about"], [pa.binary(), pa.binary(), pa.float32()]
         for batch in slices(batches):
-            a, b, about = [], [], []
-            for keys, tokens in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                order = sorted(range(len(keys)), key=keys.__getitem__)
-                sketches = np.stack([np.frombuffer(tokens[i], np.uint8) for i in order])
-                agree = np.triu(_agreement(sketches), 1)
+            found = []
+            for keys, parts, tokens in zip(*(c.to_pylist() for c in batch.columns)):
+                agree = np.triu(_agreement(np.frombuffer(b"".join(tokens), np.uint8).reshape(len(keys), -1)), 1)
                 for i, j in zip(*np.nonzero(agree >= join.likely)):
-                    a.append(keys[order[i]])
-                    b.append(keys[order[j]])
-                    about.append(agree[i, j])
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((a, b, about), kinds)], names=names)
+                    if parts[i] != parts[j]:
+                        found.append((keys[i], parts[i], keys[j], parts[j], agree[i, j]))
+            yield _pairs_batch(found)
 
-    leaves = members.groupBy("node").agg(F.collect_list("key").alias("keys"), F.collect_list("sketch").alias("sketches"))
-    return leaves.select("keys", "sketches").mapInArrow(work, "a binary, b binary, about float")
+    lists = [F.collect_list(c).alias(c) for c in ("key", "of", "sketch")]
+    return members.groupBy("node").agg(*lists).drop("node").mapInArrow(work, _PAIR_SCHEMA)
 
 
 def _star_pairs(met: DataFrame, join: Join) -> DataFrame:
@@ -173,12 +179,17 @@ def _star_pairs(met: DataFrame, join: Join) -> DataFrame:
             left = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
             right = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
             agree = ((left == right).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
-            found = [(*sorted((keys[i], centres[i])), agree[i]) for i in np.flatnonzero(agree >= join.likely) if keys[i] != centres[i]]
-            columns = list(zip(*found)) or [(), (), ()]
-            kinds = (pa.binary(), pa.binary(), pa.float32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["a", "b", "about"])
+            likely = [i for i in np.flatnonzero(agree >= join.likely) if keys[i] != centres[i]]
+            yield _pairs_batch([(keys[i], keys[i], centres[i], centres[i], agree[i]) for i in likely])
 
-    return met.select("key", "sketch", "centre", "centre_sketch").mapInArrow(work, "a binary, b binary, about float")
+    return met.select("key", "sketch", "centre", "centre_sketch").mapInArrow(work, _PAIR_SCHEMA)
+
+
+def _distinct(pairs: DataFrame) -> DataFrame:
+    """Trees find the same pairs again."""
+    return pairs.groupBy("a", "b").agg(
+        F.max("about").alias("about"), F.first("of_a").alias("of_a"), F.first("of_b").alias("of_b")
+    )
 
 
 def _below(node: Column, path: Column, level: int) -> Column:
@@ -186,54 +197,51 @@ def _below(node: Column, path: Column, level: int) -> Column:
     return F.xxhash64(node, F.substring(path, 2 * level + 1, 2))
 
 
-def _candidates(classes: DataFrame, join: Join) -> tuple[DataFrame, DataFrame]:
-    """Pairs of classes that met in a small node, or with the centre of a large one, and look
-    alike; and the members of large nodes of the last level.
+def _nodes(classes: DataFrame, join: Join) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The trees: members of the roots' small children, of small nodes below, and of large nodes.
 
     Level by level: nodes of one member end; small ones are leaves; members of large ones go to the
     children their next tokens choose. Where thousands of documents resemble each other, nodes do
-    not get small; so each member of a large node is also compared with the node's centre, the
-    member that is in large nodes most often (the text the others vary, if it is there), and on the last
-    level large nodes are dealt out by hash into leaves, differently in every tree.
+    not get small: on the last level large ones are dealt out by hash into leaves, differently in
+    every tree.
     """
-    members, found = _members(classes, join), []
-    large_nodes = []
-    members = save(members, "near-members-0")
+    members = save(_members(classes, join), "near-members-0")
+    first, leaves, larger = None, [], []
     for level in range(join.depth):
         sizes = members.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        sizes = save(sizes, f"near-sizes-{level}")
-        sized = members.join(sizes, "node")
+        sized = members.join(save(sizes, f"near-sizes-{level}"), "node")
         if level == 0:  # few rows are left: they take their sketches along
             sized = sized.join(classes.select("key", "sketch"), "key")
         sized = save(sized.select("node", "key", "path", "size", "sketch"), f"near-sized-{level}")
         small = sized.where(F.col("size") <= join.leaf)
         large = sized.where(F.col("size") > join.leaf)
-        if level == join.depth - 1:
-            parts = F.ceil(F.col("size") * 2 / join.leaf).cast("bigint")
-            dealt = F.xxhash64("node", F.pmod(F.xxhash64("node", "key"), parts))
-            small = small.unionByName(large.withColumn("node", dealt))
-        found.append(_leaf_pairs(small, join))
-        large_nodes.append(large.withColumn("level", F.lit(level)))
-        members = large.select(_below(F.col("node"), F.col("path"), level).alias("node"), "key", "path", "sketch")
+        larger.append(large.withColumn("level", F.lit(level)))
+        if level == 0:
+            first = small
+        else:
+            leaves.append(small)
         if level < join.depth - 1:
-            members = save(members, f"near-members-{level + 1}")
+            below = large.select(_below(F.col("node"), F.col("path"), level).alias("node"), "key", "path", "sketch")
+            members = save(below, f"near-members-{level + 1}")
             if members.isEmpty():
                 break
-    large = large_nodes[0]
-    for more in large_nodes[1:]:
-        large = large.unionByName(more)
-    large = save(large, "near-large")
-    if not large.isEmpty():
-        often = large.groupBy("key").agg(F.sum(F.log2("size")).alias("often"))
-        large = save(large.join(save(often, "near-often"), "key"), "near-ranked")
-        chosen = large.groupBy("level", "node").agg(F.max(F.struct("often", "key", "sketch")).alias("best"))
-        chosen = chosen.select("level", "node", F.col("best.key").alias("centre"), F.col("best.sketch").alias("centre_sketch"))
-        found.append(_star_pairs(large.join(save(chosen, "near-centres"), ["level", "node"]), join))
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.unionByName(more)
-    deepest = large.where(F.col("level") == join.depth - 1).select("node", "key", "sketch", "size")
-    return save(pairs.groupBy("a", "b").agg(F.max("about").alias("about")), "near-candidates"), deepest
+    else:
+        parts = F.ceil(F.col("size") * 2 / join.leaf).cast("bigint")
+        dealt = F.xxhash64("node", F.pmod(F.xxhash64("node", "key"), parts))
+        leaves.append(large.withColumn("node", dealt))
+    leaves = reduce(DataFrame.unionByName, leaves or [first.limit(0)])
+    return first, leaves, save(reduce(DataFrame.unionByName, larger), "near-large")
+
+
+def _stars(large: DataFrame, join: Join) -> DataFrame:
+    """Likely pairs of the members of large nodes with the centre of their node: the member that is
+    in large nodes most often, which is the text that the others vary, if it is there."""
+    often = save(large.groupBy("key").agg(F.sum(F.log2("size")).alias("often")), "near-often")
+    ranked = save(large.join(often, "key"), "near-ranked")
+    chosen = ranked.groupBy("level", "node").agg(F.max(F.struct("often", "key", "sketch")).alias("best"))
+    chosen = chosen.select("level", "node", F.col("best.key").alias("centre"), F.col("best.sketch").alias("centre_sketch"))
+    met = ranked.join(save(chosen, "near-centres"), ["level", "node"])
+    return save(_distinct(_star_pairs(met, join)), "near-stars")
 
 
 def _sets(keys: DataFrame, classes: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
@@ -298,83 +306,108 @@ def _between(pairs: DataFrame, moved: DataFrame) -> DataFrame:
     return pairs.where("of_a <> of_b")
 
 
-def _onward(parts: DataFrame, moved: DataFrame) -> DataFrame:
-    """The components (node, component) after theirs have moved."""
-    steps = moved.select(F.col("node").alias("component"), F.col("component").alias("onward"))
-    met = parts.join(steps, "component", "left")
-    return save(met.select("node", F.coalesce("onward", "component").alias("component")), "near-parts")
+def _labelled(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """The members with their component (their own key if they are linked with nothing yet)."""
+    named = parts.select("key", F.col("component").alias("of"))
+    return members.join(named, "key", "left").withColumn("of", F.coalesce("of", "key"))
+
+
+class _Linked:
+    """The components (key, component) that confirmed links have made so far."""
+
+    def __init__(self, classes: DataFrame, docs: DataFrame, join: Join):
+        self.classes, self.docs, self.join = classes, docs, join
+        self.sets = self.parts = None
+
+    def know(self, pairs: DataFrame) -> None:
+        """Read the sets of the classes in ``pairs`` that are not known yet."""
+        ends = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
+        keys = ends.distinct()
+        if self.sets is None:
+            self.sets = _sets(keys, self.classes, self.docs, self.join)
+            self.parts = save(self.sets.select("key", F.col("key").alias("component")), "near-parts")
+            return
+        more = _sets(keys.join(self.sets.select("key"), "key", "left_anti"), self.classes, self.docs, self.join)
+        self.sets = self.sets.unionByName(more)
+        own = more.select("key", F.col("key").alias("component"))
+        self.parts = save(self.parts.unionByName(own), "near-parts")
+
+    def confirm(self, pairs: DataFrame) -> DataFrame:
+        """Compare pairs on whole sets and join the components of those that are links; returns the
+        moves (node, component)."""
+        links = _confirmed(pairs.drop("about"), self.sets, self.join)
+        moved = connected_components(links.select("of_a", "of_b"), "of_a", "of_b", "near")
+        steps = moved.select(F.col("node").alias("component"), F.col("component").alias("onward"))
+        met = self.parts.join(steps, "component", "left")
+        self.parts = save(met.select("key", F.coalesce("onward", "component").alias("component")), "near-parts")
+        return moved
+
+
+def _joined(classes: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
+    """(key, component) of the classes that met a likely partner.
+
+    A pair whose ends are in one component already could not change anything: it is never made
+    where that is known, and not compared. So the links that join most come first. First the
+    members of large nodes are compared with the centres. Then leaves are compared, exhaustively but
+    for pairs of one component; of these pairs every class's best one is confirmed first, and
+    then all that still lie between components.
+
+    A class that then looks like a member of a larger component without being linked to it is at
+    the rim of a group: it may have few links there. It is compared with all members of its blocks
+    in the last level's large nodes, in every tree.
+    """
+    first, leaves, large = _nodes(classes, join)
+    linked = _Linked(classes, docs, join)
+    stars = _stars(large, join)
+    linked.know(stars)
+    linked.confirm(stars)
+    pairs = _leaf_pairs(first.withColumn("of", F.col("key")).drop("path", "size"), join)
+    below = _leaf_pairs(_labelled(leaves.drop("path", "size"), linked.parts), join)
+    moves = linked.parts.where("key <> component").select(F.col("key").alias("node"), "component")
+    opened = save(_distinct(_between(pairs, moves).unionByName(below)), "near-open")
+    linked.know(opened)
+    best = save(_best_pairs(opened), "near-best")
+    moved = linked.confirm(best)
+    left = save(_between(opened.join(best.select("a", "b"), ["a", "b"], "left_anti"), moved), "near-open")
+    moved = linked.confirm(left)
+    deepest = large.where(F.col("level") == join.depth - 1)
+    if deepest.isEmpty():
+        return linked.parts
+    sizes = save(linked.parts.groupBy("component").agg(F.count(F.lit(1)).alias("n")), "near-part-sizes")
+    close = _between(left, moved).where(F.col("about") >= join.rim)
+    for end in ("a", "b"):
+        close = close.join(sizes.select(F.col("component").alias(f"of_{end}"), F.col("n").alias(f"n_{end}")), f"of_{end}")
+    rim = close.select(F.when(F.col("n_a") < F.col("n_b"), F.col("a")).when(F.col("n_b") < F.col("n_a"), F.col("b")).alias("key"))
+    rim = save(rim.where("key is not null").distinct(), "near-rim")
+    more = _distinct(_rim_pairs(_labelled(deepest, linked.parts), rim, join))
+    more = save(more.join(opened.select("a", "b"), ["a", "b"], "left_anti"), "near-rim-pairs")
+    linked.know(more)
+    linked.confirm(more)
+    return linked.parts
 
 
 def _rim_pairs(deepest: DataFrame, rim: DataFrame, join: Join) -> DataFrame:
-    """Likely pairs of rim members with all others of their blocks in large nodes of the last level."""
+    """Likely pairs of rim members with all others of their blocks, but for their own component's."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, kinds = ["a", "b", "about"], [pa.binary(), pa.binary(), pa.float32()]
         for batch in slices(batches, 16):
-            a, b, about = [], [], []
-            for keys, tokens, marks in zip(*(c.to_pylist() for c in batch.columns)):
+            found = []
+            for keys, parts, tokens, marks in zip(*(c.to_pylist() for c in batch.columns)):
                 sketches = np.frombuffer(b"".join(tokens), np.uint8).reshape(len(keys), -1)
                 for i in np.flatnonzero(marks):
                     agree = ((sketches == sketches[i]).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
                     for j in np.flatnonzero(agree >= join.rim_likely):
-                        if keys[i] != keys[j]:
-                            low, high = sorted((keys[i], keys[j]))
-                            a.append(low)
-                            b.append(high)
-                            about.append(agree[j])
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((a, b, about), kinds)], names=names)
-
-    parts = F.ceil(F.col("size") / join.block).cast("bigint")
-    block = F.xxhash64("node", F.pmod(F.xxhash64("node", "key"), parts))
-    marked = deepest.withColumn("node", block).join(rim.withColumn("rim", F.lit(True)), "key", "left")
-    blocks = marked.groupBy("node").agg(
-        F.collect_list("key").alias("keys"),
-        F.collect_list("sketch").alias("sketches"),
-        F.collect_list(F.coalesce("rim", F.lit(False))).alias("marks"),
-    )
-    wanted = blocks.where(F.exists("marks", lambda m: m)).select("keys", "sketches", "marks")
-    return wanted.mapInArrow(work, "a binary, b binary, about float")
-
-
-def _joined(candidates: tuple[DataFrame, DataFrame], classes: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
-    """(node, component) of the classes in candidate pairs, by links that whole sets confirm.
-
-    In ``join.rounds`` rounds every class's best open pair is compared on the sets; a pair is
-    closed by that, or when its ends come to be in one component, as its link could not change
-    anything any more. What is open then is compared as well.
+                        if parts[i] != parts[j]:
+                            found.append((keys[i], parts[i], keys[j], parts[j], agree[j]))
+            yield _pairs_batch(found)
 
-    A class that still looks like a member of a larger component is at the rim of a group: it may
-    have few links there. It is compared with all members of its blocks in the last level's large
-    nodes, in every tree.
-    """
-    pairs, deepest = candidates
-    keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    sets = _sets(keys, classes, docs, join)
-    parts = sets.select(F.col("key").alias("node"), F.col("key").alias("component"))
-    unlinked = opened = pairs.withColumns({"of_a": F.col("a"), "of_b": F.col("b")})
-    for step in range(join.rounds + 1):
-        tried = opened if step == join.rounds else save(_best_pairs(opened), "near-tried")
-        links = _confirmed(tried.drop("about"), sets, join)
-        moved = connected_components(links.select("of_a", "of_b"), "of_a", "of_b", "near")
-        parts = _onward(parts, moved)
-        unlinked = save(_between(unlinked, moved), "near-unlinked")
-        if step < join.rounds:
-            left = opened.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-            opened = save(_between(left, moved), "near-open")
-    if deepest.isEmpty():
-        return parts
-    sizes = save(parts.groupBy("component").agg(F.count(F.lit(1)).alias("n")), "near-part-sizes")
-    close = unlinked.where(F.col("about") >= join.rim)
-    for end in ("a", "b"):
-        close = close.join(sizes.select(F.col("component").alias(f"of_{end}"), F.col("n").alias(f"n_{end}")), f"of_{end}")
-    rim = close.select(F.when(F.col("n_a") < F.col("n_b"), F.col("a")).when(F.col("n_b") < F.col("n_a"), F.col("b")).alias("key"))
-    rim = save(rim.where("key is not null").distinct(), "near-rim")
-    more = _rim_pairs(deepest, rim, join).groupBy("a", "b").agg(F.max("about").alias("about"))
-    more = more.join(pairs.select("a", "b"), ["a", "b"], "left_anti")
-    more = more.withColumns({"of_a": F.col("a"), "of_b": F.col("b")})
-    more = save(_between(save(more, "near-rim-pairs"), parts), "near-rim-open")
-    links = _confirmed(more.drop("about"), sets, join)
-    return _onward(parts, connected_components(links.select("of_a", "of_b"), "of_a", "of_b", "near"))
+    blocks = F.ceil(F.col("size") / join.block).cast("bigint")
+    block = F.xxhash64("node", F.pmod(F.xxhash64("node", "key"), blocks))
+    marked = deepest.withColumn("node", block).join(rim.withColumn("rim", F.lit(True)), "key", "left")
+    marked = marked.withColumn("rim", F.coalesce("rim", F.lit(False)))
+    lists = [F.collect_list(c).alias(c) for c in ("key", "of", "sketch", "rim")]
+    wanted = marked.groupBy("node").agg(*lists).where(F.exists("rim", lambda m: m))
+    return wanted.drop("node").mapInArrow(work, _PAIR_SCHEMA)
 
 
 def near_duplicates(
@@ -386,7 +419,7 @@ def near_duplicates(
     of ``join.similar`` percent or more; ``component_id`` is the smallest id that links reach, and
     the row with that id is kept. Equal sets are one class from the start, so copies never make pairs.
 
-    Candidates come from the chosen-path join (``_candidates``), links from whole sets. Two classes
+    Candidates come from the chosen-path join (``_nodes``, ``_joined``), links from whole sets. Two classes
     with similarity s meet in a tree's first level with probability s, so those that share no large
     node are missed with (1 - s) ** trees: less than one in 10**11 at 0.8. In large nodes recall is that
     of the levels below, the centres and the dealt leaves, which see each member of a group again in every tree.
@@ -405,10 +438,10 @@ def near_duplicates(
         F.first("sketch").alias("sketch"),
     )
     classes = save(classes, "near-classes")
-    parts = _joined(_candidates(classes, join), classes, rows, join)
-    joined = classes.select("key", "first", "copies").join(parts, classes["key"] == parts["node"], "left")
+    parts = _joined(classes, rows, join)
+    joined = classes.select("key", "first", "copies").join(parts, "key", "left")
     # Only classes with links or copies need a row here.
-    joined = joined.where("node is not null or copies > 1")
+    joined = joined.where("component is not null or copies > 1")
     joined = save(joined.select("key", "first", F.coalesce("component", "key").alias("component")), "near-joined")
     least = save(joined.groupBy("component").agg(F.min("first").alias("least")), "near-least")
     where = save(joined.join(least, "component").select("key", F.col("least").alias("component_id")), "near-where")
