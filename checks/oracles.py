@@ -43,7 +43,8 @@ due AS (
 
 STATUS = """
 status AS (
-  SELECT l.control_id, l.job_id, l.suite_code, l.log_time,
+  SELECT 'raw' AS layer, l.control_id, CAST(NULL AS VARCHAR) AS package_name, l.job_id,
+         l.suite_code, l.log_time,
          CASE WHEN l.success_flag = 0 OR l.message_source LIKE '%ERROR%' THEN 'error'
               WHEN l.success_flag = 1 AND l.complete_flag = 1 THEN 'completed'
               WHEN l.message_source LIKE '%Has Closed%' OR l.message LIKE '%Has Closed%' THEN 'closed'
@@ -122,6 +123,22 @@ JOIN nation n ON n.n_nationkey = c.c_nationkey
 JOIN region r ON r.r_regionkey = n.n_regionkey"""
 CENTS = "CAST(round(o_totalprice * 100) AS BIGINT)"
 
+# Merging under "greater than" keeps the greatest of the windows' latest values, and of equal ones
+# the earliest. Every event stays in the table by month.
+EXTRACTED = f"""WITH {FEEDS}
+SELECT 'user_latest' AS package_name, user_id, ts, event_id, event_type, value
+FROM ({LATEST_USER}) u
+UNION ALL
+SELECT 'user_record' AS package_name, user_id, ts, event_id, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type
+                               ORDER BY value DESC, window_start) AS pick
+  FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type, window_start
+                                     ORDER BY ts DESC, event_id DESC) AS rn FROM feeds) w
+  WHERE rn = 1) r
+WHERE pick = 1
+UNION ALL
+SELECT 'events_by_month' AS package_name, user_id, ts, event_id, event_type, value FROM events"""
+
 ORACLES = {
     "window_read": """SELECT CASE
     WHEN ts < TIMESTAMP '2024-01-08 00:00:00' THEN '2024-01-01'
@@ -147,7 +164,7 @@ WHERE o_orderdate >= TIMESTAMP '1996-01-01 00:00:00' AND o_orderdate < TIMESTAMP
        upper(l_returnflag) || '-' || lower(l_linestatus) AS state FROM lineitem""",
     "land_raw": f"""WITH {FEEDS}
 SELECT control_id, window_start, window_start + INTERVAL 10 DAY AS window_end,
-       control_id + 200 AS job_id, event_id, ts, user_id, value FROM feeds""",
+       control_id + 200 AS job_id, event_id, ts, user_id, event_type, value, props FROM feeds""",
     "landed_counts": f"""WITH {FEEDS}
 SELECT control_id, window_start, window_start + INTERVAL 10 DAY AS window_end,
        count(*) AS row_inserted, min(ts) AS first_ts, max(ts) AS last_ts
@@ -160,8 +177,10 @@ FROM feeds GROUP BY 1, 2, 3""",
             THEN 2 ELSE 1 END AS BIGINT) AS summary_job_id
 FROM orders GROUP BY strftime(o_orderdate, '%Y%m'), o_orderstatus""",
     "append_log": f"""WITH {USER_LOG}
-SELECT log_id, log_time, control_id, job_id, success_flag, complete_flag, message_source, message,
-       suite_code, window_start, window_end FROM log""",
+SELECT log_id, log_time, 'raw' AS layer, CAST(NULL AS VARCHAR) AS package_name, control_id, job_id,
+       CAST(NULL AS TIMESTAMP) AS start_time, success_flag, complete_flag, message_source, message,
+       CAST(NULL AS VARCHAR) AS message_type, suite_code, CAST(NULL AS BIGINT) AS row_inserted,
+       window_start, window_end, CAST(NULL AS TIMESTAMP) AS next_start FROM log""",
     "open_table": """SELECT o.o_orderkey, strftime(o.o_orderdate, '%Y%m') AS partition_key,
        c.c_name, c.c_mktsegment
 FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey""",
@@ -175,6 +194,9 @@ WHERE rn = 1""",
     "merge_upsert": _pick_line("is_source DESC"),
     "merge_when": _pick_line("l_extendedprice DESC, is_source"),
     "merge_insert_only": _pick_line("is_source"),
+    "merge_null_keys": _pick_line("is_source DESC").replace(
+        "l_linenumber, l_quantity", "nullif(l_linenumber, 7) AS l_linenumber, l_quantity"
+    ),
     # Latest row before the last cut where there is one, else the latest after it.
     "merge_table": f"""SELECT {LINE_COLUMNS} FROM (
   SELECT *, row_number() OVER (
@@ -187,14 +209,13 @@ WHERE rn = 1""",
        CASE WHEN o_orderdate >= TIMESTAMP '1996-01-01 00:00:00' THEN upper(o_orderpriority)
             ELSE o_orderpriority END AS o_orderpriority,
        strftime(o_orderdate, '%Y%m') AS partition_key
-FROM orders
-WHERE o_orderdate >= TIMESTAMP '1995-07-01 00:00:00' AND o_orderdate < TIMESTAMP '2001-01-01 00:00:00'""",
+FROM orders""",
     "watermarks": """SELECT user_id AS control_id, max(date_trunc('day', ts)) + INTERVAL 1 DAY AS watermark
 FROM events WHERE event_type = 'purchase' GROUP BY user_id""",
     "due_packages": f"WITH {USER_LOG}, {DUE} SELECT control_id, suite_code, window_start, window_end FROM due",
     "latest_status": f"WITH {USER_LOG}, {STATUS} SELECT * FROM status",
     "suite_rollup": f"""WITH {USER_LOG}, {STATUS}
-SELECT suite_code, count(*) AS jobs, count(DISTINCT control_id) AS packages,
+SELECT 'raw' AS layer, suite_code, count(*) AS jobs, count(DISTINCT control_id) AS packages,
        count(CASE WHEN status = 'completed' THEN 1 END) AS completed,
        count(CASE WHEN status = 'error' THEN 1 END) AS errors,
        count(CASE WHEN status = 'closed' THEN 1 END) AS closed
@@ -208,6 +229,8 @@ GROUP BY suite_code""",
 SELECT log_id, control_id, success_flag, message_source, message FROM log
 WHERE success_flag = 0 OR message_source LIKE '%ERROR%'""",
     "readiness_gate": f"WITH {GATE} SELECT * FROM gate",
+    "readiness_gate_now": f"""WITH {GATE} SELECT * FROM gate
+WHERE as_of = (SELECT max(g.as_of) FROM gate g WHERE g.suite_code = gate.suite_code)""",
     "enrich_orders": f"""SELECT o.o_orderkey, o.o_orderdate,
        strftime(o.o_orderdate, '%Y%m') AS partition_key, {CENTS} AS price_cents,
        c.c_name, c.c_mktsegment, n.n_name, r.r_name, CAST(7 AS BIGINT) AS summary_job_id
@@ -221,19 +244,29 @@ GROUP BY strftime(o.o_orderdate, '%Y%m'), n.n_name, r.r_name, c.c_mktsegment""",
 SELECT control_id, window_start, window_start + INTERVAL 10 DAY AS window_end,
        count(*) AS row_inserted, min(ts) AS first_ts, max(ts) AS last_ts
 FROM feeds GROUP BY 1, 2, 3""",
-    # Merging under "greater than" keeps the greatest of the windows' latest values,
-    # and of equal ones the earliest.
-    "flow_extract": f"""WITH {FEEDS}
-SELECT 'user_latest' AS package_name, user_id, ts, event_id, event_type, value
-FROM ({LATEST_USER}) u
+    "flow_extract": EXTRACTED,
+    "flow_extract_late": EXTRACTED,
+    # Three staging runs of 12 feeds, and three merge runs of three packages.
+    "flow_status": """SELECT 'raw' AS layer, concat('T', CAST(user_id % 4 AS VARCHAR)) AS suite_code,
+       'events' AS package_name, 'completed' AS status,
+       3 * count(DISTINCT user_id % 12) AS jobs, count(DISTINCT user_id % 12) AS packages
+FROM events GROUP BY 2
 UNION ALL
-SELECT 'user_record' AS package_name, user_id, ts, event_id, event_type, value FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id, event_type
-                               ORDER BY value DESC, window_start) AS pick
-  FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type, window_start
-                                     ORDER BY ts DESC, event_id DESC) AS rn FROM feeds) w
-  WHERE rn = 1) r
-WHERE pick = 1""",
+SELECT 'ext', 'X', name, 'completed', CAST(3 AS BIGINT), CAST(1 AS BIGINT)
+FROM (VALUES ('user_latest'), ('user_record'), ('events_by_month')) p(name)""",
+    "flow_rollup": """SELECT 'raw' AS layer, concat('T', CAST(user_id % 4 AS VARCHAR)) AS suite_code,
+       3 * count(DISTINCT user_id % 12) AS jobs, count(DISTINCT user_id % 12) AS packages,
+       3 * count(DISTINCT user_id % 12) AS completed, CAST(0 AS BIGINT) AS errors, CAST(0 AS BIGINT) AS closed
+FROM events GROUP BY 2
+UNION ALL
+SELECT 'ext', 'X', CAST(9 AS BIGINT), CAST(3 AS BIGINT), CAST(9 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT)""",
+    # The last day that all feeds of a suite have staged, with the values that came again.
+    "flow_full": """SELECT suite_code, event_type, count(*) AS n_events,
+       CAST(sum(CAST(round(value * 2 * 100) AS BIGINT)) AS BIGINT) AS cents,
+       '202401' AS partition_key, DATE '2024-01-30' AS summary_date
+FROM (SELECT *, concat('T', CAST(user_id % 4 AS VARCHAR)) AS suite_code FROM events) e
+WHERE ts >= TIMESTAMP '2024-01-30 00:00:00' AND ts < TIMESTAMP '2024-01-31 00:00:00'
+GROUP BY suite_code, event_type""",
     "flow_summary": f"""WITH {GATE},
 opened AS (SELECT DISTINCT suite_code, summary_start_date AS day FROM gate WHERE status = 'S')
 SELECT o.suite_code, e.event_type, count(*) AS n_events,

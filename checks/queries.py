@@ -160,9 +160,7 @@ def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_land_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _landed(spark, sf_dir).select(
-        "control_id", "window_start", "window_end", "job_id", "event_id", "ts", "user_id", "value"
-    )
+    return _landed(spark, sf_dir).drop("window_key", "feed_id", "feed_suite")
 
 
 @query
@@ -196,9 +194,7 @@ def q_append_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = derive.user_log(_events(spark, sf_dir))
     for complete in (0, 1):
         warehouse.append_log(log.where(F.col("complete_flag") == complete))
-    return warehouse.log().drop(
-        "layer", "package_name", "start_time", "message_type", "row_inserted", "next_start"
-    )
+    return warehouse.log()
 
 
 @query
@@ -262,6 +258,17 @@ def q_merge_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge(*_merge_sides(spark, sf_dir), LINE_KEYS, matched="ignore")
 
 
+@query
+def q_merge_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A key that is null in some rows: the source is merged twice, then inserted once more."""
+    target, source = (
+        side.withColumn("l_linenumber", F.expr("nullif(l_linenumber, 7)"))
+        for side in _merge_sides(spark, sf_dir)
+    )
+    merged = merge(merge(target, source, LINE_KEYS), source, LINE_KEYS)
+    return merge(merged, source, LINE_KEYS, matched="ignore")
+
+
 @query
 def q_merge_month_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders merged into a table partitioned by month, half of them twice."""
@@ -272,7 +279,7 @@ def q_merge_month_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     table.merge(window_read(orders, "o_orderdate", "1900-01-01", CUT), order)
     late = window_read(orders, "o_orderdate", "1996-01-01", "2100-01-01")
     table.merge(late.withColumn("o_orderpriority", F.upper("o_orderpriority")), order)
-    return table.read("199507", "200012")
+    return table.read()
 
 
 @query
@@ -329,6 +336,12 @@ def q_readiness_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gate.drop("reason")
 
 
+@query
+def q_readiness_gate_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _events(spark, sf_dir)
+    return readiness_gate(derive.feed_control(events), derive.feed_log(events)).drop("reason")
+
+
 # -- enrichment and flows
 
 
@@ -372,19 +385,84 @@ def q_flow_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed_counts(warehouse.raw("events"), "ts")
 
 
-@query
-def q_flow_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A merge run after each of the three staging runs, by two packages."""
+def _extracted(spark: SparkSession, sf_dir: str, every: int) -> Warehouse:
+    """The month staged in three runs, and merged after each or once at the end."""
     warehouse, events = _warehouse(spark), _events(spark, sf_dir)
     control = _stored(derive.feed_control(events).unionByName(derive.ext_control(spark)))
-    stage_month(warehouse, control, events, 3, each=lambda: run_extract(warehouse, control))
-    latest = warehouse.ext("user_latest", ["user_id"]).read()
-    record = warehouse.ext("user_record", ["user_id", "event_type"]).read()
-    return latest.withColumn("package_name", F.lit("user_latest")).unionByName(
-        record.withColumn("package_name", F.lit("user_record"))
+    runs = iter(range(1, 4))
+
+    def each() -> None:
+        if next(runs) % every == 0:
+            run_extract(warehouse, control)
+
+    stage_month(warehouse, control, events, 3, each)
+    return warehouse
+
+
+def _current(warehouse: Warehouse) -> DataFrame:
+    """The three tables that the ext packages keep, under their names."""
+    tables = {
+        "user_latest": warehouse.ext("user_latest", ["user_id"]),
+        "user_record": warehouse.ext("user_record", ["user_id", "event_type"]),
+        "events_by_month": warehouse.ext(
+            "events_by_month", ["partition_key", "event_id"], "partition_key"
+        ),
+    }
+    columns = ["user_id", "ts", "event_id", "event_type", "value"]
+    named = [
+        table.read().select(F.lit(name).alias("package_name"), *columns)
+        for name, table in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, named)
+
+
+@query
+def q_flow_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merge run after each of the three staging runs, by three packages."""
+    return _current(_extracted(spark, sf_dir, every=1))
+
+
+@query
+def q_flow_extract_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One merge run after the three staging runs: the same state."""
+    return _current(_extracted(spark, sf_dir, every=3))
+
+
+@query
+def q_flow_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The jobs of a log that staging and merge runs wrote, counted by state."""
+    status = latest_status(_extracted(spark, sf_dir, every=1).log())
+    return status.groupBy("layer", "suite_code", "package_name", "status").agg(
+        F.count(F.lit(1)).alias("jobs"), F.countDistinct("control_id").alias("packages")
     )
 
 
+@query
+def q_flow_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suite_rollup(_extracted(spark, sf_dir, every=1).log())
+
+
+@query
+def q_flow_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage, merge, summarise from the merged tables; then the last ten days come again, doubled."""
+    warehouse, events = _warehouse(spark), _events(spark, sf_dir)
+    control = _all_layers(spark, events)
+    _through(spark, warehouse, control, events)
+    last = F.lit("2024-01-21").cast("timestamp_ntz")
+    changed = events.withColumn("value", F.when(F.col("ts") >= last, F.col("value") * 2).otherwise(F.col("value")))
+    # Staged again by hand: a batch lands in place, with a log row of a new job.
+    again = _feed_windows(events, 300).where(F.col("window_start") == last)
+    rows = due_window_read(derive.with_feed(changed), again, "feed_id", "ts")
+    land_raw(rows, warehouse.path("raw", "events"), again)
+    moment = F.current_timestamp().cast("timestamp_ntz")
+    logged = {"layer": F.lit("raw"), "log_id": F.lit(2), "log_time": moment, "success_flag": F.lit(1), "complete_flag": F.lit(1)}
+    suites = derive.feed_control(events).select("control_id", "suite_code", "package_name")
+    warehouse.append_log(again.join(suites, "control_id").withColumns(logged))
+    run_extract(warehouse, control)
+    run_summary(warehouse, control, {"events": _by_month(warehouse)})
+    return summaries(warehouse)
+
+
 @query
 def q_flow_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All dates on which a suite was ever ready, by the log of the feeds."""
@@ -411,31 +489,45 @@ def summaries(warehouse: Warehouse) -> DataFrame:
 
 @query
 def q_stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The landed batches as a stream of several micro-batches, run to its end twice."""
+    """Landed batches as two streams of several micro-batches, each run to its end twice."""
     warehouse, events = _warehouse(spark), _events(spark, sf_dir)
-    windows = _feed_windows(events, 100)
-    path = warehouse.path("raw", "events")
-    land_raw(due_window_read(derive.with_feed(events), windows, "feed_id", "ts"), path, windows)
-    schema = spark.read.parquet(path).schema
     table = warehouse.ext("user_latest", ["user_id"])
-    for _ in range(2):
-        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 12).parquet(path)
-        rows = stream.select("user_id", "ts", "event_id", "event_type", "value")
-        checkpoint = f"{warehouse.root}/checkpoints/user_latest"
-        stream_merge(rows, table, ["ts", "event_id"], checkpoint).awaitTermination()
+    # Two streams into one table, each with a checkpoint of its own.
+    for name, feeds in (("low", "control_id < 6"), ("high", "control_id >= 6")):
+        windows = _feed_windows(events, 100).where(feeds)
+        path = warehouse.path("raw", name)
+        land_raw(due_window_read(derive.with_feed(events), windows, "feed_id", "ts"), path, windows)
+        schema = spark.read.parquet(path).schema
+        for _ in range(2):
+            stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 6).parquet(path)
+            rows = stream.select("user_id", "ts", "event_id", "event_type", "value")
+            checkpoint = f"{warehouse.root}/checkpoints/{name}"
+            stream_merge(rows, table, ["ts", "event_id"], checkpoint).awaitTermination()
     return table.read()
 
 
-def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All three layers in one go: stage, merge and summarise the month."""
-    warehouse, events = _warehouse(spark), _events(spark, sf_dir)
-    control = (
+def _all_layers(spark: SparkSession, events: DataFrame) -> DataFrame:
+    return _stored(
         derive.feed_control(events)
         .unionByName(derive.ext_control(spark))
         .unionByName(derive.summary_control(spark, templates.DAILY))
     )
-    control = _stored(control)
+
+
+def _by_month(warehouse: Warehouse) -> KeyedTable:
+    return warehouse.ext("events_by_month", ["partition_key", "event_id"], "partition_key")
+
+
+def _through(
+    spark: SparkSession, warehouse: Warehouse, control: DataFrame, events: DataFrame
+) -> None:
+    """All three layers in one go: stage, merge and summarise the month."""
     stage_month(warehouse, control, events, 3, each=lambda: run_extract(warehouse, control))
-    by_month = warehouse.ext("events_by_month", ["partition_key", "event_id"], "partition_key")
-    run_summary(warehouse, control, {"events": by_month})
+    run_summary(warehouse, control, {"events": _by_month(warehouse)})
+
+
+def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three layers in one go: stage, merge and summarise the month."""
+    warehouse, events = _warehouse(spark), _events(spark, sf_dir)
+    _through(spark, warehouse, _all_layers(spark, events), events)
     return summaries(warehouse)

@@ -134,7 +134,23 @@ def test_latest_status_is_of_the_last_row(spark):
     )
     got = {r["job_id"]: r["status"] for r in latest_status(log).collect()}
     assert got == {1: "completed", 2: "error", 3: "error", 4: "closed", 5: "running"}
-    assert rows(suite_rollup(log)) == [("A", 5, 1, 1, 2, 1)]
+    assert rows(suite_rollup(log)) == [("raw", "A", 5, 1, 1, 2, 1)]
+
+
+def test_jobs_of_other_layers_are_jobs_of_their_own(spark):
+    raw = log_of(spark, "1, 7, 2024-01-01, 1, 1, Done", "2, 8, 2024-01-01, 1, 1, Done")
+    # An ext package logs its own job, and the staging job of each batch that it merged.
+    ext = {"layer": F.lit("ext"), "package_name": F.lit("p"), "suite_code": F.lit("X")}
+    job = log_of(spark, "-1, 70, 2024-01-01, 1, 1, Done").withColumns(ext)
+    batches = raw.withColumns(ext).withColumn(
+        "message_source", F.lit("Log Extract Execution Batch Has Been Completed")
+    )
+    # An id of another control table may be the same.
+    enrich = log_of(spark, "1, 7, 2024-01-01, 0, 1, Has ERROR").withColumn("layer", F.lit("enrich"))
+    log = raw.union(job).union(batches).union(enrich)
+    assert rows(suite_rollup(log)) == [
+        ("enrich", "A", 1, 1, 0, 1, 0), ("ext", "X", 1, 1, 1, 0, 0), ("raw", "A", 2, 2, 2, 0, 0),
+    ]
 
 
 def test_errors_are_found_by_flag_and_by_text(spark):
@@ -164,6 +180,9 @@ def test_a_batch_is_pending_until_merged_and_again_when_staged_again(spark):
 
     assert ids(staged, "p") == [(1, 7), (2, 8)]
     assert ids(staged.union(merged), "p") == [(2, 8)]
+    # The package of another suite has merged nothing.
+    assert rows(pending_batches(staged.union(merged), "p", "B").select("job_id")) == [(7,), (8,)]
+    assert rows(pending_batches(staged.union(merged), "p", " A").select("job_id")) == [(8,)]
     assert ids(staged.union(merged), "other") == [(1, 7), (2, 8)]
     assert ids(staged.union(merged).union(again), "p") == [(1, 9), (2, 8)]
 
@@ -179,6 +198,13 @@ class TestGate:
         assert (row["status"], row["reason"]) == ("S", None)
         assert str(row["summary_start_date"]) == str(row["summary_end_date"]) == "2024-01-01"
 
+    def test_rows_of_other_layers_do_not_count(self, spark):
+        control = control_of(spark, 1)
+        raw = log_of(spark, "1, 7, 2024-01-01, 1, 1, Done")
+        later = log_of(spark, "1, 9, 2024-03-01, 1, 1, Done").withColumn("layer", F.lit("enrich"))
+        (row,) = readiness_gate(control, raw.union(later), daily=True).collect()
+        assert (row["status"], str(row["as_of"])) == ("S", "2024-01-01")
+
     def test_closed_when_a_package_is_missing(self, spark):
         lines = ["1, 7, 2024-01-01, 1, 1, Done", "2, 8, 2024-01-01, 0, 1, Has ERROR"]
         (row,) = self.gate(spark, control_of(spark, 1, 2, 3), *lines).values()

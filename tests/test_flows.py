@@ -125,6 +125,36 @@ class TestStaging:
         assert warehouse.raw("events").count() == want
         assert warehouse.log().where("complete_flag = 1").first()["row_inserted"] == want
 
+    def test_a_package_that_lags_gets_a_pass_of_its_own(self, spark, events, monkeypatch):
+        from tideline.plans import staging
+
+        warehouse, step = new(spark), timedelta(days=2)
+        base = derive.feed_control(events)
+        broken = base.withColumn("source_columns", F.array(F.lit("*"), F.lit("cast(if(feed_id = 3, event_type, '1') as int) as c")))
+        for i in range(4):
+            stage(warehouse, broken if i else base, events, step=step)
+        spans = []
+        read = staging.due_window_read
+
+        def spy(source, windows, key, ts, span):
+            spans.append((str(span.first)[:10], str(span.last)[:10]))
+            return read(source, windows, key, ts, span)
+
+        monkeypatch.setattr(staging, "due_window_read", spy)
+        stage(warehouse, base, events, step=step)
+        assert sorted(spans) == [("2024-01-03", "2024-01-05"), ("2024-01-09", "2024-01-11")]
+
+    def test_a_run_that_fails_itself_is_logged(self, spark, events, control):
+        warehouse = new(spark)
+        with pytest.raises(Exception, match="nowhen"):
+            stage(warehouse, control, events, as_of="nowhen")
+        with pytest.raises(Exception):
+            run_extract(warehouse, spark.range(1))
+        with pytest.raises(Exception):
+            run_summary(warehouse, spark.range(1), {})
+        failed = {(r["layer"], r["job_id"], r["complete_flag"]) for r in log_errors(warehouse.log()).collect()}
+        assert failed == {("raw", -1, 0), ("ext", -1, 0), ("enrich", -1, 0)}
+
     def test_only_the_suite_asked_for_runs(self, spark, events, control):
         log = stage(new(spark), control, events, suite=" T1 ")
         assert {c for c, _ in status(log)} == {1, 5, 9}
@@ -164,6 +194,26 @@ class TestExtract:
         run_extract(warehouse, control)
         assert warehouse.ext("user_record", ["user_id", "event_type"]).version() == 2
 
+    def test_the_state_does_not_depend_on_how_often_it_runs(self, spark, events, control):
+        often, late = new(spark), new(spark)
+        for _ in range(3):
+            for warehouse in (often, late):
+                stage(warehouse, control, events)
+            run_extract(often, control)
+        run_extract(late, control)
+        keys = ["user_id", "event_type"]
+        assert rows(often.ext("user_record", keys).read()) == rows(late.ext("user_record", keys).read())
+
+    def test_one_package_in_two_suites(self, spark, events, control):
+        warehouse = new(spark)
+        other = control.where("package_name = 'user_latest'").withColumn("suite_code", F.lit("Y"))
+        both = materialize(control.where("layer = 'raw' or package_name = 'user_latest'").unionByName(other), "control")
+        stage(warehouse, both, events)
+        log = run_extract(warehouse, both)
+        jobs = latest_status(log).select("suite_code", "package_name", "status")
+        assert rows(jobs) == [("X", "user_latest", "completed"), ("Y", "user_latest", "completed")]
+        assert log_errors(log).isEmpty()
+
     def test_nothing_staged_is_closed(self, spark, control):
         log = run_extract(new(spark), control)
         assert log.where("message_source like '%Has Closed%'").count() == 3
@@ -188,6 +238,22 @@ class TestSummary:
         again = run_summary(warehouse, both, tables)
         assert status(again) == others
 
+    def test_a_date_is_due_again_when_its_batches_change(self, spark, events, control):
+        warehouse = new(spark)
+        both = control.unionByName(derive.summary_control(spark, SQL))
+        stage(warehouse, both, events, suite="T1")
+        tables = {"events": derive.with_feed(events)}
+        run_summary(warehouse, both, tables, suite="T1")
+        once = warehouse.enriched("summary_T1").first()["n"]
+        assert run_summary(warehouse, both, tables, suite="T1").where("complete_flag = 1").isEmpty()
+        # A batch is staged again.
+        row = warehouse.log().where("layer = 'raw' and complete_flag = 1").limit(1)
+        warehouse.append_log(row.withColumn("log_time", F.current_timestamp().cast("timestamp_ntz")))
+        doubled = {"events": derive.with_feed(events.union(events))}
+        again = run_summary(warehouse, both, doubled, suite="T1")
+        assert again.where("complete_flag = 1").count() == 1
+        assert warehouse.enriched("summary_T1").first()["n"] == 2 * once
+
     def test_closed_suites_are_logged_with_the_reason(self, spark, events, control):
         warehouse = new(spark)
         both = control.unionByName(derive.summary_control(spark, SQL))

@@ -226,3 +226,20 @@ class TestMonthTable:
         empty = orders.withColumn("partition_key", F.lit(None).cast("string"))
         with pytest.raises(ValueError, match="is empty in some rows"):
             self.table(spark).merge(empty, self.ORDER)
+
+
+def test_null_keys_are_keys(spark):
+    schema = "k int, j string, v int"
+    target = spark.createDataFrame([(1, "a", 1), (None, "a", 2), (2, None, 3)], schema)
+    source = spark.createDataFrame([(None, "a", 20), (None, None, 40), (1, "a", 10)], schema)
+    want = [(None, None, 40), (None, "a", 20), (1, "a", 10), (2, None, 3)]
+    for small in (False, True):
+        once = merge(target, source, ["k", "j"], small_source=small)
+        assert rows(merge(once, source, ["k", "j"], small_source=small)) == want
+        assert rows(merge(once, source, ["k", "j"], matched="ignore", small_source=small)) == want
+    for limit in (0, 1 << 20):
+        table = KeyedTable(spark, scratch_path(spark, "nulls"), ["k", "j"], 3)
+        for part in (target, source, source):
+            table.merge(part, ["v"], limit=limit)
+        table.merge(source, ["v"], matched="ignore", limit=limit)
+        assert rows(table.read()) == want

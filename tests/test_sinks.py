@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tideline.sinks import LOG_SCHEMA, append_log, land_window, write_enriched
+from tideline.sinks import LOG_SCHEMA, append_log, land_window, read_log, write_enriched
 from tideline.sources import NoData, Warehouse, open_table, window_read
 
 DAY = ("2024-01-01", "2024-01-02")
@@ -81,7 +81,7 @@ def test_log_rows_are_typed_and_stored_as_given(spark, tmp_path):
     text = "it's 'quoted'; -- and \"so\" on"
     append_log(spark, path, [{"log_id": 1, "message": text, "log_time": datetime(2024, 1, 1, 1, 2, 3, 4)}])
     append_log(spark, path, spark.sql("select 2 as log_id, 'x' as message"))
-    log = spark.read.parquet(path)
+    log = read_log(spark, path)
     assert log.schema == LOG_SCHEMA
     assert [(r["log_id"], r["message"]) for r in log.orderBy("log_id").collect()] == [(1, text), (2, "x")]
     assert log.where("log_id = 1").first()["log_time"] == datetime(2024, 1, 1, 1, 2, 3, 4)
@@ -110,3 +110,18 @@ class TestWarehouse:
         with pytest.raises(ValueError, match="no catalog 'lake'"):
             open_table(spark, "ext", "x", str(tmp_path), catalog="lake")
         assert warehouse.log().isEmpty()
+
+
+def test_appends_of_many_warehouses_lose_nothing(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tideline.sources import Warehouse
+
+    def appends(job):
+        for i in range(5):
+            Warehouse(spark, str(tmp_path)).append_log([{"job_id": job, "log_id": i}])
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(appends, range(4)))
+    got = rows(Warehouse(spark, str(tmp_path)).log().select("job_id", "log_id"))
+    assert got == [(job, i) for job in range(4) for i in range(5)]

@@ -30,10 +30,31 @@ def test_micro_batches_in_any_order_give_the_batch_answer(spark, events, tmp_pat
     assert table.version() == version
 
 
-def test_a_lost_checkpoint_replays_without_effect(spark, events, tmp_path):
+def test_a_lost_checkpoint_loses_no_rows(spark, events, tmp_path):
     source = str(tmp_path / "in")
     table = KeyedTable(spark, scratch_path(spark, "stream"), ["user_id"], 4)
-    events.coalesce(1).write.parquet(source)
+    events.where("event_id < 500").coalesce(1).write.parquet(source)
     run(spark, source, table, str(tmp_path / "one"))
+    # Rows arrive before the stream starts again without its checkpoint.
+    events.where("event_id >= 500").coalesce(1).write.mode("append").parquet(source)
     run(spark, source, table, str(tmp_path / "two"))
+    want = rows(dedupe_latest(events, ["user_id"], ORDER))
+    assert rows(table.read()) == want
+    # Reading everything again changes nothing.
+    run(spark, source, table, str(tmp_path / "three"))
+    assert rows(table.read()) == want
+
+
+def test_two_streams_feed_one_table(spark, events, tmp_path):
+    table = KeyedTable(spark, scratch_path(spark, "stream"), ["user_id"], 4)
+    for name, part in (("even", "event_id % 2 = 0"), ("odd", "event_id % 2 = 1")):
+        events.where(part).coalesce(1).write.parquet(str(tmp_path / name))
+        run(spark, str(tmp_path / name), table, str(tmp_path / f"checkpoint-{name}"))
+    assert rows(table.read()) == rows(dedupe_latest(events, ["user_id"], ORDER))
+
+
+def test_a_replayed_batch_is_skipped(spark, events, tmp_path):
+    table = KeyedTable(spark, scratch_path(spark, "stream"), ["user_id"], 4)
+    assert table.merge(events, ORDER, batch="id:0").source_rows > 0
+    assert table.merge(events.where("event_id < 3"), ORDER, batch="id:0").source_rows == 0
     assert table.version() == 1

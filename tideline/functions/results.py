@@ -11,6 +11,8 @@ ERROR_PREFIXES = ("Error", "ERR")
 # The words that mark a log row as a failure or as closed.
 ERROR_MARK = "ERROR"
 CLOSED_MARK = "Has Closed"
+# In rows that log a merged batch (ours): they repeat the id of the job that staged it.
+BATCH_MARK = "Batch Has Been Completed"
 
 
 def result_class(message: Column) -> Column:

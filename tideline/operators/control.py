@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.keys import window_key
-from tideline.functions.results import CLOSED_MARK, is_error_row
+from tideline.functions.results import BATCH_MARK, CLOSED_MARK, is_error_row
 from tideline.operators.merge import dedupe_latest
 
 CONTROL_SCHEMA = T.StructType(
@@ -74,11 +74,18 @@ def due_packages(
     )
 
 
+# What identifies a job: ids of different layers' control tables may be the same.
+JOB = ("layer", "control_id", "package_name", "job_id")
+
+
 def latest_status(log: DataFrame) -> DataFrame:
-    """The state of every job, from its last log row."""
-    jobs = log.where(F.col("job_id") != -1).select(
-        "control_id",
-        "job_id",
+    """The state of every job of every layer, from its last log row.
+
+    Rows that log a merged batch carry the staging job's id; they are not jobs of their own.
+    """
+    source = F.coalesce("message_source", F.lit(""))
+    jobs = log.where((F.col("job_id") != -1) & ~source.contains(BATCH_MARK)).select(
+        *JOB,
         "suite_code",
         "log_time",
         "log_id",
@@ -87,7 +94,7 @@ def latest_status(log: DataFrame) -> DataFrame:
         "message_source",
         "message",
     )
-    last = dedupe_latest(jobs, ["control_id", "job_id"], ["log_time", "log_id"])
+    last = dedupe_latest(jobs, JOB, ["log_time", "log_id"])
     closed = F.coalesce(F.col("message_source").contains(CLOSED_MARK), F.lit(False)) | F.coalesce(
         F.col("message").contains(CLOSED_MARK), F.lit(False)
     )
@@ -98,13 +105,12 @@ def latest_status(log: DataFrame) -> DataFrame:
         .otherwise("running")
     )
     return last.select(
-        "control_id", "job_id", F.trim("suite_code").alias("suite_code"), "log_time",
-        status.alias("status"),
-    )
+        *JOB, F.trim("suite_code").alias("suite_code"), "log_time", status.alias("status")
+    )
 
 
 def suite_rollup(log: DataFrame) -> DataFrame:
-    """Jobs, packages and outcomes per suite.
+    """Jobs, packages and outcomes per layer and suite.
 
     Jobs are first counted per package, so that the shuffle by suite carries one
     partial row per task and not every package of a suite.
@@ -115,7 +121,7 @@ def suite_rollup(log: DataFrame) -> DataFrame:
 
     per_package = (
         latest_status(log)
-        .groupBy("suite_code", "control_id")
+        .groupBy("layer", "suite_code", "control_id", "package_name")
         .agg(
             F.count(F.lit(1)).alias("jobs"),
             of("completed").alias("completed"),
@@ -123,7 +129,7 @@ def suite_rollup(log: DataFrame) -> DataFrame:
             of("closed").alias("closed"),
         )
     )
-    return per_package.groupBy("suite_code").agg(
+    return per_package.groupBy("layer", "suite_code").agg(
         F.sum("jobs").alias("jobs"),
         F.count(F.lit(1)).alias("packages"),
         F.sum("completed").alias("completed"),
@@ -173,13 +179,13 @@ def staged_batches(log: DataFrame) -> DataFrame:
     )
 
 
-def pending_batches(log: DataFrame, package_name: str) -> DataFrame:
+def pending_batches(log: DataFrame, package_name: str, suite: str | None = None) -> DataFrame:
     """Staged batches that the named ext package has not merged yet.
 
-    The rows that log a merged batch carry the job that staged it, so a batch that
-    was staged again is pending again, whatever the clocks say.
+    A package is known by its name and suite. The rows that log a merged batch carry the job that
+    staged it, so a batch that was staged again is pending again, whatever the clocks say.
     """
-    merged = log.where(
+    merged = of_suite(log, suite).where(
         _done() & (F.col("layer") == "ext") & (F.col("package_name") == package_name)
     )
     return staged_batches(log).join(

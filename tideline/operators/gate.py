@@ -52,8 +52,9 @@ def readiness_gate(control: DataFrame, log: DataFrame, daily: bool = False) -> D
 
 
 def _log_days(required: DataFrame, log: DataFrame) -> DataFrame:
-    """The required packages with the first and last log date of their suite, if it has any."""
-    per_package = log.groupBy("control_id").agg(
+    """The required packages with the first and last staging log date of their suite, if it has any."""
+    staging = log.where(F.col("layer") == "raw")
+    per_package = staging.groupBy("control_id").agg(
         F.to_date(F.min("log_time")).alias("first"), F.to_date(F.max("log_time")).alias("last")
     )
     per_suite = (

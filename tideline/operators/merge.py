@@ -41,9 +41,14 @@ def merge(
     when: str | None = None,
     matched: str = "update",
     small_source: bool = False,
+    null_keys: bool = True,
 ) -> DataFrame:
     """``target`` after merging ``source`` into it; both hold one row per key.
 
+    A null in a key is a value like others, here as in ``dedupe_latest``. A caller that has
+    counted no null in the source's keys may say so with ``null_keys=False``: then keys are
+    compared with ``=``, which lets a join use a partitioning by the keys that is there already.
+
     Unmatched target rows stay, unmatched source rows are inserted. A matched row
     becomes the source row, or only where ``when`` is true: SQL over ``source.x``
     and ``target.x``, null counting as false. ``matched="ignore"`` only inserts.
@@ -57,30 +62,49 @@ def merge(
         raise ValueError(f"matched must be one of {MATCHED}, not {matched!r}")
     source = conform(source, target)
     if matched == "ignore":
-        return target.unionByName(unmatched(target, source, keys, small_source))
+        return target.unionByName(unmatched(target, source, keys, small_source, null_keys))
     if small_source:
-        new = unmatched(target, source, keys, small_source)
-        return matched_rows(target, source, keys, when).unionByName(new)
-    return _take(target, _marked(source), keys, when, "full")
+        new = unmatched(target, source, keys, small_source, null_keys)
+        return matched_rows(target, source, keys, when, null_keys).unionByName(new)
+    return _take(target, _marked(source), keys, when, "full", null_keys)
 
 
 def matched_rows(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], when: str | None = None
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    when: str | None = None,
+    null_keys: bool = True,
 ) -> DataFrame:
     """The target's rows, updated from a source small enough to broadcast."""
-    return _take(target, F.broadcast(_marked(source)), keys, when, "left")
+    return _take(target, F.broadcast(_marked(source)), keys, when, "left", null_keys)
 
 
 def unmatched(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], small_source: bool = False
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    small_source: bool = False,
+    null_keys: bool = True,
 ) -> DataFrame:
     """Source rows whose key the target lacks."""
     there = target.select(*keys)
     if small_source:
         # The target's keys are narrowed to those of the source first, so what is
         # broadcast for the second join is no larger than the source.
-        there = F.broadcast(there.join(F.broadcast(source.select(*keys)), list(keys), "left_semi"))
-    return source.join(there, list(keys), "left_anti")
+        wanted = F.broadcast(source.select(*keys))
+        there = there.alias("target").join(
+            wanted.alias("source"), _same_key(keys, null_keys), "left_semi"
+        )
+        there = F.broadcast(there)
+    return source.alias("source").join(
+        there.alias("target"), _same_key(keys, null_keys), "left_anti"
+    )
+
+
+def _same_key(keys: Sequence[str], null_keys: bool) -> list[Column]:
+    pairs = [(F.col(f"target.`{k}`"), F.col(f"source.`{k}`")) for k in keys]
+    return [t.eqNullSafe(s) if null_keys else t == s for t, s in pairs]
 
 
 def _marked(source: DataFrame) -> DataFrame:
@@ -88,13 +112,18 @@ def _marked(source: DataFrame) -> DataFrame:
 
 
 def _take(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], when: str | None, how: str
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    when: str | None,
+    how: str,
+    null_keys: bool,
 ) -> DataFrame:
     # Presence comes from marker columns: a null value in a source row must still
     # win over the target's value.
     left = target.withColumn("_in_target", F.lit(True)).alias("target")
     right = source.alias("source")
-    on = [F.col(f"target.`{k}`") == F.col(f"source.`{k}`") for k in keys]
+    on = _same_key(keys, null_keys)
     allowed = F.coalesce(F.expr(when), F.lit(False)) if when else F.lit(True)
     from_source = F.col("source._in_source").isNotNull() & (
         F.col("target._in_target").isNull() | allowed
@@ -122,7 +151,7 @@ def merge_into_table(
     """
     if matched not in MATCHED:
         raise ValueError(f"matched must be one of {MATCHED}, not {matched!r}")
-    on = " AND ".join(f"target.`{key}` = source.`{key}`" for key in keys)
+    on = " AND ".join(f"target.`{key}` <=> source.`{key}`" for key in keys)
     update = f"WHEN MATCHED{f' AND ({when})' if when else ''} THEN UPDATE SET *"
     source.sparkSession.sql(
         f"MERGE INTO IDENTIFIER(:table) AS target USING {{source}} AS source ON {on}"

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -28,50 +27,59 @@ def run_extract(
     """Merge all pending batches of every package of a suite; returns this run's log rows.
 
     All pending batches of a package go into one merge: its latest row per key is
-    the same as after merging them one by one, and the table is rewritten once.
-    A package with a merge condition compares each key's latest pending row.
+    the same as after merging them one by one, and the table is rewritten once. With a merge
+    condition that does not hold, as a row may meet it that a later one does not: such a package
+    merges the batches of one window after the other, so its result does not depend on how often
+    the flow runs.
+
+    A package is known by its name and suite. Packages of one name share a table and run one
+    after the other, others side by side.
 
     Each merged batch is logged, so the next run leaves it out unless it was staged
     again. A run that dies between the merge and the log repeats the merge, which
-    changes nothing.
+    changes nothing. A failure of the run itself is logged as the manager's and raised.
     """
     run = RunLog(warehouse, "ext", suite)
-    begin = run.manager(text.EXTRACT_START)
-    packages = of_suite(control.where(F.col("layer") == "ext"), suite).collect()
+    run.write(run.manager(text.EXTRACT_START))
+    with run.guard(text.EXTRACT_ERROR):
+        _run(warehouse, control, run, parallel)
+    run.write(run.manager(text.EXTRACT_END))
+    return run.rows()
+
+
+def _run(warehouse: Warehouse, control: DataFrame, run: RunLog, parallel: int) -> None:
+    packages = of_suite(control.where(F.col("layer") == "ext"), run.suite).collect()
     names = ";".join(package["package_name"] for package in packages)
     count = f"{text.EXTRACT_COUNT}{len(packages)}"
-    jobs = {package["package_name"]: uuid.uuid4().int >> 65 for package in packages}
-    starting = [
-        run.packages(_job(warehouse, package, jobs), text.EXTRACT_PACKAGE_START)
-        for package in packages
-    ]
+    jobs = [(package, _job(warehouse, package)) for package in packages]
+    starting = [run.packages(job, text.EXTRACT_PACKAGE_START) for _, job in jobs]
     listed = f"List Extract Package: [{names}]" if packages else text.EMPTY_LIST
-    run.write(begin, run.manager(count, listed), *starting)
+    run.write(run.manager(count, listed), *starting)
     staging = control.where(F.col("layer") == "raw").select("control_id", "package_name")
+    by_table: dict[str, list[tuple[Row, DataFrame]]] = {}
+    for package, job in jobs:
+        by_table.setdefault(package["package_name"], []).append((package, job))
 
-    def extract(package: Row) -> None:
-        job = _job(warehouse, package, jobs)
-        try:
-            _extract(warehouse, run, package, staging, job)
-        except NoData as error:
-            run.write(run.packages(job, text.EXTRACT_PACKAGE_CLOSED, F.lit(str(error))))
-        except Exception as error:
-            message = F.lit(f"ERR: {error}")
-            run.write(run.packages(job, text.EXTRACT_PACKAGE_ERROR, message, 0, 1))
-
-    side_by_side(warehouse.spark, extract, packages, parallel)
-    run.write(run.manager(text.EXTRACT_END))
-    return run.rows()
+    def extract(members: list[tuple[Row, DataFrame]]) -> None:
+        for package, job in members:
+            try:
+                _extract(warehouse, run, package, staging, job)
+            except NoData as error:
+                run.write(run.packages(job, text.EXTRACT_PACKAGE_CLOSED, F.lit(str(error))))
+            except Exception as error:
+                message = F.lit(f"ERR: {error}")
+                run.write(run.packages(job, text.EXTRACT_PACKAGE_ERROR, message, 0, 1))
+
+    side_by_side(warehouse.spark, extract, by_table.values(), parallel)
 
 
-def _job(warehouse: Warehouse, package: Row, jobs: Mapping[str, int]) -> DataFrame:
+def _job(warehouse: Warehouse, package: Row) -> DataFrame:
     """The ids of a package's job as a row; a package of this layer has no control id."""
-    name = package["package_name"]
     row = {
         "control_id": -1,
-        "package_name": name,
+        "package_name": package["package_name"],
         "suite_code": package["suite_code"],
-        "job_id": jobs[name],
+        "job_id": uuid.uuid4().int >> 65,
     }
     return small_frame(warehouse.spark, [row], LOG_SCHEMA)
 
@@ -81,7 +89,8 @@ def _extract(
 ) -> None:
     name, table = package["package_name"], package["source_table"]
     feeding = staging.where(F.col("package_name") == table)
-    pending = pending_batches(warehouse.log(), name).join(feeding, "control_id", "left_semi")
+    pending = pending_batches(warehouse.log(), name, package["suite_code"])
+    pending = pending.join(feeding, "control_id", "left_semi")
     # Written, because the log it was computed from is about to change.
     pending, seen = materialize_measured(
         pending, "pending", first=F.min("window_key"), last=F.max("window_key")
@@ -90,21 +99,29 @@ def _extract(
         message = F.lit("no batch is pending")
         run.write(run.packages(job, text.EXTRACT_PACKAGE_CLOSED, message))
         return
-    # The key range goes to the scan as literals and prunes the batch folders.
-    raw = partition_range_read(warehouse.raw(table), seen["first"], seen["last"], "window_key")
-    batch = staged_batch_read(raw, pending, on=("control_id", "window_key"))
     target = warehouse.ext(name, package["merge_keys"], package["merge_partition"])
-    merged = target.merge(
-        project_columns(batch, package["source_columns"]),
-        order=package["merge_order"],
-        when=package["merge_condition"],
-    )
-    batches = pending.withColumns(
-        {"package_name": F.lit(name), "suite_code": F.lit(package["suite_code"])}
-    )
-    message = F.lit(f"OK: version {merged.version}")
-    done = job.withColumn("row_inserted", F.lit(merged.source_rows))
-    run.write(
-        run.packages(batches, text.EXTRACT_BATCH_DONE, message, 1, 1),
-        run.packages(done, text.EXTRACT_PACKAGE_DONE, message, 1, 1),
-    )
+    if package["merge_condition"]:
+        keys = pending.select("window_key").distinct().orderBy("window_key").collect()
+        steps = [(key["window_key"],) * 2 for key in keys]
+    else:
+        steps = [(seen["first"], seen["last"])]
+    rows = 0
+    for first, last in steps:
+        part = partition_range_read(pending, first, last, "window_key")
+        # The key range goes to the scan as literals and prunes the batch folders.
+        raw = partition_range_read(warehouse.raw(table), first, last, "window_key")
+        batch = staged_batch_read(raw, part, on=("control_id", "window_key"))
+        merged = target.merge(
+            project_columns(batch, package["source_columns"]),
+            order=package["merge_order"],
+            when=package["merge_condition"],
+        )
+        rows += merged.source_rows
+        # Each step is logged when it is done: a run that dies goes on behind it.
+        batches = part.withColumns(
+            {"package_name": F.lit(name), "suite_code": F.lit(package["suite_code"])}
+        )
+        message = F.lit(f"OK: version {merged.version}")
+        run.write(run.packages(batches, text.EXTRACT_BATCH_DONE, message, 1, 1))
+    done = job.withColumn("row_inserted", F.lit(rows))
+    run.write(run.packages(done, text.EXTRACT_PACKAGE_DONE, message, 1, 1))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from datetime import datetime, timezone
 from functools import reduce
 from typing import TypeVar
@@ -94,6 +95,15 @@ class RunLog:
             "suite_code": self.suite,
         }
 
+    @contextmanager
+    def guard(self, source: str) -> Iterator[None]:
+        """Log what stops the run itself, then let it through."""
+        try:
+            yield
+        except Exception as error:
+            self.write(self.manager(source, f"ERR: {error}"))
+            raise
+
     def write(self, *parts: DataFrame | dict[str, object]) -> None:
         """Append the rows of all parts by one job, in as few files as they need."""
         own = [part for part in parts if isinstance(part, dict)]

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tideline.functions.keys import window_key
@@ -53,25 +54,32 @@ def run_staging(
     ``sources`` maps the control rows' source tables to DataFrames, or to functions
     that open one for a time range, as ``jdbc_window_read`` does. A window that ends after ``as_of`` is not complete yet: its
     package is closed for this run. Packages that share a source table are read in
-    one pass; when that pass fails they are run in halves, so that the failure is logged
+    one pass for each stretch of time their windows cover; when that pass fails they are run in halves, so that the failure is logged
     for the packages it belongs to and the others go on.
 
     The batch is landed first and logged second, and the next window comes from the
     log. A run that dies between the two lands the same window again, in place.
+    A failure of the run itself is logged as the manager's and raised.
     """
     run = RunLog(warehouse, "raw", suite)
-    begin = run.manager(text.STAGING_START, f"Suite {suite}")
-    packages = control.where(F.col("layer") == "raw")
-    due = due_packages(packages, warehouse.log(), step, default_start, suite).withColumn(
-        "job_id", new_job_id(run.started, F.col("control_id"), F.col("window_start"))
-    )
+    run.write(run.manager(text.STAGING_START, f"Suite {suite}"))
+    with run.guard(text.STAGING_ERROR):
+        packages = control.where(F.col("layer") == "raw")
+        due = due_packages(packages, warehouse.log(), step, default_start, suite)
+        _run(run, due, sources, as_of, parallel)
+    run.write(run.manager(text.STAGING_END))
+    return run.rows()
+
+
+def _run(run: RunLog, due: DataFrame, sources: Sources, as_of: object, parallel: int) -> None:
+    job_id = new_job_id(run.started, F.col("control_id"), F.col("window_start"))
     # Written, because the log it was computed from is about to change.
-    due = materialize(due, "due")
+    due = materialize(with_pass(due.withColumn("job_id", job_id)), "due")
     ready = F.col("window_end") <= F.lit(str(as_of)).cast("timestamp_ntz")
     waiting = due.where(~ready).withColumn("job_id", F.lit(-1))
     due = due.where(ready)
     groups = (
-        due.groupBy(*SHARED)
+        due.groupBy(*SHARED, "pass")
         .agg(
             F.count(F.lit(1)).alias("packages"),
             *[m.alias(n) for n, m in Span.measures(due.select(*WINDOW).schema).items()],
@@ -83,7 +91,6 @@ def run_staging(
     else:
         listed = run.manager(text.STAGING_COUNT + "0", text.EMPTY_LIST)
     run.write(
-        begin,
         listed,
         run.packages(waiting.select(*WINDOW), text.STAGING_PACKAGE_CLOSED),
         run.packages(due.select(*WINDOW), text.STAGING_PACKAGE_START),
@@ -91,7 +98,7 @@ def run_staging(
 
     def stage(group: Row) -> None:
         members = due
-        for name in SHARED:
+        for name in (*SHARED, "pass"):
             # Lists and nulls are compared as they are.
             members = members.where(F.col(name).eqNullSafe(_literal(group[name])))
         try:
@@ -109,9 +116,25 @@ def run_staging(
                 ids = [row[0] for row in members.select("control_id").collect()]
                 _stage_apart(run, source, group, members, ids)
 
-    side_by_side(warehouse.spark, stage, groups, parallel)
-    run.write(run.manager(text.STAGING_END))
-    return run.rows()
+    side_by_side(run.warehouse.spark, stage, groups, parallel)
+
+
+def with_pass(due: DataFrame) -> DataFrame:
+    """Number the passes over each source: windows that touch or overlap are read together.
+
+    A package that is far behind gets a pass over its own window, and does not widen that of the
+    others to all the time between.
+    """
+    shared = F.to_json(F.struct(*SHARED)).alias("shared")
+    ordered = W.partitionBy("shared").orderBy("window_start", "window_end")
+    so_far = F.max("window_end").over(ordered.rowsBetween(W.unboundedPreceding, -1))
+    first = F.coalesce(F.col("window_start") > so_far, F.lit(False)).cast("int")
+    # One row per distinct window, however many packages share it.
+    windows = due.select(shared, "window_start", "window_end").distinct()
+    starts = windows.withColumn("starts", first)
+    passes = starts.withColumn("pass", F.sum("starts").over(ordered)).drop("starts")
+    keyed = due.withColumn("shared", shared)
+    return keyed.join(passes, ["shared", "window_start", "window_end"]).drop("shared")
 
 
 def _package_lists(run: RunLog, due: DataFrame) -> DataFrame:

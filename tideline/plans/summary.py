@@ -7,6 +7,7 @@ from datetime import datetime, time
 from functools import reduce
 
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tideline.functions.keys import partition_key
@@ -24,6 +25,8 @@ from tideline.sources.layers import Warehouse
 
 # Every run replaces the month and end date it was made for.
 SUMMARY_PARTITIONS = ("partition_key", "summary_date")
+# Each date is a branch of its plan; a backfill of many is written in groups.
+DATES_PER_PLAN = 31
 
 
 def run_summary(
@@ -39,20 +42,37 @@ def run_summary(
 
     Raw packages of the control table are what a suite requires, its enrich packages
     are what it runs. Suites that are not ready are logged as closed with the reason
-    and write nothing. A date that a package has summarised before is not due again.
+    and write nothing. A date that a package has summarised before is due again when a batch of
+    the suite that begins on it or before was staged or merged since.
     ``daily`` runs all dates that were ever open, as a backfill does. ``log`` is the
     staging log that the gate reads, by default the warehouse's own.
 
     The SQL of a package makes the rows of one date; the flow adds ``partition_key``
-    and ``summary_date``. All its due dates are written by one job. An ext table among
+    and ``summary_date``. Up to ``DATES_PER_PLAN`` due dates are written by one job. An ext table among
     ``tables`` that is partitioned by month is read for the months of the run only.
     """
     run = RunLog(warehouse, "enrich", suite)
-    begin = run.manager(text.SUMMARY_START, f"SuiteCode: {suite}")
+    run.write(run.manager(text.SUMMARY_START, f"SuiteCode: {suite}"))
+    with run.guard(text.SUMMARY_ERROR):
+        _run(run, control, tables, log, daily, parallel)
+    run.write(run.manager(text.SUMMARY_END))
+    return run.rows()
+
+
+def _run(
+    run: RunLog,
+    control: DataFrame,
+    tables: Mapping[str, DataFrame | KeyedTable],
+    log: DataFrame | None,
+    daily: bool,
+    parallel: int,
+) -> None:
+    warehouse = run.warehouse
     required = control.where(F.col("layer") == "raw")
-    staging = warehouse.log() if log is None else log
-    gate = of_suite(readiness_gate(required, staging, daily), suite)
-    packages = of_suite(control.where(F.col("layer") == "enrich"), suite)
+    own = warehouse.log()
+    staging = own if log is None else log
+    gate = of_suite(readiness_gate(required, staging, daily), run.suite)
+    packages = of_suite(control.where(F.col("layer") == "enrich"), run.suite)
     runs = packages.select("control_id", "package_name", "suite_code", "enrich_query").join(
         gate, "suite_code", "left"
     )
@@ -67,16 +87,16 @@ def run_summary(
         new_job_id(run.started, F.col("control_id"), F.col("as_of")).alias("job_id"),
     )
     runs = materialize(runs, "summary-runs")
-    due = _not_yet_summarised(runs.where("status = 'S'"), warehouse.log())
-    by_package: dict[str, list[Row]] = {}
+    changes = own if log is None else own.where("layer = 'ext'").unionByName(log)
+    due = _due(runs.where("status = 'S'"), own, _changed(required, changes))
+    by_package: dict[int, list[Row]] = {}
     for row in due.collect():
-        by_package.setdefault(row["package_name"], []).append(row)
+        by_package.setdefault(row["control_id"], []).append(row)
     closed = runs.where("status = 'C'")
     due_rows = [row for rows in by_package.values() for row in rows]
-    ids = ";".join(str(rows[0]["control_id"]) for rows in by_package.values())
+    ids = ";".join(map(str, by_package))
     listed = f"List SummaryControlID = [{ids}]" if ids else text.EMPTY_LIST
     run.write(
-        begin,
         run.manager(f"{text.SUMMARY_COUNT}{len(by_package)}", listed),
         run.packages(closed, text.SUMMARY_PACKAGE_CLOSED, F.col("reason")),
         run.packages(_jobs(warehouse, due_rows), text.SUMMARY_PACKAGE_START),
@@ -94,20 +114,51 @@ def run_summary(
                 for row in rows:
                     summarise([row])
 
-    side_by_side(warehouse.spark, summarise, by_package.values(), parallel)
-    run.write(run.manager(text.SUMMARY_END))
-    return run.rows()
+    def in_groups(rows: Sequence[Row]) -> None:
+        for first in range(0, len(rows), DATES_PER_PLAN):
+            summarise(rows[first : first + DATES_PER_PLAN])
 
+    side_by_side(warehouse.spark, in_groups, by_package.values(), parallel)
 
-def _not_yet_summarised(runs: DataFrame, log: DataFrame) -> DataFrame:
-    """One run per package and date, without the dates that were completed before."""
-    done = log.where("layer = 'enrich' and success_flag = 1 and complete_flag = 1").select(
-        "control_id", F.to_date("window_start").alias("summary_start_date")
+
+def _changed(required: DataFrame, log: DataFrame) -> DataFrame:
+    """For every suite and date, when batches that begin there were last staged or merged."""
+    suites = of_suite(required, None).select("control_id", "suite_code").distinct()
+    batches = log.where(
+        "layer in ('raw', 'ext') and success_flag = 1 and complete_flag = 1 and job_id <> -1"
+    ).select("control_id", F.to_date("window_start").alias("date"), "log_time")
+    dated = batches.where("date is not null").groupBy("control_id", "date").agg(
+        F.max("log_time").alias("changed_at")
+    )
+    return dated.join(suites, "control_id").groupBy("suite_code", "date").agg(
+        F.max("changed_at").alias("changed_at")
     )
+
+
+def _due(runs: DataFrame, log: DataFrame, changed: DataFrame) -> DataFrame:
+    """One run per package and date, without the dates that are summarised and still right.
+
+    A summary is out of date when a batch of its suite that begins on its date or before was staged
+    or merged after the summary's run had started.
+    """
+    done = log.where("layer = 'enrich' and success_flag = 1 and complete_flag = 1").groupBy(
+        "control_id", F.to_date("window_start").alias("summary_start_date")
+    ).agg(F.max("start_time").alias("done_at"))
     first = runs.groupBy("control_id", "summary_start_date").agg(F.min("as_of").alias("as_of"))
-    return runs.join(first, ["control_id", "summary_start_date", "as_of"], "left_semi").join(
-        done, ["control_id", "summary_start_date"], "left_anti"
+    runs = runs.join(first, ["control_id", "summary_start_date", "as_of"], "left_semi")
+    # The last change up to each date: a running maximum over changes and dates in question.
+    asked = runs.select("suite_code", F.col("summary_end_date").alias("date")).distinct()
+    both = changed.withColumn("asked", F.lit(False)).unionByName(
+        asked.withColumns({"changed_at": F.lit(None).cast("timestamp_ntz"), "asked": F.lit(True)})
+    )
+    so_far = F.max("changed_at").over(W.partitionBy("suite_code").orderBy("date"))
+    last = both.withColumn("last_change", so_far).where("asked").select(
+        "suite_code", F.col("date").alias("summary_end_date"), "last_change"
+    )
+    known = runs.join(last, ["suite_code", "summary_end_date"], "left").join(
+        done, ["control_id", "summary_start_date"], "left"
     )
+    return known.where("done_at is null or last_change > done_at").select(runs.columns)
 
 
 def _summarise(

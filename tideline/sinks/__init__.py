@@ -1,5 +1,5 @@
 from tideline.sinks.keyed import KeyedTable
-from tideline.sinks.log import LOG_SCHEMA, append_log, conform_log
+from tideline.sinks.log import LOG_SCHEMA, append_log, conform_log, read_log
 from tideline.sinks.partitions import land_raw, land_window, replace_partitions, write_enriched
 
 __all__ = [
@@ -9,6 +9,7 @@ __all__ = [
     "conform_log",
     "land_raw",
     "land_window",
+    "read_log",
     "replace_partitions",
     "write_enriched",
 ]

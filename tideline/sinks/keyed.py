@@ -167,7 +167,10 @@ class KeyedTable:
             source = conform(source, small_frame(self.spark, [], self.schema))
         # Written once: its size decides the strategy and several scans follow.
         latest, seen = materialize_measured(
-            dedupe_latest(source, self.keys, order), "merge-source", rows=F.count(F.lit(1))
+            dedupe_latest(source, self.keys, order),
+            "merge-source",
+            rows=F.count(F.lit(1)),
+            null_keys=F.max(F.array_contains(F.array(*[F.isnull(k) for k in self.keys]), True)),
         )
         if not seen["rows"]:
             return Merged(version, 0, 0, False)
@@ -179,7 +182,8 @@ class KeyedTable:
         directories = [r["directory"] for r in live if Cell(r["part"], r["bucket"]) in touched]
         append = matched == "ignore"
         if directories:
-            out = self._merged(self._scan(directories), latest, when, append, small)
+            target = self._scan(directories)
+            out = self._merged(target, latest, when, append, small, seen["null_keys"])
         else:
             out = self._rebalanced(latest)
         since = {cell: old[cell]["since"] for cell in touched & set(old)} if append else {}
@@ -188,23 +192,32 @@ class KeyedTable:
         return Merged(version + (written > 0), seen["rows"], written, small)
 
     def _merged(
-        self, target: DataFrame, latest: DataFrame, when: str | None, append: bool, small: bool
+        self,
+        target: DataFrame,
+        latest: DataFrame,
+        when: str | None,
+        append: bool,
+        small: bool,
+        null_keys: bool,
     ) -> DataFrame:
+        # Without nulls in the source's keys, null keys of the target match nothing anyway.
         if small:
             # Target rows stay in the tasks that read them, which hold few cells each.
-            new = self._rebalanced(unmatched(target, latest, self.keys, small))
+            new = self._rebalanced(unmatched(target, latest, self.keys, small, null_keys))
             if append:
                 return new
-            kept = matched_rows(target, latest, self.keys, when)
+            kept = matched_rows(target, latest, self.keys, when, null_keys)
             return kept.select("*", *self._cell()).unionByName(new)
         if append:
-            return self._rebalanced(unmatched(target, latest, self.keys))
-        if self.part_by is not None:
-            return self._rebalanced(merge(target, latest, self.keys, when))
+            return self._rebalanced(unmatched(target, latest, self.keys, null_keys=null_keys))
+        if self.part_by is not None or null_keys:
+            merged = merge(target, latest, self.keys, when, null_keys=null_keys)
+            return self._rebalanced(merged)
         # Both sides in as many parts as there are buckets: the join needs no other
         # shuffle, and each task ends up with the rows of one bucket.
         sides = [side.repartition(self.buckets, *self.keys) for side in (target, latest)]
-        return merge(*sides, self.keys, when).select("*", *self._cell())
+        merged = merge(*sides, self.keys, when, null_keys=False)
+        return merged.select("*", *self._cell())
 
     def _rebalanced(self, df: DataFrame) -> DataFrame:
         """Rows of a cell brought together; AQE joins small cells and cuts large ones."""

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tideline.functions.local import small_frame
+from tideline.sinks.partitions import ensure_table
 
 LOG_SCHEMA = T.StructType(
     [
@@ -48,12 +50,21 @@ def append_log(
 ) -> None:
     """Append typed rows; messages are stored as given.
 
+    Every append is a folder of its own, written by a job of its own: appends of any number of
+    threads, sessions or drivers share nothing that one could take from another.
+
     A DataFrame's rows never pass through the driver, however many packages they
     are for. Mappings are for the few rows a flow writes about itself.
     """
     if not isinstance(rows, DataFrame):
         rows = log_rows(spark, rows)
-    conform_log(rows).write.mode("append").parquet(path)
+    conform_log(rows).write.parquet(f"{path}/append-{uuid.uuid4().hex}")
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """All rows that were appended; none before the first append."""
+    ensure_table(spark, path, LOG_SCHEMA)
+    return spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true").parquet(path)
 
 
 def log_rows(spark: SparkSession, rows: Iterable[Mapping[str, object]]) -> DataFrame:

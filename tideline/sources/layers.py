@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import threading
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -10,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.sinks.keyed import KeyedTable
-from tideline.sinks.log import LOG_SCHEMA, append_log
-from tideline.sinks.partitions import ensure_table
+from tideline.sinks.log import append_log, read_log
 
 # The layer names.
 LAYERS = ("raw", "ext", "enrich")
@@ -35,9 +33,6 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
-        # Two jobs that append to one path at the same time share its temporary
-        # folder, and the first to commit removes it.
-        self._appending = threading.Lock()
 
     def path(self, layer: str, name: str) -> str:
         if layer not in LAYERS:
@@ -66,11 +61,10 @@ class Warehouse:
             raise
 
     def log(self) -> DataFrame:
-        return ensure_table(self.spark, f"{self.root}/log", LOG_SCHEMA)
+        return read_log(self.spark, f"{self.root}/log")
 
     def append_log(self, rows: DataFrame | Iterable[Mapping[str, object]]) -> None:
-        with self._appending:
-            append_log(self.spark, f"{self.root}/log", rows)
+        append_log(self.spark, f"{self.root}/log", rows)
 
 
 def open_table(
