@@ -75,8 +75,8 @@ def randomness(token: Column) -> Column:
         name = F.when(fits, F.lit(label)).otherwise(name)
         size = F.when(fits, F.lit(float(_SIZES[label]))).otherwise(size)
         order = F.when(fits, F.lit(alphabet) if alphabet else lower).otherwise(order)
-    mixed = token.rlike("[a-z]") & token.rlike("[A-Z]")
-    plain = F.when(mixed | token.rlike("^[A-Z2-7]+$"), token).otherwise(F.lower(token))
+    # Encodings of one letter case have their characters listed in lower case.
+    plain = F.when(name.isin("base16", "base36"), F.lower(token)).otherwise(token)
     chars = F.split(plain, "")
     chars = F.filter(chars, lambda c: F.length(c) > 0)
 
