@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tests.conftest import plan, rows
 from tideline.operators import dedupe_latest, merge, merge_into_table
 from tideline.session import scratch_path
-from tideline.sinks import KeyedTable
+from tideline.sinks import ClaimedVersion, KeyedTable
 
 
 def frame(spark, values: str, columns: str = "k, v"):
@@ -243,3 +243,31 @@ def test_null_keys_are_keys(spark):
             table.merge(part, ["v"], limit=limit)
         table.merge(source, ["v"], matched="ignore", limit=limit)
         assert rows(table.read()) == want
+
+
+def test_writers_of_one_table_take_turns(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = scratch_path(spark, "turns")
+
+    def merges(writer):
+        for i in range(3):
+            rows_of = spark.createDataFrame([(k, 10 * writer + i) for k in range(4 + writer)], "k int, v int")
+            KeyedTable(spark, path, ["k"], 2).merge(rows_of, ["v"], "source.v > target.v")
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(merges, range(3)))
+    table = KeyedTable(spark, path, ["k"], 2)
+    assert rows(table.read()) == [(k, 22) for k in range(6)]
+    assert table.version() == 9
+
+
+def test_a_claim_that_stays_stops_others(spark):
+    table = KeyedTable(spark, scratch_path(spark, "claimed"), ["k"], 2, wait=0)
+    source = spark.createDataFrame([(1, 1)], "k int, v int")
+    with table._claimed(), pytest.raises(ClaimedVersion, match="v1"):
+        table.merge(source, ["v"])
+    with pytest.raises(Exception, match="nothing"):
+        table.merge(source, ["v"])
+        table.merge(source, ["v"], when="source.nothing > 1")
+    assert table.merge(source, ["v"]).version == 2

@@ -1,8 +1,9 @@
-from tideline.sinks.keyed import KeyedTable
+from tideline.sinks.keyed import ClaimedVersion, KeyedTable
 from tideline.sinks.log import LOG_SCHEMA, append_log, conform_log, read_log
 from tideline.sinks.partitions import land_raw, land_window, replace_partitions, write_enriched
 
 __all__ = [
+    "ClaimedVersion",
     "KeyedTable",
     "LOG_SCHEMA",
     "append_log",

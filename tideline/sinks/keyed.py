@@ -7,16 +7,20 @@ has such a partition. A merge reads and rewrites only the cells that its source
 keys for. The list of published directories is itself an append-only parquet table,
 one file per merge, so readers see all of a merge or none of it.
 
-One writer per table at a time, as one flow feeds each table.
+One writer per table at a time: a merge first claims the version it is going to publish, by a file
+that only one writer can create. Others wait until it is published, and then merge into that.
 """
 
 from __future__ import annotations
 
 import json
+import time
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -61,12 +65,18 @@ class Merged(NamedTuple):
     broadcast_source: bool
 
 
+class ClaimedVersion(RuntimeError):
+    """Another writer has claimed the next version of a table and not published it in time."""
+
+
 class KeyedTable:
     """A table of one row per key.
 
-    ``buckets`` is fixed when the table is created; choose it so that a bucket (of
-    one partition, if there are any) is about one output file of 0.5 to 1 GB at the
-    size the table is meant to reach.
+    ``buckets`` is fixed when the table is created, by default as many as the session has shuffle
+    partitions; choose it so that a bucket (of one partition, if there are any) is about one output
+    file of 0.5 to 1 GB at the size the table is meant to reach.
+
+    ``wait`` is for how many seconds a merge waits for another writer.
 
     ``part_by`` names a key column whose values partition the table, such as the
     month of a row that keeps its month. Merges then touch only the partitions their
@@ -78,21 +88,27 @@ class KeyedTable:
         spark: SparkSession,
         path: str,
         keys: Sequence[str],
-        buckets: int = 8,
+        buckets: int | None = None,
         part_by: str | None = None,
+        wait: float = 3600,
     ):
         if part_by is not None and part_by not in keys:
             raise ValueError(f"{part_by!r} is no key column: a row could change its partition")
         self.spark = spark
         self.path = path
         self.keys = list(keys)
-        self.buckets = buckets
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.part_by = part_by
+        self.wait = wait
         self.schema = None
+        self._learn()
+
+    def _learn(self) -> None:
+        """Take over what the table was created with, by whomever."""
         head = self._published().select("keys", "part_by", "buckets", "table_schema").head()
         if head is not None:
             stored, part = list(head["keys"]), head["part_by"]
-            if (stored, part) != (self.keys, part_by):
+            if (stored, part) != (self.keys, self.part_by):
                 raise ValueError(f"the table is keyed by {stored} and partitioned by {part}")
             self.buckets = head["buckets"]
             self.schema = T.StructType.fromJson(json.loads(head["table_schema"]))
@@ -104,7 +120,7 @@ class KeyedTable:
 
     def version(self) -> int:
         """The last published version; 0 before the first merge."""
-        return max((row["version"] for row in self._live()), default=0)
+        return self._published().agg(F.max("version")).first()[0] or 0
 
     def read(self, from_part: str | None = None, to_part: str | None = None) -> DataFrame:
         """The current rows, or those of a range of partitions, both ends included.
@@ -159,10 +175,62 @@ class KeyedTable:
         A ``batch`` name that was published before is skipped, so a replay of the
         same batch does nothing.
         """
-        live = self._live()
-        version = max((row["version"] for row in live), default=0)
+        with self._claimed() as version:
+            return self._merge(version, source, order, when, matched, batch, limit)
+
+    @contextmanager
+    def _claimed(self) -> Iterator[int]:
+        """Hold the version after the last published one; gives that last one.
+
+        The claim of a writer that was killed stays and has to be removed by hand: from outside, it
+        looks like one that is still at work.
+        """
+        jvm = self.spark.sparkContext._jvm
+        until = time.monotonic() + self.wait
+        while True:
+            version = self.version()
+            claim = jvm.org.apache.hadoop.fs.Path(f"{self.path}/claims/v{version + 1}")
+            files = claim.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+            files.mkdirs(claim.getParent())
+            if self._create(files, claim):
+                if self.version() == version:
+                    break
+                # The version was published, and its claim removed, since we looked.
+                files.delete(claim, False)
+            elif time.monotonic() > until:
+                raise ClaimedVersion(f"another writer holds {claim}; remove it if that one died")
+            else:
+                time.sleep(0.2)
+        try:
+            yield version
+        finally:
+            files.delete(claim, False)
+
+    @staticmethod
+    def _create(files, claim) -> bool:
+        """Create a file that is not there; the file system decides between two writers."""
+        try:
+            return files.createNewFile(claim)
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" in str(error.java_exception):
+                return False
+            raise
+
+    def _merge(
+        self,
+        version: int,
+        source: DataFrame,
+        order: Sequence[str | Column],
+        when: str | None,
+        matched: str,
+        batch: str | None,
+        limit: int,
+    ) -> Merged:
         if batch is not None and self._has(batch):
             return Merged(version, 0, 0, False)
+        if self.schema is None:
+            self._learn()
+        live = self._live()
         if self.schema is not None:
             source = conform(source, small_frame(self.spark, [], self.schema))
         # Written once: its size decides the strategy and several scans follow.

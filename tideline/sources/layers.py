@@ -26,10 +26,10 @@ class NoData(ValueError):
 class Warehouse:
     """The tables of one installation, below one root path.
 
-    ``buckets`` is the number of hash buckets that new ext tables get.
+    ``buckets`` is the number of hash buckets that new ext tables get, see ``KeyedTable``.
     """
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 8):
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
