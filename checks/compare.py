@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import datetime
 import sys
+import tempfile
 import time
 from collections import Counter
 
@@ -14,7 +15,7 @@ import duckdb
 
 from checks.oracles import ORACLES
 from checks.queries import QUERIES
-from tideline import build_session
+from tideline import build_session, drop_scratch
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages"
@@ -36,7 +37,11 @@ def rows_of(columns: list[str], rows: list[tuple]) -> Counter:
 def main(folder: str, names: list[str]) -> int:
     spark = build_session(
         master="local[8]",
-        conf={"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"},
+        conf={
+            "spark.sql.shuffle.partitions": "8",
+            "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": f"{tempfile.gettempdir()}/tideline-compare",
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     database = duckdb.connect()
@@ -69,6 +74,7 @@ def main(folder: str, names: list[str]) -> int:
             print("   only sql  ", list((want - got).items())[:3])
         elif "-v" in sys.argv:
             print("   ", sorted(df.dtypes), sorted(types.items()))
+    drop_scratch(spark)
     return bad
 
 

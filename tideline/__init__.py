@@ -6,6 +6,6 @@ month. A control table names the packages, an append-only log drives what runs
 next. Operators take and return DataFrames; sinks and flows run the jobs.
 """
 
-from tideline.session import build_session, scratch_path
+from tideline.session import build_session, drop_scratch, scratch_path
 
-__all__ = ["build_session", "scratch_path"]
+__all__ = ["build_session", "drop_scratch", "scratch_path"]

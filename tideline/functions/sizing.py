@@ -15,6 +15,13 @@ from tideline.session import scratch_path
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+def _element_bytes(kind: T.DataType) -> int:
+    """What one value is taken to need inside a nested column; texts count as 32 bytes there."""
+    if isinstance(kind, T.StructType):
+        return 8 + sum(8 + _element_bytes(field.dataType) for field in kind.fields)
+    return 32 if isinstance(kind, (T.StringType, T.BinaryType, T.ArrayType, T.MapType)) else 8
+
+
 def row_bytes(schema: T.StructType) -> Column:
     """Estimated bytes of a row: eight per field plus the text and nested parts."""
     width = F.lit(16 + 8 * len(schema.fields)).cast("long")
@@ -22,8 +29,13 @@ def row_bytes(schema: T.StructType) -> Column:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             part = F.octet_length(column)
-        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            part = F.octet_length(F.to_json(F.struct(column)))
+        elif isinstance(field.dataType, T.ArrayType):
+            part = _element_bytes(field.dataType.elementType) * F.size(column)
+        elif isinstance(field.dataType, T.MapType):
+            kinds = (field.dataType.keyType, field.dataType.valueType)
+            part = sum(map(_element_bytes, kinds)) * F.size(column)
+        elif isinstance(field.dataType, T.StructType):
+            part = F.lit(_element_bytes(field.dataType))
         else:
             continue
         width = width + F.coalesce(part, F.lit(0))

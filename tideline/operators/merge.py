@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tideline.functions.sizing import BROADCAST_BYTES, row_bytes
+
 MATCHED = ("update", "ignore")
 
 
@@ -53,14 +55,18 @@ def merge(
     becomes the source row, or only where ``when`` is true: SQL over ``source.x``
     and ``target.x``, null counting as false. ``matched="ignore"`` only inserts.
 
-    ``small_source`` says that the source was measured and may be broadcast. Then
-    the target is not shuffled: it is scanned once in full and once for its keys.
+    ``small_source`` says that the source is expected to be small. Its rows are measured, and if
+    they fit in ``BROADCAST_BYTES`` they are broadcast. Then the target is not shuffled: it is
+    scanned once in full and once for its keys.
     Otherwise one full outer join shuffles both sides by key; as keys are unique on
     each side, no key can be hot.
     """
     if matched not in MATCHED:
         raise ValueError(f"matched must be one of {MATCHED}, not {matched!r}")
     source = conform(source, target)
+    if small_source:
+        size = source.agg(F.sum(row_bytes(source.schema))).first()[0] or 0
+        small_source = size <= BROADCAST_BYTES
     if matched == "ignore":
         return target.unionByName(unmatched(target, source, keys, small_source, null_keys))
     if small_source:

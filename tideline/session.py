@@ -56,5 +56,15 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path, used by nobody else, below the shared folder."""
-    return f"{shared_root(spark)}/tideline/{label}-{uuid.uuid4().hex}"
+    """A new path, used by nobody else, in the application's part of the shared folder."""
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/tideline/{spark.sparkContext.applicationId}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the application's intermediates, when nothing that was computed from them is read any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -33,8 +33,8 @@ def replace_partitions(
 
     ``scope`` lists what this write answers for: some of the ``by`` columns and the
     job id. Dynamic overwrite leaves a partition alone when the new data has no row
-    for it, so partitions in scope that still carry another job's id are emptied
-    afterwards. The job id must therefore differ from one run to the next.
+    for it, so the folders of partitions in scope that still carry another job's id are removed
+    afterwards, which takes no job each. The job id must therefore differ from one run to the next.
 
     REBALANCE brings the rows of a partition together and lets AQE cut a large one
     into several files, so no task holds a whole hot partition.
@@ -45,14 +45,19 @@ def replace_partitions(
     df.hint("rebalance", *by).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(*by).parquet(path)
-    # A file of no rows in place of the partition's files.
-    nothing = small_frame(spark, [], df.drop(*by).schema)
     keys = [name for name in by if name in scope.columns]
     table = _spanned(ensure_table(spark, path, df.schema, by), keys, scope)
-    for row in _stale_partitions(table, by, keys, scope, job_col):
-        directory = "/".join([path, *[f"{name}={folder_name(row[name])}" for name in by]])
-        nothing.write.mode("overwrite").parquet(directory)
-    return table
+    stale = [
+        "/".join([path, *[f"{name}={folder_name(row[name])}" for name in by]])
+        for row in _stale_partitions(table, by, keys, scope, job_col)
+    ]
+    if not stale:
+        return table
+    for directory in stale:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(directory)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    # Listed again, without what is gone.
+    return _spanned(ensure_table(spark, path, df.schema, by), keys, scope)
 
 
 def _spanned(table: DataFrame, keys: Sequence[str], scope: DataFrame) -> DataFrame:
