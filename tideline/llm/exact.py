@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm.common import fresh, save, text_of
+from tideline.llm.urls import BlockedBloomFilter
 
 
 def text_digest(column: str) -> Column:
@@ -71,11 +72,21 @@ class DigestIndex:
         )
 
     def keep_new(self, docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-        """The rows of ``docs`` that stay, with all their columns."""
+        """The rows of ``docs`` that stay, with all their columns.
+
+        Texts are moved only where a Bloom filter of the digests of lost rows says that theirs may
+        be among them, as long as that filter is small enough to broadcast.
+        """
         decided = self.add(docs, id_column, text_column)
         mark, lost_id = fresh(docs, "text_digest"), fresh(docs, "lost_id")
         lost = decided.where(~F.col("kept")).select(F.col("id").alias(lost_id), F.col("digest").alias(mark))
         lost = save(lost.distinct(), "digest-lost")
         marked = docs.withColumn(mark, text_digest(text_column))
-        same = F.col(f"`{id_column}`").eqNullSafe(lost[lost_id]) & (marked[mark] == lost[mark])
-        return marked.join(lost, same, "left_anti").drop(mark)
+        bloom = BlockedBloomFilter(lost.select(mark).distinct(), mark)
+        maybe = bloom.possible(marked, mark) if bloom.small() else marked
+        same = F.col(f"`{id_column}`").eqNullSafe(lost[lost_id]) & (maybe[mark] == lost[mark])
+        # Shuffled at every size: what may be lost grows with the data.
+        kept = maybe.hint("merge").join(lost, same, "left_anti")
+        if bloom.small():
+            kept = kept.unionByName(bloom.impossible(marked, mark))
+        return kept.drop(mark)

@@ -12,7 +12,6 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.functions.sizing import BROADCAST_BYTES
 from tideline.llm.common import PieceCache, fresh, raw_bytes, save, slices, text_of
 from tideline.llm.components import connected_components
 from tideline.llm.urls import BlockedBloomFilter
@@ -263,7 +262,7 @@ def _sets(keys: DataFrame, classes: DataFrame, docs: DataFrame, join: Join) -> D
 
     wanted = save(keys.join(classes.select("key", "first"), "key"), "near-wanted")
     bloom = BlockedBloomFilter(wanted, "first")
-    some = bloom.possible(docs, "id") if bloom.bytes <= BROADCAST_BYTES else docs
+    some = bloom.possible(docs, "id") if bloom.small() else docs
     # Shuffled at every size: texts are too large to be sent to all.
     texts = some.hint("merge").join(wanted, some["id"] == wanted["first"]).select("key", "text")
     return save(texts.mapInArrow(work, "key binary, shingles binary").dropDuplicates(["key"]), "near-sets")

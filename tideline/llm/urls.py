@@ -60,13 +60,27 @@ class BlockedBloomFilter:
         self.table = save(masked.groupBy("bloom_block").agg(*words), "bloom")
         self.bytes = self.blocks * 8 * (WORDS_PER_BLOCK + 1)
 
+    def small(self) -> bool:
+        """Whether all blocks together may be broadcast."""
+        return self.bytes <= BROADCAST_BYTES
+
+    def _met(self, rows: DataFrame, key: str, how: str) -> tuple[DataFrame, Column]:
+        table = F.broadcast(self.table) if self.small() else self.table
+        met = rows.withColumn("bloom_block", _block(F.col(key), self.blocks)).join(table, "bloom_block", how)
+        hit = F.lit(True)
+        for i, mask in enumerate(_masks(F.col(key))):
+            hit = hit & (F.col(f"bloom_{i}").bitwiseAND(mask) == mask)
+        return met, hit
+
     def possible(self, rows: DataFrame, key: str) -> DataFrame:
         """The rows whose key may be listed: all that are, and few others."""
-        table = F.broadcast(self.table) if self.bytes <= BROADCAST_BYTES else self.table
-        met = rows.withColumn("bloom_block", _block(F.col(key), self.blocks)).join(table, "bloom_block")
-        for i, mask in enumerate(_masks(F.col(key))):
-            met = met.where(F.col(f"bloom_{i}").bitwiseAND(mask) == mask)
-        return met.select(rows.columns)
+        met, hit = self._met(rows, key, "inner")
+        return met.where(hit).select(rows.columns)
+
+    def impossible(self, rows: DataFrame, key: str) -> DataFrame:
+        """The other rows: no key of theirs is listed."""
+        met, hit = self._met(rows, key, "left")
+        return met.where(~F.coalesce(hit, F.lit(False))).select(rows.columns)
 
 
 def url_verdicts(
