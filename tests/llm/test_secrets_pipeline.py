@@ -19,7 +19,6 @@ import corpus_pipeline
 from checks.compare import TABLES, rows_of
 from tests.llm.test_neardup_mixing import brute_force
 from tideline.llm import secret_scan
-from tideline.llm.exact import DigestIndex
 from tideline.llm.queries import LLM_ORACLES, LLM_QUERIES
 from tideline.session import scratch_path
 

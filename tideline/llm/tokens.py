@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+from pyarrow import compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -131,7 +131,7 @@ def count_tokens(
                     counts.append(len(whole.encode(value, add_special_tokens=False).ids))
                 else:
                     counts.append(sum(map(lookup.__getitem__, found)))
-            size = pa.compute.binary_length(batch.column(batch.num_columns - 1))
+            size = compute.binary_length(batch.column(batch.num_columns - 1))
             n_tokens = pa.array(counts, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], size.cast(pa.int64()), n_tokens], names=[*rest, *new[:2]]
