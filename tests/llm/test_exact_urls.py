@@ -58,7 +58,7 @@ def test_null_ids_repeats_and_empty_batches(spark):
 
 def test_keep_new_keeps_columns(spark):
     docs = spark.createDataFrame(
-        [(1, "a", "x"), (2, "a", "y"), (3, "b", None)], "doc_id long, text string, text_digest string"
+        [(1, "a", "x"), (2, "a", "y"), (3, "b", None)], "doc_id long, text string, bloom_block string"
     )
     kept = DigestIndex(spark, scratch_path(spark, "index"), 2).keep_new(docs)
     assert kept.columns == docs.columns

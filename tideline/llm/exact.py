@@ -29,7 +29,8 @@ class DigestIndex:
     share its verdict. A row without an id stays only where no row of its group has one.
     An empty batch adds nothing.
 
-    ``buckets`` should give bucket files of some hundred MB (a row takes about 50 bytes).
+    ``buckets`` should give bucket files of some hundred MB (a row takes about 50 bytes). A folder is
+    always opened with the number it was made with.
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int | None = None, id_type: str = "bigint"):
@@ -80,13 +81,16 @@ class DigestIndex:
         decided = self.add(docs, id_column, text_column)
         mark, lost_id = fresh(docs, "text_digest"), fresh(docs, "lost_id")
         lost = decided.where(~F.col("kept")).select(F.col("id").alias(lost_id), F.col("digest").alias(mark))
-        lost = save(lost.distinct(), "digest-lost")
+        lost = save(lost, "digest-lost")
         marked = docs.withColumn(mark, text_digest(text_column))
         bloom = BlockedBloomFilter(lost.select(mark).distinct(), mark)
-        maybe = bloom.possible(marked, mark) if bloom.small() else marked
+        maybe = bloom.possible(marked, mark, keep_word=True) if bloom.small() else marked
         same = F.col(f"`{id_column}`").eqNullSafe(lost[lost_id]) & (maybe[mark] == lost[mark])
+        if bloom.small():
+            # Always true; without it the optimizer would join before it looks into the filter.
+            same = same & maybe[bloom.words[0]].isNotNull()
         # Shuffled at every size: what may be lost grows with the data.
-        kept = maybe.hint("merge").join(lost, same, "left_anti")
+        kept = maybe.hint("merge").join(lost, same, "left_anti").select(marked.columns)
         if bloom.small():
             kept = kept.unionByName(bloom.impossible(marked, mark))
         return kept.drop(mark)

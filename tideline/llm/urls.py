@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,14 +51,17 @@ class BlockedBloomFilter:
     """
 
     def __init__(self, keys: DataFrame, key: str, bits_per_key: int = 16):
+        # No table has columns of these names yet.
+        self.block = f"bloom_{uuid.uuid4().hex[:12]}"
+        self.words = [f"{self.block}_{i}" for i in range(WORDS_PER_BLOCK)]
         keys = keys.where(F.col(key).isNotNull())
         self.blocks = max(1, -(-keys.count() * bits_per_key // (64 * WORDS_PER_BLOCK)))
         masked = keys.select(
-            _block(F.col(key), self.blocks).alias("bloom_block"),
-            *[mask.alias(f"bloom_{i}") for i, mask in enumerate(_masks(F.col(key)))],
+            _block(F.col(key), self.blocks).alias(self.block),
+            *[mask.alias(word) for word, mask in zip(self.words, _masks(F.col(key)))],
         )
-        words = [F.bit_or(f"bloom_{i}").alias(f"bloom_{i}") for i in range(WORDS_PER_BLOCK)]
-        self.table = save(masked.groupBy("bloom_block").agg(*words), "bloom")
+        words = [F.bit_or(word).alias(word) for word in self.words]
+        self.table = save(masked.groupBy(self.block).agg(*words), "bloom")
         self.bytes = self.blocks * 8 * (WORDS_PER_BLOCK + 1)
 
     def small(self) -> bool:
@@ -66,16 +70,20 @@ class BlockedBloomFilter:
 
     def _met(self, rows: DataFrame, key: str, how: str) -> tuple[DataFrame, Column]:
         table = F.broadcast(self.table) if self.small() else self.table
-        met = rows.withColumn("bloom_block", _block(F.col(key), self.blocks)).join(table, "bloom_block", how)
+        met = rows.withColumn(self.block, _block(F.col(key), self.blocks)).join(table, self.block, how)
         hit = F.lit(True)
-        for i, mask in enumerate(_masks(F.col(key))):
-            hit = hit & (F.col(f"bloom_{i}").bitwiseAND(mask) == mask)
+        for word, mask in zip(self.words, _masks(F.col(key))):
+            hit = hit & (F.col(word).bitwiseAND(mask) == mask)
         return met, hit
 
-    def possible(self, rows: DataFrame, key: str) -> DataFrame:
-        """The rows whose key may be listed: all that are, and few others."""
+    def possible(self, rows: DataFrame, key: str, keep_word: bool = False) -> DataFrame:
+        """The rows whose key may be listed: all that are, and few others.
+
+        ``keep_word`` keeps the first of ``words``, for conditions that must not be moved in front of
+        the lookup.
+        """
         met, hit = self._met(rows, key, "inner")
-        return met.where(hit).select(rows.columns)
+        return met.where(hit).select(*rows.columns, *(self.words[:1] if keep_word else []))
 
     def impossible(self, rows: DataFrame, key: str) -> DataFrame:
         """The other rows: no key of theirs is listed."""
