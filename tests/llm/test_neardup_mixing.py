@@ -80,6 +80,33 @@ def test_groups_copies_and_passages(spark, k):
     assert {r.doc_id for r in kept.collect()} == {key for key, v in want.items() if v[2]}
 
 
+def test_links_among_documents_that_share_a_passage(spark):
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(104)]
+    own = lambda n: [f"x{rng.randrange(10**9)}" for _ in range(n)]
+    rows = [(i, " ".join(passage + own(20))) for i in range(500)]  # no two are linked: 0.72
+    for i in range(0, 400, 2):  # 200 true pairs: 0.81
+        tail = own(7)
+        rows += [(10**4 + i + k, " ".join(passage + tail + own(13))) for k in (0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    join = Join(words=4, leaf=12, block=64, depth=4)
+    got = {r.id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(docs, join=join).collect()}
+    assert got == brute_force(rows, 4)
+
+
+def test_links_that_only_common_tokens_make(spark):
+    rng = random.Random(6)
+    parts = [[f"s{i}w{j}" for j in range(12)] for i in range(24)]
+    rows = []
+    for i in range(300):  # all sizes are equal: no member is at the rim of a larger group
+        left_out = set(rng.sample(range(24), 4))
+        rows.append((i, " ".join(w for at, part in enumerate(parts) if at not in left_out for w in part)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    join = Join(words=4, leaf=12, block=64, depth=4)
+    got = {r.id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(docs, join=join).collect()}
+    assert got == brute_force(rows, 4)
+
+
 def test_null_ids_repeats_long_texts_and_nothing(spark):
     text = " ".join(f"w{i}" for i in range(50))
     rows = [(None, text), (7, text), (7, text), (5, text), (7, "quite another text than that one"), (9, "v " * 200_000)]

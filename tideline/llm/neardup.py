@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache, reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -25,26 +26,23 @@ class Join:
     """Parameters of the join.
 
     ``trees`` independent trees of at most ``depth`` levels. A node of up to ``leaf`` members is
-    compared exhaustively; a larger one branches. Large nodes of the last level are dealt into
-    blocks of about ``block`` for members at the rim of their group.
+    compared exhaustively; a larger one branches. All links between members of a large node of
+    level ``hot`` are looked for, in blocks of about ``block`` where tokens are not enough.
 
     Comparisons in nodes are of sketches of ``places`` bytes. Pairs that agree in fewer than
     ``likely`` of the places are not compared on their sets: at a similarity of 0.8 the share that agrees is
-    below that four standard deviations under its mean, in 3 of 100,000 pairs. A class is at the rim if it agrees
-    with a component it is not linked to in ``rim`` of the places; its further pairs have to agree in
-    ``rim_likely``, two standard deviations under the mean.
+    below that four standard deviations under its mean, in 3 of 100,000 pairs.
     """
 
     words: int = 5
     similar: int = 80
     trees: int = 16
     depth: int = 5
+    hot: int = 2
     leaf: int = 48
     block: int = 1024
     places: int = 256
     likely: float = 0.70
-    rim: float = 0.76
-    rim_likely: float = 0.74
 
 
 @lru_cache(maxsize=1)
@@ -290,6 +288,10 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
     )
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+
+
 def _best_pairs(pairs: DataFrame) -> DataFrame:
     """For every class the pair that looks most alike."""
     ends = pairs.select(F.col("a").alias("end"), "*").unionByName(pairs.select(F.col("b").alias("end"), "*"))
@@ -318,10 +320,8 @@ class _Linked:
         self.classes, self.docs, self.join = classes, docs, join
         self.sets = self.parts = None
 
-    def know(self, pairs: DataFrame) -> None:
-        """Read the sets of the classes in ``pairs`` that are not known yet."""
-        ends = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
-        keys = ends.distinct()
+    def know(self, keys: DataFrame) -> None:
+        """Read the sets of the classes that are not known yet."""
         if self.sets is None:
             self.sets = _sets(keys, self.classes, self.docs, self.join)
             self.parts = save(self.sets.select("key", F.col("key").alias("component")), "near-parts")
@@ -351,62 +351,138 @@ def _joined(classes: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
     for pairs of one component; of these pairs every class's best one is confirmed first, and
     then all that still lie between components.
 
-    A class that then looks like a member of a larger component without being linked to it is at
-    the rim of a group: it may have few links there. It is compared with all members of its blocks
-    in the last level's large nodes, in every tree.
+    What the leaves below a large node may miss is then looked for among the members of the large
+    nodes of level ``hot``, whatever their size. A linked pair either shares a rare token, one that
+    few of these members have: all pairs that do are made from the tokens' lists. Or common tokens alone make
+    it similar: such pairs are compared exhaustively in their node.
     """
     first, leaves, large = _nodes(classes, join)
     linked = _Linked(classes, docs, join)
     stars = _stars(large, join)
-    linked.know(stars)
+    linked.know(_ends(stars))
     linked.confirm(stars)
     pairs = _leaf_pairs(first.withColumn("of", F.col("key")).drop("path", "size"), join)
     below = _leaf_pairs(_labelled(leaves.drop("path", "size"), linked.parts), join)
     moves = linked.parts.where("key <> component").select(F.col("key").alias("node"), "component")
     opened = save(_distinct(_between(pairs, moves).unionByName(below)), "near-open")
-    linked.know(opened)
+    linked.know(_ends(opened))
     best = save(_best_pairs(opened), "near-best")
     moved = linked.confirm(best)
     left = save(_between(opened.join(best.select("a", "b"), ["a", "b"], "left_anti"), moved), "near-open")
-    moved = linked.confirm(left)
-    deepest = large.where(F.col("level") == join.depth - 1)
-    if deepest.isEmpty():
+    linked.confirm(left)
+    hot = large.where(F.col("level") == min(join.hot, join.depth - 1))
+    if hot.isEmpty():
         return linked.parts
-    sizes = save(linked.parts.groupBy("component").agg(F.count(F.lit(1)).alias("n")), "near-part-sizes")
-    close = _between(left, moved).where(F.col("about") >= join.rim)
-    for end in ("a", "b"):
-        close = close.join(sizes.select(F.col("component").alias(f"of_{end}"), F.col("n").alias(f"n_{end}")), f"of_{end}")
-    rim = close.select(F.when(F.col("n_a") < F.col("n_b"), F.col("a")).when(F.col("n_b") < F.col("n_a"), F.col("b")).alias("key"))
-    rim = save(rim.where("key is not null").distinct(), "near-rim")
-    more = _distinct(_rim_pairs(_labelled(deepest, linked.parts), rim, join))
-    more = save(more.join(opened.select("a", "b"), ["a", "b"], "left_anti"), "near-rim-pairs")
-    linked.know(more)
-    linked.confirm(more)
+    linked.know(hot.select("key").distinct())
+    tried = save(stars.select("a", "b").unionByName(opened.select("a", "b")).distinct(), "near-tried")
+    rare, common = _token_counts(hot, linked, join)
+    more = _enough_shared(_rare_pairs(_labelled(rare, linked.parts)), common, join)
+    linked.confirm(save(more.join(tried, ["a", "b"], "left_anti"), "near-rare-pairs"))
+    more = _distinct(_common_pairs(_labelled(hot, linked.parts), common, join))
+    linked.confirm(save(more.join(tried, ["a", "b"], "left_anti"), "near-common-pairs"))
     return linked.parts
 
 
-def _rim_pairs(deepest: DataFrame, rim: DataFrame, join: Join) -> DataFrame:
-    """Likely pairs of rim members with all others of their blocks, but for their own component's."""
+def _token_counts(hot: DataFrame, linked: _Linked, join: Join) -> tuple[DataFrame, DataFrame]:
+    """Of the members of hot nodes: (token, key) of the shingles that 2 to ``leaf`` of them have, and
+    (key, n, common): how many shingles each has, and how many that more than ``leaf`` have."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 16):
+        for batch in slices(batches, 64):
+            sets = [np.frombuffer(s, np.int64) for s in batch.column(1).to_pylist()]
+            of = np.repeat(np.arange(len(sets)), list(map(len, sets)))
+            made = [pa.array(np.concatenate(sets)), batch.column(0).take(pa.array(of))]
+            yield from slices([pa.RecordBatch.from_arrays(made, names=["token", "key"])], 65536)
+
+    sets = linked.sets.join(hot.select("key").distinct(), "key")
+    tokens = save(sets.select("key", "shingles").mapInArrow(work, "token bigint, key binary"), "near-tokens")
+    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = save(tokens.join(save(counts, "near-token-counts"), "token"), "near-tokens-met")
+    often = met.where(F.col("n") > join.leaf).groupBy("key").agg(F.count(F.lit(1)).alias("common"))
+    sizes = sets.select("key", (F.length("shingles") / 8).cast("bigint").alias("n"))
+    common = sizes.join(often, "key", "left").withColumn("common", F.coalesce("common", F.lit(0)))
+    return met.where(F.col("n") <= join.leaf).drop("n"), save(common, "near-common")
+
+
+def _rare_pairs(members: DataFrame) -> DataFrame:
+    """All pairs of different components that share rare tokens, with the number of these."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
             found = []
-            for keys, parts, tokens, marks in zip(*(c.to_pylist() for c in batch.columns)):
-                sketches = np.frombuffer(b"".join(tokens), np.uint8).reshape(len(keys), -1)
-                for i in np.flatnonzero(marks):
-                    agree = ((sketches == sketches[i]).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
-                    for j in np.flatnonzero(agree >= join.rim_likely):
-                        if parts[i] != parts[j]:
-                            found.append((keys[i], parts[i], keys[j], parts[j], agree[j]))
+            for keys, parts in zip(*(c.to_pylist() for c in batch.columns)):
+                for i, j in combinations(range(len(keys)), 2):
+                    if parts[i] != parts[j]:
+                        found.append((keys[i], parts[i], keys[j], parts[j], 1.0))
             yield _pairs_batch(found)
 
-    blocks = F.ceil(F.col("size") / join.block).cast("bigint")
-    block = F.xxhash64("node", F.pmod(F.xxhash64("node", "key"), blocks))
-    marked = deepest.withColumn("node", block).join(rim.withColumn("rim", F.lit(True)), "key", "left")
-    marked = marked.withColumn("rim", F.coalesce("rim", F.lit(False)))
-    lists = [F.collect_list(c).alias(c) for c in ("key", "of", "sketch", "rim")]
-    wanted = marked.groupBy("node").agg(*lists).where(F.exists("rim", lambda m: m))
-    return wanted.drop("node").mapInArrow(work, _PAIR_SCHEMA)
+    lists = [F.collect_list(c).alias(c) for c in ("key", "of")]
+    pairs = members.groupBy("token").agg(*lists).drop("token").mapInArrow(work, _PAIR_SCHEMA)
+    shared = [F.count(F.lit(1)).alias("shared"), F.first("of_a").alias("of_a"), F.first("of_b").alias("of_b")]
+    return pairs.groupBy("a", "b").agg(*shared)
+
+
+def _enough_shared(pairs: DataFrame, common: DataFrame, join: Join) -> DataFrame:
+    """Those of the pairs that are similar enough if they have all the common tokens in common that
+    they can."""
+    for end in ("a", "b"):
+        named = [F.col(c).alias(f"{c}_{end}") for c in ("n", "common")]
+        pairs = pairs.join(common.select(F.col("key").alias(end), *named), end)
+    most = F.col("shared") + F.least("common_a", "common_b")
+    enough = (100 + join.similar) * most >= join.similar * (F.col("n_a") + F.col("n_b"))
+    return pairs.where(enough).select("a", "b", F.lit(1.0).cast("float").alias("about"), "of_a", "of_b")
+
+
+def _common_pairs(hot: DataFrame, common: DataFrame, join: Join) -> DataFrame:
+    """Likely pairs of different components within each hot node that common tokens alone can make
+    similar enough, compared exhaustively on their sketches.
+
+    Of a node's largest component and the rest, only the rest asks: in blocks of about ``block``,
+    each of which meets all members of the node, in blocks too. Such a pair's smaller set has at least
+    s / (1 + s) * 2 of its tokens common, the other at least s: nodes without one end it.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 4):
+            for keys, parts, tokens, sizes, often, asks in zip(*(c.to_pylist() for c in batch.columns)):
+                sketches = np.frombuffer(b"".join(tokens), np.uint8).reshape(len(keys), -1)
+                n, often, asks = np.array(sizes), np.array(often), np.array(asks)
+                _, of = np.unique(np.array(parts, object), return_inverse=True)
+                others, found = np.flatnonzero(~asks), []
+                for i in np.flatnonzero(asks):
+                    fits = (100 + join.similar) * np.minimum(often[others], often[i]) >= join.similar * (n[others] + n[i])
+                    met = others[fits & (of[others] != of[i])]
+                    agree = ((sketches[met] == sketches[i]).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
+                    for j, about in zip(met[agree >= join.likely], agree[agree >= join.likely]):
+                        found.append((keys[i], parts[i], keys[j], parts[j], about))
+                    if len(found) > 4096:
+                        yield _pairs_batch(found)
+                        found = []
+                yield _pairs_batch(found)
+
+    able = hot.select("node", "key", "of", "sketch").join(common, "key")
+    able = save(able.where(100 * F.col("common") >= join.similar * F.col("n")), "near-able")
+    full = F.max((100 + join.similar) * F.col("common") >= 2 * join.similar * F.col("n"))
+    parts = able.groupBy("node", "of").agg(F.count(F.lit(1)).alias("m"), full.alias("full"))
+    nodes = parts.groupBy("node").agg(
+        F.max(F.struct("m", "of")).alias("top"), F.sum("m").alias("size"), F.max("full").alias("full")
+    )
+    rest = F.col("size") - F.col("top.m")
+    nodes = nodes.where(F.col("full") & (rest > 0)).select(
+        "node",
+        F.col("top.of").alias("top"),
+        F.ceil(rest / join.block).cast("bigint").alias("askers"),
+        F.ceil(F.col("size") / join.block).cast("bigint").alias("blocks"),
+    )
+    met = save(able.join(save(nodes, "near-hot-nodes"), "node"), "near-hot-members")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    dealt = lambda n: F.pmod(F.xxhash64("node", "key"), F.col(n))
+    row = ["node", "key", "of", "sketch", "n", "common"]
+    asking = met.where("of <> top").select(*row, dealt("askers").alias("asker"), every("blocks").alias("block"), F.lit(True).alias("asks"))
+    asked = met.select(*row, every("askers").alias("asker"), dealt("blocks").alias("block"), F.lit(False).alias("asks"))
+    lists = [F.collect_list(c).alias(c) for c in ("key", "of", "sketch", "n", "common", "asks")]
+    groups = asking.unionByName(asked).groupBy("node", "asker", "block").agg(*lists)
+    return groups.where(F.exists("asks", lambda m: m)).drop("node", "asker", "block").mapInArrow(work, _PAIR_SCHEMA)
 
 
 def near_duplicates(
