@@ -112,6 +112,30 @@ def test_random_strings_are_found_and_words_are_not(spark):
     assert secret_scan.scan_secrets(docs.limit(0)).count() == 0
 
 
+def test_secrets_in_paths(spark):
+    rng = random.Random(4)
+    url = ["AZ" + base64.urlsafe_b64encode(rng.randbytes(30)).decode()[2:36] + "-j_k" for _ in range(12)]
+    mixed = [(f"see https://x.org/a-b/c_d/{t}/file-name/x", t) for t in url]
+    plain = [base64.b64encode(rng.randbytes(30)).decode().replace("/", "+")[:38] + "+/" for _ in range(12)]
+    mixed += [(f"see file-name-{t}_tail", t) for t in plain]
+    words = ["2024/05/17/ein-Wort-XQ7-Zk", "some/long-path_name/with-words/and_more-words"]
+    rows = list(enumerate([f"é {text}" for text, _ in mixed] + [f"é {w}" for w in words] + [f"random {t} alone" for t in url]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r.doc_id: [(s.start, s.end) for s in r.random] for r in secret_scan.scan_secrets(docs).collect()}
+    seen = 0
+    for i, (text, t) in enumerate(mixed):
+        at = 2 + text.index(t)
+        assert len(found[i]) <= 1
+        seen += any(start <= at and at + len(t) <= end for start, end in found[i])
+    assert seen >= 0.8 * len(mixed)
+
+
+def test_runs_without_an_encoding_set_no_limits(spark):
+    rows = [(None, 1, 1e-9), ("base62", 1, 1e-9), ("base62", 1, 0.5)]
+    got = secret_scan._limits(spark.createDataFrame(rows, "encoding string, length_class int, p_text double"), 0.05)
+    assert set(got) == {("base62", 1)}
+
+
 def test_false_discovery_limits(spark):
     rows = [("base62", 1, 10.0 ** -(i % 7)) for i in range(700)] + [("base62", 1, 1e-9)] * 5
     got = secret_scan._limits(spark.createDataFrame(rows, "encoding string, length_class int, p_text double"), 0.05)

@@ -26,6 +26,9 @@ BASE = [
 ASSIGN_LEAST = 6
 RANDOM = "random"
 CANDIDATE = "[A-Za-z0-9+/_-]{20,}"
+# No encoding has the characters of both: a run that does is split at either's.
+MIXED = "[+/].*[_-]|[_-].*[+/]"
+PARTS = ("[A-Za-z0-9+/]{20,}", "[A-Za-z0-9_-]{20,}")
 # name, what its strings look like, its characters in order. The first that fits is inferred.
 ENCODINGS = [
     ("base16", "^([0-9a-f]+|[0-9A-F]+)$", None),
@@ -160,6 +163,35 @@ def _ranked(text: Column, rank: int) -> Column:
     )
 
 
+def _candidates(text: Column) -> Column:
+    """The spans of ``CANDIDATE``, and those of ``PARTS`` in place of runs that no encoding fits."""
+
+    def moved(part: Column, by: Column) -> Column:
+        start, end = part["start"] + by, part["end"] + by
+        return F.struct(start.alias("start"), end.alias("end"), part["match"].alias("match"))
+
+    def split(s: Column) -> Column:
+        parts = F.concat(*[_spans(s["match"], pattern) for pattern in PARTS])
+        return F.when(s["match"].rlike(MIXED), F.transform(parts, lambda p: moved(p, s["start"]))).otherwise(F.array(s))
+
+    return F.flatten(F.transform(_spans(text, CANDIDATE), split))
+
+
+def _apart(tokens: Column) -> Column:
+    """Of tokens that overlap (parts of one run) those least likely ordinary text, by start."""
+    kind = "array<struct<p_text:double,start:int,end:int>>"
+    ranked = F.array_sort(
+        F.transform(tokens, lambda t: F.struct(t["is"]["p_text"].alias("p_text"), t["start"].alias("start"), t["end"].alias("end")))
+    )
+
+    def step(kept: Column, t: Column) -> Column:
+        clash = F.exists(kept, lambda k: (k["start"] < t["end"]) & (t["start"] < k["end"]))
+        return F.when(clash, kept).otherwise(F.array_append(kept, t))
+
+    kept = F.aggregate(ranked, F.array().cast(kind), step)
+    return F.array_sort(F.transform(kept, lambda k: F.struct(k["start"].alias("start"), k["end"].alias("end"))))
+
+
 def of_kind(spans: Column, kind: str) -> Column:
     return F.filter(spans, lambda s: s["kind"] == kind)
 
@@ -179,6 +211,7 @@ def _limits(candidates: DataFrame, rate: float) -> dict[tuple[str, int], float]:
     ``P_BINS`` counts for each of the few classes reach the driver.
     """
     bins = F.least(F.lit(P_BINS), F.floor(-F.log10(F.greatest("p_text", F.lit(1e-300))) / P_STEP)).cast("int")
+    candidates = candidates.where("encoding is not null")
     counted = candidates.groupBy("encoding", "length_class", bins.alias("bin")).count().collect()
     limits = {}
     for group in {(r.encoding, r.length_class) for r in counted}:
@@ -201,7 +234,9 @@ def scan_secrets(
     runs of at least 20 encoding characters outside these spans that look drawn at random: no test
     of ``randomness`` rejects it at ``least_random``, and ordinary strings of the same encoding and
     length class are as even only so seldom that false discoveries stay below ``rate`` among the
-    corpus's finds of that class. Only built-in functions are used; texts are scanned once, the
+    corpus's finds of that class. A run that mixes + or / with _ or - (a URL's path, say) has no
+    encoding: its parts without the one and without the other are tested, and of parts that overlap
+    the one least likely ordinary is a find. Only built-in functions are used; texts are scanned once, the
     thresholds come from counts over all documents, and no row is shuffled.
 
     Null and empty texts have no spans. Repeated rows are scanned (and counted) one by one. An
@@ -212,7 +247,7 @@ def scan_secrets(
     rows = docs.select(*[F.col(f"`{c}`") for c in rest], text_of(text).alias(value))
     base = [_ranked(F.col(value), rank) for rank in range(len(BASE))]
     tested = F.transform(
-        _spans(F.col(value), CANDIDATE),
+        _candidates(F.col(value)),
         lambda s: F.struct(
             s["start"].alias("start"),
             s["end"].alias("end"),
@@ -247,7 +282,7 @@ def scan_secrets(
     return scanned.select(
         *[F.col(f"`{c}`") for c in rest],
         F.transform(found, lambda s: named(s["kind"], s)).alias("base"),
-        F.transform(F.filter(tokens, is_secret), lambda s: named(F.lit(RANDOM), s)).alias("random"),
+        F.transform(_apart(F.filter(tokens, is_secret)), lambda s: named(F.lit(RANDOM), s)).alias("random"),
     )
 
 
