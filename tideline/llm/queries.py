@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tideline.llm.common import ship
 from tideline.llm.exact import DigestIndex
+from tideline.llm.fingerprints import fingerprints
 from tideline.llm.mixing import mix_sources
 from tideline.llm.neardup import Join, near_duplicates
 from tideline.llm.packing import pack
@@ -194,3 +195,9 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),
         span_text(by_position(F.col("base"), F.col("random"))).alias("spans"),
     )
+
+
+@query
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, their edited texts and the documents that follow them."""
+    return fingerprints(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
