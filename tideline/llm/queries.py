@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tideline.llm.common import ship
 from tideline.llm.exact import DigestIndex
 from tideline.llm.fingerprints import fingerprints
+from tideline.llm.lexical import ranked_search
 from tideline.llm.mixing import mix_sources
 from tideline.llm.neardup import Join, near_duplicates
 from tideline.llm.packing import pack
@@ -201,3 +202,44 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, their edited texts and the documents that follow them."""
     return fingerprints(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for each benchmark item."""
+    found = ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+LLM_ORACLES["op12_lexical_search"] = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), lengths AS (
+  SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id
+), totals AS (
+  SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM lengths
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), postings AS (
+  SELECT doc_id, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM postings, totals GROUP BY term
+), impacts AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))) AS gain
+  FROM postings JOIN weights USING (term) JOIN lengths USING (doc_id), totals
+), scores AS (
+  SELECT item_id, doc_id, sum(gain)::BIGINT AS score
+  FROM asked JOIN impacts USING (term) GROUP BY item_id, doc_id HAVING sum(gain) > 0
+)
+SELECT item_id, (row_number() OVER best)::INTEGER AS rank, doc_id, score
+FROM scores
+WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+QUALIFY row_number() OVER best <= 50
+"""
