@@ -14,6 +14,7 @@ from tideline.llm.fingerprints import fingerprints
 from tideline.llm.lexical import ranked_search
 from tideline.llm.mixing import mix_sources
 from tideline.llm.neardup import Join, near_duplicates
+from tideline.llm.negatives import hard_negatives
 from tideline.llm.packing import pack
 from tideline.llm.quality import classify
 from tideline.llm.rules import quality_rules
@@ -243,3 +244,38 @@ FROM scores
 WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
 QUALIFY row_number() OVER best <= 50
 """
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives of every hundredth vector; labels are changed where the id is divisible by seven."""
+    seventh = F.col("vec_id") % 7 == 0
+    label = F.when(seventh, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+LLM_ORACLES["op13_hard_negatives"] = """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, a.label = r.label AS same, r.vec_id,
+         coalesce(list_sum(list_transform(list_zip(a.v, r.v), lambda z: z[1] * z[2])), 0)::BIGINT AS score
+  FROM vectors a JOIN vectors r ON a.vec_id <> r.vec_id
+  WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+  FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+  SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+  FROM positives JOIN scores USING (anchor_id)
+  WHERE NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 10
+"""
