@@ -489,20 +489,25 @@ def summaries(warehouse: Warehouse) -> DataFrame:
 
 @query
 def q_stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed batches as two streams of several micro-batches, each run to its end twice."""
+    """Landed batches as two streams of several micro-batches at the same time; both run again."""
     warehouse, events = _warehouse(spark), _events(spark, sf_dir)
     table = warehouse.ext("user_latest", ["user_id"])
-    # Two streams into one table, each with a checkpoint of its own.
+    streams = {}
     for name, feeds in (("low", "control_id < 6"), ("high", "control_id >= 6")):
         windows = _feed_windows(events, 100).where(feeds)
         path = warehouse.path("raw", name)
         land_raw(due_window_read(derive.with_feed(events), windows, "feed_id", "ts"), path, windows)
-        schema = spark.read.parquet(path).schema
-        for _ in range(2):
+        streams[name] = (path, spark.read.parquet(path).schema)
+    for _ in range(2):
+        queries = []
+        for name, (path, schema) in streams.items():
             stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 6).parquet(path)
             rows = stream.select("user_id", "ts", "event_id", "event_type", "value")
             checkpoint = f"{warehouse.root}/checkpoints/{name}"
-            stream_merge(rows, table, ["ts", "event_id"], checkpoint).awaitTermination()
+            queries.append(stream_merge(rows, table, ["ts", "event_id"], checkpoint))
+        for running in queries:
+            running.awaitTermination()
+        table.compact()
     return table.read()
 
 

@@ -7,13 +7,20 @@ from pyspark.sql import functions as F
 from tests.conftest import plan, rows
 from tideline.operators import dedupe_latest, merge, merge_into_table
 from tideline.session import scratch_path
-from tideline.sinks import ClaimedVersion, KeyedTable
+from tideline.sinks import KeyedTable
 
 
 def frame(spark, values: str, columns: str = "k, v"):
     return spark.sql(f"select * from values {values} as t({columns})")
 
 
+def files(table: KeyedTable, first: str = "", last: str = "~") -> set[str]:
+    """The files that reading the table, or a range of its partitions, opens."""
+    alive = table._rows(table._commits())
+    alive = alive.where(F.col("_part").between(first, last)) if table.part_by else alive
+    return {r[0] for r in alive.select(F.input_file_name()).distinct().collect()}
+
+
 @pytest.mark.parametrize("small", [False, True])
 class TestMerge:
     def test_a_null_source_value_wins(self, spark, small):
@@ -98,53 +105,176 @@ class TestKeyedTable:
     def table(self, spark, buckets=4):
         return KeyedTable(spark, scratch_path(spark, "keyed"), self.KEYS, buckets)
 
-    def test_small_and_shuffled_merges_agree_with_the_batch_answer(self, spark, events):
-        tables = [self.table(spark), self.table(spark)]
+    def test_merges_agree_with_the_batch_answer(self, spark, events):
+        """Plain merges, and conditional ones with a broadcast and with a shuffled source."""
+        tables = [self.table(spark) for _ in range(3)]
+        when = "struct(source.ts, source.event_id) > struct(target.ts, target.event_id)"
         for lower in (0, 300, 700):
             part = events.where(f"event_id >= {lower} and event_id < {lower} + 400")
-            used = [t.merge(part, self.ORDER, limit=n) for t, n in zip(tables, (10**9, 0))]
-            assert [u.broadcast_source for u in used] == [True, False]
-        want = rows(dedupe_latest(events.where("event_id < 1100"), self.KEYS, self.ORDER))
-        assert [rows(t.read()) == want for t in tables] == [True, True]
+            tables[0].merge(part, self.ORDER)
+            tables[1].merge(part, self.ORDER, when=when, limit=10**9)
+            tables[2].merge(part, self.ORDER, when=when, limit=0)
+        seen = events.where("event_id < 1100")
+        assert rows(tables[1].read()) == rows(tables[2].read()) == rows(dedupe_latest(seen, self.KEYS, self.ORDER))
+        state = None
+        for lower in (0, 300, 700):
+            part = dedupe_latest(events.where(f"event_id >= {lower} and event_id < {lower} + 400"), self.KEYS, self.ORDER)
+            state = part if state is None else merge(state, part, self.KEYS)
+        assert rows(tables[0].read()) == rows(state)
 
-    def test_a_shuffled_merge_writes_one_file_per_bucket(self, spark, events):
+    def test_neither_reads_nor_compaction_shuffle_the_table(self, spark, events):
         table = self.table(spark)
         table.merge(events.where("event_id < 500"), self.ORDER)
-        table.merge(events.where("event_id >= 500"), self.ORDER, limit=0)
-        files = table.read().inputFiles()
-        assert len(files) == len({f.rsplit("/", 1)[0] for f in files}) == 4
+        table.merge(events.where("event_id >= 400"), self.ORDER)
+        assert "Exchange" not in plan(table.read()) and "Bucketed: true" in plan(table.read())
+        table.merge(events, self.ORDER, latest=True)
+        assert "Exchange" not in plan(table.read())
+        want = rows(table.read())
+        table.compact()
+        assert "Exchange" not in plan(table.read()) and "Window" not in plan(table.read())
+        assert rows(table.read()) == want
+        assert len(files(table)) == len({f.rsplit("_", 1)[1] for f in files(table)}) == 4
 
-    def test_only_touched_buckets_are_rewritten(self, spark, events):
-        table = self.table(spark, buckets=16)
-        table.merge(events, self.ORDER)
-        before = set(table.read().inputFiles())
-        one = events.where("event_id = 500")
-        merged = table.merge(one.withColumn("ts", F.expr("timestamp_ntz'2030-01-01 00:00:00'")), self.ORDER)
-        assert merged.rewritten_cells == 1
-        after = set(table.read().inputFiles())
-        folders = [{f.rsplit("/", 1)[0] for f in files} for files in (before, before & after)]
-        assert len(folders[1]) == len(folders[0]) - 1
-
-    def test_insert_only_adds_files_and_rewrites_none(self, spark, events):
+    @pytest.mark.parametrize("limit", [0, 10**9])
+    def test_a_conditional_merge_does_not_shuffle_the_table(self, spark, events, limit, monkeypatch):
         table = self.table(spark)
-        table.merge(events.where("user_id < 8"), self.ORDER)
-        before = set(table.read().inputFiles())
-        kept = rows(table.read())
-        table.merge(events, self.ORDER, matched="ignore")
-        assert before < set(table.read().inputFiles())
-        got = table.read()
-        assert rows(got.where("user_id < 8")) == kept
-        assert got.count() == events.select(*self.KEYS).distinct().count()
-        # A merge after it replaces the buckets with all that was added.
+        table.merge(events.where("event_id < 500"), self.ORDER)
+        plans = []
+        append = KeyedTable._append
+        monkeypatch.setattr(KeyedTable, "_append", lambda t, out, *rest: plans.append(plan(out)) or append(t, out, *rest))
+        table.merge(events, self.ORDER, when="source.value > target.value", limit=limit)
+        # Above the scan of the table there is a window or a join, and no exchange in between.
+        scan = plans[0].index("Bucketed: true")
+        assert plans[0].count("Bucketed: true") == 1 and scan > 0
+
+    def test_a_merge_only_appends(self, spark, events):
+        table = self.table(spark)
+        for matched in ("update", "update", "ignore"):
+            before = files(table) if table.exists() else set()
+            table.merge(events.where("event_id % 7 < 5"), self.ORDER, matched=matched)
+            assert before < files(table)
+
+    def test_inserts_and_updates_in_any_order(self, spark):
+        """As plain merges of the same sources, one after the other, compacted or not."""
+        parts = [frame(spark, f"({i}, 'a{i}'), ({i + 1}, 'b{i}'), (9, 'c{i}')") for i in range(6)]
+        kinds = ["ignore", "ignore", "update", "ignore", "update", "ignore"]
+        for compact in (None, 1, 2, 4):
+            table = KeyedTable(spark, scratch_path(spark, "kinds"), ["k"], 3)
+            state = parts[0].where("false")
+            for i, (part, kind) in enumerate(zip(parts, kinds)):
+                table.merge(part, ["v"], matched=kind)
+                state = merge(state, part, ["k"], matched=kind)
+                if i == compact:
+                    table.compact()
+                assert rows(table.read()) == rows(state)
+
+    def test_the_latest_row_wins_whatever_the_order_of_merges(self, spark, events):
+        want = rows(dedupe_latest(events, self.KEYS, self.ORDER))
+        for lowers in ((0, 400, 800), (800, 0, 400), (400, 800, 0)):
+            table = self.table(spark)
+            for i, lower in enumerate(lowers):
+                part = events.where(f"event_id >= {lower} and event_id < {lower} + 400")
+                table.merge(part, self.ORDER, latest=True)
+                if i == 1:
+                    table.compact()
+            assert rows(table.read()) == want
+
+    def test_kinds_may_be_mixed(self, spark):
+        table = KeyedTable(spark, scratch_path(spark, "mixed"), ["k"], 3)
+        table.merge(frame(spark, "(1, 5), (2, 5)"), ["v"])
+        table.merge(frame(spark, "(1, 4), (2, 6), (3, 1)"), ["v"], latest=True)
+        table.merge(frame(spark, "(3, 9), (4, 1)"), ["v"], matched="ignore")
+        assert rows(table.read()) == [(1, 5), (2, 6), (3, 1), (4, 1)]
+        table.merge(frame(spark, "(1, 0)"), ["v"])
+        assert rows(table.read())[0] == (1, 0)
+        table.merge(frame(spark, "(4, 7)"), ["v"], when="source.v > 6")
+        assert rows(table.read())[3] == (4, 7)
+
+    def test_steps_are_merged_one_after_the_other(self, spark):
+        """A step's row may meet the condition that a later one does not."""
+        source = frame(spark, "(1, 1, 5), (1, 2, 3), (1, 3, 4), (2, 1, 1), (2, 1, 2), (3, 2, 7)", "k, s, v")
+        when = "source.v < target.v"
+        for limit in (0, 10**9):
+            one, by_one = (KeyedTable(spark, scratch_path(spark, "steps"), ["k"], 3) for _ in range(2))
+            for table in (one, by_one):
+                table.merge(frame(spark, "(1, 9), (4, 4)"), ["v"])
+            one.merge(source, ["v"], when, steps="s", limit=limit)
+            for s in (1, 2, 3):
+                by_one.merge(source.where(f"s = {s}").drop("s"), ["v"], when, limit=limit)
+            assert rows(one.read()) == rows(by_one.read()) == [(1, 3), (2, 2), (3, 7), (4, 4)]
+        plain = KeyedTable(spark, scratch_path(spark, "steps"), ["k"], 3)
+        plain.merge(source, ["v"], steps="s")
+        assert rows(plain.read()) == [(1, 4), (2, 2), (3, 7)]
+        first = KeyedTable(spark, scratch_path(spark, "steps"), ["k"], 3)
+        first.merge(source, ["v"], matched="ignore", steps="s")
+        assert rows(first.read()) == [(1, 5), (2, 2), (3, 7)]
+
+    def test_deltas_are_compacted_in_time(self, spark):
+        table = KeyedTable(spark, scratch_path(spark, "often"), ["k"], 2, deltas=3)
+        for i in range(8):
+            table.merge(frame(spark, f"({i % 5}, {i})"), ["v"])
+            assert sum(c.kind != "b" for c in table._commits()) < 3
+        assert rows(table.read()) == [(0, 5), (1, 6), (2, 7), (3, 3), (4, 4)]
+        assert table.version() == 8
+
+    def test_what_no_longer_counts_is_deleted_in_time(self, spark):
+        from datetime import timedelta
+
+        table = KeyedTable(spark, scratch_path(spark, "old"), ["k"], 2)
+        for i in range(3):
+            table.merge(frame(spark, f"({i}, {i})"), ["v"])
+        assert table.vacuum(timedelta(0)) == 0
+        table.compact()
+        want = rows(table.read())
+        assert table.vacuum() == 0 and table.vacuum(timedelta(seconds=-60)) == 6
+        assert rows(table.read()) == want and table.version() == 3
+        table.merge(frame(spark, "(0, 9)"), ["v"])
+        assert rows(table.read())[0] == (0, 9)
+
+    def test_a_merge_that_was_not_committed_is_not_seen(self, spark, events, monkeypatch):
+        table = self.table(spark)
+        table.merge(events.where("event_id < 500"), self.ORDER)
+        want = rows(table.read())
+        with monkeypatch.context() as broken:
+            broken.setattr(KeyedTable, "_commit", lambda self, **commit: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                table.merge(events, self.ORDER)
+            with pytest.raises(ZeroDivisionError):
+                table.compact()
+        assert rows(table.read()) == want and table.version() == 1
         table.merge(events, self.ORDER)
         assert rows(table.read()) == rows(dedupe_latest(events, self.KEYS, self.ORDER))
 
-    def test_nothing_new_is_no_version(self, spark, events):
+    def test_compactions_at_the_same_time_and_deltas_in_between(self, spark, monkeypatch):
+        """Both compact the same deltas; a merge comes in before they commit."""
+        table = KeyedTable(spark, scratch_path(spark, "twice"), ["k"], 2)
+        for i in range(3):
+            table.merge(frame(spark, f"({i}, {i}), (9, {i})"), ["v"])
+        late, commit = [], KeyedTable._commit
+        with monkeypatch.context() as held:
+            held.setattr(KeyedTable, "_commit", lambda self, **c: late.append(c))
+            table.compact()
+        table.merge(frame(spark, "(9, 100)"), ["v"])
+        with monkeypatch.context() as held:
+            held.setattr(KeyedTable, "_commit", lambda self, **c: late.append(c))
+            table.compact()
+        want = [(0, 0), (1, 1), (2, 2), (9, 100)]
+        for c in reversed(late):
+            commit(table, **c)
+            assert rows(table.read()) == want
+        table.merge(frame(spark, "(1, 50)"), ["v"])
+        table.compact()
+        assert rows(table.read()) == [(0, 0), (1, 50), (2, 2), (9, 100)]
+
+    def test_nothing_is_no_version(self, spark, events):
         table = self.table(spark)
         table.merge(events, self.ORDER)
-        assert table.merge(events, self.ORDER, matched="ignore").version == 1
+        want = rows(table.read())
         assert table.merge(events.where("false"), self.ORDER).version == 1
-        assert table.version() == 1
+        # No row meets the condition.
+        assert table.merge(events, self.ORDER, when="source.ts > target.ts").version == 1
+        table.merge(events, self.ORDER, matched="ignore")
+        assert rows(table.read()) == want
 
     def test_a_replayed_batch_is_skipped(self, spark, events):
         table = self.table(spark)
@@ -164,11 +294,16 @@ class TestKeyedTable:
     def test_it_is_found_again_with_its_layout(self, spark, events):
         table = self.table(spark, buckets=4)
         table.merge(events, self.ORDER)
+        table.read()
+        spark.sql(f"DROP TABLE {table.name}")  # the files stay
         again = KeyedTable(spark, table.path, self.KEYS, buckets=99)
         assert again.exists() and again.buckets == 4
+        again.merge(events.where("event_id < 100"), self.ORDER, matched="ignore")
         assert rows(again.read()) == rows(table.read())
         with pytest.raises(ValueError, match="keyed by"):
             KeyedTable(spark, table.path, ["user_id"])
+        with pytest.raises(ValueError, match="rename the columns"):
+            self.table(spark).merge(events.withColumn("_commit", F.lit(1)), self.ORDER)
 
 
 class TestMonthTable:
@@ -184,27 +319,34 @@ class TestMonthTable:
     def table(self, spark):
         return KeyedTable(spark, scratch_path(spark, "months"), self.KEYS, 2, "partition_key")
 
-    @pytest.mark.parametrize("limit", [0, 10**9])
-    def test_a_merge_touches_the_months_of_its_source(self, spark, orders, limit):
+    def test_compaction_rewrites_the_months_of_the_deltas(self, spark, orders):
         table = self.table(spark)
         table.merge(orders, self.ORDER)
-        before = set(table.read().inputFiles())
+        table.compact()
+        before = files(table)
         march = orders.where("partition_key = '199603'").withColumn("o_totalprice", F.lit(1.0))
-        table.merge(march, self.ORDER, limit=limit)
-        gone = before - set(table.read().inputFiles())
-        assert gone and all("_part=199603/" in f for f in gone)
+        for when in (None, "source.o_totalprice <> target.o_totalprice"):
+            table.merge(march, self.ORDER, when=when)
+        table.compact()
+        assert files(table, "199501", "199602") < before
+        assert files(table, "199603", "199603") and not files(table, "199603", "199603") & before
         got = table.read().select(march.columns)
         assert rows(got.where("partition_key = '199603'")) == rows(march)
         others = "partition_key <> '199603'"
         assert rows(got.where(others)) == rows(orders.where(others))
+        # The first base has months left; when they are all replaced, it goes.
+        table.merge(orders, self.ORDER)
+        table.compact()
+        assert len(table._commits()) == 1 and rows(table.read()) == rows(orders)
 
     def test_a_range_of_months_is_read_from_their_folders_only(self, spark, orders):
         table = self.table(spark)
         table.merge(orders, self.ORDER)
+        table.merge(orders.where("partition_key = '199602'"), self.ORDER)
         got = table.read("199601", "199603")
         assert got.count() == orders.where("partition_key between '199601' and '199603'").count()
-        parts = {f.split("_part=")[1][:6] for f in got.inputFiles()}
-        assert parts == {"199601", "199602", "199603"}
+        # The scan is cut to them before it lists files.
+        assert "(_part" in plan(got).split("PartitionFilters:")[1].split("\n")[0]
         assert table.read("202001", "202012").isEmpty()
 
     def test_inserts_only_reach_months_old_and_new(self, spark, orders):
@@ -245,29 +387,21 @@ def test_null_keys_are_keys(spark):
         assert rows(table.read()) == want
 
 
-def test_writers_of_one_table_take_turns(spark):
+def test_many_writers_open_and_fill_one_table(spark):
     from concurrent.futures import ThreadPoolExecutor
 
-    path = scratch_path(spark, "turns")
+    for round_ in range(3):
+        path = scratch_path(spark, "turns")
 
-    def merges(writer):
-        for i in range(3):
-            rows_of = spark.createDataFrame([(k, 10 * writer + i) for k in range(4 + writer)], "k int, v int")
-            KeyedTable(spark, path, ["k"], 2).merge(rows_of, ["v"], "source.v > target.v")
-
-    with ThreadPoolExecutor(3) as pool:
-        list(pool.map(merges, range(3)))
-    table = KeyedTable(spark, path, ["k"], 2)
-    assert rows(table.read()) == [(k, 22) for k in range(6)]
-    assert table.version() == 9
-
-
-def test_a_claim_that_stays_stops_others(spark):
-    table = KeyedTable(spark, scratch_path(spark, "claimed"), ["k"], 2, wait=0)
-    source = spark.createDataFrame([(1, 1)], "k int, v int")
-    with table._claimed(), pytest.raises(ClaimedVersion, match="v1"):
-        table.merge(source, ["v"])
-    with pytest.raises(Exception, match="nothing"):
-        table.merge(source, ["v"])
-        table.merge(source, ["v"], when="source.nothing > 1")
-    assert table.merge(source, ["v"]).version == 2
+        def merges(writer):
+            for i in range(2):
+                rows_of = spark.createDataFrame([(k, 10 * writer + i) for k in range(4 + writer)], "k int, v int")
+                KeyedTable(spark, path, ["k"], 2 + writer).merge(rows_of, ["v"], latest=True)
+
+        with ThreadPoolExecutor(4) as pool:
+            list(pool.map(merges, range(4)))
+        table = KeyedTable(spark, path, ["k"])
+        want = [(k, 31) for k in range(7)]
+        assert rows(table.read()) == want
+        table.compact()
+        assert rows(table.read()) == want

@@ -100,19 +100,25 @@ def unmatched(
         # broadcast for the second join is no larger than the source.
         wanted = F.broadcast(source.select(*keys))
         there = there.alias("target").join(
-            wanted.alias("source"), _same_key(keys, null_keys), "left_semi"
+            wanted.alias("source"), same_key(keys, null_keys), "left_semi"
         )
         there = F.broadcast(there)
     return source.alias("source").join(
-        there.alias("target"), _same_key(keys, null_keys), "left_anti"
+        there.alias("target"), same_key(keys, null_keys), "left_anti"
     )
 
 
-def _same_key(keys: Sequence[str], null_keys: bool) -> list[Column]:
+def same_key(keys: Sequence[str], null_keys: bool) -> list[Column]:
     pairs = [(F.col(f"target.`{k}`"), F.col(f"source.`{k}`")) for k in keys]
     return [t.eqNullSafe(s) if null_keys else t == s for t, s in pairs]
 
 
+def later(order: Sequence[str]) -> str:
+    """The condition that ``source`` sorts after ``target``; nulls sort first, as in the deduplication."""
+    sides = [", ".join(f"{side}.`{c}`" for c in order) for side in ("source", "target")]
+    return f"struct({sides[0]}) > struct({sides[1]})"
+
+
 def _marked(source: DataFrame) -> DataFrame:
     return source.withColumn("_in_source", F.lit(True))
 
@@ -129,7 +135,7 @@ def _take(
     # win over the target's value.
     left = target.withColumn("_in_target", F.lit(True)).alias("target")
     right = source.alias("source")
-    on = _same_key(keys, null_keys)
+    on = same_key(keys, null_keys)
     allowed = F.coalesce(F.expr(when), F.lit(False)) if when else F.lit(True)
     from_source = F.col("source._in_source").isNotNull() & (
         F.col("target._in_target").isNull() | allowed

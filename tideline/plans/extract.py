@@ -27,10 +27,9 @@ def run_extract(
     """Merge all pending batches of every package of a suite; returns this run's log rows.
 
     All pending batches of a package go into one merge: its latest row per key is
-    the same as after merging them one by one, and the table is rewritten once. With a merge
-    condition that does not hold, as a row may meet it that a later one does not: such a package
-    merges the batches of one window after the other, so its result does not depend on how often
-    the flow runs.
+    the same as after merging them one by one. With a merge condition that does not hold, as a row
+    may meet it that a later one does not: such a package folds the latest rows of each window, one
+    window after the other, so its result does not depend on how often the flow runs.
 
     A package is known by its name and suite. Packages of one name share a table and run one
     after the other, others side by side.
@@ -100,28 +99,24 @@ def _extract(
         run.write(run.packages(job, text.EXTRACT_PACKAGE_CLOSED, message))
         return
     target = warehouse.ext(name, package["merge_keys"], package["merge_partition"])
-    if package["merge_condition"]:
-        keys = pending.select("window_key").distinct().orderBy("window_key").collect()
-        steps = [(key["window_key"],) * 2 for key in keys]
-    else:
-        steps = [(seen["first"], seen["last"])]
-    rows = 0
-    for first, last in steps:
-        part = partition_range_read(pending, first, last, "window_key")
-        # The key range goes to the scan as literals and prunes the batch folders.
-        raw = partition_range_read(warehouse.raw(table), first, last, "window_key")
-        batch = staged_batch_read(raw, part, on=("control_id", "window_key"))
-        merged = target.merge(
-            project_columns(batch, package["source_columns"]),
-            order=package["merge_order"],
-            when=package["merge_condition"],
-        )
-        rows += merged.source_rows
-        # Each step is logged when it is done: a run that dies goes on behind it.
-        batches = part.withColumns(
-            {"package_name": F.lit(name), "suite_code": F.lit(package["suite_code"])}
-        )
-        message = F.lit(f"OK: version {merged.version}")
-        run.write(run.packages(batches, text.EXTRACT_BATCH_DONE, message, 1, 1))
-    done = job.withColumn("row_inserted", F.lit(rows))
+    # The key range goes to the scan as literals and prunes the batch folders.
+    raw = partition_range_read(warehouse.raw(table), seen["first"], seen["last"], "window_key")
+    batch = staged_batch_read(raw, pending, on=("control_id", "window_key"))
+    step = "window_key AS _step" if package["merge_condition"] else None
+    merged = target.merge(
+        project_columns(batch, _with_step(package["source_columns"], step)),
+        order=package["merge_order"],
+        when=package["merge_condition"],
+        steps=step and "_step",
+    )
+    batches = pending.withColumns(
+        {"package_name": F.lit(name), "suite_code": F.lit(package["suite_code"])}
+    )
+    message = F.lit(f"OK: version {merged.version}")
+    run.write(run.packages(batches, text.EXTRACT_BATCH_DONE, message, 1, 1))
+    done = job.withColumn("row_inserted", F.lit(merged.source_rows))
     run.write(run.packages(done, text.EXTRACT_PACKAGE_DONE, message, 1, 1))
+
+
+def _with_step(columns: list[str] | None, step: str | None) -> list[str] | None:
+    return columns if step is None else [*(columns or ["*"]), step]

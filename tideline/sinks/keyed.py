@@ -1,72 +1,67 @@
-"""Current-state tables kept by keyed merge over plain parquet.
+"""Current-state tables kept by keyed merge: base and delta files of bucketed Spark tables.
 
-Parquet has no row-level merge and a job may not overwrite what it reads, so each
-merge writes new directories and then publishes them. Rows are spread over cells:
-hash buckets of the merge key, below the value of one key column where the table
-has such a partition. A merge reads and rewrites only the cells that its source has
-keys for. The list of published directories is itself an append-only parquet table,
-one file per merge, so readers see all of a merge or none of it.
-
-One writer per table at a time: a merge first claims the version it is going to publish, by a file
-that only one writer can create. Others wait until it is published, and then merge into that.
+A merge appends its rows as a delta, clustered by key into the table's buckets. A reader takes, inside
+each bucket, the row that wins for a key: nothing is shuffled. Now and then a base that holds the
+winners takes the place of the deltas. Data folders count once a row of the commits names them, so a
+merge is seen as a whole or not at all, and writers share nothing that one could take from another.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import time
 import uuid
-from collections.abc import Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
+from dataclasses import dataclass
+from datetime import timedelta
+from threading import Lock
 from typing import NamedTuple
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Row, SparkSession
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.functions.keys import folder_name
 from tideline.functions.local import small_frame
 from tideline.functions.sizing import BROADCAST_BYTES, materialize_measured
-from tideline.operators.merge import conform, dedupe_latest, matched_rows, merge, unmatched
-from tideline.sinks.partitions import ensure_table
+from tideline.operators.merge import MATCHED, conform, dedupe_latest, later, same_key
+from tideline.sinks.files import delete, file_system, names, read_folder, read_small, write_once
 
-PUBLISHED = T.StructType(
+# Kinds of commits: a base; rows that replace, that only insert, or that replace earlier ones of
+# their order.
+BASE, UPDATE, INSERT, LATEST = "b", "u", "i", "l"
+COMMITS = T.StructType(
     [
-        T.StructField("version", T.LongType()),
-        T.StructField("part", T.StringType()),
-        T.StructField("bucket", T.IntegerType()),
-        # The version that last replaced the cell; later ones added to it.
-        T.StructField("since", T.LongType()),
-        T.StructField("directory", T.StringType()),
-        T.StructField("keys", T.ArrayType(T.StringType())),
-        T.StructField("part_by", T.StringType()),
-        T.StructField("buckets", T.IntegerType()),
-        T.StructField("table_schema", T.StringType()),
+        T.StructField("name", T.StringType()),
+        # For rows of kind LATEST: the condition on source and target.
+        T.StructField("rule", T.StringType()),
         T.StructField("batch", T.StringType()),
+        # Of a base: the commits whose place it takes, in ``parts`` if they are bases themselves.
+        T.StructField("covers", T.ArrayType(T.StringType())),
+        # The partitions that it has rows for; null if the table has none.
+        T.StructField("parts", T.ArrayType(T.StringType())),
     ]
 )
-
-
-class Cell(NamedTuple):
-    part: str | None
-    bucket: int
-
-    def folder(self) -> str:
-        bucket = f"_bucket={self.bucket}"
-        return bucket if self.part is None else f"_part={folder_name(self.part)}/{bucket}"
+OWN_COLUMNS = ("_commit", "_part", "_at", "_kind")
+_registering = Lock()
 
 
 class Merged(NamedTuple):
     version: int
     source_rows: int
-    rewritten_cells: int
-    broadcast_source: bool
 
 
-class ClaimedVersion(RuntimeError):
-    """Another writer has claimed the next version of a table and not published it in time."""
+@dataclass(frozen=True)
+class Commit:
+    name: str
+    rule: str | None
+    batch: str | None
+    covers: frozenset[str]
+    parts: frozenset[str] | None
+
+    @property
+    def kind(self) -> str:
+        return self.name[21]
 
 
 class KeyedTable:
@@ -76,11 +71,15 @@ class KeyedTable:
     partitions; choose it so that a bucket (of one partition, if there are any) is about one output
     file of 0.5 to 1 GB at the size the table is meant to reach.
 
-    ``wait`` is for how many seconds a merge waits for another writer.
+    ``part_by`` names a key column whose values partition the table, such as the month of a row that
+    keeps its month. ``read`` can be limited to a range of them, and compaction rewrites only those
+    that deltas have rows for.
+
+    After a merge that leaves ``deltas`` of them, the table is compacted.
 
-    ``part_by`` names a key column whose values partition the table, such as the
-    month of a row that keeps its month. Merges then touch only the partitions their
-    source has rows for, and ``read`` can be limited to a range of them.
+    Any number of writers may merge at a time. What plain and insert-only merges leave then is what
+    they leave one after the other; a merge with a condition compares with what it finds when it
+    begins, so such merges of one table should follow each other.
     """
 
     def __init__(
@@ -90,7 +89,7 @@ class KeyedTable:
         keys: Sequence[str],
         buckets: int | None = None,
         part_by: str | None = None,
-        wait: float = 3600,
+        deltas: int = 16,
     ):
         if part_by is not None and part_by not in keys:
             raise ValueError(f"{part_by!r} is no key column: a row could change its partition")
@@ -99,19 +98,26 @@ class KeyedTable:
         self.keys = list(keys)
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.part_by = part_by
-        self.wait = wait
+        self.deltas = deltas
+        self.name = "keyed_" + hashlib.sha256(path.encode()).hexdigest()[:24]
         self.schema = None
-        self._learn()
+        self._adopt(read_small(spark, f"{path}/layout"))
 
-    def _learn(self) -> None:
+    def _adopt(self, layout: str | None) -> None:
         """Take over what the table was created with, by whomever."""
-        head = self._published().select("keys", "part_by", "buckets", "table_schema").head()
-        if head is not None:
-            stored, part = list(head["keys"]), head["part_by"]
-            if (stored, part) != (self.keys, self.part_by):
-                raise ValueError(f"the table is keyed by {stored} and partitioned by {part}")
-            self.buckets = head["buckets"]
-            self.schema = T.StructType.fromJson(json.loads(head["table_schema"]))
+        if layout is None:
+            return
+        stored = json.loads(layout)
+        if (stored["keys"], stored["part_by"]) != (self.keys, self.part_by):
+            raise ValueError(f"the table is keyed by {stored['keys']} and partitioned by {stored['part_by']}")
+        self.buckets = stored["buckets"]
+        self.schema = T.StructType.fromJson(stored["schema"])
+
+    def _create(self, schema: T.StructType) -> None:
+        if taken := {name.lower() for name in schema.names} & set(OWN_COLUMNS):
+            raise ValueError(f"rename the columns {sorted(taken)}: the table has its own of these names")
+        layout = {"keys": self.keys, "part_by": self.part_by, "buckets": self.buckets, "schema": schema.jsonValue()}
+        self._adopt(write_once(self.spark, f"{self.path}/layout", json.dumps(layout)))
 
     # -- reading
 
@@ -119,45 +125,126 @@ class KeyedTable:
         return self.schema is not None
 
     def version(self) -> int:
-        """The last published version; 0 before the first merge."""
-        return self._published().agg(F.max("version")).first()[0] or 0
+        """The number of the last merge; 0 before the first."""
+        return max((int(c.name[:20]) for c in self._commits()), default=0)
 
     def read(self, from_part: str | None = None, to_part: str | None = None) -> DataFrame:
-        """The current rows, or those of a range of partitions, both ends included.
-
-        Only the folders of the range are listed and scanned.
-        """
+        """The current rows, or those of a range of partitions, both ends included."""
         if self.schema is None:
             raise ValueError(f"nothing was merged into {self.path} yet")
-        live = self._live(from_part, to_part)
-        if not live:
-            return small_frame(self.spark, [], self.schema)
-        return self._scan([row["directory"] for row in live])
-
-    def _published(self) -> DataFrame:
-        return ensure_table(self.spark, f"{self.path}/published", PUBLISHED)
+        commits = self._commits()
+        rows = self._rows(commits)
+        if from_part is not None:
+            rows = rows.where(F.col("_part") >= from_part)
+        if to_part is not None:
+            rows = rows.where(F.col("_part") <= to_part)
+        return self._winners(rows, commits)
 
-    def _live(self, from_part: str | None = None, to_part: str | None = None) -> list[Row]:
-        """The directories that make up the current version.
+    def _commits(self) -> list[Commit]:
+        """What counts, by name: all deltas that no base covers, and all bases with rows left.
 
-        At most a row for each cell and merge since the cell was last replaced.
+        Of commits of one batch the first counts, and of bases that cover the same delta, too: two
+        drivers may have repeated a batch or compacted at the same time.
         """
-        if self.schema is None:
-            return []
-        published = self._published()
-        if from_part is not None:
-            published = published.where(F.col("part") >= from_part)
-        if to_part is not None:
-            published = published.where(F.col("part") <= to_part)
-        newest = F.max("since").over(W.partitionBy("part", "bucket"))
-        return (
-            published.select("version", "part", "bucket", "since", "directory", newest.alias("newest"))
-            .where("version >= newest")
-            .collect()
+        found = read_folder(self.spark, f"{self.path}/commits", COMMITS).collect()
+        every = sorted(
+            (
+                Commit(c.name, c.rule, c.batch, frozenset(c.covers or ()), None if c.parts is None else frozenset(c.parts))
+                for c in found
+            ),
+            key=lambda c: c.name,
         )
+        deltas, batches = [], set()
+        for c in every:
+            if c.kind != BASE and (c.batch is None or c.batch not in batches):
+                batches.add(c.batch)
+                deltas.append(c)
+        bases, covered = [], set()
+        for c in every:
+            own = {name for name in c.covers if name[21] != BASE}
+            if c.kind == BASE and not own & covered:
+                covered |= own
+                bases.append(c)
+        bases = [b for b in bases if b.parts is None or b.parts - self._replaced(b, bases)]
+        if self.part_by is None:
+            replaced = {name for b in bases for name in b.covers}
+            bases = [b for b in bases if b.name not in replaced]
+        return [c for c in deltas if c.name not in covered] + bases
 
-    def _scan(self, directories: Sequence[str]) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(*directories)
+    @staticmethod
+    def _replaced(base: Commit, bases: Sequence[Commit]) -> set[str]:
+        """The partitions of a base that later ones have taken over."""
+        return {part for b in bases if base.name in b.covers for part in b.parts or ()}
+
+    def _rows(self, commits: Sequence[Commit]) -> DataFrame:
+        """The rows of the commits, before one row per key is chosen."""
+        alive = F.col("_commit").isin([c.name for c in commits])
+        for c in commits:
+            gone = self._replaced(c, commits) if c.kind == BASE else ()
+            if gone:
+                alive = alive & ~((F.col("_commit") == c.name) & F.col("_part").isin(sorted(gone)))
+        return self._table().where(alive)
+
+    def _table(self) -> DataFrame:
+        """The data as a bucketed table of the session's catalog, which is told of it when it is not there."""
+        own = ["_commit"] if self.part_by is None else ["_commit", "_part"]
+        columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields]
+        keys = ", ".join(f"`{k}`" for k in self.keys)
+        files, at = file_system(self.spark, f"{self.path}/data")
+        files.mkdirs(at)
+        with _registering:
+            # Folders come from other sessions too: the file system knows them, no catalog does.
+            tracked = "spark.sql.hive.manageFilesourcePartitions"
+            before = self.spark.conf.get(tracked)
+            self.spark.conf.set(tracked, "false")
+            try:
+                self.spark.sql(
+                    f"CREATE TABLE IF NOT EXISTS {self.name} ({', '.join(columns + [f'{c} string' for c in own])})"
+                    f" USING parquet PARTITIONED BY ({', '.join(own)}) CLUSTERED BY ({keys}) SORTED BY ({keys})"
+                    f" INTO {self.buckets} BUCKETS LOCATION '{self.path}/data'"
+                )
+            finally:
+                self.spark.conf.set(tracked, before)
+            self.spark.catalog.refreshTable(self.name)
+            return self.spark.table(self.name)
+
+    def _winners(self, rows: DataFrame, commits: Sequence[Commit]) -> DataFrame:
+        """One row per key: what merging the commits one after the other leaves.
+
+        An update replaces what was there; an insert counts if nothing was there. So the last update
+        wins, else the base, else the first insert.
+        """
+        kinds = {c.kind for c in commits}
+        if kinds <= {BASE}:
+            return rows.select(self.schema.names)
+        if LATEST in kinds:
+            return self._folded(rows, commits)
+        commit, kind = F.col("_commit"), F.substring("_commit", 22, 1)
+        order = [
+            F.when(kind == UPDATE, commit).desc_nulls_last(),
+            (kind == BASE).desc(),
+            commit.asc(),
+        ]
+        return dedupe_latest(rows, self.keys, order).select(self.schema.names)
+
+    def _folded(self, rows: DataFrame, commits: Sequence[Commit]) -> DataFrame:
+        """The same by a fold over the rows of a key, at most one for each commit."""
+        kind = F.substring("_commit", 22, 1)
+        at = F.concat(F.when(kind == BASE, "0").otherwise("1"), "_commit")
+        row = F.struct(*self.schema.names, at.alias("_at"), kind.alias("_kind"))
+        in_order = F.array_sort(
+            F.collect_list(row), lambda a, b: F.when(a["_at"] < b["_at"], -1).when(a["_at"] > b["_at"], 1).otherwise(0)
+        )
+        rules = {c.rule for c in commits if c.kind == LATEST}
+        if len(rules) > 1:
+            raise ValueError(f"compact {self.path} between merges of different orders")
+        # The rule speaks of source and target: names of the lambda's arguments here.
+        won = rows.groupBy(*self.keys).agg(in_order.alias("_rows")).selectExpr(
+            "aggregate(slice(_rows, 2, size(_rows)), _rows[0], (target, source) ->"
+            f" CASE source._kind WHEN '{UPDATE}' THEN source WHEN '{INSERT}' THEN target"
+            f" ELSE IF(coalesce({rules.pop()}, false), source, target) END) AS _row"
+        )
+        return won.select("_row.*").select(self.schema.names)
 
     # -- merging
 
@@ -169,174 +256,169 @@ class KeyedTable:
         matched: str = "update",
         batch: str | None = None,
         limit: int = BROADCAST_BYTES,
+        latest: bool = False,
+        steps: str | None = None,
     ) -> Merged:
         """Merge the latest source row of each key, see ``operators.merge``.
 
-        A ``batch`` name that was published before is skipped, so a replay of the
-        same batch does nothing.
-        """
-        with self._claimed() as version:
-            return self._merge(version, source, order, when, matched, batch, limit)
+        Without a condition this only appends. With ``when``, the rows of the source's keys are
+        read and the rows that change are appended: a source of up to ``limit`` bytes is broadcast
+        for that, and the table is not shuffled in any case.
 
-    @contextmanager
-    def _claimed(self) -> Iterator[int]:
-        """Hold the version after the last published one; gives that last one.
+        ``latest`` updates a row only by one that is later in ``order``, whatever order merges come in;
+        the comparison is made by readers, so nothing is read here.
 
-        The claim of a writer that was killed stays and has to be removed by hand: from outside, it
-        looks like one that is still at work.
-        """
-        jvm = self.spark.sparkContext._jvm
-        until = time.monotonic() + self.wait
-        while True:
-            version = self.version()
-            claim = jvm.org.apache.hadoop.fs.Path(f"{self.path}/claims/v{version + 1}")
-            files = claim.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-            files.mkdirs(claim.getParent())
-            if self._create(files, claim):
-                if self.version() == version:
-                    break
-                # The version was published, and its claim removed, since we looked.
-                files.delete(claim, False)
-            elif time.monotonic() > until:
-                raise ClaimedVersion(f"another writer holds {claim}; remove it if that one died")
-            else:
-                time.sleep(0.2)
-        try:
-            yield version
-        finally:
-            files.delete(claim, False)
+        ``steps`` names a further column of the source: the latest rows of each of its values are merged
+        one after the other, in its order, by one plan.
 
-    @staticmethod
-    def _create(files, claim) -> bool:
-        """Create a file that is not there; the file system decides between two writers."""
-        try:
-            return files.createNewFile(claim)
-        except Py4JJavaError as error:
-            if "FileAlreadyExists" in str(error.java_exception):
-                return False
-            raise
-
-    def _merge(
-        self,
-        version: int,
-        source: DataFrame,
-        order: Sequence[str | Column],
-        when: str | None,
-        matched: str,
-        batch: str | None,
-        limit: int,
-    ) -> Merged:
+        A ``batch`` name that was merged before is skipped, so a replay of the same batch does nothing.
+        Their names are known until ``vacuum`` forgets them.
+        """
+        if matched not in MATCHED:
+            raise ValueError(f"matched must be one of {MATCHED}, not {matched!r}")
         if batch is not None and self._has(batch):
-            return Merged(version, 0, 0, False)
-        if self.schema is None:
-            self._learn()
-        live = self._live()
+            return Merged(self.version(), 0)
         if self.schema is not None:
-            source = conform(source, small_frame(self.spark, [], self.schema))
-        # Written once: its size decides the strategy and several scans follow.
-        latest, seen = materialize_measured(
-            dedupe_latest(source, self.keys, order),
-            "merge-source",
-            rows=F.count(F.lit(1)),
-            null_keys=F.max(F.array_contains(F.array(*[F.isnull(k) for k in self.keys]), True)),
-        )
+            source = self._conformed(source, steps)
+        kind, rule = (UPDATE, None) if matched == "update" else (INSERT, None)
+        rows = None
+        if latest:
+            kind, rule = LATEST, later(order)
+        if when is not None and matched == "update":
+            out, rows = self._changed(source, order, when, steps, limit)
+        elif steps and matched == "ignore":
+            out = dedupe_latest(source, self.keys, [F.col(steps).asc(), *order]).drop(steps)
+        else:
+            out = dedupe_latest(source, self.keys, [steps, *order] if steps else order)
+            out = out.drop(steps) if steps else out
+        if self.schema is None:
+            self._create(out.schema)
+        version, appended = self._append(self._conformed(out), kind, rule, batch)
+        if not latest and sum(c.kind != BASE for c in self._commits()) >= self.deltas:
+            self.compact()
+        return Merged(version, appended if rows is None else rows)
+
+    def _conformed(self, source: DataFrame, steps: str | None = None) -> DataFrame:
+        """The source with the table's columns, and the steps' beside them."""
+        rest = [steps] if steps else []
+        conform(source.drop(*rest), small_frame(self.spark, [], self.schema))
+        return source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields], *rest)
+
+    def _changed(
+        self, source: DataFrame, order: Sequence[str | Column], when: str, steps: str | None, limit: int
+    ) -> tuple[DataFrame, int]:
+        """The rows that a conditional merge leaves and that differ from the current ones, and the
+        number of source rows that they come from."""
+        by = [*self.keys, *([steps] if steps else [])]
+        null_key = F.array_contains(F.array(*[F.isnull(k) for k in self.keys]), True)
+        measures = {"rows": F.count(F.lit(1)), "null_keys": F.max(null_key)}
+        if self.part_by is not None:
+            measures["parts"] = F.collect_set(F.col(self.part_by).cast("string"))
+        # Written once: its size decides the strategy and two scans follow.
+        rows, seen = materialize_measured(dedupe_latest(source, by, order), "merge-source", **measures)
+        columns = [c for c in rows.columns if c != steps]
         if not seen["rows"]:
-            return Merged(version, 0, 0, False)
+            return rows.select(columns), 0
+        step = F.struct(F.col(steps) if steps else F.lit(0).alias("_step"), F.struct(*columns).alias("_row"))
+        lists = rows.groupBy(*self.keys).agg(F.sort_array(F.collect_list(step)).alias("_steps"))
+        lists = lists.select(*self.keys, F.transform("_steps", lambda s: s["_row"]).alias("_steps"))
         small = seen["bytes"] <= limit
-        touched = {Cell(*row) for row in latest.select(*self._cell()).distinct().collect()}
-        if self.part_by is not None and not all(cell.part for cell in touched):
-            raise ValueError(f"{self.part_by!r} is empty in some rows and partitions the table")
-        old = {Cell(row["part"], row["bucket"]): row for row in live}
-        directories = [r["directory"] for r in live if Cell(r["part"], r["bucket"]) in touched]
-        append = matched == "ignore"
-        if directories:
-            target = self._scan(directories)
-            out = self._merged(target, latest, when, append, small, seen["null_keys"])
+        if self.schema is None:
+            met = lists.withColumn("_old", F.lit(None).cast(rows.select(F.struct(*columns).alias("r")).schema["r"].dataType))
         else:
-            out = self._rebalanced(latest)
-        since = {cell: old[cell]["since"] for cell in touched & set(old)} if append else {}
-        self.schema = self.schema or source.schema
-        written = self._write(out, version + 1, touched, since, batch)
-        return Merged(version + (written > 0), seen["rows"], written, small)
+            wanted = rows.select(*self.keys).distinct()
+            wanted = F.broadcast(wanted) if small else wanted.repartition(self.buckets, *self.keys)
+            commits = self._commits()
+            there = self._rows(commits)
+            if self.part_by:
+                there = there.where(F.col("_part").isin(seen["parts"]))
+            same = same_key(self.keys, bool(seen["null_keys"]))
+            there = there.alias("target").join(wanted.alias("source"), same, "left_semi")
+            old = self._winners(there, commits).select(F.struct(*columns).alias("_old"), *self.keys)
+            lists = lists if small else lists.repartition(self.buckets, *self.keys)
+            met = lists.alias("source").join(old.alias("target"), same, "left").select("source._steps", "target._old")
+        # The condition speaks of source and target: names of the lambda's arguments here.
+        rule = f"target IS NULL OR coalesce(({when}), false)"
+        folded = met.selectExpr("_old", f"aggregate(_steps, _old, (target, source) -> IF({rule}, source, target)) AS _new")
+        return folded.where(~F.col("_new").eqNullSafe(F.col("_old"))).select("_new.*"), seen["rows"]
+
+    def _append(self, out: DataFrame, kind: str, rule: str | None = None, batch: str | None = None) -> tuple[int, int]:
+        """Write rows and commit them; the version and the number of rows."""
+        version = self.version()
+        name = f"{version + 1:020d}-{kind}-{uuid.uuid4().hex[:12]}"
+        seen = self._write(out.repartition(self.buckets, *self.keys), name)
+        if not seen["rows"]:
+            delete(self.spark, self._folder(name))
+            return version, 0
+        self._commit(name=name, rule=rule, batch=batch, parts=seen["parts"])
+        return version + 1, seen["rows"]
+
+    def _write(self, out: DataFrame, name: str) -> dict:
+        """Write a commit's rows, one file for each bucket and partition."""
+        seen = Observation()
+        part = F.lit(None) if self.part_by is None else F.col(self.part_by).cast("string")
+        measures = [F.count(F.lit(1)).alias("rows")]
+        if self.part_by is not None:
+            measures += [F.collect_set("_part").alias("parts"), F.count_if(F.col("_part").isNull()).alias("no_part")]
+        out = out.withColumn("_part", part).observe(seen, *measures)
+        writer = (out if self.part_by else out.drop("_part")).write.bucketBy(self.buckets, *self.keys).sortBy(*self.keys)
+        if self.part_by is not None:
+            writer = writer.partitionBy("_part")
+        # Only a table of the catalog can be written in buckets: it gets a name for that long.
+        table = f"commit_{uuid.uuid4().hex}"
+        writer.format("parquet").option("path", self._folder(name)).saveAsTable(table)
+        self.spark.sql(f"DROP TABLE {table}")
+        found = {"parts": None, "no_part": 0, **seen.get}
+        if found["no_part"]:
+            delete(self.spark, self._folder(name))
+            raise ValueError(f"{self.part_by!r} is empty in some rows and partitions the table")
+        return found
 
-    def _merged(
-        self,
-        target: DataFrame,
-        latest: DataFrame,
-        when: str | None,
-        append: bool,
-        small: bool,
-        null_keys: bool,
-    ) -> DataFrame:
-        # Without nulls in the source's keys, null keys of the target match nothing anyway.
-        if small:
-            # Target rows stay in the tasks that read them, which hold few cells each.
-            new = self._rebalanced(unmatched(target, latest, self.keys, small, null_keys))
-            if append:
-                return new
-            kept = matched_rows(target, latest, self.keys, when, null_keys)
-            return kept.select("*", *self._cell()).unionByName(new)
-        if append:
-            return self._rebalanced(unmatched(target, latest, self.keys, null_keys=null_keys))
-        if self.part_by is not None or null_keys:
-            merged = merge(target, latest, self.keys, when, null_keys=null_keys)
-            return self._rebalanced(merged)
-        # Both sides in as many parts as there are buckets: the join needs no other
-        # shuffle, and each task ends up with the rows of one bucket.
-        sides = [side.repartition(self.buckets, *self.keys) for side in (target, latest)]
-        merged = merge(*sides, self.keys, when, null_keys=False)
-        return merged.select("*", *self._cell())
-
-    def _rebalanced(self, df: DataFrame) -> DataFrame:
-        """Rows of a cell brought together; AQE joins small cells and cuts large ones."""
-        return df.select("*", *self._cell()).hint("rebalance", "_part", "_bucket")
-
-    def _write(
-        self,
-        out: DataFrame,
-        version: int,
-        touched: set[Cell],
-        since: Mapping[Cell, int],
-        batch: str | None,
-    ) -> int:
-        root = f"{self.path}/data/v{version}-{uuid.uuid4().hex}"
-        by = ["_bucket"] if self.part_by is None else ["_part", "_bucket"]
-        if self.part_by is None:
-            out = out.drop("_part")
-        out.write.partitionBy(*by).parquet(root)
-        if since:
-            # Rows were added to cells that exist: some may have got none.
-            there = self.spark.read.schema(out.schema).parquet(root).select(*self._cell())
-            touched = {Cell(*row) for row in there.distinct().collect()}
-        rows = [
-            {
-                "version": version,
-                "part": cell.part,
-                "bucket": cell.bucket,
-                "since": since.get(cell, version),
-                "directory": f"{root}/{cell.folder()}",
-                "keys": self.keys,
-                "part_by": self.part_by,
-                "buckets": self.buckets,
-                "table_schema": self.schema.json(),
-                "batch": batch,
-            }
-            for cell in touched
-        ]
-        if rows:
-            # One file, so that readers see all of a merge or none of it.
-            published = small_frame(self.spark, rows, PUBLISHED).coalesce(1)
-            published.write.mode("append").parquet(f"{self.path}/published")
-        return len(rows)
+    def _folder(self, name: str) -> str:
+        return f"{self.path}/data/_commit={name}"
+
+    def _commit(self, **commit: object) -> None:
+        """One file, so that readers see all of a merge or none of it."""
+        rows = small_frame(self.spark, [commit], COMMITS).coalesce(1)
+        rows.write.parquet(f"{self.path}/commits/{commit['name']}")
 
     def _has(self, batch: str) -> bool:
-        return not self._published().where(F.col("batch") == batch).isEmpty()
+        found = read_folder(self.spark, f"{self.path}/commits", COMMITS)
+        return not found.where(F.col("batch") == batch).isEmpty()
 
-    def _cell(self) -> list[Column]:
-        """Partition value and bucket of a row.
+    # -- upkeep
 
-        The bucket is the partition that ``repartition(buckets, *keys)`` puts it in.
+    def compact(self) -> None:
+        """Put a base in the place of the deltas, in the partitions that they have rows for.
+
+        Readers and writers may go on meanwhile: a delta that comes in between is not covered.
+        """
+        commits = self._commits()
+        deltas = [c for c in commits if c.kind != BASE]
+        if not deltas:
+            return
+        parts = None if self.part_by is None else frozenset().union(*(c.parts for c in deltas))
+        rows = self._rows(commits)
+        if parts is not None:
+            rows = rows.where(F.col("_part").isin(sorted(parts)))
+        covers = [c.name for c in commits if c.kind != BASE or parts is None or c.parts & parts]
+        version = max(int(c.name[:20]) for c in commits)
+        name = f"{version:020d}-{BASE}-{uuid.uuid4().hex[:12]}"
+        self._write(self._winners(rows, commits), name)
+        self._commit(name=name, covers=covers, parts=None if parts is None else sorted(parts))
+
+    def vacuum(self, older: timedelta = timedelta(days=7)) -> int:
+        """Delete folders and commits that no longer count; how many.
+
+        Only those older than ``older`` go, which has to be longer than any merge, compaction or read takes.
         """
-        part = F.lit(None) if self.part_by is None else F.col(self.part_by)
-        bucket = F.pmod(F.hash(*self.keys), F.lit(self.buckets))
-        return [part.cast("string").alias("_part"), bucket.cast("int").alias("_bucket")]
+        until = (time.time() - older.total_seconds()) * 1000
+        alive, gone = {c.name for c in self._commits()}, 0
+        for folder, prefix in (("commits", ""), ("data", "_commit=")):
+            for entry in names(self.spark, f"{self.path}/{folder}"):
+                at = f"{self.path}/{folder}/{entry}"
+                files, place = file_system(self.spark, at)
+                if entry.removeprefix(prefix) not in alive and files.getFileStatus(place).getModificationTime() < until:
+                    delete(self.spark, at)
+                    gone += 1
+        return gone

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tideline.functions.local import small_frame
-from tideline.sinks.partitions import ensure_table
+from tideline.sinks.files import read_folder
 
 LOG_SCHEMA = T.StructType(
     [
@@ -63,8 +63,7 @@ def append_log(
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """All rows that were appended; none before the first append."""
-    ensure_table(spark, path, LOG_SCHEMA)
-    return spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true").parquet(path)
+    return read_folder(spark, path, LOG_SCHEMA)
 
 
 def log_rows(spark: SparkSession, rows: Iterable[Mapping[str, object]]) -> DataFrame:

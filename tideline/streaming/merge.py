@@ -22,20 +22,21 @@ def stream_merge(
     """Merge every micro-batch of ``stream``, take what is there, then stop.
 
     Spark may run a micro-batch again after a failure. The table skips a batch that it has
-    published; batches are named by the query's id, which the checkpoint keeps, so a replay is
+    committed; batches are named by the query's id, which the checkpoint keeps, so a replay is
     skipped and nothing else is: other streams, and the same one with a new checkpoint, have other
     ids. Micro-batches may hold older rows than the table does: unless ``when`` says otherwise, a
     matched row is updated only by a later one in the sense of ``order``, which makes the final
     state independent of how the rows were cut into batches and of reading them again.
+
+    Such a micro-batch only appends a delta, so any number of streams may feed one table at a time.
+    Nothing is compacted here: call ``table.compact()`` beside the streams or after them.
     """
-    if when is None:
-        when = _later(order)
     identity: list[str] = []
     known = Event()
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         known.wait()
-        table.merge(batch, order, when, batch=f"{identity[0]}:{batch_id}")
+        table.merge(batch, order, when, batch=f"{identity[0]}:{batch_id}", latest=when is None)
 
     writer = stream.writeStream if name is None else stream.writeStream.queryName(name)
     query = (
@@ -49,8 +50,3 @@ def stream_merge(
     known.set()
     return query
 
-
-def _later(order: Sequence[str]) -> str:
-    """``source`` sorts after ``target``; nulls sort first, as in the deduplication."""
-    sides = [", ".join(f"{side}.`{c}`" for c in order) for side in ("source", "target")]
-    return f"struct({sides[0]}) > struct({sides[1]})"
