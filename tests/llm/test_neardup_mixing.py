@@ -7,12 +7,14 @@ import random
 from collections import Counter, defaultdict
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tideline.llm import neardup
 from tideline.llm.components import connected_components
 from tideline.llm.mixing import Target, mix_order, mix_sources, mixed_rows, plan_mix
-from tideline.llm.neardup import Join, near_duplicates, without_near_duplicates
+from tideline.llm.neardup import Join, _can_link, _prefixes, _rarity, near_duplicates, without_near_duplicates
 
 
 def components(nodes, links):
@@ -118,6 +120,64 @@ def test_null_ids_repeats_long_texts_and_nothing(spark):
     assert near_duplicates(docs.limit(0)).count() == 0
     lone = spark.createDataFrame([(1, None)], "doc_id long, text string")
     assert near_duplicates(lone).first().kept
+    # The stage keeps the text that an id has beside the one it loses.
+    rows += [(7, None), (7, text + " more"), (8, text)]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, key string").withColumn("lost_id", F.lit(1))
+    kept = sorted(((r.doc_id, r.text) for r in without_near_duplicates(docs).select("doc_id", "text").collect()), key=str)
+    assert kept == sorted(
+        [(None, text), (5, text), (7, "quite another text than that one"), (7, None), (9, "v " * 200_000)], key=str
+    )
+
+
+def test_prefixes_hold_a_token_of_every_link(spark):
+    """Of all linked pairs, the token that they share first passes the rules for sizes and places."""
+    rng = random.Random(8)
+    base = rng.sample(range(1 << 60), 60)
+    sets = [sorted(set(rng.sample(base, rng.randint(44, 60)) + rng.sample(range(1 << 60), rng.randint(0, 8)))) for _ in range(120)]
+    rows = [(str(i).encode(), np.array(s, np.uint64).tobytes()) for i, s in enumerate(sets)]
+    df = spark.createDataFrame(rows, "key binary, shingles binary").repartition(20)
+    join = Join()
+    total = _rarity(df)
+    assert total.sum() == sum(map(len, sets))
+    lists = defaultdict(dict)
+    for r in _prefixes(df, join).collect():
+        lists[r.token][int(r.key)] = (r.n, r["at"], r["first"])
+        assert r.n == len(sets[int(r.key)])
+    links = 0
+    for a, b in combinations(range(len(sets)), 2):
+        both = len(set(sets[a]) & set(sets[b]))
+        if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+            links += 1
+            met = [l for l in lists.values() if a in l and b in l]
+            n, at, first = (np.array(c) for c in zip(*[(l[a], l[b]) for l in [min(met, key=lambda l: l[a][1])]][0]))
+            assert _can_link(n, at, first, 0, np.array([1]), join)[0]
+    assert links > 100
+    assert sum(map(len, lists.values())) < 0.3 * total.sum()
+
+
+def test_rows_grow_in_proportion_where_no_two_are_linked(spark, monkeypatch):
+    """A hot group that shares a long passage: its prefixes meet in no list."""
+    made = {}
+
+    def counted(df, label):
+        saved = plain(df, label)
+        made.setdefault(label, []).append(saved.count())
+        return saved
+
+    plain = neardup.save
+    monkeypatch.setattr(neardup, "save", counted)
+    for n in (300, 600):
+        rng = random.Random(9)
+        passage = [f"p{i}" for i in range(104)]
+        rows = [(i, " ".join(passage + [f"x{rng.randrange(10**9)}" for _ in range(20)])) for i in range(n)]
+        made.clear()
+        got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), join=Join(words=4, leaf=12, block=64, depth=4))
+        assert got.where("kept").count() == n
+        sizes = {label: sum(counts) for label, counts in made.items()}
+        if n == 300:
+            before = sizes
+    assert sizes["near-prefixes"] > 0 and sizes["near-long-members"] == 0 and sizes["near-prefix-pairs"] == 0
+    assert all(sizes[label] <= 3 * before.get(label, 0) + 100 for label in sizes if label not in ("near-open", "near-tried", "near-best"))
 
 
 def test_small_tables_against_brute_force(spark, sf):

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache, reduce
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +26,9 @@ class Join:
     """Parameters of the join.
 
     ``trees`` independent trees of at most ``depth`` levels. A node of up to ``leaf`` members is
-    compared exhaustively; a larger one branches. All links between members of a large node of
-    level ``hot`` are looked for, in blocks of about ``block`` where tokens are not enough.
+    compared exhaustively; a larger one branches. All links between members of large nodes of
+    level ``hot`` are looked for by prefixes of their sets: a token's list of up to ``block`` members in one
+    piece, a longer one in blocks of about as many.
 
     Comparisons in nodes are of sketches of ``places`` bytes. Pairs that agree in fewer than
     ``likely`` of the places are not compared on their sets: at a similarity of 0.8 the share that agrees is
@@ -352,9 +353,10 @@ def _joined(classes: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
     then all that still lie between components.
 
     What the leaves below a large node may miss is then looked for among the members of the large
-    nodes of level ``hot``, whatever their size. A linked pair either shares a rare token, one that
-    few of these members have: all pairs that do are made from the tokens' lists. Or common tokens alone make
-    it similar: such pairs are compared exhaustively in their node.
+    nodes of level ``hot``, whatever their size: with rare tokens first in every set, a linked pair shares a token
+    of the front of both sets (``_prefixes``). Short lists of such a token give all pairs that can be
+    links by their sizes and by where the token stands in them; in long ones, what is outside the largest
+    component is compared with the whole list on sketches.
     """
     first, leaves, large = _nodes(classes, join)
     linked = _Linked(classes, docs, join)
@@ -375,114 +377,177 @@ def _joined(classes: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
         return linked.parts
     linked.know(hot.select("key").distinct())
     tried = save(stars.select("a", "b").unionByName(opened.select("a", "b")).distinct(), "near-tried")
-    rare, common = _token_counts(hot, linked, join)
-    more = _enough_shared(_rare_pairs(_labelled(rare, linked.parts)), common, join)
-    linked.confirm(save(more.join(tried, ["a", "b"], "left_anti"), "near-rare-pairs"))
-    more = _distinct(_common_pairs(_labelled(hot, linked.parts), common, join))
-    linked.confirm(save(more.join(tried, ["a", "b"], "left_anti"), "near-common-pairs"))
+    prefixes = save(_prefixes(linked.sets.join(hot.select("key").distinct(), "key"), join), "near-prefixes")
+    more = _distinct(_list_pairs(_lists(_labelled(prefixes, linked.parts)).where(F.col("m") <= join.block), join))
+    linked.confirm(save(more.join(tried, ["a", "b"], "left_anti"), "near-prefix-pairs"))
+    long = _lists(_labelled(prefixes, linked.parts)).where(F.col("m") > join.block)
+    more = _distinct(_long_list_pairs(save(long, "near-long-lists"), classes, join))
+    linked.confirm(save(more.join(tried, ["a", "b"], "left_anti"), "near-long-pairs"))
     return linked.parts
 
 
-def _token_counts(hot: DataFrame, linked: _Linked, join: Join) -> tuple[DataFrame, DataFrame]:
-    """Of the members of hot nodes: (token, key) of the shingles that 2 to ``leaf`` of them have, and
-    (key, n, common): how many shingles each has, and how many that more than ``leaf`` have."""
+# Counters of the sketch that orders tokens, and sketches that one merging task takes.
+_COUNTERS, _FAN_IN = 1 << 18, 16
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _counter_of(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(64 - 18)).astype(np.int64)
+
+
+def _rarity(sets: DataFrame) -> np.ndarray:
+    """How often tokens occur, in counters that tokens share by hash: one sketch a task, added up as a tree.
+
+    It only decides which order tokens are taken in; any order gives the same links.
+    """
+
+    def packed(counts: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"counts": [zlib.compress(counts.tobytes(), 1)]})
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(_COUNTERS, np.int64)
         for batch in slices(batches, 64):
-            sets = [np.frombuffer(s, np.int64) for s in batch.column(1).to_pylist()]
-            of = np.repeat(np.arange(len(sets)), list(map(len, sets)))
-            made = [pa.array(np.concatenate(sets)), batch.column(0).take(pa.array(of))]
-            yield from slices([pa.RecordBatch.from_arrays(made, names=["token", "key"])], 65536)
+            tokens = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)
+            counts += np.bincount(_counter_of(tokens), minlength=_COUNTERS)
+        yield packed(counts)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(_COUNTERS, np.int64)
+        for batch in batches:
+            for blob in batch.column(0).to_pylist():
+                counts += np.frombuffer(zlib.decompress(blob), np.int64)
+        yield packed(counts)
+
+    sketches, parts = sets.select("shingles").mapInArrow(count, "counts binary"), sets.rdd.getNumPartitions()
+    while parts > 1:
+        parts = -(-parts // _FAN_IN)
+        sketches = sketches.repartition(parts).mapInArrow(merge, "counts binary")
+    total = np.zeros(_COUNTERS, np.int64)
+    for row in sketches.collect():
+        total += np.frombuffer(zlib.decompress(bytes(row.counts)), np.int64)
+    return total
+
+
+def _prefixes(sets: DataFrame, join: Join) -> DataFrame:
+    """(token, key, n, at, first): the front of each set of n tokens, in one order of all tokens, rare
+    ones first, and the token's place in it.
+
+    Sets x and y are linked if they share c >= s (|x| + |y|) / (1 + s) tokens, so c >= s |x|, and for the smaller
+    one c >= 2 s |x| / (1 + s). All but c - 1 tokens of a set hold a shared one: so the first that the
+    pair shares is within the first |x| - s |x| + 1 of the larger set, and within the even shorter front of the
+    smaller one, which ``first`` marks.
+    """
+    sets = save(sets.select("key", "shingles"), "near-hot-sets")
+    rarity = sets.sparkSession.sparkContext.broadcast(_rarity(sets))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = rarity.value
+        for batch in slices(batches, 256):
+            tokens, sizes, places, first = [], [], [], []
+            for shingled in batch.column(1).to_pylist():
+                found = np.frombuffer(shingled, np.uint64)
+                n = len(found)
+                longer = n + join.similar * n // -100 + 1
+                shorter = n + 2 * join.similar * n // -(100 + join.similar) + 1
+                tokens.append(found[np.lexsort((found, counts[_counter_of(found)]))[:longer]].view(np.int64))
+                sizes.append(n)
+                places.append(np.arange(longer))
+                first.append(np.arange(longer) < shorter)
+            of = np.repeat(np.arange(len(sizes)), list(map(len, places)))
+            made = [pa.array(np.concatenate(tokens)), batch.column(0).take(pa.array(of)), pa.array(np.array(sizes)[of])]
+            made += [pa.array(np.concatenate(places)), pa.array(np.concatenate(first))]
+            yield from slices([pa.RecordBatch.from_arrays(made, names=["token", "key", "n", "at", "first"])], 65536)
+
+    return sets.mapInArrow(work, "token bigint, key binary, n bigint, at bigint, first boolean")
+
+
+def _lists(prefixes: DataFrame) -> DataFrame:
+    """The rows of tokens that members of different components have, one of them in its shorter
+    front, with the number ``m`` of them."""
+    labelled = save(prefixes, "near-labelled")
+    counts = labelled.groupBy("token").agg(
+        F.count(F.lit(1)).alias("m"),
+        F.max("first").alias("any_first"),
+        (F.min("of") < F.max("of")).alias("differ"),
+    )
+    counts = counts.where("any_first and differ").select("token", "m")
+    return labelled.join(save(counts, "near-token-counts"), "token")
+
 
-    sets = linked.sets.join(hot.select("key").distinct(), "key")
-    tokens = save(sets.select("key", "shingles").mapInArrow(work, "token bigint, key binary"), "near-tokens")
-    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = save(tokens.join(save(counts, "near-token-counts"), "token"), "near-tokens-met")
-    often = met.where(F.col("n") > join.leaf).groupBy("key").agg(F.count(F.lit(1)).alias("common"))
-    sizes = sets.select("key", (F.length("shingles") / 8).cast("bigint").alias("n"))
-    common = sizes.join(often, "key", "left").withColumn("common", F.coalesce("common", F.lit(0)))
-    return met.where(F.col("n") <= join.leaf).drop("n"), save(common, "near-common")
+def _can_link(n, at, first, i, others: np.ndarray, join: Join) -> np.ndarray:
+    """Which of the others can be linked with the i-th by sizes and places: the smaller set has the token in
+    its shorter front, and behind it there are enough tokens in both."""
+    smaller, larger = np.minimum(n[i], n[others]), np.maximum(n[i], n[others])
+    in_front = (first[i] & (n[i] <= n[others])) | (first[others] & (n[others] <= n[i]))
+    left = np.minimum(n[i] - at[i], n[others] - at[others])
+    return in_front & (100 * smaller >= join.similar * larger) & ((100 + join.similar) * left >= join.similar * (smaller + larger))
 
 
-def _rare_pairs(members: DataFrame) -> DataFrame:
-    """All pairs of different components that share rare tokens, with the number of these."""
+def _list_pairs(members: DataFrame, join: Join) -> DataFrame:
+    """All pairs of different components in the tokens' lists that can be links."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 64):
+        for batch in slices(batches, 16):
             found = []
-            for keys, parts in zip(*(c.to_pylist() for c in batch.columns)):
-                for i, j in combinations(range(len(keys)), 2):
-                    if parts[i] != parts[j]:
+            for keys, parts, *numbers in zip(*(c.to_pylist() for c in batch.columns)):
+                n, at, first = map(np.array, numbers)
+                _, of = np.unique(np.array(parts, object), return_inverse=True)
+                for i in range(len(keys) - 1):
+                    others = np.arange(i + 1, len(keys))
+                    others = others[of[others] != of[i]]
+                    for j in others[_can_link(n, at, first, i, others, join)]:
                         found.append((keys[i], parts[i], keys[j], parts[j], 1.0))
+                    if len(found) > 4096:
+                        yield _pairs_batch(found)
+                        found = []
             yield _pairs_batch(found)
 
-    lists = [F.collect_list(c).alias(c) for c in ("key", "of")]
-    pairs = members.groupBy("token").agg(*lists).drop("token").mapInArrow(work, _PAIR_SCHEMA)
-    shared = [F.count(F.lit(1)).alias("shared"), F.first("of_a").alias("of_a"), F.first("of_b").alias("of_b")]
-    return pairs.groupBy("a", "b").agg(*shared)
-
+    lists = [F.collect_list(c).alias(c) for c in ("key", "of", "n", "at", "first")]
+    return members.groupBy("token").agg(*lists).drop("token").mapInArrow(work, _PAIR_SCHEMA)
 
-def _enough_shared(pairs: DataFrame, common: DataFrame, join: Join) -> DataFrame:
-    """Those of the pairs that are similar enough if they have all the common tokens in common that
-    they can."""
-    for end in ("a", "b"):
-        named = [F.col(c).alias(f"{c}_{end}") for c in ("n", "common")]
-        pairs = pairs.join(common.select(F.col("key").alias(end), *named), end)
-    most = F.col("shared") + F.least("common_a", "common_b")
-    enough = (100 + join.similar) * most >= join.similar * (F.col("n_a") + F.col("n_b"))
-    return pairs.where(enough).select("a", "b", F.lit(1.0).cast("float").alias("about"), "of_a", "of_b")
 
+def _long_list_pairs(members: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
+    """Likely pairs of different components in lists too long for one task, compared on their sketches.
 
-def _common_pairs(hot: DataFrame, common: DataFrame, join: Join) -> DataFrame:
-    """Likely pairs of different components within each hot node that common tokens alone can make
-    similar enough, compared exhaustively on their sketches.
-
-    Of a node's largest component and the rest, only the rest asks: in blocks of about ``block``,
-    each of which meets all members of the node, in blocks too. Such a pair's smaller set has at least
-    s / (1 + s) * 2 of its tokens common, the other at least s: nodes without one end it.
+    Of a list's largest component and the rest, only the rest asks: in blocks of about ``block``,
+    each of which meets all members of the list, in blocks too.
     """
+    names = ("key", "of", "n", "at", "first", "sketch", "asks")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 4):
-            for keys, parts, tokens, sizes, often, asks in zip(*(c.to_pylist() for c in batch.columns)):
+            for keys, parts, *numbers, tokens, asks in zip(*(batch.column(c).to_pylist() for c in names)):
+                n, at, first, asks = map(np.array, (*numbers, asks))
                 sketches = np.frombuffer(b"".join(tokens), np.uint8).reshape(len(keys), -1)
-                n, often, asks = np.array(sizes), np.array(often), np.array(asks)
                 _, of = np.unique(np.array(parts, object), return_inverse=True)
-                others, found = np.flatnonzero(~asks), []
+                asked, found = np.flatnonzero(~asks), []
                 for i in np.flatnonzero(asks):
-                    fits = (100 + join.similar) * np.minimum(often[others], often[i]) >= join.similar * (n[others] + n[i])
-                    met = others[fits & (of[others] != of[i])]
-                    agree = ((sketches[met] == sketches[i]).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
-                    for j, about in zip(met[agree >= join.likely], agree[agree >= join.likely]):
+                    others = asked[of[asked] != of[i]]
+                    others = others[_can_link(n, at, first, i, others, join)]
+                    agree = ((sketches[others] == sketches[i]).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
+                    for j, about in zip(others[agree >= join.likely], agree[agree >= join.likely]):
                         found.append((keys[i], parts[i], keys[j], parts[j], about))
                     if len(found) > 4096:
                         yield _pairs_batch(found)
                         found = []
                 yield _pairs_batch(found)
 
-    able = hot.select("node", "key", "of", "sketch").join(common, "key")
-    able = save(able.where(100 * F.col("common") >= join.similar * F.col("n")), "near-able")
-    full = F.max((100 + join.similar) * F.col("common") >= 2 * join.similar * F.col("n"))
-    parts = able.groupBy("node", "of").agg(F.count(F.lit(1)).alias("m"), full.alias("full"))
-    nodes = parts.groupBy("node").agg(
-        F.max(F.struct("m", "of")).alias("top"), F.sum("m").alias("size"), F.max("full").alias("full")
-    )
-    rest = F.col("size") - F.col("top.m")
-    nodes = nodes.where(F.col("full") & (rest > 0)).select(
-        "node",
+    parts = members.groupBy("token", "of").agg(F.count(F.lit(1)).alias("of_part"))
+    lists = parts.groupBy("token").agg(F.max(F.struct("of_part", "of")).alias("top"), F.sum("of_part").alias("size"))
+    lists = lists.select(
+        "token",
         F.col("top.of").alias("top"),
-        F.ceil(rest / join.block).cast("bigint").alias("askers"),
+        F.ceil((F.col("size") - F.col("top.of_part")) / join.block).cast("bigint").alias("askers"),
         F.ceil(F.col("size") / join.block).cast("bigint").alias("blocks"),
     )
-    met = save(able.join(save(nodes, "near-hot-nodes"), "node"), "near-hot-members")
+    met = members.join(save(lists, "near-long-tokens"), "token").join(classes.select("key", "sketch"), "key")
+    met = save(met, "near-long-members")
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
-    dealt = lambda n: F.pmod(F.xxhash64("node", "key"), F.col(n))
-    row = ["node", "key", "of", "sketch", "n", "common"]
+    dealt = lambda n: F.pmod(F.xxhash64("token", "key"), F.col(n))
+    row = ["token", "key", "of", "n", "at", "first", "sketch"]
     asking = met.where("of <> top").select(*row, dealt("askers").alias("asker"), every("blocks").alias("block"), F.lit(True).alias("asks"))
     asked = met.select(*row, every("askers").alias("asker"), dealt("blocks").alias("block"), F.lit(False).alias("asks"))
-    lists = [F.collect_list(c).alias(c) for c in ("key", "of", "sketch", "n", "common", "asks")]
-    groups = asking.unionByName(asked).groupBy("node", "asker", "block").agg(*lists)
-    return groups.where(F.exists("asks", lambda m: m)).drop("node", "asker", "block").mapInArrow(work, _PAIR_SCHEMA)
+    groups = asking.unionByName(asked).groupBy("token", "asker", "block").agg(*[F.collect_list(c).alias(c) for c in names])
+    return groups.where(F.exists("asks", lambda m: m)).select(*names).mapInArrow(work, _PAIR_SCHEMA)
 
 
 def near_duplicates(
@@ -531,7 +596,31 @@ def near_duplicates(
 def without_near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", join: Join = Join()
 ) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns."""
-    lost = near_duplicates(docs, id_column, text, join).where(~F.col("kept")).select(F.col("id").alias(fresh(docs, "lost_id")))
-    lost = save(lost.distinct(), "near-lost")
-    return docs.join(lost, docs[id_column] == lost[lost.columns[0]], "left_anti")
+    """The rows of ``docs`` that are kept, with all their columns.
+
+    Where an id repeats with different texts, each text has a verdict of its own: lost rows are
+    found by id first, and compared by set where an id has lost one set and kept another.
+    """
+    found = save(near_duplicates(docs, id_column, text, join).select("id", "key", "kept"), "near-verdicts")
+    lost_id = fresh(docs, "lost_id")
+    verdicts = found.where("id is not null").groupBy(F.col("id").alias(lost_id)).agg(
+        F.max("kept").alias("kept"), F.max(~F.col("kept")).alias("lost")
+    )
+    lost = save(verdicts.where("lost").select(lost_id, F.col("kept").alias("split")), "near-lost")
+    same = F.col(f"`{id_column}`") == F.col(lost_id)
+    rest = docs.join(lost.drop("split"), same, "left_anti")
+    split = lost.where("split").drop("split")
+    if split.isEmpty():
+        return rest
+    # Ids that repeat: their rows, with the keys of their sets, against the sets that stay.
+    mark = fresh(docs, "set_key")
+    stays = found.where("kept").join(split, F.col("id") == F.col(lost_id), "left_semi").select(F.col("id").alias(lost_id), "key")
+    stays = stays.withColumnRenamed("key", mark).distinct()
+    place = fresh(docs, "place")
+    doubtful = save(docs.join(split, same, "left_semi").withColumn(place, F.monotonically_increasing_id()), "near-doubtful")
+    keys = _profiles(doubtful.select(F.col(place).alias("id"), text_of(text).alias("text")), join)
+    keys = keys.select(F.col("id").alias(place), F.col("key").alias(f"{mark}_own"))
+    met = doubtful.join(keys, place).join(
+        stays, same & F.col(f"{mark}_own").eqNullSafe(F.col(mark)), "left_semi"
+    )
+    return rest.unionByName(met.select(*[F.col(f"`{c}`") for c in docs.columns]))
