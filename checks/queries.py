@@ -26,7 +26,7 @@ from tideline.operators import (
 )
 from tideline.plans import enrich, run_extract, run_staging, run_summary
 from tideline.session import scratch_path
-from tideline.sinks import KeyedTable, land_raw, write_enriched
+from tideline.sinks import KeyedTable
 from tideline.sources import (
     NoData,
     Warehouse,
@@ -109,11 +109,9 @@ def _keyed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_partition_range_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "orders-by-month")
-    write_enriched(_keyed_orders(spark, sf_dir), path, 1, "199501", "200108")
-    table = spark.read.parquet(path)
-    table = table.withColumn("partition_key", F.col("partition_key").cast("string"))
-    return partition_range_read(table, "199601", "199912")
+    warehouse = _warehouse(spark)
+    warehouse.write_enriched("orders", _keyed_orders(spark, sf_dir), 1, "199501", "200108")
+    return partition_range_read(warehouse.enriched("orders"), "199601", "199912")
 
 
 @query
@@ -154,7 +152,7 @@ def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     for job_base in (100, 200):
         windows = _feed_windows(events, job_base)
         batch = due_window_read(derive.with_feed(events), windows, "feed_id", "ts")
-        land_raw(batch, warehouse.path("raw", "events"), windows)
+        warehouse.land("events", batch, windows)
     return warehouse.raw("events")
 
 
@@ -171,7 +169,7 @@ def q_landed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def q_write_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All months written by job 1, then three of them again by job 2."""
-    path = scratch_path(spark, "orders-summary")
+    warehouse = _warehouse(spark)
     months = (
         _keyed_orders(spark, sf_dir)
         .groupBy("partition_key", "o_orderstatus")
@@ -180,11 +178,10 @@ def q_write_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("price_cents"),
         )
     )
-    write_enriched(months, path, 1, "199501", "200108")
+    warehouse.write_enriched("orders", months, 1, "199501", "200108")
     again = partition_range_read(months, "199601", "199603")
-    write_enriched(again.withColumn("orders", -F.col("orders")), path, 2, "199601", "199603")
-    table = spark.read.parquet(path)
-    return table.withColumn("partition_key", F.col("partition_key").cast("string"))
+    warehouse.write_enriched("orders", again.withColumn("orders", -F.col("orders")), 2, "199601", "199603")
+    return warehouse.enriched("orders")
 
 
 @query
@@ -204,7 +201,7 @@ def q_open_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = derive.table(spark, sf_dir, "customer")
     warehouse.ext("customer", ["c_custkey"]).merge(customers, ["c_name"])
     orders = _keyed_orders(spark, sf_dir)
-    write_enriched(orders, warehouse.path("enrich", "orders"), 1, "199501", "200108")
+    warehouse.write_enriched("orders", orders, 1, "199501", "200108")
     stored = open_table(spark, "ext", "customer", warehouse.root, keys=["c_custkey"])
     by_month = open_table(spark, "enrich", "orders", warehouse.root)
     return by_month.join(stored, by_month.o_custkey == stored.c_custkey).select(
@@ -450,14 +447,11 @@ def q_flow_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     _through(spark, warehouse, control, events)
     last = F.lit("2024-01-21").cast("timestamp_ntz")
     changed = events.withColumn("value", F.when(F.col("ts") >= last, F.col("value") * 2).otherwise(F.col("value")))
-    # Staged again by hand: a batch lands in place, with a log row of a new job.
+    # Staged again by hand, by new jobs.
     again = _feed_windows(events, 300).where(F.col("window_start") == last)
     rows = due_window_read(derive.with_feed(changed), again, "feed_id", "ts")
-    land_raw(rows, warehouse.path("raw", "events"), again)
-    moment = F.current_timestamp().cast("timestamp_ntz")
-    logged = {"layer": F.lit("raw"), "log_id": F.lit(2), "log_time": moment, "success_flag": F.lit(1), "complete_flag": F.lit(1)}
-    suites = derive.feed_control(events).select("control_id", "suite_code", "package_name")
-    warehouse.append_log(again.join(suites, "control_id").withColumns(logged))
+    suites = derive.feed_control(events).select("control_id", "suite_code")
+    warehouse.land("events", rows, again.join(suites, "control_id"))
     run_extract(warehouse, control)
     run_summary(warehouse, control, {"events": _by_month(warehouse)})
     return summaries(warehouse)
@@ -495,9 +489,9 @@ def q_stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     streams = {}
     for name, feeds in (("low", "control_id < 6"), ("high", "control_id >= 6")):
         windows = _feed_windows(events, 100).where(feeds)
-        path = warehouse.path("raw", name)
-        land_raw(due_window_read(derive.with_feed(events), windows, "feed_id", "ts"), path, windows)
-        streams[name] = (path, spark.read.parquet(path).schema)
+        rows = due_window_read(derive.with_feed(events), windows, "feed_id", "ts")
+        warehouse.land(name, rows, windows)
+        streams[name] = (f"{warehouse.path('raw', name)}/data/*/*", warehouse.raw(name).schema)
     for _ in range(2):
         queries = []
         for name, (path, schema) in streams.items():

@@ -34,12 +34,19 @@ JOIN {region} r ON r.r_regionkey = n.n_regionkey
 GROUP BY p.partition_key, n.n_name, r.r_name, c.c_mktsegment
 """
 
-# A suite's events of the days from :start to :end, by type.
+# A suite's events of the days of every due run, by type: counted by day first, so that one scan and
+# one join with the runs serve any number of them.
 DAILY = """
-SELECT '$suite' AS suite_code, event_type, count(*) AS n_events,
-       sum(CAST(round(value * 100) AS BIGINT)) AS cents
-FROM {events}
-WHERE feed_suite = '$suite'
-  AND ts >= CAST(:start AS DATE) AND ts < date_add(CAST(:end AS DATE), 1)
-GROUP BY event_type
+WITH days AS (
+  SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n,
+         sum(CAST(round(value * 100) AS BIGINT)) AS cents
+  FROM {events}
+  WHERE feed_suite = '$suite'
+    AND ts >= CAST(:start AS DATE) AND ts < date_add(CAST(:end AS DATE), 1)
+  GROUP BY event_type, CAST(ts AS DATE)
+)
+SELECT r.job_id, '$suite' AS suite_code, d.event_type, CAST(sum(d.n) AS BIGINT) AS n_events,
+       CAST(sum(d.cents) AS BIGINT) AS cents
+FROM days d JOIN {runs} r ON d.day BETWEEN r.start_date AND r.end_date
+GROUP BY r.job_id, d.event_type
 """

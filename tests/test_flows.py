@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import derive
-from tests.conftest import rows
+from checks.queries import summaries
+from tests.conftest import plan, rows
 from tideline.functions import materialize
 from tideline.operators import dedupe_latest, landed_counts, latest_status, log_errors, watermarks
 from tideline.plans import enrich, run_extract, run_staging, run_summary
@@ -56,7 +57,7 @@ class TestStaging:
         inserted = warehouse.log().where("complete_flag = 1").agg(F.sum("row_inserted")).first()[0]
         assert inserted == events.count()
 
-    def test_a_crash_between_landing_and_logging_repeats_the_window_in_place(
+    def test_a_crash_between_landing_and_logging_repeats_the_window(
         self, spark, events, control
     ):
         warehouse = new(spark)
@@ -70,7 +71,8 @@ class TestStaging:
         warehouse.append_log = crash
         with pytest.raises(KeyboardInterrupt):
             stage(warehouse, control, events)
-        assert warehouse.raw("events").count() > 0
+        # Landed, but not logged: it does not count.
+        assert warehouse.raw("events").isEmpty()
         assert watermarks(warehouse.log()).isEmpty()
         warehouse.append_log = write
         stage(warehouse, control, events)
@@ -282,6 +284,38 @@ class TestSummary:
         assert status(log) == {(1000 + i, "error") for i in range(4)}
 
 
+RUNS_SQL = """
+select r.job_id, '$suite' as suite_code, count(*) as n
+from {events} e join {runs} r on cast(e.ts as date) between r.start_date and r.end_date
+where feed_suite = '$suite' and e.ts >= cast(:start as date) and e.ts < date_add(cast(:end as date), 1)
+group by r.job_id
+"""
+ONE_SQL = """
+select '$suite' as suite_code, count(*) as n from {events}
+where feed_suite = '$suite' and ts >= cast(:start as date) and ts < date_add(cast(:end as date), 1)
+having count(*) > 0
+"""
+
+
+def test_all_dates_by_one_plan(spark, events, monkeypatch):
+    """SQL that names the runs gives what SQL for one date gives, and scans its input once."""
+    from tideline.plans import summary
+
+    got, scans = {}, {"runs": [], "one": []}
+    write = summary.write_enriched
+    monkeypatch.setattr(summary, "write_enriched", lambda df, *rest: scans[name].append(plan(df).count(") Scan parquet")) or write(df, *rest))
+    for name, sql in (("runs", RUNS_SQL), ("one", ONE_SQL)):
+        warehouse = new(spark)
+        both = materialize(derive.feed_control(events).unionByName(derive.summary_control(spark, sql)), "control")
+        stored = materialize(derive.with_feed(events), "events")
+        log = run_summary(warehouse, both, {"events": stored}, log=derive.feed_log(events), daily=True)
+        assert log_errors(log).select("message").collect() == []
+        got[name] = rows(summaries(warehouse).select("partition_key", "summary_date", "suite_code", "n"))
+    assert got["runs"] == got["one"]
+    assert len(got["one"]) > 3
+    assert max(scans["runs"]) == 1 < max(scans["one"])
+
+
 def test_enrichment_parameters_are_bound(spark, events):
     sql = "select :start as a, :end as b, :job_id as j, :from_key as f, :to_key as t, count(*) n from {e}"
     got = enrich(spark, sql, datetime(2024, 1, 1), "it's", 5, "202401", "202402", {"e": events})

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,18 +11,6 @@ def partition_key(ts: Column) -> Column:
     return F.date_format(ts, "yyyyMM")
 
 
-# What Spark writes as %XX in partition folders, and the name for no value.
-ESCAPED = re.compile(r"""[\x00-\x1f\x7f"#%'*/:=?\\{\[\]^]""")
-NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
-
-
-def folder_name(value: object) -> str:
-    """A partition value as it appears in the path."""
-    if value is None or value == "":
-        return NO_VALUE
-    return ESCAPED.sub(lambda match: f"%{ord(match.group()):02X}", str(value))
-
-
 def window_key(window_start: Column) -> Column:
     """A window start as a directory name.
 

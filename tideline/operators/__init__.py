@@ -8,6 +8,7 @@ from tideline.operators.control import (
     pending_batches,
     staged_batches,
     suite_rollup,
+    summary_jobs,
     watermarks,
 )
 from tideline.operators.gate import readiness_gate
@@ -27,5 +28,6 @@ __all__ = [
     "readiness_gate",
     "staged_batches",
     "suite_rollup",
+    "summary_jobs",
     "watermarks",
 ]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.functions.keys import window_key
+from tideline.functions.keys import partition_key, window_key
 from tideline.functions.results import BATCH_MARK, CLOSED_MARK, is_error_row
 from tideline.operators.merge import dedupe_latest
 
@@ -170,15 +170,26 @@ def landed_counts(raw: DataFrame, ts_col: str) -> DataFrame:
 
 
 def staged_batches(log: DataFrame) -> DataFrame:
-    """The batches that are complete in raw, with the job that last staged them."""
+    """The batches that are complete in raw, with the job that last staged them and its run's start."""
+    last = F.max_by(F.struct("job_id", "start_time"), F.struct("log_time", "log_id"))
     return (
         log.where(_done() & (F.col("layer") == "raw"))
         .groupBy("control_id", "window_start", "window_end")
-        .agg(F.max_by("job_id", F.struct("log_time", "log_id")).alias("job_id"))
+        .agg(last.alias("last"))
+        .select("control_id", "window_start", "window_end", "last.*")
         .withColumn("window_key", window_key(F.col("window_start")))
     )
 
 
+def summary_jobs(log: DataFrame, package_name: str) -> DataFrame:
+    """The jobs whose rows of a summary table count: the last that is done for each window, by the
+    month that the window ends in."""
+    done = log.where(_done() & (F.col("layer") == "enrich") & (F.col("package_name") == package_name))
+    last = F.max_by("job_id", F.struct("log_time", "log_id")).alias("summary_job_id")
+    by_window = done.groupBy("control_id", "window_start", "window_end").agg(last)
+    return by_window.select(partition_key(F.col("window_end")).alias("partition_key"), "summary_job_id")
+
+
 def pending_batches(log: DataFrame, package_name: str, suite: str | None = None) -> DataFrame:
     """Staged batches that the named ext package has not merged yet.
 

@@ -2,9 +2,33 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from tideline.functions.local import small_frame
+
+
+# What a text that names the runs gets for each of them.
+RUNS = T.StructType(
+    [
+        T.StructField("job_id", T.LongType()),
+        T.StructField("start_date", T.DateType()),
+        T.StructField("end_date", T.DateType()),
+        T.StructField("from_key", T.StringType()),
+        T.StructField("to_key", T.StringType()),
+    ]
+)
+
+
+def names_runs(sql_text: str) -> bool:
+    return "{runs}" in sql_text
+
+
+def runs_table(spark: SparkSession, runs: Sequence[Mapping[str, object]]) -> DataFrame:
+    """The due runs of a package as a table."""
+    return small_frame(spark, runs, RUNS)
 
 
 def enrich(

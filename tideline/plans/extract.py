@@ -14,11 +14,7 @@ from tideline.plans import messages as text
 from tideline.plans.runs import RunLog, side_by_side
 from tideline.sinks.log import LOG_SCHEMA
 from tideline.sources.layers import NoData, Warehouse
-from tideline.sources.windows import (
-    partition_range_read,
-    project_columns,
-    staged_batch_read,
-)
+from tideline.sources.windows import partition_range_read, project_columns
 
 
 def run_extract(
@@ -88,7 +84,7 @@ def _extract(
 ) -> None:
     name, table = package["package_name"], package["source_table"]
     feeding = staging.where(F.col("package_name") == table)
-    pending = pending_batches(warehouse.log(), name, package["suite_code"])
+    pending = pending_batches(warehouse.log_state(), name, package["suite_code"])
     pending = pending.join(feeding, "control_id", "left_semi")
     # Written, because the log it was computed from is about to change.
     pending, seen = materialize_measured(
@@ -99,9 +95,8 @@ def _extract(
         run.write(run.packages(job, text.EXTRACT_PACKAGE_CLOSED, message))
         return
     target = warehouse.ext(name, package["merge_keys"], package["merge_partition"])
-    # The key range goes to the scan as literals and prunes the batch folders.
-    raw = partition_range_read(warehouse.raw(table), seen["first"], seen["last"], "window_key")
-    batch = staged_batch_read(raw, pending, on=("control_id", "window_key"))
+    # Only folders of the pending runs are read; the key range prunes row groups in them.
+    batch = partition_range_read(warehouse.raw(table, pending), seen["first"], seen["last"], "window_key")
     step = "window_key AS _step" if package["merge_condition"] else None
     merged = target.merge(
         project_columns(batch, _with_step(package["source_columns"], step)),

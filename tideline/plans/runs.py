@@ -114,7 +114,8 @@ class RunLog:
         self.warehouse.append_log(rows.hint("rebalance") if len(frames) > 1 else rows)
 
     def rows(self) -> DataFrame:
-        """The log rows that this run wrote."""
+        """The log rows that this run wrote; the log is compacted here, when it is time."""
+        self.warehouse.compact_log()
         mine = f"layer = '{self.layer}' and start_time = {_literal(self.started)}"
         return self.warehouse.log().where(mine)
 

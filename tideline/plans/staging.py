@@ -9,19 +9,17 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tideline.functions.keys import window_key
 from tideline.functions.sizing import materialize
 from tideline.operators.control import due_packages, landed_counts, package_list
 from tideline.plans import messages as text
 from tideline.plans.runs import RunLog, new_job_id, side_by_side
-from tideline.sinks.partitions import land_raw
+from tideline.sinks.landing import land_raw, run_name
 from tideline.sources.jdbc import DRIVERS
 from tideline.sources.layers import Warehouse
 from tideline.sources.windows import (
     Span,
     due_window_read,
     project_columns,
-    staged_batch_read,
     window_read,
 )
 
@@ -57,15 +55,15 @@ def run_staging(
     one pass for each stretch of time their windows cover; when that pass fails they are run in halves, so that the failure is logged
     for the packages it belongs to and the others go on.
 
-    The batch is landed first and logged second, and the next window comes from the
-    log. A run that dies between the two lands the same window again, in place.
+    The batch is landed first and logged second: the log row is what makes it count, and the next window
+    comes from the log. A run that dies between the two lands the same window again.
     A failure of the run itself is logged as the manager's and raised.
     """
     run = RunLog(warehouse, "raw", suite)
     run.write(run.manager(text.STAGING_START, f"Suite {suite}"))
     with run.guard(text.STAGING_ERROR):
         packages = control.where(F.col("layer") == "raw")
-        due = due_packages(packages, warehouse.log(), step, default_start, suite)
+        due = due_packages(packages, warehouse.log_state(), step, default_start, suite)
         _run(run, due, sources, as_of, parallel)
     run.write(run.manager(text.STAGING_END))
     return run.rows()
@@ -184,10 +182,9 @@ def _stage_shared(run: RunLog, source: DataFrame, group: Row, members: DataFrame
         batch = due_window_read(source, windows, group["source_key"], group["source_time"], span)
     else:
         batch = _own_window_read(source, windows, group)
-    landed = land_raw(batch, run.warehouse.path("raw", name), windows)
-    keyed = windows.withColumn("window_key", window_key(F.col("window_start")))
-    mine = staged_batch_read(landed, keyed, on=("control_id", "window_key"))
-    counts = landed_counts(mine, group["source_time"])
+    # What has landed counts once the log rows below are written.
+    landed = land_raw(batch, run.warehouse.path("raw", name), run_name(run.started))
+    counts = landed_counts(landed, group["source_time"])
     done = (
         members.select(*WINDOW)
         .join(counts.drop("window_end"), ["control_id", "window_start"], "left")

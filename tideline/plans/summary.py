@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime, time
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -16,16 +16,15 @@ from tideline.functions.sizing import materialize
 from tideline.operators.control import of_suite
 from tideline.operators.gate import readiness_gate
 from tideline.plans import messages as text
-from tideline.plans.enrich import enrich
+from tideline.plans.enrich import enrich, names_runs, runs_table
 from tideline.plans.runs import RunLog, new_job_id, side_by_side
-from tideline.sinks.partitions import replace_partitions
 from tideline.sinks.keyed import KeyedTable
+from tideline.sinks.landing import run_name, write_enriched
 from tideline.sinks.log import LOG_SCHEMA
 from tideline.sources.layers import Warehouse
 
-# Every run replaces the month and end date it was made for.
-SUMMARY_PARTITIONS = ("partition_key", "summary_date")
-# Each date is a branch of its plan; a backfill of many is written in groups.
+# Without a table of the runs in its SQL, each date is a branch of the plan; a backfill of many is written
+# in groups.
 DATES_PER_PLAN = 31
 
 
@@ -48,7 +47,8 @@ def run_summary(
     staging log that the gate reads, by default the warehouse's own.
 
     The SQL of a package makes the rows of one date; the flow adds ``partition_key``
-    and ``summary_date``. Up to ``DATES_PER_PLAN`` due dates are written by one job. An ext table among
+    and ``summary_date``. SQL that names ``{runs}`` makes the rows of all due dates by one plan; of other SQL up to
+    ``DATES_PER_PLAN`` dates are written by one job. An ext table among
     ``tables`` that is partitioned by month is read for the months of the run only.
     """
     run = RunLog(warehouse, "enrich", suite)
@@ -69,7 +69,7 @@ def _run(
 ) -> None:
     warehouse = run.warehouse
     required = control.where(F.col("layer") == "raw")
-    own = warehouse.log()
+    own = warehouse.log_state()
     staging = own if log is None else log
     gate = of_suite(readiness_gate(required, staging, daily), run.suite)
     packages = of_suite(control.where(F.col("layer") == "enrich"), run.suite)
@@ -115,8 +115,9 @@ def _run(
                     summarise([row])
 
     def in_groups(rows: Sequence[Row]) -> None:
-        for first in range(0, len(rows), DATES_PER_PLAN):
-            summarise(rows[first : first + DATES_PER_PLAN])
+        step = len(rows) if names_runs(rows[0]["enrich_query"]) else DATES_PER_PLAN
+        for first in range(0, len(rows), step):
+            summarise(rows[first : first + step])
 
     side_by_side(warehouse.spark, in_groups, by_package.values(), parallel)
 
@@ -167,51 +168,71 @@ def _summarise(
     rows: Sequence[Row],
     tables: Mapping[str, DataFrame | KeyedTable],
 ) -> None:
-    name = rows[0]["package_name"]
-    frames = [
-        enrich(
-            warehouse.spark,
-            row["enrich_query"],
-            row["summary_start_date"],
-            row["summary_end_date"],
-            row["job_id"],
-            row["from_key"],
-            row["to_key"],
-            {name: _months(table, row) for name, table in tables.items()},
-        ).withColumns(
-            {
-                "partition_key": F.lit(row["to_key"]),
-                "summary_date": F.lit(row["summary_end_date"]),
-                "summary_job_id": F.lit(row["job_id"]),
-            }
-        )
+    name, spark = rows[0]["package_name"], warehouse.spark
+    if names_runs(rows[0]["enrich_query"]):
+        result = _all_dates(spark, rows, tables)
+    else:
+        result = reduce(DataFrame.unionByName, [_one_date(spark, row, tables) for row in rows])
+    # The rows count once the log rows below are written; those of earlier jobs do not any more then.
+    write_enriched(result, warehouse.path("enrich", name), run_name(run.started))
+    jobs = _jobs(warehouse, rows)
+    run.write(run.packages(jobs, text.SUMMARY_PACKAGE_DONE, F.lit("OK:"), 1, 1))
+
+
+def _all_dates(spark: SparkSession, rows: Sequence[Row], tables: Mapping[str, DataFrame | KeyedTable]) -> DataFrame:
+    """One plan for any number of dates: each input is read once, and the SQL joins it with the runs."""
+    first, last = min(row["from_key"] for row in rows), max(row["to_key"] for row in rows)
+    dates = [
+        {
+            "job_id": row["job_id"],
+            "start_date": row["summary_start_date"],
+            "end_date": row["summary_end_date"],
+            "from_key": row["from_key"],
+            "to_key": row["to_key"],
+        }
         for row in rows
     ]
-    result = reduce(DataFrame.unionByName, frames)
-    scope = small_frame(
-        warehouse.spark,
-        [
-            {
-                "partition_key": row["to_key"],
-                "summary_date": row["summary_end_date"],
-                "summary_job_id": row["job_id"],
-            }
-            for row in rows
-        ],
-        result.select(*SUMMARY_PARTITIONS, "summary_job_id").schema,
+    runs = runs_table(spark, dates)
+    found = enrich(
+        spark,
+        rows[0]["enrich_query"],
+        min(row["summary_start_date"] for row in rows),
+        max(row["summary_end_date"] for row in rows),
+        -1,
+        first,
+        last,
+        {"runs": runs, **{name: _months(table, first, last) for name, table in tables.items()}},
+    )
+    dated = runs.select("job_id", F.col("to_key").alias("partition_key"), F.col("end_date").alias("summary_date"))
+    return found.join(dated, "job_id").withColumnRenamed("job_id", "summary_job_id")
+
+
+def _one_date(spark: SparkSession, row: Row, tables: Mapping[str, DataFrame | KeyedTable]) -> DataFrame:
+    months = row["from_key"], row["to_key"]
+    found = enrich(
+        spark,
+        row["enrich_query"],
+        row["summary_start_date"],
+        row["summary_end_date"],
+        row["job_id"],
+        *months,
+        {name: _months(table, *months) for name, table in tables.items()},
+    )
+    return found.withColumns(
+        {
+            "partition_key": F.lit(row["to_key"]),
+            "summary_date": F.lit(row["summary_end_date"]),
+            "summary_job_id": F.lit(row["job_id"]),
+        }
     )
-    path = warehouse.path("enrich", name)
-    replace_partitions(result, path, SUMMARY_PARTITIONS, scope, "summary_job_id")
-    jobs = _jobs(warehouse, rows)
-    run.write(run.packages(jobs, text.SUMMARY_PACKAGE_DONE, F.lit("OK:"), 1, 1))
 
 
-def _months(table: DataFrame | KeyedTable, row: Row) -> DataFrame:
+def _months(table: DataFrame | KeyedTable, from_key: str, to_key: str) -> DataFrame:
     if isinstance(table, DataFrame):
         return table
     if table.part_by is None:
         return table.read()
-    return table.read(row["from_key"], row["to_key"])
+    return table.read(from_key, to_key)
 
 
 def _jobs(warehouse: Warehouse, rows: Sequence[Row]) -> DataFrame:

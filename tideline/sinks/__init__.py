@@ -1,15 +1,18 @@
 from tideline.sinks.keyed import KeyedTable
-from tideline.sinks.log import LOG_SCHEMA, append_log, conform_log, read_log
-from tideline.sinks.partitions import land_raw, land_window, replace_partitions, write_enriched
+from tideline.sinks.landing import land_raw, read_enriched, read_raw, run_name, write_enriched
+from tideline.sinks.log import LOG_SCHEMA, append_log, compact_log, conform_log, log_state, read_log
 
 __all__ = [
     "KeyedTable",
     "LOG_SCHEMA",
     "append_log",
+    "compact_log",
     "conform_log",
     "land_raw",
-    "land_window",
+    "log_state",
+    "read_enriched",
     "read_log",
-    "replace_partitions",
+    "read_raw",
+    "run_name",
     "write_enriched",
 ]
