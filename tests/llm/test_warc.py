@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import io
+import json
+import re
 import struct
 import zipfile
 from collections import Counter
@@ -116,3 +119,62 @@ def test_damage_is_an_error():
     assert warc.parse_record(good)[6] == b"payload"
     with pytest.raises(ValueError):
         warc.parse_record(gzip.compress(gzip.decompress(good).replace(b"payload\r\n", b"pAyload\r\n")))
+
+
+def test_records_are_as_the_standards_say(spark):
+    """Mandatory headers, a sorted index with key and timestamp, revisits that name the record they revisit."""
+    folder = scratch_path(spark, "warc")
+    rows = [(i, f"https://www.Example.org:80/{p}", h, 0) for i, (p, h) in enumerate([("b", LONG), ("a?x=1 2", LONG), ("c", "other " * 50)])]
+    packages = warc.write_packages(spark.createDataFrame(rows, PAGES).coalesce(1), folder)
+    (row,) = packages.collect()
+    with zipfile.ZipFile(row.path.removeprefix("file:")) as package:
+        lines = package.read(warc.INDEX).decode().splitlines()
+        data = package.read(warc.ARCHIVE)
+    assert lines == sorted(lines) and [line.split(" ")[0] for line in lines] == ["org,example,www)/a?x=1%202", "org,example,www)/b", "org,example,www)/c"]
+    for line in lines:
+        _, stamp, entry = line.split(" ", 2)
+        entry = json.loads(entry)
+        assert re.fullmatch(r"\d{14}", stamp) and set(entry) == {"url", "mime", "status", "digest", "length", "offset", "filename"}
+        head = gzip.decompress(data[entry["offset"] : entry["offset"] + entry["length"]]).split(b"\r\n\r\n")[0].decode()
+        fields = dict(h.split(": ", 1) for h in head.split("\r\n")[1:])
+        assert {"WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length"} <= set(fields)
+        assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", fields["WARC-Date"])
+    read = {r.id: r for r in warc.read_packages(packages).collect()}
+    assert read["1"].record_type == "revisit" and read["1"].refers_to_record == read["0"].record_id
+    assert len({r.record_id for r in read.values()}) == 3
+
+
+def test_packages_of_other_writers(spark, tmp_path):
+    """Two archives, two indexes of other names, one of them gzip; records that are not ours."""
+
+    def record(kind, block, content="application/http; msgtype=response", **more):
+        head = ["WARC/1.0", f"WARC-Type: {kind}", "WARC-Record-ID: <urn:uuid:x>", "WARC-Date: 2020-01-01T00:00:00Z", f"Content-Type: {content}"]
+        head += [f"{k.replace('_', '-')}: {v}" for k, v in more.items()] + [f"Content-Length: {len(block)}"]
+        return gzip.compress("\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n")
+
+    http = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n"
+    info = record("warcinfo", b"software: x\r\n", "application/warc-fields")
+    one = record("response", http + b"one", WARC_Target_URI="http://a/", WARC_Payload_Digest="sha1:ABC")
+    two = record("response", http + b"two", WARC_Target_URI="http://b/")
+    again = record("revisit", http, WARC_Target_URI="http://c/", WARC_Refers_To="<urn:uuid:x>")
+    first = f'com,a)/ 2020 {{"offset": "{len(info)}", "length": "{len(one)}", "filename": "rec-0001.warc.gz"}}\n'
+    first += f'{{"offset": 0, "length": {len(info)}, "filename": "rec-0001.warc.gz"}}'
+    second = f'!meta 0\ncom,b)/ 2020 {{"offset": 0, "length": {len(two)}, "filename": "more/rec.warc.gz"}}\n'
+    third = f'com,c)/ 2020 {{"offset": {len(two) + 5}, "length": {len(again)}, "filename": "more/rec.warc.gz"}}\n'
+    with zipfile.ZipFile(tmp_path / "foreign.wacz", "w") as package:
+        package.writestr("archive/rec-0001.warc.gz", info + one)
+        package.writestr("archive/more/rec.warc.gz", two + b"?????" + again)
+        package.writestr("indexes/a.cdxj", first)
+        package.writestr("indexes/b.cdx.gz", gzip.compress(second.encode()) + gzip.compress(third.encode()))
+        package.writestr("pages/pages.jsonl", "{}")
+    got = warc.read_packages(warc.package_paths(spark, str(tmp_path))).collect()
+    found = {(r.url, r.record_type, None if r.payload is None else bytes(r.payload), r.id) for r in got}
+    assert found == {
+        (None, "warcinfo", b"software: x\r\n", None), ("http://a/", "response", b"one", None),
+        ("http://b/", "response", b"two", None), ("http://c/", "revisit", None, None),
+    }
+    assert {r.payload_digest for r in got if r.url == "http://a/"} == {hashlib.sha256(b"one").hexdigest()}
+    with zipfile.ZipFile(tmp_path / "foreign.wacz", "a") as package:
+        package.writestr("indexes/c.cdxj", '{"offset": 0, "length": 1, "filename": "gone.warc.gz"}')
+    with pytest.raises(Exception, match="gone.warc.gz"):
+        warc.read_packages(warc.package_paths(spark, str(tmp_path))).collect()

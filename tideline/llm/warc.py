@@ -9,8 +9,10 @@ import re
 import struct
 import uuid
 import zipfile
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -126,12 +128,22 @@ def _header_value(value: str) -> str:
     return re.sub(r"[\r\n\0]", lambda m: f"%{ord(m[0]):02X}", value)
 
 
-def record_bytes(key: str | None, uri: str | None, payload: bytes, digest: str, refers_to: str | None, revisit: bool) -> bytes:
+def record_id(run: str, digest: str, key: str | None) -> str:
+    """The id of the record of a page in one run: known to the revisits of a payload without looking it up."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.UUID(run), f'{digest}/{key}')}>"
+
+
+def record_bytes(
+    key: str | None, uri: str | None, payload: bytes, digest: str, refers_to: str | None, revisit: bool,
+    run: str = str(uuid.NAMESPACE_URL), date: str = "1970-01-01T00:00:00Z",
+) -> bytes:
     """One WARC/1.1 record as a gzip member. A revisit has the HTTP head only."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http if revisit else http + payload
     lines = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}"]
-    lines.append(f"WARC-Record-ID: <urn:uuid:{uuid.uuid4()}>")
+    # Only the first record of a payload is referred to, and only pages with an id can be first.
+    own = record_id(run, digest, key) if key is not None and not revisit else f"<urn:uuid:{uuid.uuid4()}>"
+    lines += [f"WARC-Record-ID: {own}", f"WARC-Date: {date}"]
     if key is not None:
         lines.append(f"WARC-Page-ID: {_header_value(key)}")
     if uri is not None:
@@ -140,33 +152,61 @@ def record_bytes(key: str | None, uri: str | None, payload: bytes, digest: str,
     if revisit:
         lines.append(f"WARC-Profile: {_PROFILE}")
         if refers_to is not None:
+            lines.append(f"WARC-Refers-To: {record_id(run, digest, refers_to)}")
             lines.append(f"WARC-Refers-To-Page-ID: {_header_value(refers_to)}")
     lines.append("Content-Type: application/http; msgtype=response")
     lines.append(f"Content-Length: {len(block)}")
     return gzip.compress("\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n", 4, mtime=0)
 
 
+def sort_key(uri: str | None) -> str:
+    """The key of an index line: the host's labels from the last one on, then the path, in lower case."""
+    if uri is None:
+        return "-"
+    host, slash, path = _header_value(uri).partition("://")[2].partition("/")
+    return f"{','.join(host.split(':')[0].split('.')[::-1])}){slash}{path}".lower().replace(" ", "%20")
+
+
+def index_line(uri: str | None, date: str, digest: str, offset: int, length: int, revisit: bool) -> str:
+    """A CDXJ line: sort key, 14-digit timestamp, JSON."""
+    entry = {
+        "url": uri, "mime": "warc/revisit" if revisit else "text/html", "status": "200", "digest": f"sha256:{digest}",
+        "length": length, "offset": offset, "filename": ARCHIVE.rpartition("/")[2],
+    }
+    return f"{sort_key(uri)} {re.sub('[^0-9]', '', date)} {json.dumps(entry)}"
+
+
 def _fields(head: bytes) -> dict[str, str]:
-    lines = head.decode().split("\r\n")[1:]
-    return {k.lower(): v for k, _, v in (line.partition(": ") for line in lines)}
+    lines = head.decode("utf-8", "replace").split("\r\n")[1:]
+    return {k.lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
 
 
-def parse_record(data: bytes) -> tuple[str | None, str | None, str, str | None, int, str, bytes | None]:
-    """(page id, uri, type, refers to, payload bytes, digest, payload or None) of one gzip member.
+def parse_record(data: bytes) -> tuple:
+    """(page id, uri, type, refers to, payload bytes, digest, payload or None, record id, referred record) of one gzip member.
 
-    The payload of a response is hashed; a digest or length that differs is an error.
+    The payload of an HTTP response or request is what follows its head, that of other records the whole block.
+    It is hashed: a SHA-256 digest or a length of ours that differs is an error. A revisit has no payload of its own;
+    its size and digest are those its headers give, null where they give none.
     """
     text = gzip.decompress(data)
     head, _, rest = text.partition(b"\r\n\r\n")
     fields = _fields(head)
-    http, _, payload = rest[: int(fields["content-length"])].partition(b"\r\n\r\n")
-    size, digest = int(_fields(http)["content-length"]), fields["warc-payload-digest"].removeprefix("sha256:")
-    kind = fields["warc-type"]
-    if kind == "response" and (len(payload) != size or hashlib.sha256(payload).hexdigest() != digest):
-        raise ValueError(f"payload of page {fields.get('warc-page-id')} differs from its headers")
+    block = rest[: int(fields["content-length"])]
+    kind, stated = fields["warc-type"], fields.get("warc-payload-digest", "")
+    http = fields.get("content-type", "").startswith("application/http")
+    http_head, _, payload = block.partition(b"\r\n\r\n") if http else (b"", b"", block)
+    size = _fields(http_head).get("content-length")
+    stated = stated.removeprefix("sha256:") if stated.startswith("sha256:") else None
+    if kind == "revisit":
+        size, digest, payload = None if size is None else int(size), stated, None
+    else:
+        digest = hashlib.sha256(payload).hexdigest()
+        if stated not in (None, digest) or ("warc-page-id" in fields and size is not None and int(size) != len(payload)):
+            raise ValueError(f"payload of record {fields.get('warc-record-id')} differs from its headers")
+        size = len(payload)
     return (
-        fields.get("warc-page-id"), fields.get("warc-target-uri"), kind,
-        fields.get("warc-refers-to-page-id"), size, digest, payload if kind == "response" else None,
+        fields.get("warc-page-id"), fields.get("warc-target-uri"), kind, fields.get("warc-refers-to-page-id"),
+        size, digest, payload, fields.get("warc-record-id"), fields.get("warc-refers-to"),
     )
 
 
@@ -194,10 +234,11 @@ def write_packages(
 
     Of equal payloads of ``LEAST_BYTES`` or more the row with the smallest id is a response, the
     others revisit it. Shorter ones are all responses; a null payload is empty. Rows that share the
-    smallest id are all responses. A null id is never the smallest; where a group has no other,
-    all its rows are responses.
+    smallest id are all responses (and of one record id). A null id is never the smallest; where a group has no other,
+    all its rows are responses. The records' date is that of the call.
     """
-    base = folder.rstrip("/")
+    base, run = folder.rstrip("/"), str(uuid.uuid4())
+    date = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = open_store(base)
@@ -210,14 +251,13 @@ def write_packages(
                     columns = [batch.column(c).to_pylist() for c in ("id", "url", "digest", "first")]
                     for key, uri, digest, first, value in zip(*columns, batch.column("payload")):
                         revisit = first is not None and key != first
-                        record = record_bytes(key, uri, value.as_py(), digest, first, revisit)
+                        record = record_bytes(key, uri, value.as_py(), digest, first, revisit, run, date)
                         archive.write(record)
-                        index.append((at, len(record)))
+                        index.append(index_line(uri, date, digest, at, len(record), revisit))
                         at += len(record)
             with package.open(INDEX, "w", force_zip64=True) as listing:
-                for offset, length in index:
-                    entry = {"offset": offset, "length": length, "filename": ARCHIVE.rpartition("/")[2]}
-                    listing.write(json.dumps(entry).encode() + b"\n")
+                for line in sorted(index):
+                    listing.write(line.encode() + b"\n")
             package.writestr("datapackage.json", json.dumps({"profile": "data-package", "wacz_version": "1.1.1"}))
         length = store.get_file_info(f"{root}/{name}").size
         yield pa.RecordBatch.from_pydict({"path": [f"{base}/{name}"], "length": [length], "records": [len(index)]})
@@ -242,45 +282,77 @@ def package_paths(spark: SparkSession, folder: str) -> DataFrame:
     return listed.select("path", "length")
 
 
+def _index_lines(file, index: Member) -> Iterator[bytes]:
+    """The lines of an index member, stored plainly or as gzip, read block by block."""
+    file.seek(data_offset(file, index))
+    unpack = zlib.decompressobj(zlib.MAX_WBITS | 16) if index.name.endswith(".gz") else None
+    left, rest = index.size, b""
+    while left:
+        block = file.read(min(left, 1 << 20))
+        left -= len(block)
+        more = b""
+        while unpack is not None and block:  # gzip members may follow each other
+            more += unpack.decompress(block)
+            block = unpack.unused_data
+            if unpack.eof:
+                unpack = zlib.decompressobj(zlib.MAX_WBITS | 16)
+        *lines, rest = (rest + (more if unpack is not None else block)).split(b"\n")
+        yield from lines
+    yield rest
+
+
+def record_places(file, length: int) -> dict[str, list[tuple[int, int]]]:
+    """Of each archive of a package the (offset, length) of its records, in order, by its indexes.
+
+    Indexes are the members below ``indexes/``: CDXJ lines (or JSON alone), whose ``filename`` names the
+    archive below ``archive/``. Records that several indexes list count once.
+    """
+    found, by_name = {}, {m.name: m for m in members(file, length)}
+    for name, member in by_name.items():
+        if not re.fullmatch(r"indexes/.*\.(cdxj?|json)(\.gz)?", name):
+            continue
+        for line in _index_lines(file, member):
+            at = line.find(b"{")
+            if at < 0:
+                continue  # an empty line or a header
+            entry = json.loads(line[at:])
+            archive = f"archive/{entry['filename']}"
+            if archive not in by_name:
+                raise ValueError(f"{name} names {archive}, which is not in the package")
+            found.setdefault(archive, set()).add((int(entry["offset"]), int(entry["length"])))
+    return {archive: sorted(places) for archive, places in found.items()}
+
+
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From packages to spans of about ``SLICE`` bytes with the record lengths in them."""
+    """From packages to spans of adjacent records of about ``SLICE`` bytes, with the record lengths in them."""
     names = ["path", "start", "lengths"]
     types = [pa.string(), pa.int64(), pa.list_(pa.int64())]
-
-    def rows(found: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), types)], names=names)
-
     for batch in batches:
         for path, length in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             store, place = open_store(path)
             with store.open_input_file(place) as file:
                 by_name = {m.name: m for m in members(file, length)}
-                archive, index = data_offset(file, by_name[ARCHIVE]), by_name[INDEX]
-                file.seek(data_offset(file, index))
-                left, rest, span, start, size = index.size, b"", [], None, 0
-                while left:
-                    block = file.read(min(left, 1 << 20))
-                    left -= len(block)
-                    *lines, rest = (rest + block).split(b"\n")
-                    found = []
-                    for line in lines:
-                        entry = json.loads(line)
-                        if span and size + entry["length"] > SLICE:
-                            found.append((path, start, span))
-                            span, size = [], 0
-                        if not span:
-                            start = archive + entry["offset"]
-                        span.append(entry["length"])
-                        size += entry["length"]
+                for archive, places in sorted(record_places(file, length).items()):
+                    base, found = data_offset(file, by_name[archive]), []
+                    for offset, size in places:
+                        if not found or offset != end or end + size - begin > SLICE:
+                            begin = offset
+                            found.append((path, base + offset, []))
+                        found[-1][2].append(size)
+                        end = offset + size
                     if found:
-                        yield rows(found)
-                if span:
-                    yield rows([(path, start, span)])
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), types)], names=names)
+
+
+_RECORD = [
+    ("id", "string"), ("url", "string"), ("record_type", "string"), ("refers_to", "string"), ("payload_bytes", "bigint"),
+    ("payload_digest", "string"), ("payload", "binary"), ("record_id", "string"), ("refers_to_record", "string"),
+]
 
 
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"]
-    types = [pa.string()] * 4 + [pa.int64(), pa.string(), pa.binary()]
+    names = [name for name, _ in _RECORD]
+    types = [pa.int64() if sql == "bigint" else pa.binary() if sql == "binary" else pa.string() for _, sql in _RECORD]
     for batch in batches:
         for path, start, lengths in zip(*(c.to_pylist() for c in batch.columns)):
             store, place = open_store(path)
@@ -289,7 +361,7 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 file.seek(start)
                 for length in lengths:
                     out.append(parse_record(file.read(length)))
-                    size += out[-1][4]
+                    size += out[-1][4] or 0
                     if size > SLICE:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
                         out, size = [], 0
@@ -299,19 +371,16 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_packages(packages: DataFrame, parts: int | None = None) -> DataFrame:
     """All records of the packages (path, length): id, url, record_type, refers_to, payload_bytes,
-    payload_digest, payload (null for a revisit).
+    payload_digest, payload (null for a revisit), record_id, refers_to_record.
 
     First the directories and indexes are read, by ranges; then spans of records of about
-    ``SLICE`` bytes are dealt out, so a large package is read by many tasks. Payload digests are
-    verified. No packages, no rows.
+    ``SLICE`` bytes are dealt out, so a large package is read by many tasks. Packages may hold any number of
+    archives and indexes, of any name, also from other writers: ``id`` and ``refers_to`` are those of our own
+    pages, null for others. Archives must be stored, not compressed, in the package, and their records gzip
+    members. Digests that are given as SHA-256 are verified. No packages, no rows.
     """
     spark = packages.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     listed = packages.select("path", "length").repartition(parts)
     spans = listed.mapInArrow(_slices, "path string, start bigint, lengths array<bigint>").repartition(parts)
-    schema = (
-        "id string, url string, record_type string, refers_to string, payload_bytes bigint,"
-        " payload_digest string, payload binary"
-    )
-    return spans.mapInArrow(_records, schema)
-
+    return spans.mapInArrow(_records, ", ".join(f"{name} {sql}" for name, sql in _RECORD))
