@@ -46,6 +46,39 @@ def test_index_persists_and_is_bucketed(spark):
     assert "Exchange" not in plan.split("== Physical Plan ==")[1]
 
 
+def test_buckets_are_those_of_the_folder(spark):
+    path, before = scratch_path(spark, "index"), spark.conf.get("spark.sql.shuffle.partitions")
+    rows = [(i, f"text {i}") for i in range(200)]
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+        verdicts(DigestIndex(spark, path), rows, spark)
+        spark.conf.set("spark.sql.shuffle.partitions", 5)
+        again = DigestIndex(spark, path)
+        assert again.buckets == 8
+        assert all(keep == i and kept for _, i, keep, _, kept in verdicts(again, rows, spark))
+        assert again.table().count() == again.spark.table(again.name).count() == 200
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    with pytest.raises(ValueError, match="has 8 buckets"):
+        DigestIndex(spark, path, 5)
+
+
+def test_compaction_leaves_a_file_for_each_bucket(spark):
+    path = scratch_path(spark, "index")
+    index = DigestIndex(spark, path, 3)
+    for i in range(3):
+        verdicts(index, [(100 * i + j, f"text {j % (20 + 10 * i)}") for j in range(60)], spark)
+    want = sorted((bytes(r.digest), r.keep_id) for r in index.table().collect())
+    # As if two writers had added the same new text at once.
+    index.table().limit(1).withColumn("keep_id", F.lit(-5).cast("bigint")).write.insertInto(index.name)
+    stale = DigestIndex(spark, path)
+    index.compact()
+    assert len(spark.table(index.name).inputFiles()) == 3
+    for opened in (index, DigestIndex(spark, path), stale):
+        assert sorted((bytes(r.digest), r.keep_id) for r in opened.table().collect()) == want
+    assert [kept for *_, kept in verdicts(DigestIndex(spark, path), [(9, "text 3"), (8, "fresh")], spark)] == [True, False]
+
+
 def test_null_ids_repeats_and_empty_batches(spark):
     index = DigestIndex(spark, scratch_path(spark, "index"), 2)
     assert verdicts(index, [], spark) == []

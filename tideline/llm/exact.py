@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm.common import fresh, save, text_of
 from tideline.llm.urls import BlockedBloomFilter
+from tideline.sinks.files import delete, names, read_small, write_once
 
 
 def text_digest(column: str) -> Column:
@@ -29,22 +31,50 @@ class DigestIndex:
     share its verdict. A row without an id stays only where no row of its group has one.
     An empty batch adds nothing.
 
-    ``buckets`` should give bucket files of some hundred MB (a row takes about 50 bytes). A folder is
-    always opened with the number it was made with.
+    ``buckets`` should give bucket files of some hundred MB (a row takes about 50 bytes). The number that
+    a folder was made with is kept in it: by default it is taken over, and another one is refused.
+
+    One writer at a time: of two that add at once, both may append a text that is new to both. Such a
+    digest counts once all the same; it belongs to the larger of the two ids. Each batch adds a file to a
+    bucket; ``compact`` makes one sorted file of them again.
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int | None = None, id_type: str = "bigint"):
-        self.spark, self.path = spark, path
-        self.name = "digest_index_" + hashlib.sha256(path.encode()).hexdigest()[:24]
-        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id {id_type}) USING parquet"
-            f" CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'"
+        self.spark, self.path, self.id_type = spark, path, id_type
+        wanted = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = int(write_once(spark, f"{path}/buckets", str(wanted)))
+        if buckets is not None and buckets != self.buckets:
+            raise ValueError(f"{path} has {self.buckets} buckets and cannot be opened with {buckets}")
+        self._open(max(map(int, names(spark, f"{path}/generations")), default=0))
+
+    def _open(self, generation: int) -> None:
+        """Go on with the table that the given compaction wrote, or the first one."""
+        folder = read_small(self.spark, f"{self.path}/generations/{generation}") if generation else "data"
+        self.generation = generation
+        self.name = self._register(folder)
+
+    def _register(self, folder: str) -> str:
+        """Tell the session's catalog of the table in a folder; its name."""
+        place = f"{self.path}/{folder}"
+        name = "digest_index_" + hashlib.sha256(place.encode()).hexdigest()[:24]
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} (digest BINARY, keep_id {self.id_type}) USING parquet"
+            f" CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{place}'"
         )
-        self.buckets = buckets
+        return name
 
     def table(self) -> DataFrame:
-        return self.spark.table(self.name)
+        """(digest, keep_id), a row for each digest."""
+        return self.spark.table(self.name).groupBy("digest").agg(F.max("keep_id").alias("keep_id"))
+
+    def compact(self) -> None:
+        """Write one sorted file for each bucket, from then on instead of all before. Nothing is shuffled."""
+        folder = f"data-{uuid.uuid4().hex}"
+        self.table().write.insertInto(self._register(folder))
+        taken = write_once(self.spark, f"{self.path}/generations/{self.generation + 1}", folder)
+        if taken != folder:
+            delete(self.spark, f"{self.path}/{folder}")  # another writer was first
+        self._open(self.generation + 1)
 
     def add(self, docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
         """Append what is new; one row per row of ``docs``: id, digest, keep_id, group_size, kept.
