@@ -49,6 +49,21 @@ def test_base_spans(spark, documents):
     assert got == sorted((str(key), plain_base(text)) for key, text in rows)
 
 
+def test_texts_full_of_matches(spark):
+    """A dump of hashes with names, longer than the blocks that positions are added up in."""
+    rng = random.Random(5)
+    line = lambda: rng.choice(("", "é ", "x token=")) + rng.randbytes(rng.choice((12, 16, 20))).hex() + rng.choice((" ", "\n", " file.txt\n"))
+    texts = [(i, "".join(line() for _ in range(n))) for i, n in enumerate((0, 1, 255, 256, 257, 512, 513, 2000))]
+    texts += [(20, "".join(f"{rng.randbytes(30).hex()[:40].upper()} " for _ in range(600)))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: r for r in secret_scan.scan_secrets(docs).collect()}
+    for i, text in texts:
+        assert [tuple(s) for s in got[i].base] == plain_base(text)
+        spans = [(s.start, s.end) for s in got[i].random]
+        assert spans == sorted(spans) and not any(b.start < e and s < b.end for s, e in spans for b in got[i].base)
+        assert i < 20 or len(spans) > 500
+
+
 def tail(z):
     return 0.5 * math.erfc(z / math.sqrt(2))
 
@@ -146,7 +161,7 @@ def test_false_discovery_limits(spark):
 
 
 def test_every_operator_has_its_query():
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in LLM_QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in LLM_QUERIES) == list(range(1, 14))
     import __spark_entry__
 
     assert set(LLM_QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())

@@ -128,11 +128,27 @@ def randomness(token: Column) -> Column:
     return F.transform(F.array(known), measured)[0]
 
 
+# Array functions have no running sums: appending to an array copies it. In blocks of this many the copies
+# stay in proportion to the array, near enough.
+BLOCK = 256
+
+
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, wherever it then occurs."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _blocks(values: Column) -> Column:
+    last = F.floor((F.greatest(F.size(values), F.lit(1)) - 1) / BLOCK).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(values, b * BLOCK + 1, BLOCK))
+
+
 def _spans(text: Column, pattern: str) -> Column:
     """Array of (start, end, match) of the leftmost matches, in code points; the parts between
     matches and the matches themselves, which regular expressions give, add up to the positions."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("match"))
+    kind = "array<struct<start:int,end:int,match:string>>"
 
     def step(at: Column, part: Column) -> Column:
         start = at["pos"] + F.length(part["gap"])
@@ -140,12 +156,27 @@ def _spans(text: Column, pattern: str) -> Column:
         span = F.struct(start.alias("start"), end.alias("end"), part["match"].alias("match"))
         return F.struct(end.alias("pos"), F.when(part["match"].isNull(), at["spans"]).otherwise(F.array_append(at["spans"], span)).alias("spans"))
 
-    kind = "array<struct<start:int,end:int,match:string>>"
+    def whole(located: Column) -> Column:
+        """The blocks' spans, moved by the length of all blocks before."""
+        none = F.struct(F.lit(0).alias("pos"), F.array().cast("array<int>").alias("starts"))
+        starts = F.aggregate(
+            located,
+            none,
+            lambda at, b: F.struct((at["pos"] + b["pos"]).alias("pos"), F.array_append(at["starts"], at["pos"]).alias("starts")),
+            lambda at: at["starts"],
+        )
+        return F.flatten(F.zip_with(located, starts, lambda b, by: F.transform(b["spans"], lambda s: _moved(s, by))))
+
     zero = F.struct(F.lit(0).alias("pos"), F.array().cast(kind).alias("spans"))
-    spans = F.aggregate(parts, zero, step, lambda at: at["spans"])
+    spans = _bound(parts, lambda p: _bound(F.transform(_blocks(p), lambda b: F.aggregate(b, zero, step)), whole))
     return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(kind))
 
 
+def _moved(span: Column, by: Column) -> Column:
+    start, end = span["start"] + by, span["end"] + by
+    return F.struct(start.alias("start"), end.alias("end"), span["match"].alias("match"))
+
+
 def _ranked(text: Column, rank: int) -> Column:
     """The spans of one of ``BASE`` as (start, rank, end, kind), without those that are too short."""
     kind, pattern = BASE[rank]
@@ -164,21 +195,41 @@ def _ranked(text: Column, rank: int) -> Column:
 
 
 def _candidates(text: Column) -> Column:
-    """The spans of ``CANDIDATE``, and those of ``PARTS`` in place of runs that no encoding fits."""
-
-    def moved(part: Column, by: Column) -> Column:
-        start, end = part["start"] + by, part["end"] + by
-        return F.struct(start.alias("start"), end.alias("end"), part["match"].alias("match"))
+    """The runs of ``CANDIDATE``, each as an array of one span, or of those of ``PARTS`` where no
+    encoding fits the run."""
 
     def split(s: Column) -> Column:
         parts = F.concat(*[_spans(s["match"], pattern) for pattern in PARTS])
-        return F.when(s["match"].rlike(MIXED), F.transform(parts, lambda p: moved(p, s["start"]))).otherwise(F.array(s))
+        return F.when(s["match"].rlike(MIXED), F.transform(parts, lambda p: _moved(p, s["start"]))).otherwise(F.array(s))
 
-    return F.flatten(F.transform(_spans(text, CANDIDATE), split))
+    return F.transform(_spans(text, CANDIDATE), split)
+
+
+def _outside(runs: Column, base: Column) -> Column:
+    """The spans of runs that no base span overlaps, without runs that have none.
+
+    Base spans are in order of their start: a span is compared with those of the blocks that reach it.
+    """
+
+    def clash(s: Column, t: Column) -> Column:
+        return (s["start"] < t["end"]) & (t["start"] < s["end"])
+
+    def reach(block: Column) -> Column:
+        ends = F.transform(block, lambda s: s["end"])
+        return F.struct(F.get(block, 0)["start"].alias("start"), F.array_max(ends).alias("end"), block.alias("spans"))
+
+    def free(blocks: Column) -> Column:
+        def hit(t: Column) -> Column:
+            return F.exists(blocks, lambda b: F.when(clash(b, t), F.exists(b["spans"], lambda s: clash(s, t))).otherwise(False))
+
+        return F.filter(F.transform(runs, lambda run: F.filter(run, lambda t: ~hit(t))), lambda run: F.size(run) > 0)
+
+    some = F.filter(_blocks(base), lambda b: F.size(b) > 0)
+    return _bound(F.transform(some, reach), free)
 
 
 def _apart(tokens: Column) -> Column:
-    """Of tokens that overlap (parts of one run) those least likely ordinary text, by start."""
+    """Of the tokens of one run, whose parts may overlap, those least likely ordinary text."""
     kind = "array<struct<p_text:double,start:int,end:int>>"
     ranked = F.array_sort(
         F.transform(tokens, lambda t: F.struct(t["is"]["p_text"].alias("p_text"), t["start"].alias("start"), t["end"].alias("end")))
@@ -189,7 +240,7 @@ def _apart(tokens: Column) -> Column:
         return F.when(clash, kept).otherwise(F.array_append(kept, t))
 
     kept = F.aggregate(ranked, F.array().cast(kind), step)
-    return F.array_sort(F.transform(kept, lambda k: F.struct(k["start"].alias("start"), k["end"].alias("end"))))
+    return F.transform(kept, lambda k: F.struct(k["start"].alias("start"), k["end"].alias("end")))
 
 
 def of_kind(spans: Column, kind: str) -> Column:
@@ -239,34 +290,34 @@ def scan_secrets(
     the one least likely ordinary is a find. Only built-in functions are used; texts are scanned once, the
     thresholds come from counts over all documents, and no row is shuffled.
 
+    The work is in proportion to the text, also where it is full of matches (``BLOCK``).
+
     Null and empty texts have no spans. Repeated rows are scanned (and counted) one by one. An
     empty table gives an empty table. The two columns replace those of the same names.
     """
     rest = [c for c in docs.columns if c != text and c.lower() not in ("base", "random")]
     value, found, tokens = fresh(docs, "text_to_scan"), fresh(docs, "base_found"), fresh(docs, "tokens_found")
     rows = docs.select(*[F.col(f"`{c}`") for c in rest], text_of(text).alias(value))
-    base = [_ranked(F.col(value), rank) for rank in range(len(BASE))]
-    tested = F.transform(
-        _candidates(F.col(value)),
-        lambda s: F.struct(
+    base = F.array_sort(F.concat(*[_ranked(F.col(value), rank) for rank in range(len(BASE))]))
+
+    def tested(s: Column) -> Column:
+        return F.struct(
             s["start"].alias("start"),
             s["end"].alias("end"),
             _length_class(F.length(s["match"])).alias("length_class"),
             randomness(s["match"]).alias("is"),
-        ),
-    )
-    scanned = rows.select(
-        *[F.col(f"`{c}`") for c in rest],
-        F.array_sort(F.concat(*base)).alias(found),
-        tested.alias(tokens),
-    )
-    scanned = save(scanned, "secret-spans")
+        )
 
-    def outside(t: Column) -> Column:
-        return ~F.exists(F.col(found), lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
+    def scan(base: Column) -> Column:
+        # What base spans cover is not tested.
+        runs = _outside(_candidates(F.col(value)), base)
+        return F.struct(base.alias("base"), F.transform(runs, lambda run: F.transform(run, tested)).alias("runs"))
 
-    scanned = scanned.withColumn(tokens, F.filter(tokens, outside))
-    each = scanned.select(F.explode(tokens).alias("t")).select("t.length_class", "t.is.encoding", "t.is.p_text")
+    both = fresh(docs, "spans_found")
+    scanned = rows.select(*[F.col(f"`{c}`") for c in rest], _bound(base, scan).alias(both))
+    scanned = scanned.select(*[F.col(f"`{c}`") for c in rest], F.col(both)["base"].alias(found), F.col(both)["runs"].alias(tokens))
+    scanned = save(scanned, "secret-spans")
+    each = scanned.select(F.explode(F.flatten(tokens)).alias("t")).select("t.length_class", "t.is.encoding", "t.is.p_text")
     limits = _limits(each, rate)
 
     def is_secret(t: Column) -> Column:
@@ -279,10 +330,11 @@ def scan_secrets(
     def named(kind: Column, s: Column) -> Column:
         return F.struct(kind.alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
 
+    apart = F.flatten(F.transform(tokens, lambda run: _apart(F.filter(run, is_secret))))
     return scanned.select(
         *[F.col(f"`{c}`") for c in rest],
         F.transform(found, lambda s: named(s["kind"], s)).alias("base"),
-        F.transform(_apart(F.filter(tokens, is_secret)), lambda s: named(F.lit(RANDOM), s)).alias("random"),
+        F.transform(F.array_sort(apart), lambda s: named(F.lit(RANDOM), s)).alias("random"),
     )
 
 
