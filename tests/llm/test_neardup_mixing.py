@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from tideline.llm import neardup
 from tideline.llm.components import connected_components
-from tideline.llm.mixing import Target, mix_order, mix_sources, mixed_rows, plan_mix
+from tideline.llm.mixing import Target, in_blocks, mix_order, mix_sources, mixed_rows, plan_mix
 from tideline.llm.neardup import Join, _can_link, _prefixes, _rarity, near_duplicates, without_near_duplicates
+from tideline.llm.packing import pack
+from tideline.llm.queries import tokenizer_path
 
 
 def components(nodes, links):
@@ -310,3 +312,37 @@ def test_mix_of_odd_tables(spark):
     assert sorted(map(str, mixed.collect())) == sorted(map(str, docs.collect()))
     alone = docs.where("source = 'a'")
     assert mix_sources(alone).count() == 3
+
+
+def test_blocks_of_mixed_rows(spark):
+    """Copies lie in different blocks, and every block has the weights of the whole."""
+    _, docs = corpus(spark, {"hot": 3000, "b": 400, "c": 60, None: 9})
+    target = Target(entropy=0.98, repeats=6.0, block=500)
+    mixed = mixed_rows(docs.withColumn("mix_key", F.lit("x")), target)
+    placed = in_blocks(mixed, "part", target)
+    assert placed.columns == [*mixed.columns, "part"] and placed.count() == mixed.count()
+    found = placed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("part").alias("parts")).collect()
+    assert all(r.n == r.parts for r in found) and max(r.n for r in found) > 2
+    weights = defaultdict(Counter)
+    for r in placed.groupBy("source", "part").count().collect():
+        weights[r.source][r.part] = r["count"]
+    blocks = 1 + max(p for c in weights.values() for p in c)
+    assert blocks > 10
+    for source, counts in weights.items():
+        total = sum(counts.values())
+        if total > 20 * blocks:
+            assert all(0.4 * total / blocks < counts[p] < 1.8 * total / blocks for p in range(blocks)), source
+    assert in_blocks(mixed.limit(0), "part").count() == 0
+
+
+def test_packed_copies_of_a_mix_are_apart(spark):
+    _, docs = corpus(spark, {"hot": 1500, "rare": 30})
+    mixed = mixed_rows(docs, Target(entropy=0.95, repeats=8.0))
+    assert mixed.count() > docs.count() + 30
+    pieces = pack(in_blocks(mixed, "part"), tokenizer_path("word_bpe_49k.json"), size=64, parts=4, block="part").collect()
+    places = defaultdict(list)
+    order = sorted({(r.sequence_id, r.offset, r.id) for r in pieces if r.start == 0})
+    for at, (_, _, id_) in enumerate(order):
+        places[id_].append(at)
+    repeated = [p for p in places.values() if len(p) > 1]
+    assert repeated and all(b - a > 5 for p in repeated for a, b in zip(p, p[1:]))

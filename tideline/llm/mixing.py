@@ -246,3 +246,49 @@ def mixed_rows(
     times = F.col(epochs) + F.coalesce(F.col(key) <= F.col(cut), F.lit(False)).cast("int")
     shown = planned.where(times > 0).withColumn(epoch, F.explode(F.sequence(F.lit(1), times)))
     return shown.select(docs.columns)
+
+
+def in_blocks(
+    docs: DataFrame,
+    block: str,
+    target: Target = Target(),
+    id_column: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    seed: int = 5,
+) -> DataFrame:
+    """The rows of a mix with a further column ``block``: which part of the mix each occurrence is in.
+
+    As in ``mix_order``, a source's occurrences lie epoch after epoch in the order of its permutation,
+    and every block takes an equal part of each source. Here that is read off the mixed rows themselves:
+    copies of a row are numbered by epoch, a row's place in an epoch is that of its key among all keys, and a source
+    ends with the last place in its last epoch. There are as many blocks as ``target.block`` words fit in, at
+    six bytes a word, and more than any row has copies, so copies lie in different blocks.
+
+    Only rows of sources that have repeated rows are shuffled with their texts; the copies of one row, as many as
+    the mix has made, meet in one task. Rows with null ids, sources or texts are rows like others. An empty
+    table gives an empty table.
+    """
+    name, key, extent, copy = (fresh(docs, f"mix_{c}") for c in ("source", "key", "extent", "copy"))
+    keyed = docs.withColumns(
+        {name: F.coalesce(F.col(f"`{source}`").cast("string"), F.lit("")), key: order_key(id_column, text, seed)}
+    )
+    within = (F.col(key).cast("double") + 2.0**63) / 2.0**64
+    sizes = keyed.select(name, key, F.octet_length(text_of(text)).cast("bigint").alias("n"))
+    rows = sizes.groupBy(name, key).agg(F.count(F.lit(1)).alias("copies"), F.sum("n").alias("n"))
+    last = F.max(F.struct("copies", within.alias("within"))).alias("last")
+    sources = rows.groupBy(name).agg(last, F.sum("n").alias("n"))
+    ends = F.when(F.col("last.copies") > 1, F.col("last.copies") - 1 + F.col("last.within")).otherwise(1.0)
+    sources = save(sources.select(name, F.col("last.copies").alias(copy), ends.alias(extent), "n"), "mix-extents")
+    whole = sources.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.max(copy), F.lit(1)).alias("most")).first()
+    blocks = max(-(-whole.n // (6 * target.block)), whole.most + 1 if whole.most > 1 else 1)
+    planned = keyed.join(sources.drop("n"), name)
+    numbered = F.row_number().over(Window.partitionBy(name, key).orderBy(F.lit(0))) - 1
+    placed = planned.where(F.col(copy) == 1).withColumn(copy, F.lit(0)).unionByName(
+        planned.where(F.col(copy) > 1).withColumn(copy, numbered)
+    )
+    at = (F.col(copy) + within) / F.col(extent)
+    return placed.select(
+        *[F.col(f"`{c}`") for c in docs.columns],
+        F.least(F.floor(at * blocks), F.lit(blocks - 1)).cast("bigint").alias(block),
+    )

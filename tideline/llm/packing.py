@@ -100,7 +100,7 @@ def curve_key(points: np.ndarray) -> np.ndarray:
 
 
 def _tokenize(docs: DataFrame, path: str, end_id: int, seed: int) -> DataFrame:
-    """(id, ids, curve): each document's ids as binary, in two bytes each where the vocabulary fits."""
+    """(id, ids, curve, block): each document's ids as binary, in two bytes each where the vocabulary fits."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = id_kind(path)
@@ -108,12 +108,12 @@ def _tokenize(docs: DataFrame, path: str, end_id: int, seed: int) -> DataFrame:
         for batch in slices(batches):
             ids = [text_ids(value, path) + end for value in batch.column(1).to_pylist()]
             points = np.stack([projected(np.frombuffer(i, kind), seed) for i in ids])
-            made = [batch.column(0), pa.array(ids, pa.binary()), pa.array(curve_key(points))]
-            yield pa.RecordBatch.from_arrays(made, names=["id", "ids", "curve"])
+            made = [batch.column(0), pa.array(ids, pa.binary()), pa.array(curve_key(points)), batch.column(2)]
+            yield pa.RecordBatch.from_arrays(made, names=["id", "ids", "curve", "block"])
 
     id_type = docs.schema["id"].dataType.simpleString()
-    rows = docs.select("id", text_of("text").alias("text"))
-    return rows.mapInArrow(work, f"id {id_type}, ids binary, curve bigint")
+    rows = docs.select("id", text_of("text").alias("text"), "block")
+    return rows.mapInArrow(work, f"id {id_type}, ids binary, curve bigint, block bigint")
 
 
 def fill(lengths: Iterator[tuple[int, int]], size: int) -> Iterator[tuple[int, int, int, int, int]]:
@@ -155,6 +155,7 @@ def pack(
     end_id: int = 1,
     parts: int | None = None,
     seed: int = 7,
+    block: str | None = None,
 ) -> DataFrame:
     """Pack all texts, neighbours along a Hilbert curve together, into sequences of ``size`` tokens.
 
@@ -167,7 +168,8 @@ def pack(
     and ends in sequences of power-of-two lengths, so partitions need nothing of each other.
     ``sequence_id`` is the partition number times 2**40 plus a count; ``parts`` (default: the
     session's shuffle partitions) should make a partition some hundred MB of ids. ``size`` must be a power
-    of two.
+    of two. ``block`` names a column of blocks (``mixing.in_blocks``) that are packed one after the
+    other, each along the curve.
 
     A null or empty text is the closing id alone. Null ids are packed like others; repeated rows are
     packed each. Ties on the key are ordered by a hash of id and ids; rows alike in both are
@@ -175,12 +177,16 @@ def pack(
     """
     if size & (size - 1):
         raise ValueError("size must be a power of two")
-    source = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    of = F.lit(0) if block is None else F.col(f"`{block}`")
+    source = docs.select(
+        F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").alias("text"), of.cast("bigint").alias("block")
+    )
     id_type = source.schema["id"].dataType.simpleString()
     rows = save(_tokenize(source, path, end_id, seed), "pack-ids")
     parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = rows.withColumn("tie", F.xxhash64("id", "ids"))
-    ordered = keyed.repartitionByRange(parts, "curve", "tie").sortWithinPartitions("curve", "tie", "id")
+    order = ["block", "curve", "tie"]
+    ordered = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order, "id")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind, base = id_kind(path), TaskContext.get().partitionId() << PART_BITS
