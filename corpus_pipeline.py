@@ -13,9 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm.common import save, ship
+from tideline.llm.common import fresh, save, ship
 from tideline.llm.exact import DigestIndex
-from tideline.llm.mixing import mixed_rows
+from tideline.llm.mixing import in_blocks, mixed_rows
 from tideline.llm.neardup import without_near_duplicates
 from tideline.llm.packing import pack
 from tideline.llm.quality import accepted, classify
@@ -49,9 +49,12 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of packed sequences, with the checksum of their ids."""
+    """The pieces of packed sequences, with the checksum of their ids. The mix's blocks follow each
+    other, so that copies stay apart; along the curve are neighbours of one block."""
     ship(spark)
-    pieces = pack(docs, tokenizer_path("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")
+    blocks = fresh(docs, "block")
+    pieces = pack(in_blocks(docs, blocks), tokenizer_path("word_bpe_49k.json"), block=blocks)
+    pieces = pieces.withColumnRenamed("id", "doc_id")
     return pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
 
 
