@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from checks import derive
 from tests.conftest import rows
 from tideline.functions import partition_key, result_class, window_key
+from tideline.operators import gate
 from tideline.operators import (
     due_packages,
     latest_status,
@@ -231,6 +232,21 @@ class TestGate:
             "2024-01-01": "C", "2024-01-02": "C", "2024-01-03": "S", "2024-01-04": "C",
         }
 
+    def test_only_dates_of_changes_are_worked_out(self, spark):
+        """Years of days, two packages, three changes."""
+        lines = [
+            "1, 7, 2014-01-01, 1, 1, Done",
+            "2, 8, 2014-01-01, 1, 1, Done",
+            "1, 9, 2019-06-02, 1, 1, Done",
+            "2, 10, 2024-01-03, 1, 1, Done",
+            "2, 10, 2024-01-04, 0, 1, Has ERROR",
+        ]
+        control, log = control_of(spark, 1, 2), log_of(spark, *lines)
+        got = self.gate(spark, control, *lines, daily=True)
+        assert len(got) == 3656 and {row["package_count"] for row in got.values()} == {2}
+        changes = gate._frontier_at_changes(gate._log_days(gate.of_suite(control, None).select("control_id", "suite_code"), log), gate._daily_successes(log))
+        assert changes.count() == 2 * 3
+
     def test_the_last_outcome_of_a_day_decides(self, spark):
         lines = ["1, 7, 2024-01-01, 1, 1, Done", "1, 8, 2024-01-01, 0, 1, Has ERROR"]
         (row,) = self.gate(spark, control_of(spark, 1), *lines).values()

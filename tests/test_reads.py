@@ -16,6 +16,8 @@ from tideline.sources import (
     staged_batch_read,
     window_read,
 )
+from tideline.sources import windows as windows_module
+from tideline.sources.windows import Span
 
 
 def test_window_holds_its_start_and_not_its_end(spark):
@@ -84,6 +86,42 @@ def test_a_hot_package_is_read_whole_without_broadcast(spark):
     assert got.count() == 30000
 
 
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp", "date"])
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin"])
+def test_windows_that_meet_in_bins(spark, kind, zone):
+    """A third of the rows are of one package; windows are short, long, empty, touching and overlapping."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        minutes = F.make_interval(mins=F.col("id").cast("int"))
+        # Both changes of the clocks are in it.
+        stamps = spark.range(0, 12000, 1, 4).select(
+            (F.lit("2024-03-29").cast("timestamp_ntz") + 26 * minutes).cast(kind).alias("ts"),
+            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5).alias("package"),
+            "id",
+        )
+        bounds = [(0, "03-30", "04-02"), (1, "01-01", "12-31"), (2, "03-31", "03-31"), (3, "04-01", "04-01 00:00:00.000001")]
+        bounds += [(7, f"{m:02d}-{d:02d}", f"{m:02d}-{d + 1:02d}") for m in range(3, 11) for d in range(1, 27)]
+        bounds += [(7, "10-26", "10-29"), (7, "10-27 01:30:00", "10-27 03:30:00")]
+        windows = spark.createDataFrame([(c, f"2024-{a}", f"2024-{b}", i) for i, (c, a, b) in enumerate(bounds)], "control_id long, a string, b string, job_id long")
+        windows = windows.select("control_id", F.col("a").cast("timestamp_ntz").alias("window_start"), F.col("b").cast("timestamp_ntz").alias("window_end"), "job_id")
+        small, binned = (due_window_read(stamps, windows, "package", "ts", limit=n) for n in (10**9, 0))
+        assert "_bin" in plan(binned) and "BroadcastHashJoin" in plan(small)
+        want = rows(small)
+        assert rows(binned) == want and len(want) > 3000
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_bins_spread_a_hot_package(spark):
+    rows_of = spark.range(30000).select((F.lit("2024-01-01").cast("timestamp_ntz") + F.make_interval(mins=F.col("id").cast("int"))).alias("ts"), F.lit(1).alias("package"))
+    days = spark.range(20).select(F.lit(1).alias("control_id"), (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_interval(days=F.col("id").cast("int"))).alias("window_start"))
+    windows = days.withColumn("window_end", F.col("window_start") + F.expr("interval 1 day"))
+    source, due = windows_module._in_bins(rows_of, windows, "ts", Span("2024-01-01 00:00:00", "2024-01-21 00:00:00", 1, timedelta(days=1)))
+    assert source.select("_bin").distinct().count() == 21 and due.count() <= 2 * 20
+    assert source.groupBy("_bin").count().agg(F.max("count")).first()[0] == 1440
+
+
 def test_only_completed_batches_are_read(events):
     day = F.date_trunc("day", "ts").cast("timestamp_ntz")
     raw = events.withColumns({"control_id": F.col("user_id"), "window_start": day})

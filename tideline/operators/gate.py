@@ -45,7 +45,7 @@ def readiness_gate(control: DataFrame, log: DataFrame, daily: bool = False) -> D
     reached = _daily_successes(log)
     days = _log_days(required, log)
     if daily:
-        return _decide(_frontier_by_day(days, reached))
+        return _every_day(_decide(_frontier_at_changes(days, reached)), days)
     now = reached.groupBy("control_id").agg(F.max("reached").alias("frontier"))
     as_of = days.withColumnRenamed("last", "as_of")
     return _decide(as_of.join(now, "control_id", "left"))
@@ -65,13 +65,28 @@ def _log_days(required: DataFrame, log: DataFrame) -> DataFrame:
     return required.join(per_suite, "suite_code", "left")
 
 
-def _frontier_by_day(days: DataFrame, reached: DataFrame) -> DataFrame:
-    so_far = W.partitionBy("control_id").orderBy("as_of")
-    return (
-        days.withColumn("as_of", F.explode(F.sequence("first", "last")))
-        .join(reached.withColumnRenamed("log_date", "as_of"), ["control_id", "as_of"], "left")
-        .select("control_id", "suite_code", "as_of", F.max("reached").over(so_far).alias("frontier"))
-    )
+def _frontier_at_changes(days: DataFrame, reached: DataFrame) -> DataFrame:
+    """The frontier of every package on the dates on which that of any package of its suite moves, and on
+    the first date of its suite's log."""
+    so_far = W.partitionBy("control_id").orderBy("log_date")
+    moved = reached.withColumn("before", F.max("reached").over(so_far.rowsBetween(W.unboundedPreceding, -1)))
+    moved = moved.where("before is null or reached > before").drop("before")
+    suites = days.select("control_id", "suite_code")
+    dates = moved.join(suites, "control_id").select("suite_code", F.col("log_date").alias("as_of"))
+    dates = dates.unionByName(days.select("suite_code", F.col("first").alias("as_of")).where("as_of is not null"))
+    asked = suites.join(dates.distinct(), "suite_code")
+    at = asked.join(moved.withColumnRenamed("log_date", "as_of"), ["control_id", "as_of"], "left")
+    frontier = F.max("reached").over(W.partitionBy("control_id", "suite_code").orderBy("as_of"))
+    return at.select("control_id", "suite_code", "as_of", frontier.alias("frontier"))
+
+
+def _every_day(gate: DataFrame, days: DataFrame) -> DataFrame:
+    """The gate of each date: what holds from one change holds until the next, or the end of the suite's log."""
+    ends = days.groupBy("suite_code").agg(F.max("last").alias("last"))
+    following = F.lead("as_of").over(W.partitionBy("suite_code").orderBy("as_of"))
+    until = F.coalesce(F.date_sub(following, 1), F.col("last"))
+    held = gate.join(ends, "suite_code").withColumn("until", until)
+    return held.withColumn("as_of", F.explode(F.sequence("as_of", "until"))).select(gate.columns)
 
 
 def _decide(frontiers: DataFrame) -> DataFrame:

@@ -178,7 +178,7 @@ def _stage_shared(run: RunLog, source: DataFrame, group: Row, members: DataFrame
     name = group["package_name"]
     windows = members.select("control_id", "window_start", "window_end", "job_id")
     if group["source_key"] is not None:
-        span = Span(group["first"], group["last"], group["bytes"])
+        span = Span(group["first"], group["last"], group["bytes"], group["length"])
         batch = due_window_read(source, windows, group["source_key"], group["source_time"], span)
     else:
         batch = _own_window_read(source, windows, group)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timedelta
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -32,11 +33,13 @@ def window_read(df: DataFrame, ts_col: str, start: object, end: object) -> DataF
 
 
 class Span(NamedTuple):
-    """What is known of a set of windows: its time range and the bytes of its rows."""
+    """What is known of a set of windows: its time range, the bytes of its rows, and how long they are
+    on average."""
 
     first: object
     last: object
     bytes: int
+    length: timedelta | None = None
 
     @staticmethod
     def measures(schema: T.StructType) -> dict[str, Column]:
@@ -44,6 +47,7 @@ class Span(NamedTuple):
             "first": F.min("window_start").cast("string"),
             "last": F.max("window_end").cast("string"),
             "bytes": F.sum(row_bytes(schema)),
+            "length": F.avg(F.col("window_end") - F.col("window_start")),
         }
 
 
@@ -62,34 +66,61 @@ def due_window_read(
     id. Without a ``span`` the windows are written once and measured on the way.
     Their earliest start and latest end go to the scan as literals, which prunes
     files and row groups. Within ``limit`` the windows are broadcast, so the source
-    is not shuffled; above it both sides meet by key and AQE splits the partitions
-    of a hot package.
+    is not shuffled; above it both sides meet by key and time bin (``_in_bins``), which spreads the
+    rows of a hot package over the bins of its window.
     """
     taken = (set(df.columns) & set(windows.columns)) - ({"control_id"} if key == "control_id" else set())
     if taken:
         raise ValueError(f"rename the source columns {sorted(taken)}: batches carry these names")
     if span is None:
         windows, seen = materialize_measured(windows, "windows", **Span.measures(windows.schema))
-        span = Span(seen["first"], seen["last"], seen["bytes"] or 0)
+        span = Span(seen["first"], seen["last"], seen["bytes"] or 0, seen["length"])
     if span.first is None:
         bounded = df.where(F.lit(False))
     else:
         bounded = window_read(df, ts_col, span.first, span.last)
-    source, due = bounded.alias("source"), windows.alias("due")
+    carried = [F.col(f"due.{name}") for name in windows.columns if name != key]
+    if span.bytes <= limit or span.first is None:
+        source, due, matches = bounded.alias("source"), F.broadcast(windows).alias("due"), F.lit(True)
+    else:
+        source, due = (side.alias(name) for side, name in zip(_in_bins(bounded, windows, ts_col, span), ("source", "due")))
+        matches = F.col("source._bin") == F.col("due._bin")
     ts = F.col(f"source.{ts_col}")
     matches = (
-        (F.col(f"source.{key}") == F.col("due.control_id"))
+        matches
+        & (F.col(f"source.{key}") == F.col("due.control_id"))
         & (ts >= F.col("due.window_start"))
         & (ts < F.col("due.window_end"))
     )
-    carried = [F.col(f"due.{name}") for name in windows.columns if name != key]
-    if span.bytes <= limit:
-        due = F.broadcast(due)
     return source.join(due, matches, "inner").select(
         *[F.col(f"source.{name}") for name in df.columns], *carried
     )
 
 
+# The most bins that a set of windows is cut into: no window gets more rows than that.
+BINS = 4096
+
+
+def _in_bins(df: DataFrame, windows: DataFrame, ts_col: str, span: Span) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the number of a time bin: a row's own, and a row for each bin that a window reaches.
+
+    Bins are about as wide as the windows are long, so a window is in two or three of them.
+    """
+    kind = df.schema[ts_col].dataType
+    kind = T.TimestampNTZType() if isinstance(kind, T.DateType) else kind
+    whole = datetime.fromisoformat(str(span.last)) - datetime.fromisoformat(str(span.first))
+    width = max(span.length or whole, whole / BINS, timedelta(seconds=1))
+    first = F.lit(str(span.first)).cast(kind)
+
+    def number(ts: Column) -> Column:
+        # The difference of two times of one type is exact; dividing it by the width rounds down.
+        return F.call_function("div", ts.cast(kind) - first, F.lit(width))
+
+    last = F.greatest(F.col("window_end") - F.expr("interval 1 microsecond"), F.col("window_start"))
+    bins = F.sequence(number(F.col("window_start")), number(last))
+    return df.withColumn("_bin", number(F.col(ts_col))), windows.withColumn("_bin", F.explode(bins))
+
+
 def staged_batch_read(
     raw: DataFrame, done: DataFrame, on: Sequence[str] = ("control_id", "window_start")
 ) -> DataFrame:
