@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import math
 import re
+import string
+import struct
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -139,6 +142,77 @@ def test_classifier_by_held_out_rows(spark):
     assert kept == {r.id for r in scored.collect() if r.predicted}
 
 
+def plain_statistics(text: str) -> list[float]:
+    """One text's statistics, each from its definition."""
+    data = text.encode()
+    words = [w for w in re.split(rb"[ \t-\r]+", data) if w]
+    if not words:
+        return [0.0] * len(quality.STATISTICS)
+    n, sizes = len(words), [len(w) for w in words]
+    mean = sum(sizes) / n
+    lines = [line for line in data.split(b"\n") if re.search(rb"[^ \t-\r]", line)]
+    shares = [c / len(data) for c in Counter(data).values()]
+    marks = set(string.punctuation.encode())
+    classes = rules.class_counts(data)
+    return [
+        math.log(1 + n), math.log(1 + mean), math.sqrt(sum((s - mean) ** 2 for s in sizes) / n) / mean,
+        math.log(len(set(words))) / math.log(n) if n > 1 else 1.0,
+        sum(s <= 3 for s in sizes) / n, sum(s >= 12 for s in sizes) / n, sum(a == b for a, b in zip(words, words[1:])) / n,
+        sum(set(w) <= marks for w in words) / n, sum(w[-1] in marks for w in words) / n,
+        sum(65 <= w[0] <= 90 for w in words) / n, 1 - len(set(lines)) / len(lines), math.log(1 + n / len(lines)),
+        -sum(s * math.log2(s) for s in shares), *[c / sum(classes) for c in classes],
+    ]
+
+
+def plain_scores(docs: list[tuple], labels: dict) -> dict:
+    """The whole method on whole matrices, in one process."""
+    ids = [i for i, _ in docs]
+    values = np.array([plain_statistics(t or "") for _, t in docs], np.float32).astype(float)
+    train = [k for k, i in enumerate(ids) if labels.get(i) is not None and zlib.crc32(str(i).encode()) % 4 != 2]
+    y = np.array([labels[ids[k]] for k in train], float)
+    spread = values[train].std(axis=0)
+    spread[spread <= 1e-6] = 1.0
+    rng = np.random.default_rng(11)
+    directions = rng.standard_normal((values.shape[1], quality.FOURIER)) / math.sqrt(values.shape[1])
+    phases = rng.uniform(0, 2 * math.pi, quality.FOURIER)
+    z = np.clip((values - values[train].mean(axis=0)) / spread, -6, 6) @ directions + phases
+    z = np.column_stack([math.sqrt(2 / quality.FOURIER) * np.cos(z), np.ones(len(z))])
+
+    def ridge(rows: list[int]) -> np.ndarray:
+        # Least squares of the rows, and of one more for each feature that pulls its weight to 0.
+        pull = np.sqrt([1e-4 * len(rows)] * quality.FOURIER + [1e-9])
+        left = np.vstack([z[[train[r] for r in rows]], np.diag(pull)])
+        return np.linalg.lstsq(left, np.append(y[rows], np.zeros(len(pull))), rcond=None)[0]
+
+    fold = np.array([xxhash.xxh64_intdigest(struct.pack("<q", ids[k]), seed=42) % 2 for k in train])
+    raw = np.zeros(len(train))
+    for f in (0, 1):
+        weights = ridge([r for r in range(len(train)) if fold[r] != f])
+        raw[fold == f] = (z[train] @ weights)[fold == f]
+    bins = np.clip(np.floor(raw * quality.BINS), -quality.BINS, 2 * quality.BINS)
+    at = sorted(set(bins))
+    rate, weight = np.array([y[bins == b].mean() for b in at]), np.array([(bins == b).sum() for b in at])
+    centre = (np.array(at) + 0.5) / quality.BINS
+    # The rising fit by its definition: the largest over starts of the smallest over ends of the mean.
+    means = lambda a, b: np.average(rate[a : b + 1], weights=weight[a : b + 1])
+    rising = np.array([max(min(means(a, b) for b in range(i, len(at))) for a in range(i + 1)) for i in range(len(at))])
+    knots = [np.isclose(rising, v) for v in sorted(set(np.round(rising, 12)))]
+    x = [np.average(centre[k], weights=weight[k]) for k in knots]
+    final = np.interp(z @ ridge(list(range(len(train)))), x, [rising[k][0] for k in knots])
+    return dict(zip(ids, final))
+
+
+def test_classifier_beside_whole_matrices(spark, sf):
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    texts = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()] + [(10**6, None), (10**6 + 1, "\n")]
+    want = plain_scores(texts, {r.doc_id: r.quality for r in labels.collect()})
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(7)
+    got = {r.id: r.score for r in quality.classify(df, labels)[0].collect()}
+    assert set(got) == set(want)
+    assert max(abs(got[i] - want[i]) for i in got) < 1e-4
+    assert len({round(v, 3) for v in want.values()}) > 20
+
+
 def test_classifier_without_labels_and_on_odd_rows(spark, documents_df):
     none = spark.createDataFrame([], "doc_id long, quality int")
     scored, _ = quality.classify(documents_df, none)
