@@ -122,6 +122,47 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+# Equal sets are one class here too; classes that share a shingle are compared, links are closed.
+LLM_ORACLES["op7_near_duplicates"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id,
+         CASE WHEN len(w) = 0 THEN []
+              WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+              ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))))
+         END AS s
+  FROM words
+), keyed AS (
+  SELECT doc_id, len(s)::BIGINT AS n, CASE WHEN len(s) > 0 THEN sha256(array_to_string(s, chr(10))) END AS key, s FROM sets
+), classes AS MATERIALIZED (
+  SELECT key, min(doc_id) AS class, any_value(n) AS n, any_value(s) AS s FROM keyed WHERE key IS NOT NULL GROUP BY key
+), tokens AS MATERIALIZED (
+  SELECT class, n, hash(unnest(s)) AS token FROM classes
+), links AS MATERIALIZED (
+  SELECT a.class AS a, b.class AS b
+  FROM tokens a JOIN tokens b ON a.token = b.token AND a.class < b.class
+    AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.class, b.class
+  HAVING 180 * count(*) >= 80 * (any_value(a.n) + any_value(b.n))
+), ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached(class, other) AS (
+  SELECT class, class FROM classes
+  UNION
+  SELECT reached.class, ways.b FROM reached JOIN ways ON ways.a = reached.other
+), parts AS (
+  SELECT class, min(other) AS component FROM reached GROUP BY class
+)
+SELECT doc_id, keyed.n AS n_shingles, coalesce(component, doc_id) AS component_id,
+       doc_id = coalesce(component, doc_id) AS kept
+FROM keyed LEFT JOIN classes USING (key) LEFT JOIN parts USING (class)
+"""
+
+
 @query
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as one batch into a new index."""
