@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+import unicodedata
 import zlib
 from collections import defaultdict
 
@@ -11,6 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from tideline.llm.common import classes, piece_tokens, split_text, tokenizer
 from tideline.llm.packing import fill, hilbert_key, pack
 from tideline.llm.queries import tokenizer_path
 from tideline.llm.tokens import count_tokens, frequent_pre_tokens
@@ -111,3 +114,31 @@ def test_likes_lie_together(spark):
     pieces = sorted(pack(docs, WORD_BPE, parts=4).collect(), key=lambda r: (r.sequence_id, r.offset))
     kinds = [r.id % 2 for r in pieces]
     assert sum(a != b for a, b in zip(kinds, kinds[1:])) <= 8
+
+
+WILD = "aΣσé\u0301’ 1²½日本текст\u200b\u2003\t'İß\u0378🙂\x85Ⅷ٣"
+
+
+@pytest.mark.parametrize("path,by_word", [(BYTE_BPE, False), (WORD_BPE, True)])
+def test_pre_tokens_of_all_scripts(path, by_word):
+    """Pieces looked up one by one give what the library gives for the whole text."""
+    rng = random.Random(7)
+    found, library = classes(path), tokenizer(path)
+    assigned = [c for c in map(chr, range(0x20000)) if unicodedata.category(c) not in ("Cs", "Cn")]
+    texts = ["".join(rng.choice(WILD) for _ in range(12)) for _ in range(3000)]
+    texts += ["".join(rng.choice(assigned) if rng.random() < 0.4 else rng.choice("ab 1'.\n") for _ in range(40)) for _ in range(3000)]
+    texts += ["".join(rng.choice("abc é’— “x” °…текст 12'\n") for _ in range(60)) for _ in range(500)]
+    sure = [(t, split_text(t, found, by_word)) for t in texts]
+    sure = [(t, pieces) for t, pieces in sure if pieces is not None]
+    assert len(sure) > 500 and all(pieces is not None for t, pieces in [(t, split_text(t, found, by_word)) for t in texts[-500:]])
+    whole = library.encode_batch([t for t, _ in sure], add_special_tokens=False)
+    for (text, pieces), encoded in zip(sure, whole):
+        assert [t.id for piece in pieces for t in piece_tokens(piece, path)] == encoded.ids, text
+
+
+def test_typographic_texts_do_not_go_to_the_library_whole(spark):
+    text = "It’s — “quoted” … £5 at 20 °C, цена 日本 été"
+    docs = spark.createDataFrame([(i, f"{text} {i}") for i in range(50)], "doc_id long, text string")
+    assert " —" in frequent_pre_tokens(docs, "text", BYTE_BPE, 50)
+    counts = {r.doc_id: r.n_tokens for r in count_tokens(docs, BYTE_BPE).collect()}
+    assert counts == {i: len(tokenizer(BYTE_BPE).encode(f"{text} {i}", add_special_tokens=False).ids) for i in range(50)}

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import re
 import tempfile
+import unicodedata
 import zipfile
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from pathlib import Path
 
@@ -83,18 +85,105 @@ def tokenizer(path: str):
     return loaded
 
 
-# The letters, white space and other characters below U+0100 on which Python's and
-# the tokenizer's classes are the same. A text with any other character goes to the tokenizer whole.
+@dataclass(frozen=True)
+class Classes:
+    """What a tokenizer's pre-tokenizer takes for letters, numbers and white space, as bodies of
+    character classes, and all characters of which that is known."""
+
+    letters: str
+    numbers: str
+    spaces: str
+    known: str
+
+
+# Characters that are asked about: the first two planes, where all scripts in use and the symbols are.
+_ASKED = range(0x20000)
+
+
+def _ranges(characters: list[str]) -> str:
+    """The body of a character class."""
+    points, parts = sorted(map(ord, characters)), []
+    for point in points:
+        if parts and parts[-1][1] == point - 1:
+            parts[-1][1] = point
+        else:
+            parts.append([point, point])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in parts)
+
+
+@lru_cache(maxsize=4)
+def classes(path: str) -> Classes:
+    """The classes of the tokenizer file itself, found by how it splits each character between
+    others. Characters that nobody has assigned yet are left out, as libraries may disagree on them;
+    so are those that its normalizer changes in another way than ``str.lower``.
+    """
+    loaded = tokenizer(path)
+    asked = [c for c in map(chr, _ASKED) if unicodedata.category(c) not in ("Cn", "Cs", "Co")]
+    if loaded.normalizer is not None:
+        # Line by line: each is normalised by itself. A capital sigma's small letter depends on what follows.
+        white = {c for c in asked if c.isspace()}
+        asked = [c for c in asked if c in white or (c != "\u03a3" and loaded.normalizer.normalize_str(c) == c.lower())]
+
+    def pieces(left: str, right: str, some: list[str]) -> list[int]:
+        """Into how many pieces each character falls between two others."""
+        found = []
+        for at in range(0, len(some), 4096):
+            part = some[at : at + 4096]
+            text = "\n".join(f"{left}{c}{right}" for c in part)
+            starts = [s for _, (s, _) in loaded.pre_tokenizer.pre_tokenize_str(text)]
+            width = len(left) + len(right) + 2
+            counts = [0] * len(part)
+            for s in starts:
+                if s % width != width - 1:  # not the line's end
+                    counts[s // width] += 1
+            found += counts
+        return found
+
+    inside = dict(zip(asked, zip(pieces("a", "a", asked), pieces("!", "!", asked), pieces("1", "1", asked))))
+    letters = [c for c, (a, _, _) in inside.items() if a == 1]
+    symbols = {c for c, (_, s, _) in inside.items() if s == 1}
+    rest = [c for c in asked if c not in symbols and inside[c][0] > 1]
+    # White space is a piece of its own, or none; so are numbers where they are split one by one.
+    numbers = [c for c in rest if inside[c][2] == 1] or [c for c in rest if inside[c][2] == 3]
+    spaces = [c for c in rest if c not in set(numbers)]
+    return Classes(*map(_ranges, (letters, numbers, spaces, asked)))
+
+
+# The pre-token patterns of the two tokenizer files, over classes.
+def _byte_bpe(letters: str, numbers: str, spaces: str) -> re.Pattern:
+    return re.compile(
+        rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{numbers}]+| ?[^{spaces}{letters}{numbers}]+"
+        rf"|[{spaces}]+(?![^{spaces}])|[{spaces}]+"
+    )
+
+
+def _word_bpe(letters: str, numbers: str, spaces: str) -> re.Pattern:
+    return re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{spaces}{letters}{numbers}]+")
+
+
+# The same for letters, white space and other characters below U+0100 on which Python's and the tokenizers'
+# classes are the same: most texts of western languages need no more, and small classes are quick.
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 _SPACE = " \t-\r"
-UNSURE = re.compile("[^\x00-\x1b\x20-\x7eÀ-ÿ]")
-BYTE_BPE_PIECES = re.compile(
-    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[0-9]+| ?[^{_SPACE}{_LETTER}0-9]+"
-    rf"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
-)
-WORD_BPE_PIECES = re.compile(
-    rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^{_SPACE}{_LETTER}0-9]+"
-)
+_BEYOND = re.compile("[^\x00-\x1b\x20-\x7eÀ-ÿ]")
+_PATTERNS = {False: _byte_bpe(_LETTER, "0-9", _SPACE), True: _word_bpe(_LETTER, "0-9", _SPACE)}
+
+
+@lru_cache(maxsize=8)
+def _patterns(found: Classes, by_word: bool) -> tuple[re.Pattern, re.Pattern]:
+    made = (_word_bpe if by_word else _byte_bpe)(found.letters, found.numbers, found.spaces)
+    return re.compile(f"[^{found.known}]"), made
+
+
+def split_text(text: str, found: Classes, by_word: bool = False) -> list[str] | None:
+    """The pre-tokens of a text; lower-cased, for a vocabulary ``by_word``. None if only the tokenizer itself
+    is sure of them: where a character is not among its known classes, or letters and marks would be composed."""
+    if not _BEYOND.search(text):
+        return _PATTERNS[by_word].findall(text.lower() if by_word else text)
+    unknown, pattern = _patterns(found, by_word)
+    if unknown.search(text) or (by_word and not unicodedata.is_normalized("NFC", text)):
+        return None
+    return pattern.findall(text.lower() if by_word else text)
 
 
 @lru_cache(maxsize=1)

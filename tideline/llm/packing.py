@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import UNSURE, WORD_BPE_PIECES, PieceCache, piece_tokens, save, slices, text_of, tokenizer
+from tideline.llm.common import Classes, PieceCache, classes, piece_tokens, save, slices, split_text, text_of, tokenizer
 
 SEQUENCE = 2048
 # Pre-tokens that a worker keeps the ids of.
@@ -40,16 +40,18 @@ def _specials(path: str) -> tuple[str, ...]:
     return tuple(t.content.lower() for t in tokenizer(path).get_added_tokens_decoder().values())
 
 
-def text_ids(text: str, path: str, limit: int = CACHED) -> bytes:
+def text_ids(text: str, path: str, found: Classes, limit: int = CACHED) -> bytes:
     """The text's ids as the library gives them, written as ``id_kind`` says.
 
     Lower-cased pre-tokens are looked up in the worker's cache; a text with a special token's
-    string, or with a character on which the classes might differ, goes to the library whole.
+    string, or with characters that ``split_text`` is not sure of, goes to the library whole.
     """
     lower = text.lower()
-    if UNSURE.search(text) or any(s in lower for s in _specials(path)):
+    special = any(s in lower for s in _specials(path))
+    pieces = None if special else split_text(text, found, by_word=True)
+    if pieces is None:
         return np.array(tokenizer(path).encode(text, add_special_tokens=False).ids, id_kind(path)).tobytes()
-    return b"".join(map(_piece_ids(path, limit).__getitem__, WORD_BPE_PIECES.findall(lower)))
+    return b"".join(map(_piece_ids(path, limit).__getitem__, pieces))
 
 
 @lru_cache(maxsize=2)
@@ -102,11 +104,13 @@ def curve_key(points: np.ndarray) -> np.ndarray:
 def _tokenize(docs: DataFrame, path: str, end_id: int, seed: int) -> DataFrame:
     """(id, ids, curve, block): each document's ids as binary, in two bytes each where the vocabulary fits."""
 
+    found = classes(path)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = id_kind(path)
         end = np.array([end_id], kind).tobytes()
         for batch in slices(batches):
-            ids = [text_ids(value, path) + end for value in batch.column(1).to_pylist()]
+            ids = [text_ids(value, path, found) + end for value in batch.column(1).to_pylist()]
             points = np.stack([projected(np.frombuffer(i, kind), seed) for i in ids])
             made = [batch.column(0), pa.array(ids, pa.binary()), pa.array(curve_key(points)), batch.column(2)]
             yield pa.RecordBatch.from_arrays(made, names=["id", "ids", "curve", "block"])

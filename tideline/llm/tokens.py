@@ -13,7 +13,7 @@ from pyarrow import compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import BYTE_BPE_PIECES, UNSURE, PieceCache, fresh, piece_tokens, slices, text_of, tokenizer
+from tideline.llm.common import Classes, PieceCache, classes, fresh, piece_tokens, slices, split_text, text_of, tokenizer
 
 # Pre-tokens in the broadcast table: at some 12 bytes each, about half a MB packed.
 FREQUENT = 32_768
@@ -28,11 +28,9 @@ def _specials(path: str) -> tuple[str, ...]:
     return tuple(t.content for t in tokenizer(path).get_added_tokens_decoder().values())
 
 
-def pre_tokens(text: str, specials: tuple[str, ...]) -> list[str] | None:
+def pre_tokens(text: str, specials: tuple[str, ...], found: Classes) -> list[str] | None:
     """The byte-level pre-tokens of a text, or None if only the tokenizer itself is sure of them."""
-    if UNSURE.search(text) or any(s in text for s in specials):
-        return None
-    return BYTE_BPE_PIECES.findall(text)
+    return None if any(s in text for s in specials) else split_text(text, found)
 
 
 def _pack(counts: Counter, size: int) -> bytes:
@@ -51,11 +49,13 @@ def frequent_pre_tokens(docs: DataFrame, text: str, path: str, size: int = FREQU
     time; the driver gets one. No pre-token is shuffled.
     """
 
+    found = classes(path)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         specials, counts = _specials(path), Counter()
         for batch in slices(batches):
             for value in batch.column(0).to_pylist():
-                counts.update(pre_tokens(value, specials) or ())
+                counts.update(pre_tokens(value, specials, found) or ())
                 if len(counts) > 8 * size:
                     counts = Counter(dict(counts.most_common(size)))
         yield pa.RecordBatch.from_pydict({"counts": [_pack(counts, size)]})
@@ -107,8 +107,8 @@ def count_tokens(
 
     A count is what the byte-level BPE file at ``path`` gives for the text without added tokens.
     Pre-tokens are counted one by one: first in a broadcast table of the ``frequent`` ones, then in
-    the worker's own cache of up to ``cached``, then by the tokenizer. Texts that hold a special
-    token's string, or a character on which pattern classes might differ, go to the tokenizer whole.
+    the worker's own cache of up to ``cached``, then by the tokenizer, whatever script a text is in. Only
+    texts that hold a special token's string, or a character that is not assigned, go to the tokenizer whole.
     The second pass is one map over the rows: nothing is shuffled.
 
     Null and empty texts have 0 bytes and 0 tokens; repeated rows are counted one by one; an empty
@@ -116,6 +116,7 @@ def count_tokens(
     """
     pieces = frequent_pre_tokens(docs, text, path, frequent)
     table = docs.sparkSession.sparkContext.broadcast(_lengths(pieces, path))
+    known = classes(path)
     new = ("n_bytes", "n_tokens", "over_limit")
     rest = [c for c in docs.columns if c != text and c.lower() not in new]
     carried = fresh(docs, "text_to_count")
@@ -126,11 +127,11 @@ def count_tokens(
         for batch in slices(batches):
             counts = []
             for value in batch.column(batch.num_columns - 1).to_pylist():
-                found = pre_tokens(value, specials)
-                if found is None:
+                pieces = pre_tokens(value, specials, known)
+                if pieces is None:
                     counts.append(len(whole.encode(value, add_special_tokens=False).ids))
                 else:
-                    counts.append(sum(map(lookup.__getitem__, found)))
+                    counts.append(sum(map(lookup.__getitem__, pieces)))
             size = compute.binary_length(batch.column(batch.num_columns - 1))
             n_tokens = pa.array(counts, pa.int64())
             yield pa.RecordBatch.from_arrays(
