@@ -69,6 +69,19 @@ def test_a_rerun_that_is_half_written_is_not_seen(spark, events, warehouse):
     assert open_before.count() == day.count()
 
 
+def test_replaced_runs_are_deleted_in_time(spark, events, warehouse):
+    day = window_read(events, "ts", *DAY)
+    for job in (1, 2):
+        land(warehouse, day, job, 5, DAY)
+        warehouse.write_enriched("s", spark.sql("select '202401' as partition_key, 1 as n"), job, "202401", "202401")
+    land(warehouse, day, 3, 6, DAY)
+    for layer, name in (("raw", "events"), ("enrich", "s")):
+        assert warehouse.vacuum(layer, name) == 0
+        assert warehouse.vacuum(layer, name, timedelta(seconds=-5)) == 1
+    assert raw_jobs(warehouse) == {(5, 2): day.count(), (6, 3): day.count()}
+    assert rows(warehouse.enriched("s").select("summary_job_id")) == [(2,)]
+
+
 def test_pending_batches_are_read_from_their_folders_only(spark, events, warehouse, monkeypatch):
     """Thousands of old batches in hundreds of runs: two are listed."""
     day = window_read(events, "ts", *DAY)

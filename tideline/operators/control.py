@@ -183,11 +183,11 @@ def staged_batches(log: DataFrame) -> DataFrame:
 
 def summary_jobs(log: DataFrame, package_name: str) -> DataFrame:
     """The jobs whose rows of a summary table count: the last that is done for each window, by the
-    month that the window ends in."""
+    month that the window ends in, with their run's start."""
     done = log.where(_done() & (F.col("layer") == "enrich") & (F.col("package_name") == package_name))
-    last = F.max_by("job_id", F.struct("log_time", "log_id")).alias("summary_job_id")
-    by_window = done.groupBy("control_id", "window_start", "window_end").agg(last)
-    return by_window.select(partition_key(F.col("window_end")).alias("partition_key"), "summary_job_id")
+    last = F.max_by(F.struct(F.col("job_id").alias("summary_job_id"), "start_time"), F.struct("log_time", "log_id"))
+    by_window = done.groupBy("control_id", "window_start", "window_end").agg(last.alias("last"))
+    return by_window.select(partition_key(F.col("window_end")).alias("partition_key"), "last.*")
 
 
 def pending_batches(log: DataFrame, package_name: str, suite: str | None = None) -> DataFrame:

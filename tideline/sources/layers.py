@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.operators.control import staged_batches, summary_jobs
+from tideline.sinks.files import delete, names
 from tideline.sinks.keyed import KeyedTable
 from tideline.sinks.landing import land_raw, month_windows, read_enriched, read_raw, run_name, write_enriched
 from tideline.sinks.log import append_log, compact_log, log_state, read_log
@@ -81,6 +82,22 @@ class Warehouse:
         months = month_windows(self.spark, from_key, to_key)
         self._log_done("enrich", name, months.withColumns({"control_id": F.lit(-1), "job_id": job}), started)
 
+    def vacuum(self, layer: str, name: str, older: timedelta = timedelta(days=7)) -> int:
+        """Delete the folders of runs of a raw or enrich table of which no row counts any more; how many.
+
+        Only runs that began longer ago than ``older`` go, which has to be longer than any run or read takes.
+        """
+        log = self.log_state()
+        jobs = staged_batches(log) if layer == "raw" else summary_jobs(log, name)
+        # A row per run that still counts.
+        alive = {run_name(r["start_time"]) for r in jobs.where("start_time is not null").select("start_time").distinct().collect()}
+        until = run_name(datetime.now(timezone.utc).replace(tzinfo=None) - older)
+        data = f"{self.path(layer, name)}/data"
+        gone = [f for f in names(self.spark, data) if f.removeprefix("run=") not in alive and f.removeprefix("run=") < until]
+        for folder in gone:
+            delete(self.spark, f"{data}/{folder}")
+        return len(gone)
+
     def _log_done(self, layer: str, name: str, windows: DataFrame, started: datetime) -> None:
         done = {"log_id": 2, "success_flag": 1, "complete_flag": 1, "layer": layer, "package_name": name}
         # After the write: of several jobs of a window the last one counts.
