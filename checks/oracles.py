@@ -87,7 +87,11 @@ gate AS (
          CAST(min(frontier) AS DATE) AS summary_start_date,
          CAST(max(frontier) AS DATE) AS summary_end_date,
          CASE WHEN count(*) = count(frontier) AND min(frontier) = max(frontier)
-              THEN 'S' ELSE 'C' END AS status
+              THEN 'S' ELSE 'C' END AS status,
+         CASE WHEN count(*) = count(frontier) AND min(frontier) = max(frontier) THEN NULL
+              ELSE concat('Has Closed: package count ', count(*), ', staged ', count(frontier),
+                          ', start ', coalesce(strftime(min(frontier), '%Y-%m-%d'), 'none'),
+                          ', end ', coalesce(strftime(max(frontier), '%Y-%m-%d'), 'none')) END AS reason
   FROM frontiers GROUP BY 1, 2
 )"""
 
@@ -126,10 +130,11 @@ CENTS = "CAST(round(o_totalprice * 100) AS BIGINT)"
 # Merging under "greater than" keeps the greatest of the windows' latest values, and of equal ones
 # the earliest. Every event stays in the table by month.
 EXTRACTED = f"""WITH {FEEDS}
-SELECT 'user_latest' AS package_name, user_id, ts, event_id, event_type, value
+SELECT 'user_latest' AS package_name, user_id, ts, event_id, event_type, value,
+       CAST(NULL AS VARCHAR) AS feed_suite, CAST(NULL AS VARCHAR) AS partition_key
 FROM ({LATEST_USER}) u
 UNION ALL
-SELECT 'user_record' AS package_name, user_id, ts, event_id, event_type, value FROM (
+SELECT 'user_record' AS package_name, user_id, ts, event_id, event_type, value, NULL, NULL FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id, event_type
                                ORDER BY value DESC, window_start) AS pick
   FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type, window_start
@@ -137,7 +142,8 @@ SELECT 'user_record' AS package_name, user_id, ts, event_id, event_type, value F
   WHERE rn = 1) r
 WHERE pick = 1
 UNION ALL
-SELECT 'events_by_month' AS package_name, user_id, ts, event_id, event_type, value FROM events"""
+SELECT 'events_by_month' AS package_name, user_id, ts, event_id, event_type, value,
+       concat('T', CAST(user_id % 4 AS VARCHAR)), strftime(ts, '%Y%m') FROM events"""
 
 ORACLES = {
     "window_read": """SELECT CASE
@@ -150,8 +156,7 @@ ORACLES = {
 SELECT e.*, d.control_id, d.window_start, d.window_end
 FROM events e JOIN due d ON e.user_id = d.control_id
 WHERE e.ts >= d.window_start AND e.ts < d.window_end""",
-    "staged_batch_read": """SELECT e.user_id AS control_id, date_trunc('day', e.ts) AS window_start,
-       e.event_id, e.ts, e.event_type, e.value
+    "staged_batch_read": """SELECT e.*, e.user_id AS control_id, date_trunc('day', e.ts) AS window_start
 FROM events e
 WHERE EXISTS (SELECT 1 FROM events d WHERE d.user_id = e.user_id AND d.event_type = 'purchase'
               AND date_trunc('day', d.ts) = date_trunc('day', e.ts))""",
@@ -226,7 +231,10 @@ FROM (SELECT DISTINCT user_id % 12 AS control_id,
              concat('T', CAST(user_id % 4 AS VARCHAR)) AS suite_code FROM events) p
 GROUP BY suite_code""",
     "log_errors": f"""WITH {USER_LOG}
-SELECT log_id, control_id, success_flag, message_source, message FROM log
+SELECT log_id, log_time, 'raw' AS layer, CAST(NULL AS VARCHAR) AS package_name, control_id, job_id,
+       CAST(NULL AS TIMESTAMP) AS start_time, success_flag, complete_flag, message_source, message,
+       CAST(NULL AS VARCHAR) AS message_type, suite_code, CAST(NULL AS BIGINT) AS row_inserted,
+       window_start, window_end, CAST(NULL AS TIMESTAMP) AS next_start FROM log
 WHERE success_flag = 0 OR message_source LIKE '%ERROR%'""",
     "readiness_gate": f"WITH {GATE} SELECT * FROM gate",
     "readiness_gate_now": f"""WITH {GATE} SELECT * FROM gate

@@ -97,9 +97,7 @@ def _daily_batches(events: DataFrame) -> DataFrame:
 @query
 def q_staged_batch_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
-    return staged_batch_read(_daily_batches(events), staged_batches(derive.user_log(events))).select(
-        "control_id", "window_start", "event_id", "ts", "event_type", "value"
-    )
+    return staged_batch_read(_daily_batches(events), staged_batches(derive.user_log(events)))
 
 
 def _keyed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -323,20 +321,19 @@ def q_package_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def q_log_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = derive.user_log(_events(spark, sf_dir))
-    return log_errors(log).select("log_id", "control_id", "success_flag", "message_source", "message")
+    return log_errors(log)
 
 
 @query
 def q_readiness_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
-    gate = readiness_gate(derive.feed_control(events), derive.feed_log(events), daily=True)
-    return gate.drop("reason")
+    return readiness_gate(derive.feed_control(events), derive.feed_log(events), daily=True)
 
 
 @query
 def q_readiness_gate_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
-    return readiness_gate(derive.feed_control(events), derive.feed_log(events)).drop("reason")
+    return readiness_gate(derive.feed_control(events), derive.feed_log(events))
 
 
 # -- enrichment and flows
@@ -405,12 +402,8 @@ def _current(warehouse: Warehouse) -> DataFrame:
             "events_by_month", ["partition_key", "event_id"], "partition_key"
         ),
     }
-    columns = ["user_id", "ts", "event_id", "event_type", "value"]
-    named = [
-        table.read().select(F.lit(name).alias("package_name"), *columns)
-        for name, table in tables.items()
-    ]
-    return reduce(DataFrame.unionByName, named)
+    named = [table.read().withColumn("package_name", F.lit(name)) for name, table in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
 
 
 @query
