@@ -19,7 +19,8 @@ import corpus_pipeline
 from checks.compare import TABLES, rows_of
 from tests.llm.test_neardup_mixing import brute_force
 from tideline.llm import secret_scan
-from tideline.llm.queries import LLM_ORACLES, LLM_QUERIES
+from tideline.llm.common import tokenizer
+from tideline.llm.queries import LLM_ORACLES, LLM_QUERIES, tokenizer_path
 from tideline.session import scratch_path
 
 ASSIGN = re.compile(
@@ -237,6 +238,42 @@ def test_packing_stage(staged):
     assert {i: n for (i, size), total in pieces.items() for n in [total // size] if total % size == 0} == dict(copies)
 
 
+CLASHES = ("id", "key", "block", "copies", "digest", "text_to_score", "lost_id", "mix_key", "mix_copy", "kept", "n")
+
+
+def test_stages_on_odd_rows(spark, sf, documents):
+    """Null ids and columns, repeated ids and rows, empty and very long texts, columns of the operators' names."""
+    rows = [(i, t, None if k % 7 == 0 else "en", (None, "a", "b", "rare")[k % 13 % 4], None) for k, (i, t) in enumerate(documents)]
+    rows += [(5, "a text of its own that repeats the id five", "en", "a", 1), (10**7, "w " * 150_000, "en", "a", 2), (10**7 + 1, "tie tie", "xx", "b", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    docs = docs.withColumns({name: F.lit(f"{name}!") for name in CLASHES})
+    have = Counter((r.doc_id, r.text) for r in docs.collect())
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf)
+        if name == "packing":
+            total = Counter()
+            for r in out.collect():
+                total[r.doc_id] += r.length
+            ids = lambda t: len(tokenizer(tokenizer_path("word_bpe_49k.json")).encode(t or "", add_special_tokens=False).ids) + 1
+            want = Counter()
+            for (i, text), n in have.items():
+                want[i] += n * ids(text)
+            assert total == want
+            continue
+        assert out.columns == docs.columns
+        found = out.collect()
+        got = Counter((r.doc_id, r.text) for r in found)
+        assert set(got) <= set(have) and all(r["block"] == "block!" for r in found)
+        if name == "mixing":
+            assert set(got) == set(have) and all(got[k] >= have[k] for k in have)
+        else:
+            assert all(got[k] <= have[k] for k in got)
+        if name == "exact":
+            assert {t or "" for _, t in got} == {t or "" for _, t in have}
+        if name == "near":  # texts without words are linked with nothing, and an id keeps its other text
+            assert all(k in got for k in have if not (k[1] or "").split() or k[0] in (5, None))
+
+
 def test_run_of_an_empty_table(spark, sf, tmp_path):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{sf}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
