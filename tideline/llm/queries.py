@@ -7,7 +7,9 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tideline.functions.local import small_frame
 from tideline.llm.common import ship
 from tideline.llm.exact import DigestIndex
 from tideline.llm.fingerprints import fingerprints
@@ -198,7 +200,9 @@ URL_RULES = [
 @query
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL under the four rules; what no rule fits is allowed."""
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    names = ("host", "path", "verdict")
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    rules = small_frame(spark, [dict(zip(names, rule)) for rule in URL_RULES], schema)
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_verdicts(pages, rules).drop("url")
 
