@@ -189,6 +189,15 @@ class TestKeyedTable:
         assert rows(table.read())[0] == (1, 0)
         table.merge(frame(spark, "(4, 7)"), ["v"], when="source.v > 6")
         assert rows(table.read())[3] == (4, 7)
+        # Orders may differ, and columns may have none.
+        odd = KeyedTable(spark, scratch_path(spark, "odd"), ["k"], 3)
+        for values, order in (("(1, 5, 5)", ["v"]), ("(1, 9, 1)", ["w"]), ("(1, 6, 4)", ["v"]), ("(1, 0, 8)", ["w"])):
+            odd.merge(frame(spark, values, "k, v, w").withColumn("m", F.create_map("v", "w")), order, latest=True)
+        want = [(1, 0, 8, {0: 8})]
+        assert [tuple(r) for r in odd.read().collect()] == want
+        odd.merge(odd.read().withColumn("w", F.lit(9)), ["v"], when="source.w > target.w")
+        odd.compact()
+        assert [tuple(r) for r in odd.read().collect()] == [(1, 0, 9, {0: 8})]
 
     def test_steps_are_merged_one_after_the_other(self, spark):
         """A step's row may meet the condition that a later one does not."""

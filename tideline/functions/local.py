@@ -21,3 +21,14 @@ def small_frame(
     """
     table = pa.Table.from_pylist([dict(row) for row in rows], schema=to_arrow_schema(schema))
     return spark.createDataFrame(table, schema=schema)
+
+
+def nullable(kind: T.DataType) -> T.DataType:
+    """The type with nulls allowed everywhere, as rows read back from files have it."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, nullable(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(nullable(kind.elementType))
+    if isinstance(kind, T.MapType):
+        return T.MapType(nullable(kind.keyType), nullable(kind.valueType))
+    return kind

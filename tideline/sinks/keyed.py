@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.functions.local import small_frame
+from tideline.functions.local import nullable, small_frame
 from tideline.functions.sizing import BROADCAST_BYTES, materialize_measured
 from tideline.operators.merge import MATCHED, conform, dedupe_latest, later, same_key
 from tideline.sinks.files import delete, file_system, names, read_folder, read_small, write_once
@@ -42,7 +42,7 @@ COMMITS = T.StructType(
         T.StructField("parts", T.ArrayType(T.StringType())),
     ]
 )
-OWN_COLUMNS = ("_commit", "_part", "_at", "_kind")
+OWN_COLUMNS = ("_commit", "_part", "_at", "_kind", "_taken")
 _registering = Lock()
 
 
@@ -116,7 +116,8 @@ class KeyedTable:
     def _create(self, schema: T.StructType) -> None:
         if taken := {name.lower() for name in schema.names} & set(OWN_COLUMNS):
             raise ValueError(f"rename the columns {sorted(taken)}: the table has its own of these names")
-        layout = {"keys": self.keys, "part_by": self.part_by, "buckets": self.buckets, "schema": schema.jsonValue()}
+        layout = {"keys": self.keys, "part_by": self.part_by, "buckets": self.buckets}
+        layout["schema"] = nullable(schema).jsonValue()
         self._adopt(write_once(self.spark, f"{self.path}/layout", json.dumps(layout)))
 
     # -- reading
@@ -232,17 +233,16 @@ class KeyedTable:
         kind = F.substring("_commit", 22, 1)
         at = F.concat(F.when(kind == BASE, "0").otherwise("1"), "_commit")
         row = F.struct(*self.schema.names, at.alias("_at"), kind.alias("_kind"))
-        in_order = F.array_sort(
-            F.collect_list(row), lambda a, b: F.when(a["_at"] < b["_at"], -1).when(a["_at"] > b["_at"], 1).otherwise(0)
-        )
-        rules = {c.rule for c in commits if c.kind == LATEST}
-        if len(rules) > 1:
-            raise ValueError(f"compact {self.path} between merges of different orders")
-        # The rule speaks of source and target: names of the lambda's arguments here.
-        won = rows.groupBy(*self.keys).agg(in_order.alias("_rows")).selectExpr(
+        by_rule: dict[str, list[str]] = {}
+        for c in commits:
+            if c.kind == LATEST:
+                by_rule.setdefault(c.rule, []).append(f"'1{c.name}'")
+        # A rule speaks of source and target: names of the lambda's arguments here.
+        rules = " ".join(f"WHEN source._at IN ({', '.join(at)}) THEN ({rule})" for rule, at in by_rule.items())
+        won = rows.groupBy(*self.keys).agg(_in_order(F.collect_list(row), "_at").alias("_rows")).selectExpr(
             "aggregate(slice(_rows, 2, size(_rows)), _rows[0], (target, source) ->"
             f" CASE source._kind WHEN '{UPDATE}' THEN source WHEN '{INSERT}' THEN target"
-            f" ELSE IF(coalesce({rules.pop()}, false), source, target) END) AS _row"
+            f" ELSE IF(coalesce(CASE {rules} END, false), source, target) END) AS _row"
         )
         return won.select("_row.*").select(self.schema.names)
 
@@ -307,8 +307,8 @@ class KeyedTable:
     def _changed(
         self, source: DataFrame, order: Sequence[str | Column], when: str, steps: str | None, limit: int
     ) -> tuple[DataFrame, int]:
-        """The rows that a conditional merge leaves and that differ from the current ones, and the
-        number of source rows that they come from."""
+        """The source rows that a conditional merge takes into the table, and the number of all that it
+        looked at."""
         by = [*self.keys, *([steps] if steps else [])]
         null_key = F.array_contains(F.array(*[F.isnull(k) for k in self.keys]), True)
         measures = {"rows": F.count(F.lit(1)), "null_keys": F.max(null_key)}
@@ -319,12 +319,13 @@ class KeyedTable:
         columns = [c for c in rows.columns if c != steps]
         if not seen["rows"]:
             return rows.select(columns), 0
-        step = F.struct(F.col(steps) if steps else F.lit(0).alias("_step"), F.struct(*columns).alias("_row"))
-        lists = rows.groupBy(*self.keys).agg(F.sort_array(F.collect_list(step)).alias("_steps"))
+        row = F.struct(*columns, F.lit(True).alias("_taken"))
+        step = F.struct((F.col(steps) if steps else F.lit(0)).alias("_step"), row.alias("_row"))
+        lists = rows.groupBy(*self.keys).agg(_in_order(F.collect_list(step), "_step").alias("_steps"))
         lists = lists.select(*self.keys, F.transform("_steps", lambda s: s["_row"]).alias("_steps"))
         small = seen["bytes"] <= limit
         if self.schema is None:
-            met = lists.withColumn("_old", F.lit(None).cast(rows.select(F.struct(*columns).alias("r")).schema["r"].dataType))
+            met = lists.withColumn("_old", F.lit(None).cast(rows.select(row.alias("r")).schema["r"].dataType))
         else:
             wanted = rows.select(*self.keys).distinct()
             wanted = F.broadcast(wanted) if small else wanted.repartition(self.buckets, *self.keys)
@@ -334,13 +335,14 @@ class KeyedTable:
                 there = there.where(F.col("_part").isin(seen["parts"]))
             same = same_key(self.keys, bool(seen["null_keys"]))
             there = there.alias("target").join(wanted.alias("source"), same, "left_semi")
-            old = self._winners(there, commits).select(F.struct(*columns).alias("_old"), *self.keys)
+            old = F.struct(*columns, F.lit(False).alias("_taken")).alias("_old")
+            old = self._winners(there, commits).select(old, *self.keys)
             lists = lists if small else lists.repartition(self.buckets, *self.keys)
             met = lists.alias("source").join(old.alias("target"), same, "left").select("source._steps", "target._old")
         # The condition speaks of source and target: names of the lambda's arguments here.
         rule = f"target IS NULL OR coalesce(({when}), false)"
-        folded = met.selectExpr("_old", f"aggregate(_steps, _old, (target, source) -> IF({rule}, source, target)) AS _new")
-        return folded.where(~F.col("_new").eqNullSafe(F.col("_old"))).select("_new.*"), seen["rows"]
+        folded = met.selectExpr(f"aggregate(_steps, _old, (target, source) -> IF({rule}, source, target)) AS _new")
+        return folded.where("_new._taken").select("_new.*").drop("_taken"), seen["rows"]
 
     def _append(self, out: DataFrame, kind: str, rule: str | None = None, batch: str | None = None) -> tuple[int, int]:
         """Write rows and commit them; the version and the number of rows."""
@@ -422,3 +424,8 @@ class KeyedTable:
                     delete(self.spark, at)
                     gone += 1
         return gone
+
+
+def _in_order(rows: Column, by: str) -> Column:
+    """An array of structs in the order of one field; others may be of kinds that have no order."""
+    return F.array_sort(rows, lambda a, b: F.when(a[by] < b[by], -1).when(a[by] > b[by], 1).otherwise(0))

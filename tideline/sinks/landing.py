@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.keys import window_key
+from tideline.functions.local import nullable
 from tideline.sinks.files import file_system, names, read_small, write_once
 
 
@@ -51,7 +52,7 @@ def _write(df: DataFrame, path: str, run: str, by: Sequence[str] = ()) -> str:
 
 
 def _keep_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    text = json.dumps(T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields]).jsonValue())
+    text = json.dumps(nullable(schema).jsonValue())
     digest = hashlib.sha256(text.encode()).hexdigest()[:16]
     known = names(spark, f"{path}/schemas")
     if not any(name.endswith(digest) for name in known):
