@@ -232,21 +232,22 @@ def _visits(index: DataFrame, item_type: str, shared, seeds, thresholds, search:
     """(item_id, item, id, score): the best of each visited unit for the items that visit it.
 
     Without thresholds these are its seeds, else all items whose bound reaches their threshold,
-    without its seeds.
+    without its seeds. A task raises an item's threshold to the k-th score of its own visits so far, so what
+    it returns hardly grows with the number of its units.
     """
     id_type = index.schema["ids"].dataType.elementType.simpleString()
     item_kind = pa.string() if item_type == "string" else pa.int64()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         questions, first = shared.value, seeds.value
+        least = np.ones(len(questions.ids), np.int64) if thresholds is None else thresholds.value.copy()
+        highest: dict[int, list[int]] = {}
         for batch in slices(batches, 16):
             id_kind = batch.schema.field("ids").type.value_type
             for m, part, ids, *lists, top_term, top_tf in zip(*(c.to_pylist() for c in batch.columns)):
                 seeded = first.get((m, part), ())
-                if thresholds is None:
-                    items, least = seeded, None
-                else:
-                    least = thresholds.value
+                items = seeded
+                if thresholds is not None:
                     tops = np.frombuffer(top_tf, np.int32).astype(np.int64)
                     bound = questions.bounds(np.frombuffer(top_term, np.int32), impact(tops, m))
                     items = np.setdiff1d(np.flatnonzero(bound >= least), seeded)
@@ -255,9 +256,11 @@ def _visits(index: DataFrame, item_type: str, shared, seeds, thresholds, search:
                 unit, found = _Unit(m, ids, *lists), []
                 for item in items:
                     terms = questions.terms(item)
-                    lowest = 1 if least is None else int(least[item])
-                    for id_, score in unit.best(terms, questions.weight[terms], lowest, search.k):
-                        found.append((questions.ids[item], int(item), id_, score))
+                    best = unit.best(terms, questions.weight[terms], int(least[item]), search.k)
+                    found += [(questions.ids[item], int(item), id_, score) for id_, score in best]
+                    scores = highest[item] = sorted(highest.get(item, []) + [s for _, s in best])[-search.k :]
+                    if len(scores) == search.k:
+                        least[item] = max(least[item], scores[0])
                 columns = list(zip(*found)) or [()] * 4
                 types = (item_kind, pa.int64(), id_kind, pa.int64())
                 yield pa.RecordBatch.from_arrays(
