@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tests.conftest import plan, rows
 from tideline.operators import dedupe_latest, merge, merge_into_table
 from tideline.session import scratch_path
-from tideline.sinks import KeyedTable
+from tideline.sinks import KeyedTable, keyed
 
 
 def frame(spark, values: str, columns: str = "k, v"):
@@ -371,6 +371,36 @@ class TestMonthTable:
         table.merge(odd.limit(50), self.ORDER)
         assert rows(table.read().select(odd.columns)) == rows(odd)
 
+    @pytest.mark.parametrize("when", [None, "source.v > target.v"])
+    def test_few_buckets_are_not_as_few_tasks(self, spark, monkeypatch, when):
+        # What two buckets hold is too much for two tasks, in both months together and not in one.
+        monkeypatch.setattr(keyed, "TASK_BYTES", 1_000_000, raising=False)
+        table = KeyedTable(spark, scratch_path(spark, "few"), ["month", "k"], 2, "month")
+        numbers = spark.range(0, 30_000, 1, 8).selectExpr(
+            "if(id % 2 = 0, '202401', '202402') AS month", "if(id % 50 = 0, null, id) AS k", "id AS v", "md5(cast(id AS string)) AS t"
+        )
+        small = {"advisoryPartitionSizeInBytes": "64k", "coalescePartitions.enabled": "false"}
+        for name, value in small.items():
+            spark.conf.set(f"spark.sql.adaptive.{name}", value)
+        try:
+            table.merge(numbers, ["v"])
+            by_file = table._rows(table._commits()).groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n"))
+            cells = [r["n"] for r in by_file.collect()]
+            doubled = numbers.where("v % 3 = 0").withColumn("v", F.col("v") * 2)
+            table.merge(doubled, ["v"], when=when, limit=0)
+        finally:
+            for name in small:
+                spark.conf.unset(f"spark.sql.adaptive.{name}")
+        assert len(cells) > 4 and max(cells) < 4_000
+        assert "Exchange" in plan(table.read())
+        assert "Exchange" not in plan(table.read("202401", "202401"))
+        side = dedupe_latest(numbers, ["month", "k"], ["v"]), dedupe_latest(doubled, ["month", "k"], ["v"])
+        want = rows(merge(*side, ["month", "k"], when=when))
+        assert rows(table.read()) == want
+        assert rows(table.read("202401", "202401")) == [r for r in want if r[0] == "202401"]
+        table.compact()
+        assert rows(table.read()) == want and "Window" not in plan(table.read())
+
     def test_the_partition_must_be_a_key_and_have_values(self, spark, orders):
         with pytest.raises(ValueError, match="no key column"):
             KeyedTable(spark, scratch_path(spark, "months"), ["o_orderkey"], 2, "partition_key")

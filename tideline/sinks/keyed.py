@@ -1,7 +1,8 @@
 """Current-state tables kept by keyed merge: base and delta files of bucketed Spark tables.
 
 A merge appends its rows as a delta, clustered by key into the table's buckets. A reader takes, inside
-each bucket, the row that wins for a key: nothing is shuffled. Now and then a base that holds the
+each bucket, the row that wins for a key: nothing is shuffled, unless buckets are few and what is read of
+them is too much for as few tasks. Now and then a base that holds the
 winners takes the place of the deltas. Data folders count once a row of the commits names them, so a
 merge is seen as a whole or not at all, and writers share nothing that one could take from another.
 """
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 import time
 import uuid
 from collections.abc import Sequence
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.local import nullable, small_frame
-from tideline.functions.sizing import BROADCAST_BYTES, materialize_measured
+from tideline.functions.sizing import BROADCAST_BYTES, materialize_measured, row_bytes
 from tideline.operators.merge import MATCHED, conform, dedupe_latest, later, same_key
 from tideline.sinks.files import delete, file_system, names, read_folder, read_small, write_once
 
@@ -40,9 +42,14 @@ COMMITS = T.StructType(
         T.StructField("covers", T.ArrayType(T.StringType())),
         # The partitions that it has rows for; null if the table has none.
         T.StructField("parts", T.ArrayType(T.StringType())),
+        # Estimated bytes of its rows.
+        T.StructField("bytes", T.LongType()),
     ]
 )
 OWN_COLUMNS = ("_commit", "_part", "_at", "_kind", "_taken")
+# The most estimated bytes that a task takes of a table whose buckets are fewer than the session's shuffle
+# partitions; sorting them takes about twice this.
+TASK_BYTES = 256 * 1024 * 1024
 _registering = Lock()
 
 
@@ -58,6 +65,7 @@ class Commit:
     batch: str | None
     covers: frozenset[str]
     parts: frozenset[str] | None
+    bytes: int
 
     @property
     def kind(self) -> str:
@@ -139,7 +147,13 @@ class KeyedTable:
             rows = rows.where(F.col("_part") >= from_part)
         if to_part is not None:
             rows = rows.where(F.col("_part") <= to_part)
-        return self._winners(rows, commits)
+        wanted = {
+            part
+            for c in commits
+            for part in c.parts or ()
+            if (from_part is None or part >= from_part) and (to_part is None or part <= to_part)
+        }
+        return self._winners(rows, commits, self._tasks(commits, wanted))
 
     def _commits(self) -> list[Commit]:
         """What counts, by name: all deltas that no base covers, and all bases with rows left.
@@ -150,7 +164,14 @@ class KeyedTable:
         found = read_folder(self.spark, f"{self.path}/commits", COMMITS).collect()
         every = sorted(
             (
-                Commit(c.name, c.rule, c.batch, frozenset(c.covers or ()), None if c.parts is None else frozenset(c.parts))
+                Commit(
+                    c.name,
+                    c.rule,
+                    c.batch,
+                    frozenset(c.covers or ()),
+                    None if c.parts is None else frozenset(c.parts),
+                    c.bytes or 0,
+                )
                 for c in found
             ),
             key=lambda c: c.name,
@@ -209,15 +230,34 @@ class KeyedTable:
             self.spark.catalog.refreshTable(self.name)
             return self.spark.table(self.name)
 
-    def _winners(self, rows: DataFrame, commits: Sequence[Commit]) -> DataFrame:
+    def _few_buckets(self) -> bool:
+        """Whether a shuffle gives more tasks than the buckets do."""
+        return self.buckets < int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def _tasks(self, commits: Sequence[Commit], wanted: frozenset[str] | set[str] = frozenset()) -> int:
+        """How many tasks the rows of the commits, in the ``wanted`` partitions, are dealt to by key: one
+        for each bucket, or else more than there are buckets."""
+        if not self._few_buckets():
+            return self.buckets
+        size = 0.0
+        for c in commits:
+            there = (c.parts or frozenset()) - (self._replaced(c, commits) if c.kind == BASE else set())
+            size += c.bytes * (len(there & wanted) / len(c.parts) if c.parts else 1)
+        if size <= self.buckets * TASK_BYTES:
+            return self.buckets
+        return max(math.ceil(size / TASK_BYTES), int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+
+    def _winners(self, rows: DataFrame, commits: Sequence[Commit], tasks: int) -> DataFrame:
         """One row per key: what merging the commits one after the other leaves.
 
         An update replaces what was there; an insert counts if nothing was there. So the last update
-        wins, else the base, else the first insert.
+        wins, else the base, else the first insert. With more ``tasks`` than buckets the rows are shuffled.
         """
         kinds = {c.kind for c in commits}
         if kinds <= {BASE}:
             return rows.select(self.schema.names)
+        if tasks > self.buckets:
+            rows = rows.repartition(tasks, *self.keys)
         if LATEST in kinds:
             return self._folded(rows, commits)
         commit, kind = F.col("_commit"), F.substring("_commit", 22, 1)
@@ -328,16 +368,18 @@ class KeyedTable:
             met = lists.withColumn("_old", F.lit(None).cast(rows.select(row.alias("r")).schema["r"].dataType))
         else:
             wanted = rows.select(*self.keys).distinct()
-            wanted = F.broadcast(wanted) if small else wanted.repartition(self.buckets, *self.keys)
             commits = self._commits()
+            tasks = self.buckets if small else self._tasks(commits, frozenset(seen.get("parts") or ()))
+            wanted = F.broadcast(wanted) if small else wanted.repartition(tasks, *self.keys)
             there = self._rows(commits)
             if self.part_by:
                 there = there.where(F.col("_part").isin(seen["parts"]))
+            there = there.repartition(tasks, *self.keys) if tasks > self.buckets else there
             same = same_key(self.keys, bool(seen["null_keys"]))
             there = there.alias("target").join(wanted.alias("source"), same, "left_semi")
             old = F.struct(*columns, F.lit(False).alias("_taken")).alias("_old")
-            old = self._winners(there, commits).select(old, *self.keys)
-            lists = lists if small else lists.repartition(self.buckets, *self.keys)
+            old = self._winners(there, commits, self.buckets).select(old, *self.keys)
+            lists = lists if small else lists.repartition(tasks, *self.keys)
             met = lists.alias("source").join(old.alias("target"), same, "left").select("source._steps", "target._old")
         # The condition speaks of source and target: names of the lambda's arguments here.
         rule = f"target IS NULL OR coalesce(({when}), false)"
@@ -348,21 +390,32 @@ class KeyedTable:
         """Write rows and commit them; the version and the number of rows."""
         version = self.version()
         name = f"{version + 1:020d}-{kind}-{uuid.uuid4().hex[:12]}"
-        seen = self._write(out.repartition(self.buckets, *self.keys), name)
+        seen = self._write(out, name)
         if not seen["rows"]:
             delete(self.spark, self._folder(name))
             return version, 0
-        self._commit(name=name, rule=rule, batch=batch, parts=seen["parts"])
+        self._commit(name=name, rule=rule, batch=batch, parts=seen["parts"], bytes=seen["bytes"])
         return version + 1, seen["rows"]
 
-    def _write(self, out: DataFrame, name: str) -> dict:
-        """Write a commit's rows, one file for each bucket and partition."""
+    def _write(self, out: DataFrame, name: str, deal: bool = True) -> dict:
+        """Write a commit's rows, one file for each bucket and partition, or several for a large one.
+
+        ``deal`` brings the rows of a bucket together. Buckets that are few would be as few tasks: then
+        REBALANCE does it, which cuts large ones.
+        """
         seen = Observation()
         part = F.lit(None) if self.part_by is None else F.col(self.part_by).cast("string")
-        measures = [F.count(F.lit(1)).alias("rows")]
+        measures = [F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(out.schema)).alias("bytes")]
         if self.part_by is not None:
             measures += [F.collect_set("_part").alias("parts"), F.count_if(F.col("_part").isNull()).alias("no_part")]
-        out = out.withColumn("_part", part).observe(seen, *measures)
+        if deal and not self._few_buckets():
+            out = out.repartition(self.buckets, *self.keys)
+        out = out.withColumn("_part", part)
+        if deal and self._few_buckets():
+            # The number that Spark's writer gives a row's bucket.
+            bucket = F.pmod(F.hash(*self.keys), F.lit(self.buckets))
+            out = out.withColumn("_at", bucket).hint("rebalance", "_part", "_at").drop("_at")
+        out = out.observe(seen, *measures)
         writer = (out if self.part_by else out.drop("_part")).write.bucketBy(self.buckets, *self.keys).sortBy(*self.keys)
         if self.part_by is not None:
             writer = writer.partitionBy("_part")
@@ -406,8 +459,9 @@ class KeyedTable:
         covers = [c.name for c in commits if c.kind != BASE or parts is None or c.parts & parts]
         version = max(int(c.name[:20]) for c in commits)
         name = f"{version:020d}-{BASE}-{uuid.uuid4().hex[:12]}"
-        self._write(self._winners(rows, commits), name)
-        self._commit(name=name, covers=covers, parts=None if parts is None else sorted(parts))
+        tasks = self._tasks(commits, parts or frozenset())
+        seen = self._write(self._winners(rows, commits, tasks), name, deal=tasks > self.buckets)
+        self._commit(name=name, covers=covers, parts=None if parts is None else sorted(parts), bytes=seen["bytes"])
 
     def vacuum(self, older: timedelta = timedelta(days=7)) -> int:
         """Delete folders and commits that no longer count; how many.
