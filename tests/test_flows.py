@@ -12,6 +12,7 @@ from tideline.functions import materialize
 from tideline.operators import dedupe_latest, landed_counts, latest_status, log_errors, watermarks
 from tideline.plans import enrich, run_extract, run_staging, run_summary
 from tideline.session import scratch_path
+from tideline.sinks import KeyedTable
 from tideline.sources import Warehouse, window_read
 
 STEP = timedelta(days=10)
@@ -316,6 +317,30 @@ def test_all_dates_by_one_plan(spark, events, monkeypatch):
     assert max(scans["runs"]) == 1 < max(scans["one"])
 
 
+@pytest.mark.parametrize("sql, n", [(RUNS_SQL, 6), (SQL, 60)])
+def test_one_read_of_a_keyed_table_serves_all_packages(spark, monkeypatch, sql, n):
+    events = spark.range(240).selectExpr(
+        "id AS event_id",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(id AS int)) AS ts",
+        "id AS user_id",
+        "'view' AS event_type",
+        "cast(id AS double) AS value",
+    )
+    warehouse = new(spark)
+    both = materialize(derive.feed_control(events).unionByName(derive.summary_control(spark, sql)), "control")
+    stage(warehouse, both, events)
+    table = warehouse.ext("by_month", ["partition_key", "event_id"], "partition_key")
+    month = F.date_format("ts", "yyyyMM").alias("partition_key")
+    for part in ("event_id < 200", "event_id >= 100"):
+        table.merge(derive.with_feed(events).where(part).select("*", month), ["ts"])
+    reads, read = [], KeyedTable.read
+    monkeypatch.setattr(KeyedTable, "read", lambda t, *months: reads.append(months) or read(t, *months))
+    log = run_summary(warehouse, both, {"events": table})
+    assert status(log) == {(1000 + i, "completed") for i in range(4)}
+    assert reads == [("202401", "202401")]
+    assert rows(summaries(warehouse).select("suite_code", "n")) == [(f"T{i}", n) for i in range(4)]
+
+
 def test_enrichment_parameters_are_bound(spark, events):
     sql = "select :start as a, :end as b, :job_id as j, :from_key as f, :to_key as t, count(*) n from {e}"
     got = enrich(spark, sql, datetime(2024, 1, 1), "it's", 5, "202401", "202402", {"e": events})

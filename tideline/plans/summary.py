@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections import Counter
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime, time
 from functools import reduce
+from threading import Lock
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import Window as W
@@ -49,7 +51,8 @@ def run_summary(
     The SQL of a package makes the rows of one date; the flow adds ``partition_key``
     and ``summary_date``. SQL that names ``{runs}`` makes the rows of all due dates by one plan; of other SQL up to
     ``DATES_PER_PLAN`` dates are written by one job. An ext table among
-    ``tables`` that is partitioned by month is read for the months of the run only.
+    ``tables`` that is partitioned by month is read for the months of the run only. Its current rows of the
+    same months are found once and written for all the packages and dates that read them.
     """
     run = RunLog(warehouse, "enrich", suite)
     run.write(run.manager(text.SUMMARY_START, f"SuiteCode: {suite}"))
@@ -102,9 +105,11 @@ def _run(
         run.packages(_jobs(warehouse, due_rows), text.SUMMARY_PACKAGE_START),
     )
 
+    inputs = Inputs(tables, by_package.values())
+
     def summarise(rows: Sequence[Row]) -> None:
         try:
-            _summarise(warehouse, run, rows, tables)
+            _summarise(warehouse, run, rows, inputs)
         except Exception as error:
             if len(rows) == 1:
                 message = F.lit(f"ERR: {error}")
@@ -166,22 +171,22 @@ def _summarise(
     warehouse: Warehouse,
     run: RunLog,
     rows: Sequence[Row],
-    tables: Mapping[str, DataFrame | KeyedTable],
+    inputs: Inputs,
 ) -> None:
     name, spark = rows[0]["package_name"], warehouse.spark
     if names_runs(rows[0]["enrich_query"]):
-        result = _all_dates(spark, rows, tables)
+        result = _all_dates(spark, rows, inputs)
     else:
-        result = reduce(DataFrame.unionByName, [_one_date(spark, row, tables) for row in rows])
+        result = reduce(DataFrame.unionByName, [_one_date(spark, row, inputs) for row in rows])
     # The rows count once the log rows below are written; those of earlier jobs do not any more then.
     write_enriched(result, warehouse.path("enrich", name), run_name(run.started))
     jobs = _jobs(warehouse, rows)
     run.write(run.packages(jobs, text.SUMMARY_PACKAGE_DONE, F.lit("OK:"), 1, 1))
 
 
-def _all_dates(spark: SparkSession, rows: Sequence[Row], tables: Mapping[str, DataFrame | KeyedTable]) -> DataFrame:
+def _all_dates(spark: SparkSession, rows: Sequence[Row], inputs: Inputs) -> DataFrame:
     """One plan for any number of dates: each input is read once, and the SQL joins it with the runs."""
-    first, last = min(row["from_key"] for row in rows), max(row["to_key"] for row in rows)
+    first, last = _span(rows)
     dates = [
         {
             "job_id": row["job_id"],
@@ -201,13 +206,13 @@ def _all_dates(spark: SparkSession, rows: Sequence[Row], tables: Mapping[str, Da
         -1,
         first,
         last,
-        {"runs": runs, **{name: _months(table, first, last) for name, table in tables.items()}},
+        {"runs": runs, **inputs.read(rows[0]["enrich_query"], first, last)},
     )
     dated = runs.select("job_id", F.col("to_key").alias("partition_key"), F.col("end_date").alias("summary_date"))
     return found.join(dated, "job_id").withColumnRenamed("job_id", "summary_job_id")
 
 
-def _one_date(spark: SparkSession, row: Row, tables: Mapping[str, DataFrame | KeyedTable]) -> DataFrame:
+def _one_date(spark: SparkSession, row: Row, inputs: Inputs) -> DataFrame:
     months = row["from_key"], row["to_key"]
     found = enrich(
         spark,
@@ -216,7 +221,7 @@ def _one_date(spark: SparkSession, row: Row, tables: Mapping[str, DataFrame | Ke
         row["summary_end_date"],
         row["job_id"],
         *months,
-        {name: _months(table, *months) for name, table in tables.items()},
+        inputs.read(row["enrich_query"], *months),
     )
     return found.withColumns(
         {
@@ -227,12 +232,48 @@ def _one_date(spark: SparkSession, row: Row, tables: Mapping[str, DataFrame | Ke
     )
 
 
-def _months(table: DataFrame | KeyedTable, from_key: str, to_key: str) -> DataFrame:
-    if isinstance(table, DataFrame):
-        return table
-    if table.part_by is None:
-        return table.read()
-    return table.read(from_key, to_key)
+def _span(rows: Sequence[Row]) -> tuple[str, str]:
+    """The months of some runs."""
+    return min(row["from_key"] for row in rows), max(row["to_key"] for row in rows)
+
+
+class Inputs:
+    """The tables that the packages of a run read.
+
+    A keyed table's reader takes the winner of each key of all that was merged. What several packages or
+    dates read is found by one such pass and written, for the months that they have in common.
+    """
+
+    def __init__(self, tables: Mapping[str, DataFrame | KeyedTable], packages: Iterable[Sequence[Row]]):
+        self.tables = tables
+        self.readers: Counter[tuple[str, str, str]] = Counter()
+        self.written: dict[tuple[str, str, str], DataFrame] = {}
+        self.lock = Lock()
+        for rows in packages:
+            text = rows[0]["enrich_query"]
+            months = [_span(rows)] if names_runs(text) else [(row["from_key"], row["to_key"]) for row in rows]
+            for name, table in tables.items():
+                if isinstance(table, KeyedTable) and f"{{{name}}}" in text:
+                    self.readers.update((name, *span) for span in months)
+
+    def read(self, sql_text: str, from_key: str, to_key: str) -> dict[str, DataFrame]:
+        """All tables; of those partitioned by month some months."""
+        return {name: self._months(name, f"{{{name}}}" in sql_text, from_key, to_key) for name in self.tables}
+
+    def _months(self, name: str, named: bool, from_key: str, to_key: str) -> DataFrame:
+        table, asked = self.tables[name], (name, from_key, to_key)
+        if isinstance(table, DataFrame):
+            return table
+        if not named or self.readers[asked] < 2:
+            return _current(table, from_key, to_key)
+        with self.lock:
+            if asked not in self.written:
+                self.written[asked] = materialize(_current(table, from_key, to_key), f"summary-{name}")
+            return self.written[asked]
+
+
+def _current(table: KeyedTable, from_key: str, to_key: str) -> DataFrame:
+    return table.read() if table.part_by is None else table.read(from_key, to_key)
 
 
 def _jobs(warehouse: Warehouse, rows: Sequence[Row]) -> DataFrame:
