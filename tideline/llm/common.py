@@ -6,7 +6,7 @@ import re
 import tempfile
 import unicodedata
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from pathlib import Path
@@ -226,3 +226,21 @@ class PieceCache(dict):
             made = self._encode(piece)
         self[piece] = made
         return made
+
+
+_kept: dict[tuple, PieceCache] = {}
+
+
+def kept(key: tuple, make: Callable[[], PieceCache]) -> PieceCache:
+    """The cache of one step in this worker. Workers are used again by the steps that follow, so a worker
+    has one cache at a time: that of another step goes when this one's is made."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def release() -> None:
+    """Drop the caches and tokenizers that earlier steps left in this worker, for tasks that need none."""
+    _kept.clear()
+    tokenizer.cache_clear()

@@ -13,13 +13,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import PieceCache, fresh, raw_bytes, save, slices, text_of
+from tideline.llm.common import fresh, raw_bytes, release, save, slices, text_of
 from tideline.llm.components import connected_components
 from tideline.llm.urls import BlockedBloomFilter
 
-# Words that a worker keeps the hashes of.
-CACHED = 300_000
-
 
 @dataclass(frozen=True)
 class Join:
@@ -46,18 +43,13 @@ class Join:
     likely: float = 0.70
 
 
-@lru_cache(maxsize=1)
-def _word_hashes() -> PieceCache:
-    return PieceCache(xxhash.xxh3_64_intdigest, CACHED)
-
-
 def shingles(text: bytes, words: int) -> np.ndarray:
     """The sorted distinct hashes of the text's word shingles, A-Z lower-cased; fewer words than
     that are one shingle, none are no shingle."""
     found = text.lower().split()
     if not found:
         return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(_word_hashes().__getitem__, found), np.uint64, len(found))
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
     n = max(1, len(hashes) - words + 1)
     rolled = np.full(n, len(hashes) if len(hashes) < words else words, np.uint64)
     for i in range(min(words, len(hashes))):
@@ -95,6 +87,7 @@ def _profiles(docs: DataFrame, join: Join) -> DataFrame:
     its paths (32 bits for the roots' children, 16 for each level below) and its sketch."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in slices(batches):
             sets = [shingles(t, join.words) for t in raw_bytes(batch.column(1))]
             keys, tokens, sketches = [], [], []

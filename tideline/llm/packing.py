@@ -12,7 +12,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import Classes, PieceCache, classes, piece_tokens, save, slices, split_text, text_of, tokenizer
+from tideline.llm.common import (
+    Classes,
+    PieceCache,
+    classes,
+    kept,
+    piece_tokens,
+    release,
+    save,
+    slices,
+    split_text,
+    text_of,
+    tokenizer,
+)
 
 SEQUENCE = 2048
 # Pre-tokens that a worker keeps the ids of.
@@ -27,12 +39,12 @@ def id_kind(path: str) -> str:
     return "<u2" if tokenizer(path).get_vocab_size() <= 1 << 16 else "<u4"
 
 
-@lru_cache(maxsize=2)
 def _piece_ids(path: str, limit: int) -> PieceCache:
-    code = "H" if id_kind(path) == "<u2" else "I"
-    return PieceCache(
-        lambda piece: array(code, [t.id for t in piece_tokens(piece, path)]).tobytes(), limit
-    )
+    def make() -> PieceCache:
+        code = "H" if id_kind(path) == "<u2" else "I"
+        return PieceCache(lambda piece: array(code, [t.id for t in piece_tokens(piece, path)]).tobytes(), limit)
+
+    return kept(("ids", path, limit), make)
 
 
 @lru_cache(maxsize=2)
@@ -192,8 +204,11 @@ def pack(
     order = ["block", "curve", "tie"]
     ordered = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order, "id")
 
+    kind = id_kind(path)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind, base = id_kind(path), TaskContext.get().partitionId() << PART_BITS
+        release()
+        base = TaskContext.get().partitionId() << PART_BITS
         held: dict[int, tuple] = {}
         out: list[tuple] = []
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import fresh, raw_bytes, save, slices, text_of
+from tideline.llm.common import raw_bytes, release, save, slices, text_of
 from tideline.llm.rules import CLASSES, WHITE, class_counts
 
 STATISTICS = (
@@ -65,6 +65,7 @@ def text_statistics(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     """(id, statistics array<float>) of each whole text."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in slices(batches):
             values = pa.array([statistics(t) for t in raw_bytes(batch.column(1))], pa.list_(pa.float32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), values], names=["id", "statistics"])
@@ -247,14 +248,20 @@ def classify(
 
 
 def accepted(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs`` whose score reaches ``threshold``, with all their columns. No shuffle."""
-    carried = fresh(docs, "text_to_score")
+    """The rows of ``docs`` whose score reaches ``threshold``, with all their columns. No shuffle.
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            values = [statistics(t) for t in raw_bytes(batch.column(carried))]
-            scores = model.scores(np.array(values, np.float32).astype(np.float64).reshape(-1, len(STATISTICS)))
-            kept = batch.filter(pa.array(scores >= threshold))
-            yield pa.RecordBatch.from_arrays(kept.columns[:-1], schema=pa.schema(list(kept.schema)[:-1]))
+    Each text goes to a Python worker once, and only the verdict comes back.
+    """
 
-    return docs.withColumn(carried, text_of(text)).mapInArrow(work, docs.schema)
+    @F.arrow_udf("boolean")
+    def accepts(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
+        for batch in texts:
+            verdicts = []
+            for at in range(0, len(batch), 512):
+                values = [statistics(t) for t in raw_bytes(batch.slice(at, 512))]
+                scores = model.scores(np.array(values, np.float32).astype(np.float64).reshape(-1, len(STATISTICS)))
+                verdicts.extend((scores >= threshold).tolist())
+            yield pa.array(verdicts, pa.bool_())
+
+    return docs.where(accepts(text_of(text)))

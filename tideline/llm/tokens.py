@@ -13,7 +13,18 @@ from pyarrow import compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import Classes, PieceCache, classes, fresh, piece_tokens, slices, split_text, text_of, tokenizer
+from tideline.llm.common import (
+    Classes,
+    PieceCache,
+    classes,
+    fresh,
+    kept,
+    piece_tokens,
+    slices,
+    split_text,
+    text_of,
+    tokenizer,
+)
 
 # Pre-tokens in the broadcast table: at some 12 bytes each, about half a MB packed.
 FREQUENT = 32_768
@@ -84,15 +95,15 @@ def _lengths(pieces: list[str], path: str) -> bytes:
     return zlib.compress(pickle.dumps(("\x1f".join(pieces), counts)), 6)
 
 
-@lru_cache(maxsize=2)
 def _table(packed: bytes, path: str, limit: int) -> PieceCache:
     """A worker's lookup: the broadcast table, and behind it what the worker has encoded itself."""
-    joined, counts = pickle.loads(zlib.decompress(packed))
-    return PieceCache(
-        lambda piece: len(piece_tokens(piece, path)),
-        limit,
-        dict(zip(joined.split("\x1f"), counts)) if counts else {},
-    )
+
+    def make() -> PieceCache:
+        joined, counts = pickle.loads(zlib.decompress(packed))
+        first = dict(zip(joined.split("\x1f"), counts)) if counts else {}
+        return PieceCache(lambda piece: len(piece_tokens(piece, path)), limit, first)
+
+    return kept(("counts", packed, path, limit), make)
 
 
 def count_tokens(
